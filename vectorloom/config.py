@@ -27,6 +27,7 @@ TIE_DECIMALS = 12
 # Largest sets that may pass through the driver or be broadcast.
 MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_KEYS = 1_000_000
+MAX_BROADCAST_FILES = 100_000
 
 
 def nested_dims(full: int) -> tuple[int, ...]:

@@ -113,10 +113,11 @@ def on_or_after(day: Column, low: str) -> Column:
 def submitted_between(ts: Column, low: str | None = None, high: str | None = None) -> Column:
     """Day range (``yyyyMMdd``), both ends included; an open end takes a sentinel date.
 
-    The column itself stays bare, so the range reaches the Parquet scan.
+    Both bounds are dates, which take the type of the column; the column itself
+    stays bare and the range reaches the Parquet scan.
     """
     if not low and not high:
         return F.lit(True)
     first = F.to_date(F.lit(low or "19000101"), "yyyyMMdd")
     last = F.to_date(F.lit(high or "99991231"), "yyyyMMdd")
-    return (ts >= first.cast("timestamp")) & (ts < F.date_add(last, 1).cast("timestamp"))
+    return (ts >= first) & (ts < F.date_add(last, 1))

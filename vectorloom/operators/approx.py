@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.config import MAX_BROADCAST_QUERIES, TOP_K
-from vectorloom.operators.topk import _emit, _matrix, _output, _scan, best_of
+from vectorloom.operators.topk import _emit, _matrix, _output, _scan, best_of, top_k
 
 # Vectors per cell the centres are fitted on; fitting on more hardly moves them.
 _TRAIN_PER_CELL = 256
@@ -69,10 +69,18 @@ def top_k_cells(
     query_vector: str = "query_vector",
     max_queries: int = MAX_BROADCAST_QUERIES,
 ) -> DataFrame:
-    """Nearest vectors of each query among its ``probes`` nearest cells."""
-    head = queries.select(query_id, query_vector).limit(max_queries + 1).toArrow()
-    if head.num_rows > max_queries:
-        raise ValueError(f"more than {max_queries} queries: use top_k, which has no such limit")
+    """Nearest vectors of each query among its ``probes`` nearest cells.
+
+    More queries than may be broadcast would probe nearly every cell between
+    them; they get the exact search over all cells instead.
+    """
+    stored = spark.read.parquet(path)
+    wanted = queries.select(query_id, query_vector).where(F.col(query_vector).isNotNull())
+    head = wanted.limit(max_queries + 1).toArrow()
+    if head.num_rows == 0 or head.num_rows > max_queries:
+        return top_k(
+            stored, wanted, k, id_col, vector_col, query_id, query_vector, max_broadcast=max_queries
+        )
     size = centres.shape[1]
     matrix = _matrix(head.column(1).combine_chunks(), size)
     lengths = np.maximum(np.linalg.norm(matrix, axis=1), 1e-300)[:, None]
@@ -80,8 +88,7 @@ def top_k_cells(
     allowed = np.zeros(nearness.shape, dtype=bool)
     chosen = np.argsort(-nearness, axis=1, kind="stable")[:, :probes]
     np.put_along_axis(allowed, chosen, True, axis=1)
-    wanted = [int(c) for c in np.flatnonzero(allowed.any(axis=0))]
-    stored = spark.read.parquet(path)
+    probed = [int(c) for c in np.flatnonzero(allowed.any(axis=0))]
     schema, names = _output(stored, queries, query_id, id_col)
     shared = spark.sparkContext.broadcast((matrix, allowed, head.column(0).combine_chunks()))
 
@@ -98,7 +105,7 @@ def top_k_cells(
         yield from _emit(_scan(triples(), vectors, (size,), k, cells), ids, id_type, names)
 
     found = (
-        stored.where(F.col("cell").isin(wanted))
+        stored.where(F.col("cell").isin(probed))
         .select(id_col, vector_col, "cell")
         .mapInArrow(nearest, schema)
     )

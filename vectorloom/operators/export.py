@@ -22,7 +22,6 @@ def split_parts(lines: DataFrame, parts: int = 3) -> DataFrame:
     Fewer lines than parts: all of them are in the last part.
     """
     numbered = line_numbers(lines)
-    # One row, found in the pass that counts the blocks.
     total = lines.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     size = total // parts
     part = F.lit(parts - 1) if size == 0 else F.least(

@@ -70,13 +70,20 @@ class Lake:
             self.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
         return self.create()
 
+    def on(self, spark: SparkSession) -> Lake:
+        """The same tables seen from another session, such as that of a micro-batch."""
+        return Lake(spark, self.root, self.prefix, self.dims, self.buckets)
+
     def read(self, layer: str) -> DataFrame:
+        """Current rows; a session keeps its file list until told that others wrote."""
+        self.spark.catalog.refreshTable(self.name(layer))
         return self.spark.table(self.name(layer))
 
     def append(self, layer: str, df: DataFrame) -> int:
         """Append rows and return how many; the count comes with the write itself."""
         seen = Observation()
-        rows = df.select(*self.read(layer).columns).observe(seen, F.count(F.lit(1)).alias("rows"))
+        columns = self.spark.table(self.name(layer)).columns
+        rows = df.select(*columns).observe(seen, F.count(F.lit(1)).alias("rows"))
         if self.buckets and layer in self.KEYS:
             rows = rows.repartition(self.buckets, "arxiv_id")
         rows.write.insertInto(self.name(layer))
@@ -100,8 +107,18 @@ class Lake:
         finally:
             fresh.unpersist()
 
-    def max_id(self, layer: str) -> int:
-        return self.read(layer).agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first()["id"]
+    def last_bronze_id(self) -> int:
+        """Highest surrogate id in use.
+
+        Ids rise from run to run, so only the day partitions since the last run
+        that added rows are read.
+        """
+        loaded = self.read("runs").where(F.col("bronze") > 0).agg(F.to_date(F.max("started_at")).alias("d"))
+        day = loaded.first()["d"]
+        rows = self.read("bronze")
+        if day is not None:
+            rows = rows.where(F.col("ingested_on") >= F.lit(day))
+        return rows.agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first()["id"]
 
     # -- key/value state -------------------------------------------------
 

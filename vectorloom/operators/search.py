@@ -13,6 +13,7 @@ from vectorloom.functions.fields import any_tag, on_or_after
 from vectorloom.functions.text import abs_url, pdf_url, preview
 from vectorloom.functions.vectors import score, to_text
 from vectorloom.operators.topk import top_k
+from vectorloom.session import stored
 
 
 def embed_queries(
@@ -92,11 +93,12 @@ def recent(gold: DataFrame, silver: DataFrame, n: int = 25, dim: int = DIMS[0])
     for those only.
     """
     by_time = [F.col("embedded_at").desc(), F.col("arxiv_id").asc()]
-    newest = (
+    newest = stored(
         gold.select("arxiv_id", "embedded_at")
         .join(silver.select("arxiv_id"), "arxiv_id", "left_semi")
         .orderBy(*by_time)
-        .limit(n)
+        .limit(n),
+        "recent",
     )
     # At most n rows: bounded by the argument.
     vectors = gold.join(F.broadcast(newest), ["arxiv_id", "embedded_at"], "left_semi").select(

@@ -45,7 +45,7 @@ def load_bronze(lake: Lake, lines: DataFrame, now: datetime, small: bool = False
     """Raw lines to bronze; returns rows inserted and rows skipped."""
     seen = Observation()
     accepted = _skipped(parse_lines(lines), seen)
-    rows = bronze_rows(accepted, lake.max_id("bronze"), _at(now))
+    rows = bronze_rows(accepted, lake.last_bronze_id(), _at(now))
     added = lake.insert_if_absent("bronze", rows, "seq", small=small)
     return added, int(seen.get["rows"])
 

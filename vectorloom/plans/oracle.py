@@ -109,7 +109,7 @@ ORACLE = {
     "vector_topk_all_cells": _BY_LABEL_FULL,
     "vector_distance": f"""
       WITH {_MEANS}
-      SELECT vec_id, label, round(1 - c, 6) AS distance, round(c, 4) AS score FROM (
+      SELECT vec_id, label, round(1 - c, 6) AS distance, round(c, 4) + 0.0::DOUBLE AS score FROM (
         SELECT vec_id, label, list_cosine_similarity(embedding::DOUBLE[], v) AS c
         FROM embeddings JOIN means ON k = label)""",
     "vector_text": "SELECT vec_id, true AS bracketed, len(embedding) AS size, true AS same FROM embeddings",
@@ -120,7 +120,7 @@ ORACLE = {
         SELECT vec_id, dim, CASE WHEN dim = 64 THEN h
           ELSE list_transform(h, lambda x: (x / greatest(n, 1e-12))::FLOAT)::DOUBLE[] END AS v FROM lengths)
       SELECT vec_id, dim, len(v) AS size, round(sqrt(list_sum(list_transform(v, lambda x: x * x))), 4) AS length,
-        round(v[1], 4) AS first, round(v[2], 4) AS second FROM scaled""",
+        round(v[1], 4) + 0.0::DOUBLE AS first, round(v[2], 4) + 0.0::DOUBLE AS second FROM scaled""",
     "hash_encoder": f"""
       WITH {_vectors('documents', 'doc_id', 'text', 'unused')},
       heads AS (
@@ -134,7 +134,8 @@ ORACLE = {
         SELECT k, dim, list_transform(u, lambda x: (CASE WHEN dim = 64 THEN x ELSE x / greatest(un, 1e-12) END)::FLOAT)::DOUBLE[] AS v
         FROM lengths)
       SELECT k AS doc_id, dim, round(sqrt(list_sum(list_transform(v, lambda x: x * x))), 4) AS length,
-        round(v[1], 4) AS first, round(v[len(v)], 4) AS last, round(list_sum(v), 4) AS total FROM scaled""",
+        round(v[1], 4) + 0.0::DOUBLE AS first, round(v[len(v)], 4) + 0.0::DOUBLE AS last,
+        round(list_sum(v), 4) + 0.0::DOUBLE AS total FROM scaled""",
     "retrieval_metrics": f"""
       WITH {_SILVER}, {_vectors('silver', 'arxiv_id', 'abstract_clean', 'gold')}, {_QUESTIONS},
       {_ranked('gold', 'asked', '10', _SIZES)},

@@ -20,7 +20,7 @@ from vectorloom.operators.search import embed_queries, recent, search, search_fi
 from vectorloom.operators.topk import top_k
 from vectorloom.plans.loads import load_files
 from vectorloom.plans.stages import parse_lines
-from vectorloom.session import new_folder, spread
+from vectorloom.session import new_folder, spread, stored
 from vectorloom.sources.feeds import atom_records, fetch, rss_records, scan_atom, scan_rss
 from vectorloom.sources.lines import head_lines, read_jsonl, scan_lines, stream_lines
 from vectorloom.sources.notifications import arrival_messages
@@ -109,9 +109,9 @@ def _prototypes(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_search(spark, folder):
     """Papers nearest to each benchmark text, with title, score and links."""
-    silver = _silver(spark, folder)
+    silver = stored(_silver(spark, folder), "silver")
     found = search(
-        _gold(silver).withColumnRenamed(f"embedding_{DIM}", "embedding_64"),
+        _gold(silver),
         silver,
         _questions(spark, folder),
         dim=DIM,
@@ -122,7 +122,7 @@ def text_search(spark, folder):
 
 def text_search_filtered(spark, folder):
     """The same among papers with one of two tags, from a date on."""
-    silver = _silver(spark, folder)
+    silver = stored(_silver(spark, folder), "silver")
     keep = search_filter(["fr", "src3"], "2020-01-15")
     found = search(_gold(silver.where(keep)), silver, _questions(spark, folder), dim=DIM, where=keep)
     return found.select("query_id", "rank", "arxiv_id", "score")
@@ -239,11 +239,14 @@ def hash_encoder(spark, folder):
 
 def retrieval_metrics(spark, folder):
     """How well shorter vectors find what the full one ranks first."""
-    ranked = top_k(
-        _gold(_silver(spark, folder)),
-        _questions(spark, folder),
-        vector_col=f"embedding_{DIM}",
-        dims=SIZES,
+    ranked = stored(
+        top_k(
+            _gold(_silver(spark, folder)),
+            _questions(spark, folder),
+            vector_col=f"embedding_{DIM}",
+            dims=SIZES,
+        ),
+        "ranked",
     )
     truth = ranked.where((F.col("dim") == DIM) & (F.col("rank") == 1)).select(
         "query_id", F.col("arxiv_id").alias("true_id")
@@ -260,7 +263,7 @@ def retrieval_metrics(spark, folder):
 
 def recent_papers(spark, folder):
     """The 25 papers embedded last, with attributes and links."""
-    silver = _silver(spark, folder)
+    silver = stored(_silver(spark, folder), "silver")
     gold = table(spark, folder, "embeddings").select(
         F.col("vec_id").cast("string").alias("arxiv_id"),
         F.col("embedding").alias(f"embedding_{DIM}"),

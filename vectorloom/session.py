@@ -56,3 +56,14 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    For a result used more than once: it is computed one time, its plan ends
+    here, and it survives the loss of an executor.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

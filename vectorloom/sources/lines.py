@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vectorloom.config import MAX_BROADCAST_FILES
+from vectorloom.session import stored
+
 # monotonically_increasing_id() keeps the row number inside a task in its low 33 bits.
 _ROW_BITS = (1 << 33) - 1
 _FILE_COLUMNS = (
@@ -67,14 +70,17 @@ def with_sequence(lines: DataFrame, files: DataFrame) -> DataFrame:
     """Add ``seq``: one number ordered by file path, then line.
 
     ``files`` lists each path with its size; only this list, which the driver
-    holds anyway to plan the scan, is put in order in one task. The factor
-    leaves room for compressed files, whose rows may outnumber their bytes.
+    holds anyway to plan the scan, is put in order in one task. Up to a counted
+    size it is broadcast, so the lines are not shuffled. The factor leaves room
+    for compressed files, whose rows may outnumber their bytes.
     """
     before = Window.orderBy("source_path").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select(
         "source_path",
         F.coalesce(F.sum(F.col("file_size") + 1).over(before), F.lit(0)).alias("bytes_before"),
     )
+    if files.count() <= MAX_BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
     placed = lines if "source_pos" in lines.columns else with_position(lines)
     joined = placed.join(offsets, "source_path")
     return joined.withColumn("seq", F.col("bytes_before") * 1024 + F.col("source_pos")).drop("bytes_before")
@@ -104,7 +110,9 @@ def line_numbers(lines: DataFrame) -> DataFrame:
     """Add ``line_index``, the zero-based number of a line over all files in path order.
 
     One counting pass gives the rows of each file block, the running sum over
-    blocks gives its first number; the lines themselves are not shuffled.
+    blocks gives its first number. The sums are written to the shared folder:
+    Spark then knows their size and broadcasts them when they are small, so the
+    lines themselves are not shuffled.
     """
     # The scan gives blocks in any order, but rows of one block follow each other.
     marked = lines.withColumn("_row", F.monotonically_increasing_id())
@@ -115,13 +123,13 @@ def line_numbers(lines: DataFrame) -> DataFrame:
     starts = blocks.select(
         "source_path",
         "block_start",
-        "first_row",
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
+        "rows",
+        (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first_row")).alias("shift"),
     )
     return (
-        marked.join(starts, ["source_path", "block_start"])
-        .withColumn("line_index", F.col("rows_before") + F.col("_row") - F.col("first_row"))
-        .drop("_row", "first_row", "rows_before")
+        marked.join(stored(starts, "blocks").drop("rows"), ["source_path", "block_start"])
+        .withColumn("line_index", F.col("shift") + F.col("_row"))
+        .drop("_row", "shift")
     )
 
 

@@ -41,7 +41,8 @@ def load_stream(
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        run_stages(lake, batch_lines(batch), factory, model_name, batch_id, small=True)
+        here = lake.on(batch.sparkSession)
+        run_stages(here, batch_lines(batch), factory, model_name, batch_id, small=True)
 
     return _start(lines, each, checkpoint, interval, once)
 
@@ -59,9 +60,10 @@ def load_notified(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         named = parse_messages(batch).select("filepath").distinct().orderBy("filepath")
-        paths = existing_paths(lake.spark, [r["filepath"] for r in named.toLocalIterator()])
+        here = lake.on(batch.sparkSession)
+        paths = existing_paths(here.spark, [r["filepath"] for r in named.toLocalIterator()])
         if paths:
-            run_stages(lake, read_jsonl(lake.spark, paths), factory, model_name, batch_id, small=True)
+            run_stages(here, read_jsonl(here.spark, paths), factory, model_name, batch_id, small=True)
 
     return _start(messages, each, checkpoint, interval, once)
 
@@ -87,8 +89,9 @@ def load_feed(
     def each(batch: DataFrame, batch_id: int) -> None:
         start = datetime.now(timezone.utc)
         records = to_records(batch)
-        counts = run_stages(lake, batch_lines(record_lines(records)), factory, model_name, batch_id, small=True)
-        lake.set_state(state_key, _advance(lake, records, counts, state_key, timed, start))
+        here = lake.on(batch.sparkSession)
+        counts = run_stages(here, batch_lines(record_lines(records)), factory, model_name, batch_id, small=True)
+        here.set_state(state_key, _advance(here, records, counts, state_key, timed, start))
 
     return _start(entries, each, checkpoint, interval, once)
 
