@@ -24,7 +24,9 @@ def parse_record(line: Column, fields: str = RAW_SCHEMA) -> Column:
     """
     wrapped = F.concat(F.lit("["), line, F.lit("]"))
     items = F.from_json(wrapped, f"ARRAY<STRUCT<{_as_struct(fields)}>>", _STRICT)
-    return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
+    # The one-element list binds the parsed line, so it is parsed only once.
+    single = F.transform(F.array(items), lambda x: F.when(F.size(x) == 1, F.get(x, F.lit(0))))
+    return F.get(single, F.lit(0))
 
 
 def _as_struct(ddl: str) -> str:
