@@ -31,7 +31,7 @@ def stream_lines(
     max_files: int | None = None,
     max_bytes: str | None = None,
     archive_dir: str | None = None,
-    max_file_age: str = "3650d",
+    max_file_age: str = "36500d",
 ) -> DataFrame:
     """New files of a folder as a stream, oldest first, each file name once.
 
