@@ -183,6 +183,8 @@ def test_search_joins_only_known_papers(spark):
     kept = search(gold, silver, queries, k=2, where=search_filter(since="2023-01-01")).collect()
     assert [r.arxiv_id for r in kept] == ["b"]
     assert search(gold, silver, queries, k=2, model_name="other").count() == 0
+    short = gold.withColumn("embedding_1", F.slice("embedding_384", 1, 1))
+    assert [r.arxiv_id for r in search(short, silver, queries, k=5, dim=1).collect()] == ["b"]
 
 
 def test_query_text_is_not_cleaned(spark):

@@ -59,8 +59,10 @@ def search(
     ``where`` is a condition on silver, applied before ranking. Without it and
     with ``gold_within_silver`` (true for tables written by the stages, whose
     gold ids all come from silver) gold is only scanned; otherwise it is first
-    cut to the ids silver has.
+    cut to the ids silver has. Name the model when gold holds several.
     """
+    # The head of the query stands for its truncated vector: cosine ignores length.
+    queries = queries.withColumn("query_vector", F.slice("query_vector", 1, dim))
     vectors = gold
     if model_name is not None:
         vectors = vectors.where(F.col("model_name") == model_name)

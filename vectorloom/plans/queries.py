@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,12 +98,14 @@ def _record_files(spark: SparkSession, folder: str) -> str:
     return path
 
 
+def _mean(column: str):
+    """Aggregate: the mean vector, without unfolding the components into rows."""
+    return vector_to_array(Summarizer.mean(array_to_vector(F.col(column).cast("array<double>"))))
+
+
 def _prototypes(spark: SparkSession, folder: str) -> DataFrame:
     """Mean vector of each label."""
-    parts = table(spark, folder, "embeddings").select("label", F.posexplode("embedding").alias("pos", "x"))
-    means = parts.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "x")))
-    return means.groupBy("label").agg(F.transform(ordered, lambda p: p["x"]).alias("query_vector"))
+    return table(spark, folder, "embeddings").groupBy("label").agg(_mean("embedding").alias("query_vector"))
 
 
 # -- search ----------------------------------------------------------------
@@ -143,21 +147,17 @@ def vector_topk_multi(spark, folder):
 
 def vector_topk_single(spark, folder):
     """Nearest vectors of the mean of the whole table."""
-    stored = table(spark, folder, "embeddings")
-    parts = stored.select(F.posexplode("embedding").alias("pos", "x"))
-    means = parts.groupBy("pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    centre = means.agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("p")).select(
-        F.lit(0).alias("query_id"), F.transform("p", lambda p: p["x"]).alias("query_vector")
-    )
-    found = top_k(stored, centre, id_col="vec_id", vector_col="embedding")
+    rows = table(spark, folder, "embeddings")
+    centre = rows.agg(_mean("embedding").alias("query_vector")).withColumn("query_id", F.lit(0))
+    found = top_k(rows, centre, id_col="vec_id", vector_col="embedding")
     return found.select("rank", "vec_id", vectors.score(F.col("distance")).alias("score"))
 
 
 def vector_topk_approx(spark, folder):
     """Nearest vectors of each label's mean among the clusters next to it."""
-    stored = table(spark, folder, "embeddings")
+    rows = table(spark, folder, "embeddings")
     path = new_folder(spark, "cells")
-    centres = build_cells(stored, path, cells=16, id_col="vec_id", vector_col="embedding")
+    centres = build_cells(rows, path, cells=16, id_col="vec_id", vector_col="embedding")
     found = top_k_cells(
         spark, path, centres, _prototypes(spark, folder), probes=4,
         id_col="vec_id", vector_col="embedding", query_id="label",
@@ -167,9 +167,9 @@ def vector_topk_approx(spark, folder):
 
 def vector_topk_all_cells(spark, folder):
     """Cluster search that probes every cluster: the exact answer."""
-    stored = table(spark, folder, "embeddings")
+    rows = table(spark, folder, "embeddings")
     path = new_folder(spark, "cells")
-    centres = build_cells(stored, path, cells=8, id_col="vec_id", vector_col="embedding")
+    centres = build_cells(rows, path, cells=8, id_col="vec_id", vector_col="embedding")
     found = top_k_cells(
         spark, path, centres, _prototypes(spark, folder), probes=len(centres),
         id_col="vec_id", vector_col="embedding", query_id="label",
@@ -179,7 +179,8 @@ def vector_topk_all_cells(spark, folder):
 
 def vector_distance(spark, folder):
     """Cosine distance and score of each vector to its label's mean."""
-    means = _prototypes(spark, folder)
+    # Written first: Spark then knows how small it is and joins it without a shuffle.
+    means = stored(_prototypes(spark, folder), "means")
     rows = table(spark, folder, "embeddings").join(means, "label")
     distance = vectors.cosine_distance(F.col("embedding"), F.col("query_vector"))
     return rows.select(
@@ -200,7 +201,7 @@ def vector_text(spark, folder):
 
 def matryoshka_dims(spark, folder):
     """Every vector at every size: size, length and first components."""
-    stored = table(spark, folder, "embeddings")
+    whole = table(spark, folder, "embeddings")
     sizes = [
         F.struct(
             F.lit(d).alias("dim"),
@@ -208,7 +209,7 @@ def matryoshka_dims(spark, folder):
         )
         for d in SIZES
     ]
-    rows = stored.select("vec_id", F.inline(F.array(*sizes)))
+    rows = whole.select("vec_id", F.inline(F.array(*sizes)))
     return rows.select(
         "vec_id",
         "dim",
@@ -472,12 +473,12 @@ def layer_counts(spark, folder):
 
 
 def key_uniqueness(spark, folder):
-    documents, labels, stored = (table(spark, folder, n) for n in ("documents", "labels", "embeddings"))
+    documents, labels, vecs = (table(spark, folder, n) for n in ("documents", "labels", "embeddings"))
     return listing.key_counts(
         "key",
         bronze=documents.select(F.col("text").alias("key")),
         silver=labels.select(F.col("doc_id").alias("key")),
-        gold=stored.select(F.col("vec_id").alias("key")),
+        gold=vecs.select(F.col("vec_id").alias("key")),
     )
 
 
@@ -644,14 +645,14 @@ def _checked(spark, folder):
 def quality_report(spark, folder):
     """The contract's metrics with threshold and verdict."""
     rows = _checked(spark, folder)
-    stored = table(spark, folder, "embeddings").withColumn("doc_id", F.col("vec_id"))
+    vecs = table(spark, folder, "embeddings").withColumn("doc_id", F.col("vec_id"))
     now = F.lit(datetime(2024, 2, 1, tzinfo=timezone.utc))
     events = table(spark, folder, "events")
     report = quality.report(
-        quality.verdict(quality.embedding_completeness(rows, stored, "doc_id", "embedding"), quality.COMPLETENESS),
+        quality.verdict(quality.embedding_completeness(rows, vecs, "doc_id", "embedding"), quality.COMPLETENESS),
         quality.verdict(quality.freshness_hours(events, "ts", now, F.col("event_type") != "error"), quality.FRESHNESS),
         quality.verdict(quality.schema_validity(rows, "paper_id", "title", "abstract"), quality.VALIDITY),
-        quality.verdict(quality.dimension_consistency(stored, "embedding", DIM), quality.DIMENSIONS),
+        quality.verdict(quality.dimension_consistency(vecs, "embedding", DIM), quality.DIMENSIONS),
     )
     return report.select("metric", F.round("value", 4).alias("value"), "threshold", "passed")
 

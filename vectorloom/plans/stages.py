@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vectorloom.config import DIMS, MODEL_NAME
 from vectorloom.functions import fields
 from vectorloom.functions.encoders import Encoder, encoder_udf
-from vectorloom.functions.text import clean_abstract, clean_title, strip
+from vectorloom.functions.text import clean_text, strip
 from vectorloom.functions.vectors import of_size
 from vectorloom.operators.tables import compute_once
 
@@ -44,14 +44,19 @@ def bronze_rows(accepted: DataFrame, base_id: int, at: Column) -> DataFrame:
     )
 
 
-def clean_rows(bronze: DataFrame, at: Column) -> DataFrame:
-    """Raw records cleaned and normalised, with a reason where they are rejected."""
+def clean_rows(
+    bronze: DataFrame, at: Column, cleaner: Callable[[Column], Column] = clean_text
+) -> DataFrame:
+    """Raw records cleaned and normalised, with a reason where they are rejected.
+
+    ``cleaner`` is the text rule for titles and abstracts.
+    """
     record = F.col("_record")
     parsed = compute_once(bronze, _record=fields.parse_record(F.col("raw_data")))
     cleaned = compute_once(
         parsed,
-        title=clean_title(record["title"]),
-        abstract_clean=clean_abstract(record["abstract"]),
+        title=cleaner(record["title"]),
+        abstract_clean=cleaner(record["abstract"]),
     )
     return cleaned.select(
         "id",
