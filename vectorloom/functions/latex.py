@@ -77,9 +77,21 @@ def _map(table: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
 
 
-_COMMENT = r"(^|[^\\])%[^\n]*"
+def _by_first_letter(table: dict[str, str]) -> Column:
+    """A map of maps: literal maps are searched from the front, so keep them short."""
+    groups: dict[str, dict[str, str]] = {}
+    for name, value in table.items():
+        groups.setdefault(name[0], {})[name] = value
+    return F.create_map(*[c for letter, group in groups.items() for c in (F.lit(letter), _map(group))])
+
+
+# Escaped characters wait as noncharacters, which no text may carry.
+_ESCAPED = "$%&#_{}"
+_WAITING = "".join(chr(0xFDD0 + i) for i in range(len(_ESCAPED)))
+# Marks an accent in its short form: backslash, mark, accent, letter.
+_ACCENT = "\ufdd8"
 _ARG = r"\s*\{([^{}]*)\}"
-# Innermost arguments first; repeated for nesting.
+# Macros with arguments, innermost first, repeated for nesting.
 _ARGUMENT_RULES = (
     (r"\\(?:text|textbf|textit|textrm|textsf|texttt|textsc|emph|mathrm|mathbf|mathit|mathsf"
      r"|mathcal|mathbb|mathfrak|mathscr|boldsymbol|bm|operatorname|mbox|hbox|underline|overline"
@@ -93,10 +105,33 @@ _ARGUMENT_RULES = (
     (r"\\(?:ref|autoref|cref)" + _ARG, "<ref>"),
     (r"\\eqref" + _ARG, "(<ref>)"),
     (r"\\label" + _ARG, ""),
+    (r"\\begin\{(?:array|tabular)\*?\}(?:\[[^\]]*\])?" + _ARG, " "),
+    (r"\\(?:begin|end)" + _ARG, " "),
 )
 _NESTING = 3
 
 
+def _arguments(text: Column) -> Column:
+    """Macros with arguments; a text without any is looked at once per round."""
+
+    def one_round(current: Column, _: Column) -> Column:
+        changed = current
+        for pattern, replacement in _ARGUMENT_RULES:
+            changed = F.regexp_replace(changed, pattern, replacement)
+        return F.when(F.rlike(current, F.lit(r"\\[A-Za-z]+\*?\s*[\[{]")), changed).otherwise(current)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_NESTING)), text, one_round)
+
+
+def _accents(text: Column) -> Column:
+    """All ways to write an accent brought to the short form."""
+    text = F.regexp_replace(text, r"\\([`'^\"~=.])\s*\{?\\([ij])(?![A-Za-z])\}?", r"\\$1{$2}")
+    text = F.regexp_replace(text, r"\\([`'^\"~=.])\s*\{?([A-Za-z])\}?", rf"\\{_ACCENT}$1$2")
+    return F.regexp_replace(
+        text, r"\\([cvuHkrbd])(?:\s*\{([A-Za-z])\}|\s+([A-Za-z])(?![A-Za-z]))", rf"\\{_ACCENT}$1$2$3"
+    )
+
+
 def _plain(text: Column) -> Column:
     """Characters that mean something without a backslash."""
     text = F.translate(text, "~&${}", "  ")
@@ -107,47 +142,41 @@ def _plain(text: Column) -> Column:
 
 def _piece(piece: Column, symbols: Column, accented: Column) -> Column:
     """One backslash and what follows it, up to the next backslash."""
-    accent = r"(?s)^\\([`'^\"~=.]|[cvuHkrbd](?=[\s{]))\s*\{?([A-Za-z])\}?(.*)$"
-    macro = r"(?s)^\\([A-Za-z]+)\*?(.*)$"
-    escape = r"(?s)^\\(.)(.*)$"
-    key = F.concat(F.regexp_extract(piece, accent, 1), F.regexp_extract(piece, accent, 2))
-    literal = F.regexp_extract(piece, escape, 1)
+    second = F.substring(piece, 2, 1)
+    name = F.regexp_extract(piece, r"^.([A-Za-z]+)", 1)
+    symbol = F.try_element_at(F.try_element_at(symbols, second), name)
     return (
-        F.when(~F.startswith(piece, F.lit("\\")), _plain(piece))
+        F.when(~F.startswith(piece, F.lit("\\")), piece)
         .when(
-            F.try_element_at(accented, key).isNotNull(),
-            F.concat(F.try_element_at(accented, key), _plain(F.regexp_extract(piece, accent, 3))),
-        )
-        .when(
-            F.rlike(piece, F.lit(r"^\\[A-Za-z]")),
+            second == F.lit(_ACCENT),
             F.concat(
-                F.coalesce(F.try_element_at(symbols, F.regexp_extract(piece, macro, 1)), F.lit("")),
-                _plain(F.regexp_extract(piece, macro, 2)),
+                F.coalesce(F.try_element_at(accented, F.substring(piece, 3, 2)), F.substring(piece, 4, 1)),
+                F.substring(piece, 5, _REST),
             ),
         )
+        .when(
+            F.rlike(second, F.lit("[A-Za-z]")),
+            F.concat(F.coalesce(symbol, F.lit("")), F.substr(piece, F.length(name) + 2)),
+        )
         .otherwise(
-            F.concat(
-                F.when(literal.isin(*"$%&#_{}"), literal)
-                .when(literal.isin(*",;: /"), F.lit(" "))
-                .otherwise(F.lit("")),
-                _plain(F.regexp_extract(piece, escape, 2)),
-            )
+            F.concat(F.when(second.isin(*",;: /"), F.lit(" ")).otherwise(F.lit("")), F.substring(piece, 3, _REST))
         )
     )
 
 
+# "To the end" for substring().
+_REST = 2**31 - 1
+
+
 def latex_to_text(text: Column) -> Column:
     """Readable text of a LaTeX fragment; rows without a backslash take a short way."""
-    full = F.regexp_replace(text, r"\\\\", " ")
-    full = F.regexp_replace(full, _COMMENT, "$1")
-    full = F.regexp_replace(full, r"\\begin\{(?:array|tabular)\*?\}(?:\[[^\]]*\])?\{[^{}]*\}", " ")
-    full = F.regexp_replace(full, r"\\(?:begin|end)\s*\{[^{}]*\}", " ")
-    full = F.regexp_replace(full, r"\\[()\[\]]", "")
-    full = F.regexp_replace(full, r"\\([`'^\"~=.])\s*\{?\\([ij])(?![A-Za-z])\}?", r"\\$1{$2}")
-    for _ in range(_NESTING):
-        for pattern, replacement in _ARGUMENT_RULES:
-            full = F.regexp_replace(full, pattern, replacement)
-    symbols, accented = _map(_symbols()), _map(_accented())
+    full = F.replace(text, F.lit("\\\\"), F.lit(" "))
+    for escaped, waiting in zip(_ESCAPED, _WAITING):
+        full = F.replace(full, F.lit("\\" + escaped), F.lit(waiting))
+    full = _arguments(_accents(F.regexp_replace(full, r"%[^\n]*", "")))
+    full = F.regexp_replace(full, r"(\\[A-Za-z]+)\*", "$1")
+    symbols, accented = _by_first_letter(_symbols()), _map(_accented())
     pieces = F.transform(F.split(full, r"(?=\\)"), lambda p: _piece(p, symbols, accented))
-    short = _plain(F.regexp_replace(text, _COMMENT, "$1"))
-    return F.when(F.contains(text, F.lit("\\")), F.array_join(pieces, "")).otherwise(short)
+    full = F.translate(_plain(F.array_join(pieces, "")), _WAITING, _ESCAPED)
+    short = _plain(F.regexp_replace(text, r"%[^\n]*", ""))
+    return F.when(F.contains(text, F.lit("\\")), full).otherwise(short)

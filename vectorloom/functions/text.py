@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from vectorloom.config import ABS_URL, PDF_URL
 from vectorloom.functions.latex import latex_to_text
 
-# Fixed value: the characters Unicode-aware whitespace matching covers. Java's
-# own classes leave some of them out.
-SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Fixed value: the characters Unicode-aware whitespace matching covers, without
+# the plain space. Java's own classes leave some of them out.
+_OTHER_SPACE = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = f"[ {_OTHER_SPACE}]"
+# The same characters one by one.
+_SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def strip(text: Column) -> Column:
     """Drop Unicode whitespace at both ends."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(_SPACE_CHARS))
 
 
 def null_if_blank(text: Column) -> Column:
@@ -23,8 +26,11 @@ def null_if_blank(text: Column) -> Column:
 
 
 def collapse_space(text: Column) -> Column:
-    """Every run of Unicode whitespace becomes one space; none at the ends."""
-    return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
+    """Every run of Unicode whitespace becomes one space; none at the ends.
+
+    A single plain space is not matched, so ordinary text is hardly touched.
+    """
+    return F.trim(F.regexp_replace(text, f"[{_OTHER_SPACE}]{SPACE}*| {SPACE}+", " "))
 
 
 def clean_text(text: Column) -> Column:

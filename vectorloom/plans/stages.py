@@ -17,7 +17,7 @@ from vectorloom.operators.tables import compute_once
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Non-blank lines with their id, or the reason they are rejected."""
-    stripped = lines.withColumn("raw_data", strip(F.col("value"))).where(F.col("raw_data") != "")
+    stripped = compute_once(lines, raw_data=strip(F.col("value"))).where(F.col("raw_data") != "")
     record = fields.parse_record(F.col("raw_data"), "id VARIANT")
     parsed = compute_once(stripped, _record=record)
     checked = compute_once(parsed, arxiv_id=fields.scalar_id(F.col("_record")["id"]))
