@@ -8,6 +8,7 @@ An unknown macro is dropped and its braced argument kept.
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -73,16 +74,22 @@ def _accented() -> dict[str, str]:
     return table
 
 
-def _map(table: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+def _sql_map(table: dict[str, str]) -> str:
+    quoted = ("'" + x.replace("'", "\\'") + "'" for pair in table.items() for x in pair)
+    return f"map({', '.join(quoted)})"
 
 
-def _by_first_letter(table: dict[str, str]) -> Column:
-    """A map of maps: literal maps are searched from the front, so keep them short."""
+@cache
+def _lookups() -> tuple[str, str]:
+    """SQL of the symbol and accent tables; written as text, they are built in one call.
+
+    Symbols are grouped by first letter, as literal maps are searched from the front.
+    """
     groups: dict[str, dict[str, str]] = {}
-    for name, value in table.items():
+    for name, value in _symbols().items():
         groups.setdefault(name[0], {})[name] = value
-    return F.create_map(*[c for letter, group in groups.items() for c in (F.lit(letter), _map(group))])
+    symbols = ", ".join(f"'{letter}', {_sql_map(group)}" for letter, group in groups.items())
+    return f"map({symbols})", _sql_map(_accented())
 
 
 # Escaped characters wait as noncharacters, which no text may carry.
@@ -175,7 +182,7 @@ def latex_to_text(text: Column) -> Column:
         full = F.replace(full, F.lit("\\" + escaped), F.lit(waiting))
     full = _arguments(_accents(F.regexp_replace(full, r"%[^\n]*", "")))
     full = F.regexp_replace(full, r"(\\[A-Za-z]+)\*", "$1")
-    symbols, accented = _by_first_letter(_symbols()), _map(_accented())
+    symbols, accented = map(F.expr, _lookups())
     pieces = F.transform(F.split(full, r"(?=\\)"), lambda p: _piece(p, symbols, accented))
     full = F.translate(_plain(F.array_join(pieces, "")), _WAITING, _ESCAPED)
     short = _plain(F.regexp_replace(text, r"%[^\n]*", ""))

@@ -192,7 +192,8 @@ def _top_k_blocks(
     schema, names = _output(vectors, queries, query_id, id_col)
     query_blocks = max(1, math.ceil(queries.count() / block))
     vector_blocks = max(1, math.ceil(vectors.count() / _VECTOR_BLOCK))
-    deal = F.monotonically_increasing_id()
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    deal = F.spark_partition_id() + row
     left = (
         vectors.select(id_col, vector_col)
         .withColumn("_v", (deal % vector_blocks).cast("int"))

@@ -87,7 +87,7 @@ _CHECKED = r"""
     FROM documents)"""
 _EVERY_LAYER = f"""
   WITH {_SILVER}, s AS (SELECT count(*) AS n FROM silver)
-  SELECT (SELECT count(*) FROM documents) AS bronze, n AS silver, n AS gold, 1 AS empty_runs FROM s"""
+  SELECT (SELECT count(*) FROM documents) AS bronze, n AS silver, n AS gold, 0 AS skipped, 1 AS empty_runs FROM s"""
 
 ORACLE = {
     "text_search": f"""
@@ -164,7 +164,10 @@ ORACLE = {
       SELECT doc_id, lang FROM (
         SELECT doc_id, lang, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents)
       WHERE r = 1 AND doc_id NOT IN (SELECT doc_id FROM labels)""",
-    "medallion_batch": _EVERY_LAYER,
+    "medallion_batch": f"""
+      WITH {_SILVER}, s AS (SELECT count(*) AS n FROM silver WHERE lang NOT IN ('es', 'de'))
+      SELECT (SELECT count(*) FROM documents WHERE lang <> 'es') AS bronze, n AS silver, n AS gold,
+        (SELECT 2 * count(*) FROM documents WHERE lang IN ('es', 'de')) AS skipped, 1 AS empty_runs FROM s""",
     "stream_medallion": f"""
       WITH {_SILVER}
       SELECT arxiv_id, title, length(abstract_clean) AS length, 32 AS half,
