@@ -116,6 +116,16 @@ def test_top_k_without_broadcast_is_the_same(spark, data):
     assert got == sorted(brute(matrix, ids, queries, 10))
 
 
+def test_top_k_merged_in_groups_is_the_same(spark, data, monkeypatch):
+    from vectorloom.operators import topk
+
+    matrix, ids, queries = data
+    monkeypatch.setattr(topk, "_MERGE_ROWS", 0)
+    found = top_k(frame(spark, matrix).repartition(9), as_queries(spark, queries), 10)
+    assert found._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 4
+    assert ranked(found) == sorted(brute(matrix, ids, queries, 10))
+
+
 def test_top_k_of_heads(spark, data):
     matrix, ids, queries = data
     found = top_k(frame(spark, matrix), as_queries(spark, queries), 10, dims=(16, 8, 4))

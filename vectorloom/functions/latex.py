@@ -40,7 +40,7 @@ _FIXED_SYMBOLS = {
     "vdots": "⋮", "ddots": "⋱", "sqrt": "√", "ss": "ß", "ae": "æ", "AE": "Æ", "oe": "œ",
     "OE": "Œ", "o": "ø", "O": "Ø", "l": "ł", "L": "Ł", "aa": "å", "AA": "Å", "i": "ı",
     "j": "ȷ", "S": "§", "P": "¶", "copyright": "©", "pounds": "£", "degree": "°",
-    "quad": "  ", "qquad": "    ", "LaTeX": "LaTeX", "TeX": "TeX",
+    "item": " * ", "quad": "  ", "qquad": "    ", "LaTeX": "LaTeX", "TeX": "TeX",
     "sin": "sin", "cos": "cos", "tan": "tan", "log": "log", "ln": "ln", "exp": "exp",
     "lim": "lim", "min": "min", "max": "max", "inf": "inf", "sup": "sup", "det": "det",
     "dim": "dim", "ker": "ker", "arg": "arg", "deg": "deg", "gcd": "gcd", "Pr": "Pr",

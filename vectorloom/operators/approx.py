@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from vectorloom.config import MAX_BROADCAST_QUERIES, TOP_K
 from vectorloom.operators.topk import _emit, _matrix, _output, _scan, best_of, top_k
+from vectorloom.session import scan_tasks
 
 # Vectors per cell the centres are fitted on; fitting on more hardly moves them.
 _TRAIN_PER_CELL = 256
@@ -104,12 +105,8 @@ def top_k_cells(
 
         yield from _emit(_scan(triples(), vectors, (size,), k, cells), ids, id_type, names)
 
-    found = (
-        stored.where(F.col("cell").isin(probed))
-        .select(id_col, vector_col, "cell")
-        .mapInArrow(nearest, schema)
-    )
-    return best_of(found, query_id, id_col, k)
+    rows = stored.where(F.col("cell").isin(probed)).select(id_col, vector_col, "cell")
+    return best_of(rows.mapInArrow(nearest, schema), query_id, id_col, k, scan_tasks(rows))
 
 
 def recall(approximate: DataFrame, exact: DataFrame, query_id: str, id_col: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from vectorloom.sources.lines import line_numbers
+from vectorloom.sources.lines import block_starts, line_numbers
 
 
 def write_jsonl(records: DataFrame, path: str) -> int:
@@ -21,8 +21,9 @@ def split_parts(lines: DataFrame, parts: int = 3) -> DataFrame:
 
     Fewer lines than parts: all of them are in the last part.
     """
-    numbered = line_numbers(lines)
-    total = lines.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    starts = block_starts(lines)
+    total = starts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"]
+    numbered = line_numbers(lines, starts)
     size = total // parts
     part = F.lit(parts - 1) if size == 0 else F.least(
         F.lit(parts - 1), F.floor(F.col("line_index") / F.lit(size)).cast("int")

@@ -19,10 +19,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectorloom.config import MAX_BROADCAST_QUERIES, TIE_DECIMALS, TOP_K
+from vectorloom.session import scan_tasks
 
 # Query-times-vector products held at once in a task.
 _BLOCK_PRODUCTS = 2_000_000
-# Vectors and queries per group where the queries are too many to broadcast.
+# Rows of one query that the last ranking takes without merging groups first.
+_MERGE_ROWS = 200_000
+# Vectors per group where the queries are too many to broadcast.
 _VECTOR_BLOCK = 50_000
 
 
@@ -124,12 +127,23 @@ def _output(vectors: DataFrame, queries: DataFrame, query_id: str, id_col: str)
     return f"`{query_id}` {q.simpleString()}, dim INT, `{id_col}` {v.simpleString()}, distance DOUBLE", names
 
 
-def best_of(candidates: DataFrame, query_id: str, id_col: str, k: int) -> DataFrame:
-    """Rank the candidates of all tasks; equal distances go by id."""
-    place = F.row_number().over(
-        Window.partitionBy("dim", query_id).orderBy(F.col("distance").asc(), F.col(id_col).asc())
-    )
-    return candidates.withColumn("rank", place).where(F.col("rank") <= k)
+def best_of(candidates: DataFrame, query_id: str, id_col: str, k: int, tasks: int) -> DataFrame:
+    """Rank the candidates of all tasks; equal distances go by id.
+
+    Where many tasks each hand on k rows for a query, they are merged in groups
+    first, so the last step sees at most k rows of each group.
+    """
+    order = [F.col("distance").asc(), F.col(id_col).asc()]
+
+    def nearest(rows: DataFrame, *keys: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return rows.withColumn("rank", place).where(F.col("rank") <= k)
+
+    if tasks * k > _MERGE_ROWS:
+        groups = max(2, math.isqrt(tasks))
+        grouped = candidates.withColumn("_group", F.spark_partition_id() % groups)
+        candidates = nearest(grouped, "_group", "dim", query_id).drop("_group", "rank")
+    return nearest(candidates, "dim", query_id)
 
 
 def top_k(
@@ -155,7 +169,7 @@ def top_k(
         return _top_k_blocks(vectors, wanted, k, id_col, vector_col, query_id, query_vector, dims, max_broadcast)
     schema, names = _output(vectors, queries, query_id, id_col)
     if head.num_rows == 0:
-        return best_of(vectors.sparkSession.createDataFrame([], schema), query_id, id_col, k)
+        return best_of(vectors.sparkSession.createDataFrame([], schema), query_id, id_col, k, 1)
     query_vectors = head.column(1).combine_chunks()
     size = len(query_vectors[0])
     shared = vectors.sparkSession.sparkContext.broadcast(
@@ -176,8 +190,8 @@ def top_k(
         best = _scan(pairs(), matrix, sizes, k)
         yield from _emit(best, ids, id_type, names)
 
-    found = vectors.select(id_col, vector_col).mapInArrow(nearest, schema)
-    return best_of(found, query_id, id_col, k)
+    rows = vectors.select(id_col, vector_col)
+    return best_of(rows.mapInArrow(nearest, schema), query_id, id_col, k, scan_tasks(rows))
 
 
 def _top_k_blocks(
@@ -227,4 +241,4 @@ def _top_k_blocks(
         return pa.Table.from_batches(batches, out_schema)
 
     found = left.groupBy("_q", "_v").cogroup(right.groupBy("_q", "_v")).applyInArrow(nearest, schema)
-    return best_of(found, query_id, id_col, k)
+    return best_of(found, query_id, id_col, k, vector_blocks)

@@ -58,6 +58,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
+def scan_tasks(df: DataFrame) -> int:
+    """Number of tasks to expect, from the size the optimizer assumes for a frame."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
+    return max(1, size // (int(split) if split.isdigit() else 128 << 20))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 

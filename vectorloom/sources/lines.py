@@ -106,28 +106,30 @@ def batch_lines(batch: DataFrame) -> DataFrame:
     return with_sequence(batch, batch.select("source_path", "file_size").distinct())
 
 
-def line_numbers(lines: DataFrame) -> DataFrame:
-    """Add ``line_index``, the zero-based number of a line over all files in path order.
+def block_starts(lines: DataFrame) -> DataFrame:
+    """Rows of each file block and what to add to a row id to get its line number.
 
-    One counting pass gives the rows of each file block, the running sum over
-    blocks gives its first number. The sums are written to the shared folder:
-    Spark then knows their size and broadcasts them when they are small, so the
-    lines themselves are not shuffled.
+    One counting pass, then a running sum over the blocks, of which there are
+    as many as input splits. The result is written to the shared folder: Spark
+    then knows its size and broadcasts it when it is small.
     """
     # The scan gives blocks in any order, but rows of one block follow each other.
-    marked = lines.withColumn("_row", F.monotonically_increasing_id())
-    blocks = marked.groupBy("source_path", "block_start").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("_row").alias("first_row")
+    blocks = (
+        lines.withColumn("_row", F.monotonically_increasing_id())
+        .groupBy("source_path", "block_start")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("_row").alias("first_row"))
     )
     before = Window.orderBy("source_path", "block_start").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        "source_path",
-        "block_start",
-        "rows",
-        (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first_row")).alias("shift"),
-    )
+    shift = F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first_row")
+    return stored(blocks.select("source_path", "block_start", "rows", shift.alias("shift")), "blocks")
+
+
+def line_numbers(lines: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """Add ``line_index``, the zero-based number of a line over all files in path order."""
+    shifts = (starts or block_starts(lines)).select("source_path", "block_start", "shift")
     return (
-        marked.join(stored(starts, "blocks").drop("rows"), ["source_path", "block_start"])
+        lines.withColumn("_row", F.monotonically_increasing_id())
+        .join(shifts, ["source_path", "block_start"])
         .withColumn("line_index", F.col("shift") + F.col("_row"))
         .drop("_row", "shift")
     )
