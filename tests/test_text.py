@@ -45,6 +45,16 @@ def test_clean(spark, raw, expected):
     assert run(spark, text.clean_title, raw) == expected
 
 
+def test_every_space_character(spark):
+    """Each code point of the basic plane is white space here exactly when it is in Python."""
+    points = [i for i in range(0x10000) if not 0xD800 <= i < 0xE000]
+    df = spark.createDataFrame([(i, chr(i)) for i in points], "i int, c string")
+    space = df.select("i", F.rlike("c", F.lit(f"^{text.SPACE}$")).alias("s"), text.collapse_space(F.concat(F.lit("a"), "c", F.lit("b"))).alias("t"))
+    for row in space.collect():
+        assert row.s == chr(row.i).isspace()
+        assert row.t == (f"a{chr(row.i)}b" if not row.s else "a b")
+
+
 def test_clean_keeps_words(spark):
     out = run(spark, text.clean_abstract, "$\\\\alpha$ decay")
     assert "alpha" in out and "decay" in out

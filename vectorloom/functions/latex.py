@@ -141,7 +141,8 @@ def _accents(text: Column) -> Column:
 
 def _plain(text: Column) -> Column:
     """Characters that mean something without a backslash."""
-    text = F.translate(text, "~&${}", "  ")
+    # Two patterns are several times faster than translate(), which looks up every character.
+    text = F.regexp_replace(F.regexp_replace(text, "[${}]", ""), "[~&]", " ")
     for source, target in (("---", "—"), ("--", "–"), ("``", "“"), ("''", "”"), ("!`", "¡"), ("?`", "¿")):
         text = F.replace(text, F.lit(source), F.lit(target))
     return text
@@ -184,6 +185,10 @@ def latex_to_text(text: Column) -> Column:
     full = F.regexp_replace(full, r"(\\[A-Za-z]+)\*", "$1")
     symbols, accented = map(F.expr, _lookups())
     pieces = F.transform(F.split(full, r"(?=\\)"), lambda p: _piece(p, symbols, accented))
-    full = F.translate(_plain(F.array_join(pieces, "")), _WAITING, _ESCAPED)
+    restored = F.transform(
+        F.array(_plain(F.array_join(pieces, ""))),
+        lambda x: F.when(F.rlike(x, F.lit(f"[{_WAITING}]")), F.translate(x, _WAITING, _ESCAPED)).otherwise(x),
+    )
+    full = F.get(restored, F.lit(0))
     short = _plain(F.regexp_replace(text, r"%[^\n]*", ""))
     return F.when(F.contains(text, F.lit("\\")), full).otherwise(short)

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from vectorloom.config import ABS_URL, PDF_URL
 from vectorloom.functions.latex import latex_to_text
 
-# Fixed value: the characters Unicode-aware whitespace matching covers, without
-# the plain space. Java's own classes leave some of them out.
-_OTHER_SPACE = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACE = f"[ {_OTHER_SPACE}]"
+# Fixed value: the characters Unicode-aware whitespace matching covers; Java's
+# own classes leave some of them out. Latin ones stand one by one and the others
+# inside one range, which lets a letter fail after two comparisons.
+SPACE = (
+    r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0"
+    r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]"
+)
 # The same characters one by one.
 _SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
@@ -30,7 +33,7 @@ def collapse_space(text: Column) -> Column:
 
     A single plain space is not matched, so ordinary text is hardly touched.
     """
-    return F.trim(F.regexp_replace(text, f"[{_OTHER_SPACE}]{SPACE}*| {SPACE}+", " "))
+    return F.trim(F.regexp_replace(text, f"{SPACE}(?:{SPACE}+|(?<! ))", " "))
 
 
 def clean_text(text: Column) -> Column:
