@@ -166,6 +166,16 @@ def test_create_is_repeatable_and_reset_empties(spark, lake, tmp_path):
     assert lake.get_state("k") == "v"
 
 
+def test_rows_outlive_the_catalog(spark, lake, tmp_path):
+    loads.load_files(lake, write(tmp_path / "a.jsonl", PAPERS), ENCODER, "m")
+    for database in lake._databases():
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    again = Lake(spark, lake.root, lake.prefix, DIMS).create()
+    assert [again.read(n).count() for n in ("bronze", "silver", "gold", "runs")] == [2, 2, 2, 1]
+    counts = loads.run_stages(again, read_jsonl(spark, str(tmp_path / "a.jsonl")), ENCODER, "m", small=True)
+    assert (counts.bronze, counts.silver, counts.gold) == (0, 0, 0)
+
+
 def test_state_last_write_wins(lake):
     assert lake.get_state("k") is None and lake.get_state("k", "d") == "d"
     for value in ("a", "b", "c"):

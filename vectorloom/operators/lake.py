@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vectorloom import schemas
 from vectorloom.config import DIMS, STATE_KEY
 from vectorloom.operators.tables import absent_from, first_wins, latest_by_key, seed_row
+from vectorloom.session import delete_folder, path_exists
 
 
 class Lake:
@@ -42,7 +43,11 @@ class Lake:
         return [self.prefix + d for d in ("bronze", "silver", "gold", "streaming")]
 
     def create(self) -> Lake:
-        """Create what is missing; existing tables stay as they are."""
+        """Create what is missing; existing tables and files stay as they are.
+
+        The tables lie in folders below the root, so a later session finds the
+        rows again even where its catalog was only in memory.
+        """
         columns = {
             "bronze": schemas.BRONZE,
             "silver": schemas.SILVER,
@@ -53,21 +58,30 @@ class Lake:
         }
         for database in self._databases():
             self.spark.sql(
-                f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/{database}'"
+                f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/_databases/{database}'"
             )
         for layer, ddl in columns.items():
             layout = f" PARTITIONED BY ({self._DAY[layer]})" if layer in self._DAY else ""
             if self.buckets and layer in self.KEYS:
                 layout += f" CLUSTERED BY (arxiv_id) INTO {self.buckets} BUCKETS"
+            if self.spark.catalog.tableExists(self.name(layer)):
+                continue
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(layer)} ({ddl}) USING parquet{layout}"
+                f"CREATE TABLE {self.name(layer)} ({ddl}) USING parquet{layout} "
+                f"LOCATION '{self._folder(layer)}'"
             )
+            if layer in self._DAY and path_exists(self.spark, self._folder(layer)):
+                self.spark.catalog.recoverPartitions(self.name(layer))
         return self
 
+    def _folder(self, layer: str) -> str:
+        return f"{self.root}/{self.name(layer).replace('.', '/')}"
+
     def reset(self) -> Lake:
         """Drop the three layers with everything in them and create them again."""
-        for database in self._databases()[:3]:
-            self.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+        for layer in self.KEYS:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer)}")
+            delete_folder(self.spark, self._folder(layer))
         return self.create()
 
     def on(self, spark: SparkSession) -> Lake:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectorloom.config import MAX_BROADCAST_KEYS
+from vectorloom.session import delete_folder, folder_names
 
 
 def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -86,15 +87,9 @@ def full_refresh(df: DataFrame, path: str, snapshot: str) -> str:
 
 def drop_expired(spark, path: str, keep: int = 3) -> list[str]:
     """Delete snapshot folders beyond the retention; returns their dates."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    names = sorted(
-        s.getPath().getName().split("=", 1)[1]
-        for s in fs.listStatus(root)
-        if s.getPath().getName().startswith("snapshot=")
-    )
+    snapshots = [n for n in folder_names(spark, path) if n.startswith("snapshot=")]
+    names = sorted(n.split("=", 1)[1] for n in snapshots)
     expired = names[: max(0, len(names) - keep - 1)]
     for name in expired:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/snapshot={name}"), True)
+        delete_folder(spark, f"{path.rstrip('/')}/snapshot={name}")
     return expired

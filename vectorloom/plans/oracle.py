@@ -182,6 +182,12 @@ ORACLE = {
         length(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS length,
         source AS authors, lang || ';' || source AS categories,
         strftime(TIMESTAMP '2020-01-01' + to_hours(doc_id), '%Y-%m-%d %H:%M') AS published FROM documents""",
+    "feed_stream": f"""
+      WITH {_SILVER}, s AS (SELECT count(*)::VARCHAR AS n FROM silver)
+      SELECT 'bronze' AS layer, count(*)::VARCHAR AS found FROM documents
+      UNION ALL SELECT 'silver', n FROM s UNION ALL SELECT 'gold', n FROM s
+      UNION ALL SELECT 'checkpoint', strftime(
+        TIMESTAMP '2020-01-01' + to_hours(max(doc_id)) + INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S') FROM documents""",
     "rss_feed": r"""
       SELECT page_id::VARCHAR AS page_id, url AS title,
         length(regexp_replace(regexp_replace(html, '^\s+|\s+$', '', 'g'), '<[^>]+>', '', 'g')) AS length,

@@ -26,7 +26,7 @@ from vectorloom.session import new_folder, spread, stored
 from vectorloom.sources.feeds import atom_records, fetch, rss_records, scan_atom, scan_rss
 from vectorloom.sources.lines import head_lines, read_jsonl, scan_lines, stream_lines
 from vectorloom.sources.notifications import arrival_messages
-from vectorloom.streaming.medallion import load_notified, load_stream
+from vectorloom.streaming.medallion import load_feed, load_notified, load_stream
 
 # Size of the vectors in the given ``embeddings`` table, and of those made here.
 DIM = 64
@@ -393,12 +393,11 @@ def notified_load(spark, folder):
     return listing.key_counts("arxiv_id", **{n: lake.read(n) for n in ("bronze", "silver", "gold")})
 
 
-def atom_feed(spark, folder):
-    """Documents as Atom files, read back as records."""
+def _atom_files(spark: SparkSession, folder: str) -> str:
+    """Documents as Atom feed files."""
     path = new_folder(spark, "atom")
-    rows = papers(spark, folder)
     term = F.transform("categories", lambda c: F.struct(c.alias("_term"), F.lit("").alias("_VALUE")))
-    entries = rows.select(
+    entries = papers(spark, folder).select(
         F.concat(F.lit("http://arxiv.org/abs/"), "id").alias("id"),
         F.concat(F.lit("\n  "), "title", F.lit("\n")).alias("title"),
         F.col("abstract").alias("summary"),
@@ -407,7 +406,12 @@ def atom_feed(spark, folder):
         term.alias("category"),
     )
     entries.write.format("xml").option("rootTag", "feed").option("rowTag", "entry").save(path)
-    records = atom_records(scan_atom(spark, path))
+    return path
+
+
+def atom_feed(spark, folder):
+    """Atom files read as records."""
+    records = atom_records(scan_atom(spark, _atom_files(spark, folder)))
     return records.select(
         "id",
         "title",
@@ -418,6 +422,23 @@ def atom_feed(spark, folder):
     )
 
 
+def feed_stream(spark, folder):
+    """Atom files as a stream: rows of the layers and the event-time checkpoint."""
+    lake = _new_lake(spark)
+    lake.set_state("atom", f"{EPOCH}T00:00:00Z")
+    entries = scan_atom(spark, _atom_files(spark, folder), stream=True)
+    load_feed(
+        lake, entries, atom_records, hashing_encoder(DIM), new_folder(spark, "progress"),
+        state_key="atom", once=True, model_name=MODEL,
+    ).awaitTermination()
+    rows = listing.layer_counts(**{n: lake.read(n) for n in ("bronze", "silver", "gold")})
+    stamp = F.date_format(fields.iso_timestamp(F.col("value")), "yyyy-MM-dd HH:mm:ss")
+    state = lake.state().where(F.col("key") == "atom").select(
+        F.lit("checkpoint").alias("layer"), stamp.alias("found")
+    )
+    return rows.select("layer", F.col("count").cast("string").alias("found")).unionByName(state)
+
+
 def rss_feed(spark, folder):
     """Web pages as RSS items, read back as records without tags."""
     path = new_folder(spark, "rss")
@@ -695,7 +716,7 @@ QUERIES = {
         text_search, text_search_filtered, vector_topk_multi, vector_topk_single, vector_topk_approx,
         vector_topk_all_cells, vector_distance, vector_text, matryoshka_dims, hash_encoder,
         retrieval_metrics, recent_papers, bronze_ingest, reject_report, silver_clean, insert_if_absent,
-        medallion_batch, stream_medallion, stream_replay, notified_load, atom_feed, rss_feed,
+        medallion_batch, stream_medallion, stream_replay, notified_load, atom_feed, feed_stream, rss_feed,
         unprocessed_antijoin, work_list_page, missing_ids, keys_in_list, reembed_pending, layer_counts,
         key_uniqueness, peek_layers, previews_and_links, strip_html, url_extract, json_props,
         category_dispatch, name_lists, tag_filter, date_range_filter, sorted_fetch, page_newest,

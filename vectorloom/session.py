@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,20 +26,22 @@ def build_session(app: str = "vectorloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir(app_id: str) -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -74,3 +77,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system its path names."""
+    place, files = _place(spark, path)
+    return files.exists(place)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    place, files = _place(spark, path)
+    files.delete(place, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder."""
+    place, files = _place(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(place)]

@@ -7,6 +7,8 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vectorloom.session import path_exists
+
 log = logging.getLogger(__name__)
 _MESSAGE = "filepath STRING, filename STRING"
 
@@ -43,11 +45,9 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     The paths of one micro-batch pass through the driver, which needs them to
     plan the scan; the file contents do not.
     """
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     found = []
     for path in paths:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        if place.getFileSystem(conf).exists(place):
+        if path_exists(spark, path):
             found.append(path)
         else:
             log.error("file not found: %s", path)
