@@ -132,6 +132,32 @@ def test_failed_run_is_finished_by_the_next(spark, lake, tmp_path):
     assert (counts.bronze, counts.silver, counts.gold) == (1, 0, 1)
 
 
+def test_micro_batches_prune_older_days(spark, lake, tmp_path):
+    long_ago = datetime(2020, 1, 1, tzinfo=timezone.utc)
+    loads.load_bronze(lake, read_jsonl(spark, write(tmp_path / "a.jsonl", [PAPERS[0]])), long_ago)
+    loads.load_silver(lake, long_ago)
+    now = datetime.now(timezone.utc)
+    loads.load_bronze(lake, read_jsonl(spark, write(tmp_path / "b.jsonl", [PAPERS[1]])), now)
+    pending = loads._pending(lake.read("bronze"), "ingested", lake.read("silver"), "processed", now - timedelta(hours=1))
+    plan = pending._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingested_on" in plan and "PartitionFilters: [isnotnull(processed_on" in plan
+    assert [r.arxiv_id for r in pending.collect()] == ["2301.00002"]
+
+
+def test_shared_folder():
+    from types import SimpleNamespace as N
+
+    from vectorloom.session import shared_dir
+
+    def session(master, setting=None):
+        return N(conf=N(get=lambda key, default: setting or default), sparkContext=N(master=master, applicationId="a1"))
+
+    assert shared_dir(session("yarn", "hdfs:///x/")) == "hdfs:///x"
+    assert shared_dir(session("local[2]")) == shared_dir(session("local[2]")) != ""
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"))
+
+
 def test_new_model_embeds_all_again(spark, lake, tmp_path):
     loads.load_files(lake, write(tmp_path / "a.jsonl", PAPERS), ENCODER, "m")
     assert loads.replace_model(lake, ENCODER, "m2") == 2

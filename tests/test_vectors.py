@@ -188,6 +188,12 @@ def test_search_joins_only_known_papers(spark):
     rows = search(gold, silver, queries, k=2).orderBy("rank").collect()
     assert [(r["rank"], r.arxiv_id, r.score) for r in rows] == [(1, "b", 0.9939), (2, "c", 0.0)]
     assert rows[0].pdf_url == "https://arxiv.org/pdf/b"
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = search(gold, silver, queries, k=2, gold_within_silver=True)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, "texts must not be shuffled"
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     kept = search(gold, silver, queries, k=2, where=search_filter(["cs.AI"], None)).collect()
     assert [r.arxiv_id for r in kept] == ["c"]
     kept = search(gold, silver, queries, k=2, where=search_filter(since="2023-01-01")).collect()

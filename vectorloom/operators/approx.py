@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectorloom.config import MAX_BROADCAST_QUERIES, TOP_K
+from vectorloom.config import MAX_BROADCAST_KEYS, MAX_BROADCAST_QUERIES, TOP_K
 from vectorloom.operators.topk import _emit, _matrix, _output, _scan, best_of, top_k
 from vectorloom.session import scan_tasks
 
@@ -106,7 +106,8 @@ def top_k_cells(
         yield from _emit(_scan(triples(), vectors, (size,), k, cells), ids, id_type, names)
 
     rows = stored.where(F.col("cell").isin(probed)).select(id_col, vector_col, "cell")
-    return best_of(rows.mapInArrow(nearest, schema), query_id, id_col, k, scan_tasks(rows))
+    ranked = best_of(rows.mapInArrow(nearest, schema), query_id, id_col, k, scan_tasks(rows))
+    return F.broadcast(ranked) if head.num_rows * k <= MAX_BROADCAST_KEYS else ranked
 
 
 def recall(approximate: DataFrame, exact: DataFrame, query_id: str, id_col: str) -> DataFrame:

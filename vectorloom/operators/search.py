@@ -73,7 +73,6 @@ def search(
         vectors = vectors.join(silver.select("arxiv_id"), "arxiv_id", "left_semi")
     ranked = top_k(vectors, queries, k, vector_col=f"embedding_{dim}", query_id=query_id)
     papers = silver.select("arxiv_id", "title", "authors", "categories", "abstract_clean")
-    # k rows per query: small, but their number follows the queries, so no forced broadcast.
     return ranked.join(papers, "arxiv_id").select(
         query_id,
         "rank",

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vectorloom.config import MAX_BROADCAST_QUERIES, TIE_DECIMALS, TOP_K
+from vectorloom.config import MAX_BROADCAST_KEYS, MAX_BROADCAST_QUERIES, TIE_DECIMALS, TOP_K
 from vectorloom.session import scan_tasks
 
 # Query-times-vector products held at once in a task.
@@ -161,7 +161,9 @@ def top_k(
 
     ``dims`` are the head lengths to answer for; the default is the full vector.
     Vectors of length zero have no direction and are never returned. The query
-    set is counted first; beyond ``max_broadcast`` it stays distributed.
+    set is counted first; beyond ``max_broadcast`` it stays distributed. A result
+    of a bounded size carries a broadcast hint, so a later join with a large
+    table scans that table and does not shuffle it.
     """
     wanted = queries.select(query_id, query_vector).where(F.col(query_vector).isNotNull())
     head = wanted.limit(max_broadcast + 1).toArrow()
@@ -191,7 +193,9 @@ def top_k(
         yield from _emit(best, ids, id_type, names)
 
     rows = vectors.select(id_col, vector_col)
-    return best_of(rows.mapInArrow(nearest, schema), query_id, id_col, k, scan_tasks(rows))
+    ranked = best_of(rows.mapInArrow(nearest, schema), query_id, id_col, k, scan_tasks(rows))
+    # The queries were counted, so the size of the result is known as well.
+    return F.broadcast(ranked) if head.num_rows * k * len(sizes) <= MAX_BROADCAST_KEYS else ranked
 
 
 def _top_k_blocks(

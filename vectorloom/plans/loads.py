@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -50,14 +50,14 @@ def load_bronze(lake: Lake, lines: DataFrame, now: datetime, small: bool = False
     return added, int(seen.get["rows"])
 
 
-def load_silver(lake: Lake, now: datetime, since: datetime | None = None, small: bool = False) -> tuple[int, int]:
+def load_silver(lake: Lake, now: datetime, since: datetime | None = None) -> tuple[int, int]:
     """Bronze rows not in silver yet, all of them in one pass.
 
-    ``since`` limits the read to bronze rows loaded from then on, which day
-    partitions and file statistics prune; without it the whole backlog is read.
+    ``since`` limits the work to bronze rows loaded from then on; without it the
+    whole backlog is compared.
     """
     seen = Observation()
-    pending = absent_from(_since(lake.read("bronze"), "ingested", since), lake.read("silver"), ["arxiv_id"])
+    pending = _pending(lake.read("bronze"), "ingested", lake.read("silver"), "processed", since)
     rows = _skipped(clean_rows(pending, _at(now)), seen).drop("reason")
     added = lake.append("silver", rows)
     return added, int(seen.get["rows"])
@@ -72,16 +72,26 @@ def load_gold(
 ) -> int:
     """Silver rows that have no vector of this model yet."""
     done = lake.read("gold").where(F.col("model_name") == model_name)
-    pending = absent_from(_since(lake.read("silver"), "processed", since), done, ["arxiv_id"])
+    pending = _pending(lake.read("silver"), "processed", done, "embedded", since)
     return lake.append("gold", gold_rows(pending, factory, _at(now), lake.dims, model_name))
 
 
-def _since(df: DataFrame, verb: str, since: datetime | None) -> DataFrame:
+def _pending(
+    rows: DataFrame, verb: str, done: DataFrame, done_verb: str, since: datetime | None
+) -> DataFrame:
+    """Rows of one layer that the next does not have.
+
+    A row loaded since some time was processed after it, so the other side is
+    cut to the same days (and one before, for a clock set back). Both cuts prune
+    day partitions: a micro-batch does not touch older data.
+    """
     if since is None:
-        return df
-    return df.where(
+        return absent_from(rows, done, ["arxiv_id"])
+    recent = rows.where(
         (F.col(f"{verb}_on") >= F.lit(since.date())) & (F.col(f"{verb}_at") >= _at(since))
     )
+    days = F.col(f"{done_verb}_on") >= F.lit(since.date() - timedelta(days=1))
+    return absent_from(recent, done.where(days), ["arxiv_id"], recent.count())
 
 
 def last_success(lake: Lake) -> datetime | None:
@@ -126,7 +136,7 @@ def run_stages(
     counts = Counts()
     try:
         counts.bronze, bad_lines = load_bronze(lake, lines, started, small)
-        counts.silver, bad_texts = load_silver(lake, started, since, small)
+        counts.silver, bad_texts = load_silver(lake, started, since)
         counts.gold = load_gold(lake, factory, started, since, model_name)
         counts.skipped = bad_lines + bad_texts
     except Exception:
