@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "vectorloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs rely on; the cluster's own win."""
+    """A session with the settings the jobs rely on; arguments come on top."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -23,7 +25,27 @@ def build_session(app: str = "vectorloom", master: str | None = None, **conf: st
     }
     for key, value in {**defaults, **{k: str(v) for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, once per application.
+
+    The encoder and the nearest-neighbour kernel run in Python workers, which
+    import it. Not needed where it is installed or given by ``--py-files``.
+    """
+    app_id = spark.sparkContext.applicationId
+    package = Path(__file__).resolve().parent
+    if app_id not in _shipped and package.is_dir():
+        target = f"{tempfile.mkdtemp(prefix='run-', dir='/tmp')}/{package.name}"
+        spark.sparkContext.addPyFile(
+            shutil.make_archive(target, "zip", root_dir=package.parent, base_dir=package.name)
+        )
+        _shipped.add(app_id)
+    return spark
 
 
 @cache
