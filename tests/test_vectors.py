@@ -178,6 +178,18 @@ def test_cells(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [(cell" in plan
 
 
+def test_cells_find_most_neighbours_of_unclustered_vectors(spark, sf_dir, tmp_path):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    queries = rows.where("vec_id < 50").selectExpr("vec_id AS query_id", "embedding AS query_vector")
+    path = str(tmp_path / "cells")
+    fitted = build_cells(rows, path, id_col="vec_id", vector_col="embedding")
+    assert len(fitted) == int(rows.count() ** 0.5)
+    assert spark.read.parquet(path).count() == rows.count(), "every vector is stored"
+    exact = top_k(rows, queries, 10, "vec_id", "embedding")
+    near = top_k_cells(spark, path, fitted, queries, 10, len(fitted) * 2 // 3, "vec_id", "embedding")
+    assert recall(near, exact, "query_id", "vec_id").first().recall > 0.8
+
+
 def test_search_joins_only_known_papers(spark):
     gold = frame(spark, [[1.0, 0.0], [0.9, 0.1], [0.0, 1.0]], ["a", "b", "c"]).withColumn("model_name", F.lit("m"))
     silver = spark.createDataFrame(

@@ -8,6 +8,7 @@ gives the exact answer.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,23 +24,27 @@ from vectorloom.session import scan_tasks
 
 # Vectors per cell the centres are fitted on; fitting on more hardly moves them.
 _TRAIN_PER_CELL = 256
+# The centres are sent to every task.
+_MAX_CELLS = 16_384
 
 
 def build_cells(
     vectors: DataFrame,
     path: str,
-    cells: int,
+    cells: int | None = None,
     id_col: str = "arxiv_id",
     vector_col: str = "embedding_384",
     seed: int = 7,
 ) -> np.ndarray:
     """Write the vectors partitioned by cell under ``path``; returns the centres.
 
-    Every vector is stored; only the fitting of the centres may use a share of
+    The number of cells follows the square root of the table unless given, so
+    cells and the list of centres grow alike. Every vector is stored; only the fitting of the centres may use a share of
     them. Rebalancing splits a cell that holds a large part of the rows.
     """
     rows = vectors.select(id_col, vector_col).where(F.col(vector_col).isNotNull())
     total = rows.count()
+    cells = cells or min(_MAX_CELLS, max(2, math.isqrt(total)))
     points = rows.withColumn("features", array_to_vector(F.col(vector_col).cast("array<double>")))
     # Cosine k-means rejects vectors of length zero, which no search returns either.
     nonzero = points.where(F.exists(F.col(vector_col), lambda x: x != 0))
@@ -63,7 +68,7 @@ def top_k_cells(
     centres: np.ndarray,
     queries: DataFrame,
     k: int = TOP_K,
-    probes: int = 4,
+    probes: int | None = None,
     id_col: str = "arxiv_id",
     vector_col: str = "embedding_384",
     query_id: str = "query_id",
@@ -72,6 +77,9 @@ def top_k_cells(
 ) -> DataFrame:
     """Nearest vectors of each query among its ``probes`` nearest cells.
 
+    By default a quarter of the cells. How many are needed for a recall depends
+    on how clustered the vectors are: measure it with ``recall``.
+
     More queries than may be broadcast would probe nearly every cell between
     them; they get the exact search over all cells instead.
     """
@@ -86,6 +94,7 @@ def top_k_cells(
     matrix = _matrix(head.column(1).combine_chunks(), size)
     lengths = np.maximum(np.linalg.norm(matrix, axis=1), 1e-300)[:, None]
     nearness = (matrix / lengths) @ (centres / np.linalg.norm(centres, axis=1, keepdims=True)).T
+    probes = probes or max(1, len(centres) // 4)
     allowed = np.zeros(nearness.shape, dtype=bool)
     chosen = np.argsort(-nearness, axis=1, kind="stable")[:, :probes]
     np.put_along_axis(allowed, chosen, True, axis=1)
