@@ -9,7 +9,7 @@ from vectorloom.functions.encoders import hashing_encoder
 from vectorloom.operators.lake import Lake
 from vectorloom.plans.loads import load_files
 from vectorloom.sources.feeds import atom_records, rss_records, scan_atom, scan_rss
-from vectorloom.sources.lines import stream_lines
+from vectorloom.sources.lines import scan_lines, stream_lines
 from vectorloom.sources.notifications import arrival_messages, parse_messages
 from vectorloom.streaming.medallion import load_feed, load_notified, load_stream
 
@@ -122,15 +122,15 @@ def test_moved_in_and_archived_files(spark, new_lake, tmp_path):
 def test_notifications(spark, new_lake, tmp_path):
     folder, inbox = tmp_path / "in", tmp_path / "inbox"
     drop(folder, "a.jsonl", [paper(1)])
-    drop(folder, "b.jsonl", [paper(2), paper(1)])
-    lines = spark.read.text(str(folder)).selectExpr("_metadata.file_path AS source_path", "_metadata.file_name AS source_file")
+    drop(folder, "b c%20d+e.jsonl", [paper(2), paper(1)])
+    lines = scan_lines(spark, str(folder))
     messages = [r.value for r in arrival_messages(lines).collect()]
     assert len(messages) == 2
     inbox.mkdir()
     missing = json.dumps({"filepath": str(folder / "gone.jsonl"), "filename": "gone.jsonl"})
     (inbox / "m1").write_text("\n".join([*messages, missing, "junk"]) + "\n")
     parsed = parse_messages(spark.read.text(str(inbox)))
-    assert {r.filename for r in parsed.collect()} == {"a.jsonl", "b.jsonl", "gone.jsonl"}
+    assert {r.filename for r in parsed.collect()} == {"a.jsonl", "b c%20d+e.jsonl", "gone.jsonl"}
     lake = new_lake()
     stream = spark.readStream.text(str(inbox))
     load_notified(lake, stream, ENCODER, str(tmp_path / "cp"), once=True, model_name="m").awaitTermination()

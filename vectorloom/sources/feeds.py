@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vectorloom.config import FEED_CAP, FETCH_CAP, FETCH_PAGE
 from vectorloom.functions.fields import submitted_between
 from vectorloom.functions.text import comma_list, id_from_url, strip, strip_html
-from vectorloom.sources.lines import with_position
+from vectorloom.sources.lines import FILE_COLUMNS, with_position
 
 # Elements are matched without their namespace prefix.
 _ATOM = (
@@ -16,12 +16,6 @@ _ATOM = (
     "author ARRAY<STRUCT<name: STRING>>, category ARRAY<STRUCT<_term: STRING>>"
 )
 _RSS = "title STRING, link STRING, description STRING, creator STRING"
-_PLACE = (
-    "_metadata.file_path AS source_path",
-    "_metadata.file_name AS source_file",
-    "_metadata.file_size AS file_size",
-    "_metadata.file_block_start AS block_start",
-)
 _PLACE_COLUMNS = ("source_path", "source_file", "file_size", "source_pos")
 
 
@@ -37,13 +31,13 @@ def _xml(reader, row_tag: str, schema: str):
 
 def scan_atom(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     reader = _xml(spark.readStream if stream else spark.read, "entry", _ATOM)
-    return reader.load(path).selectExpr("*", *_PLACE)
+    return reader.load(path).selectExpr("*", *FILE_COLUMNS)
 
 
 def scan_rss(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """Items of both dialects: RSS 1.0 with a namespaced root, and plain items."""
     reader = _xml(spark.readStream if stream else spark.read, "item", _RSS)
-    return reader.load(path).selectExpr("*", *_PLACE)
+    return reader.load(path).selectExpr("*", *FILE_COLUMNS)
 
 
 def _or_empty(text: Column) -> Column:

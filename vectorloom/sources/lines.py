@@ -10,9 +10,11 @@ from vectorloom.session import stored
 
 # monotonically_increasing_id() keeps the row number inside a task in its low 33 bits.
 _ROW_BITS = (1 << 33) - 1
-_FILE_COLUMNS = (
+# Spark gives paths percent-encoded; the path stays so as a key, the name is shown as it
+# is. A plus sign is not an encoded space here.
+FILE_COLUMNS = (
     "_metadata.file_path AS source_path",
-    "_metadata.file_name AS source_file",
+    "url_decode(replace(_metadata.file_name, '+', '%2B')) AS source_file",
     "_metadata.file_size AS file_size",
     "_metadata.file_block_start AS block_start",
 )
@@ -21,7 +23,7 @@ _FILE_COLUMNS = (
 def scan_lines(spark: SparkSession, path: str | list[str], suffix: str | None = None) -> DataFrame:
     """Text lines with the file and block they come from."""
     reader = spark.read.option("pathGlobFilter", f"*{suffix}") if suffix else spark.read
-    return reader.text(path).selectExpr("value", *_FILE_COLUMNS)
+    return reader.text(path).selectExpr("value", *FILE_COLUMNS)
 
 
 def stream_lines(
@@ -52,7 +54,7 @@ def stream_lines(
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.load(folder).selectExpr("value", *_FILE_COLUMNS)
+    return reader.load(folder).selectExpr("value", *FILE_COLUMNS)
 
 
 def with_position(lines: DataFrame) -> DataFrame:

@@ -34,8 +34,12 @@ def parse_messages(messages: DataFrame, value: Column | str = "value") -> DataFr
 
 
 def arrival_messages(lines: DataFrame) -> DataFrame:
-    """Messages for the files of a scan or stream: one per file name."""
-    body = F.to_json(F.struct(F.col("source_path").alias("filepath"), F.col("source_file").alias("filename")))
+    """Messages for the files of a scan or stream: one per file name.
+
+    Spark gives the path percent-encoded; a message carries it as it is.
+    """
+    path = F.url_decode(F.replace("source_path", F.lit("+"), F.lit("%2B")))
+    body = F.to_json(F.struct(path.alias("filepath"), F.col("source_file").alias("filename")))
     return lines.select(body.alias("value")).distinct()
 
 
