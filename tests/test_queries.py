@@ -3,6 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from vectorloom.plans.queries import QUERIES
 from compare import connect, differences
 
 
@@ -11,7 +12,7 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, duck, name):
     df = queries()[name](spark, sf_dir)
     sql = oracle_sql().get(name)
