@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vectorloom.llm.ngram_join import ngram_classes
 from vectorloom.llm.substring_dedup import dedup_passages
 
 
@@ -11,10 +12,41 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_classes(_table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_passages(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_substring_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op7_substring_dedup,)}
+
+
+def _words(column: str) -> str:
+    """Plain words in DuckDB: A-Z lowered, cut at ASCII characters that are neither letters nor digits."""
+    lower = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+_SHINGLES = """
+    w AS (SELECT doc_id, {words} AS w FROM documents),
+    sh AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN list_aggregate(w, 'string_agg', ' ')
+           ELSE list_aggregate(w[i:i + 4], 'string_agg', ' ') END AS s
+           FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0))
+""".format(words=_words("text"))
+
+#: Pairs by shared shingles, then classes by walking the links.
+_NGRAM = f"""
+WITH RECURSIVE {_SHINGLES},
+    n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    both AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (SELECT x, y FROM both JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+              WHERE c >= 0.8 * (nx.n + ny.n - c) - 1e-6),
+    walk AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT walk.x, links.y FROM walk JOIN links ON links.x = walk.y)
+SELECT d.doc_id, (SELECT min(y) FROM walk WHERE walk.x = d.doc_id) AS class_id,
+       (SELECT count(*) FROM links WHERE links.x = d.doc_id) AS n_links
+FROM documents d
+"""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_ngram_jaccard": _NGRAM}
