@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vectorloom.llm.decontaminate import find_leaks
 from vectorloom.llm.ngram_join import ngram_classes
 from vectorloom.llm.substring_dedup import dedup_passages
 
@@ -16,11 +18,16 @@ def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_classes(_table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("similarity", 9).alias("similarity"))
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_passages(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op7_substring_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op4_decontamination, op7_substring_dedup,)}
 
 
 def _words(column: str) -> str:
@@ -49,4 +56,24 @@ SELECT d.doc_id, (SELECT min(y) FROM walk WHERE walk.x = d.doc_id) AS class_id,
 FROM documents d
 """
 
-ORACLE: dict[str, str] = {"op1_ngram_jaccard": _NGRAM}
+_LIST = "CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE " \
+    "list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END"
+
+#: All windows of the documents that share a shingle with the item, by weighted similarity.
+_LEAKS = f"""
+WITH d AS (SELECT doc_id, {_LIST} AS sh FROM (SELECT doc_id, {_words("text")} AS w FROM documents)),
+    i AS (SELECT item_id, {_LIST} AS ish FROM (SELECT item_id, {_words("text")} AS w FROM benchmark)),
+    ds AS (SELECT DISTINCT doc_id, unnest(sh) AS s FROM d), iw AS (SELECT item_id, s, count(*) AS ci FROM
+           (SELECT item_id, unnest(ish) AS s FROM i) GROUP BY 1, 2),
+    pairs AS (SELECT DISTINCT doc_id, item_id FROM ds JOIN iw USING (s)),
+    win AS (SELECT doc_id, item_id, sh, len(ish) AS n, unnest(range(1, greatest(len(sh) - len(ish) + 1, 1) + 1)) AS b
+            FROM pairs JOIN d USING (doc_id) JOIN i USING (item_id)),
+    wc AS (SELECT doc_id, item_id, b, n, m, s, count(*) AS c FROM (SELECT doc_id, item_id, b, n, len(sh[b:b + n - 1]) AS m,
+           unnest(sh[b:b + n - 1]) AS s FROM win) GROUP BY ALL),
+    sim AS (SELECT doc_id, item_id, b, any_value(n) + any_value(m) AS total, sum(least(c, ci)) AS common
+            FROM wc JOIN iw USING (item_id, s) GROUP BY 1, 2, 3)
+SELECT doc_id, item_id, round(max(common / (total - common)), 9) AS similarity FROM sim GROUP BY 1, 2
+HAVING max(common / (total - common)) >= 0.8
+"""
+
+ORACLE: dict[str, str] = {"op4_decontamination": _LEAKS, "op1_ngram_jaccard": _NGRAM}
