@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from vectorloom.llm.decontaminate import find_leaks
 from vectorloom.llm.ngram_join import ngram_classes
+from vectorloom.llm.secrets import scan_secrets
 from vectorloom.llm.substring_dedup import dedup_passages
+from vectorloom.llm.warc import read_pages, write_pages
+from vectorloom.session import new_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +21,16 @@ def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_classes(_table(spark, folder, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "archive")
+    write_pages(_table(spark, folder, "pages"), path)
+    return read_pages(spark, path)
+
+
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(_table(spark, folder, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", F.round("similarity", 9).alias("similarity"))
@@ -27,7 +40,7 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_passages(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op4_decontamination, op7_substring_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op7_substring_dedup,)}
 
 
 def _words(column: str) -> str:
