@@ -9,6 +9,7 @@ from vectorloom.llm.decontaminate import find_leaks
 from vectorloom.llm.ngram_join import ngram_classes
 from vectorloom.llm.secrets import scan_secrets
 from vectorloom.llm.substring_dedup import dedup_passages
+from vectorloom.llm.vector_dedup import near_vectors
 from vectorloom.llm.warc import read_pages, write_pages
 from vectorloom.session import new_folder
 
@@ -36,11 +37,15 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "item_id", F.round("similarity", 9).alias("similarity"))
 
 
+def op5_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_passages(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op7_substring_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op7_substring_dedup,)}
 
 
 def _words(column: str) -> str:
