@@ -249,7 +249,8 @@ def ngram_classes(docs: DataFrame, size: int = SIZE, threshold: float = THRESHOL
         F.col("rep.key").alias("key"), F.col("rep.tag").alias("tag"), "node", "copies", "grp", "parts",
         F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"),
     )
-    sets = rows.join(cut, ["key", "tag"]).select("node", "copies", "part", "grp", "parts", "text").mapInArrow(
+    # Always by merge: the plan of a large corpus, also where the few members would fit a broadcast.
+    sets = rows.join(cut.hint("merge"), ["key", "tag"]).select("node", "copies", "part", "grp", "parts", "text").mapInArrow(
         _set_rows(size), "node long, copies long, part int, grp long, parts int, shingles array<long>"
     )
     units = sets.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
