@@ -56,10 +56,24 @@ def docs_of(spark, rows):
 
 
 @pytest.mark.parametrize("block", [2048, 16])
-def test_against_all_pairs(spark, monkeypatch, block):
+def test_whole_recall_gives_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(vector_dedup, "BLOCK", block)
+    monkeypatch.setattr(vector_dedup, "probes_for", lambda *a: 40)
     rows = made(1)
-    assert rows_of(near_vectors(docs_of(spark, rows))) == brute(rows)
+    assert rows_of(near_vectors(docs_of(spark, rows), codes=8)) == brute(rows)
+
+
+def test_recall_on_the_test_table(spark):
+    """Links found against brute force on real rows: at least the wanted share, and none that is not one."""
+    table = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").where("vec_id < 3000").select("vec_id", "embedding")
+    rows = [(r.vec_id, list(r.embedding)) for r in table.collect()] + made(2, 800, 64)
+    rows = [(i, v) for i, (_, v) in enumerate(rows)]
+    x = np.array([v for _, v in rows], np.float32).astype(np.float64)
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    want = (x @ x.T >= 0.95).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in near_vectors(docs_of(spark, rows)).collect()}
+    found = np.array([got[i] for i in range(len(rows))])
+    assert (found <= want).all() and found.sum() >= 0.98 * want.sum() > 0
 
 
 def test_edges(spark):
@@ -73,6 +87,7 @@ def test_edges(spark):
 def test_traversal_order_and_end():
     rng = np.random.default_rng(3)
     a, b = rng.random(7), rng.random(5)
-    got = visited(a, b, 0.9)
+    got, reach = visited(a, b, 12)
     sums = [a[i] + b[j] for i, j in got]
-    assert sums == sorted(sums) and set(got) == {(i, j) for i in range(7) for j in range(5) if a[i] + b[j] <= 0.9}
+    assert sums == sorted(sums) and len(got) == 12
+    assert set(got) == {(i, j) for i in range(7) for j in range(5) if a[i] + b[j] <= reach}

@@ -3,13 +3,15 @@
 1. A vector of length one is cut into two halves, each with its own codebook of ``CODES`` centres. The books are fitted by Lloyd rounds on a sample of at
    most ``SAMPLE`` vectors (smallest hashes), whose bound does not grow; every vector is then indexed. A cell of the product grid is
    a pair of centres, one of each half.
-2. Vectors with a cosine of at least c lie within r = sqrt(2 - 2c) of each other. For a vector and a centre of a half, the distance to the plane between
-   that centre and the nearest one bounds from below the distance to anything in that centre's region. The multi-sequence traversal
-   visits the cells of the grid in rising order of the sum of both squared bounds, and stops once it exceeds
-   r squared: the target recall, 1, is reached, as no cell left out can hold a neighbour.
-3. Each vector is a member of its own cell and asks in the cells it visits. Cells are dealt over tasks; a cell with many
+2. The multi-sequence traversal visits the cells of the grid in rising order of the summed squared distances of the two centres.
+   How many cells reach the target recall is measured: for ``PROBES_FROM`` sampled vectors a partner at exactly the threshold is drawn,
+   the hardest case there is, and the smallest number is taken at which the wanted share of partners is met from either side.
+   (Visiting until no further cell can hold a partner would make the recall 1, but on vectors without clusters that is more than
+   half of all cells, so the work would grow with the square of the rows.)
+3. Each vector is a member of its own cell and asks in the cells it visits; a pair is found if either visits the other's cell, and
+   counted once, as the unit that finds it can tell whether the other direction finds it too. Cells are dealt over tasks; a cell with many
    members or askers is cut into blocks, and each pair of blocks is one unit: a matrix product that is verified in
-   double precision and gives the number of links of each asker and a spanning forest, never pairs.
+   double precision and gives the number of links of each vector and a spanning forest, never pairs.
 
 Equal vectors are one node with a multiplicity, so a third of all rows being one vector costs one row.
 
@@ -32,9 +34,8 @@ from vectorloom.llm.components import components
 from vectorloom.llm.keys import NULL_ID, id_of
 from vectorloom.session import stored
 
-COSINE, CODES, SAMPLE, ROUNDS, BLOCK = 0.95, 32, 20_000, 8, 2048
-#: Room for rounding in the bound of the traversal.
-_SLACK = 1e-6
+COSINE, CODES, SAMPLE, ROUNDS, BLOCK = 0.95, 64, 20_000, 8, 2048
+RECALL, PROBES_FROM = 0.995, 2000
 
 
 def _centres(points: np.ndarray, codes: int, rounds: int) -> np.ndarray:
@@ -57,29 +58,39 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1)[None, :], 0)
 
 
-def _bounds(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest centre of each vector, and for every centre the squared distance to the plane before its region."""
-    square = _squares(x, centres)
-    own = square.argmin(1)
-    gap = np.sqrt(_squares(centres, centres))[own]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        plane = (square - square[np.arange(len(x)), own][:, None]) / (2 * gap)
-    plane[~np.isfinite(plane)] = 0
-    return own, np.maximum(plane, 0) ** 2
-
-
-def visited(first: np.ndarray, second: np.ndarray, limit: float) -> list[tuple[int, int]]:
-    """Multi-sequence traversal for one vector: cells (i, j) in rising order of first[i] + second[j], up to the limit."""
+def visited(first: np.ndarray, second: np.ndarray, count: int) -> tuple[list[tuple[int, int]], float]:
+    """Multi-sequence traversal for one vector: the ``count`` cells (i, j) of smallest first[i] + second[j], in rising order, with
+    all that tie with the last, and a cost between theirs and that of the next cell."""
     a, b = np.argsort(first, kind="stable"), np.argsort(second, kind="stable")
-    heap, out = [(first[a[0]] + second[b[0]], 0, 0)], []
-    while heap and heap[0][0] <= limit:
-        _, i, j = heapq.heappop(heap)
+    heap, out, last = [(first[a[0]] + second[b[0]], 0, 0)], [], 0.0
+    while heap:
+        cost, i, j = heapq.heappop(heap)
+        if len(out) >= count and cost > last + 1e-9:
+            return out, (last + cost) / 2
+        last = cost
         out.append((int(a[i]), int(b[j])))
         if j + 1 < len(b):
             heapq.heappush(heap, (first[a[i]] + second[b[j + 1]], i, j + 1))
         if j == 0 and i + 1 < len(a):
             heapq.heappush(heap, (first[a[i + 1]] + second[b[0]], i + 1, 0))
-    return out
+    return out, np.inf
+
+
+def probes_for(sample: np.ndarray, books, cosine: float, recall: float) -> int:
+    """Cells to visit so that the wanted share of partners at the threshold is met from one side or the other."""
+    rng = np.random.default_rng(5)
+    x = sample[:PROBES_FROM]
+    away = rng.normal(size=x.shape)
+    away -= (away * x).sum(1)[:, None] * x
+    away /= np.maximum(np.sqrt((away**2).sum(1)), 1e-300)[:, None]
+    y, half = cosine * x + np.sqrt(1 - cosine**2) * away, x.shape[1] // 2
+    costs = [(_squares(v[:, :half], books[0]), _squares(v[:, half:], books[1])) for v in (x, y)]
+    ranks = []
+    for here, there in (costs, costs[::-1]):
+        i, j, rows = there[0].argmin(1), there[1].argmin(1), np.arange(len(x))
+        own = here[0][rows, i] + here[1][rows, j]
+        ranks.append(((here[0][:, :, None] + here[1][:, None, :]) <= own[:, None, None]).sum((1, 2)))
+    return int(np.ceil(np.quantile(np.minimum(*ranks), recall))) + 1
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -87,42 +98,46 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def _cell_rows(books, dim: int, limit: float):
+def _cell_rows(books, dim: int, probes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = books
         for whole in batches:
             for lo in range(0, whole.num_rows, 4096):
                 batch = whole.slice(lo, 4096)
                 x = _matrix(batch.column("vector"), dim)
-                own_a, first = _bounds(x[:, : dim // 2], left)
-                own_b, second = _bounds(x[:, dim // 2 :], right)
-                row, cell = [], []
+                first, second = _squares(x[:, : dim // 2], left), _squares(x[:, dim // 2 :], right)
+                row, cell, reach = [], [], np.empty(len(x))
                 for i in range(len(x)):
-                    for a, b in visited(first[i], second[i], limit):
-                        row.append(i)
-                        cell.append(a * len(right) + b)
+                    cells, reach[i] = visited(first[i], second[i], probes)
+                    row += [i] * len(cells)
+                    cell += [a * len(right) + b for a, b in cells]
                 row, cell = np.array(row), np.array(cell, np.int64)
-                own = (own_a * len(right) + own_b)[row] == cell
+                home = first.argmin(1) * len(right) + second.argmin(1)
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell), pa.array(own)] + [batch.column(c).take(at) for c in ("node", "copies", "vector")],
-                    ["cell", "own", "node", "copies", "vector"],
+                    [pa.array(cell), pa.array(home[row]), pa.array(reach[row])] + [batch.column(c).take(at) for c in ("node", "copies", "vector")],
+                    ["cell", "home", "reach", "node", "copies", "vector"],
                 )
 
     return run
 
 
-def _unit(x: np.ndarray, node: np.ndarray, copies: np.ndarray, role: np.ndarray, cosine: float) -> pa.RecordBatch:
+def _unit(x, node, copies, role, home, reach, books, cosine: float) -> pa.RecordBatch:
     """Askers (role 0) against members (role 1) of a block pair."""
     ask, have = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-    links, x_node, y_node = np.zeros(len(ask), np.int64), [], []
+    links, x_node, y_node = np.zeros(len(node), np.int64), [], []
     if len(ask) and len(have):
         linked = x[ask] @ x[have].T >= cosine
         linked &= node[ask][:, None] != node[have][None, :]
-        links = linked @ copies[have]
+        links[ask] = linked @ copies[have]
+        # A member that does not visit the asker's cell will not find this link itself.
+        half, (left, right) = x.shape[1] // 2, books
+        i, j = home[ask] // len(right), home[ask] % len(right)
+        cost = _squares(x[have][:, :half], left)[:, i] + _squares(x[have][:, half:], right)[:, j]
+        links[have] += (linked.T & (cost > reach[have][:, None])) @ copies[ask]
         # Spanning forest of a two-sided graph: visit members through askers row by row.
         seen_m, seen_a = np.zeros(len(have), bool), np.zeros(len(ask), bool)
-        for start in np.flatnonzero(links):
+        for start in np.flatnonzero(linked.any(1)):
             if seen_a[start]:
                 continue
             seen_a[start], stack = True, [int(start)]
@@ -141,44 +156,47 @@ def _unit(x: np.ndarray, node: np.ndarray, copies: np.ndarray, role: np.ndarray,
     some = np.flatnonzero(links)
     n = len(x_node)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([node[ask[some]], np.array(x_node, np.int64)]).astype(np.int64)),
+        [pa.array(np.concatenate([node[some], np.array(x_node, np.int64)]).astype(np.int64)),
          pa.array(np.concatenate([links[some], np.zeros(n, np.int64)]).astype(np.int64)),
          pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(y_node, pa.int64())])],
         ["node", "links", "other"],
     )
 
 
-def _verified(dim: int, cosine: float):
+def _verified(books, dim: int, cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts = None, []
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in ("cell", "a", "b")], axis=1).astype(np.int64)
             x = _matrix(batch.column("vector"), dim)
-            node, copies, role = (batch.column(c).to_numpy() for c in ("node", "copies", "role"))
+            facts = [batch.column(c).to_numpy() for c in ("node", "copies", "role", "home", "reach")]
             cut = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
             for lo, hi in zip([0, *cut], [*cut, len(keys)]):
                 if lo == hi:
                     continue
                 now = tuple(keys[lo])
                 if key is not None and now != key:
-                    yield _unit(*[np.concatenate(p) for p in zip(*parts)], cosine)
+                    yield _unit(*[np.concatenate(p) for p in zip(*parts)], books, cosine)
                     parts = []
                 key = now
-                parts.append((x[lo:hi], node[lo:hi], copies[lo:hi], role[lo:hi]))
+                parts.append((x[lo:hi], *[f[lo:hi] for f in facts]))
         if parts:
-            yield _unit(*[np.concatenate(p) for p in zip(*parts)], cosine)
+            yield _unit(*[np.concatenate(p) for p in zip(*parts)], books, cosine)
 
     return run
 
 
-def _books(nodes: DataFrame, dim: int, codes: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
+def fit(nodes: DataFrame, dim: int, codes: int, sample: int, cosine: float, recall: float):
+    """Codebooks of both halves and the number of cells to visit."""
     rows = nodes.orderBy(F.xxhash64("node"), "node").select("vector").limit(sample).toArrow()
     x = _matrix(rows.column("vector").combine_chunks(), dim)
-    return _centres(x[:, : dim // 2], codes, ROUNDS), _centres(x[:, dim // 2 :], codes, ROUNDS)
+    books = _centres(x[:, : dim // 2], codes, ROUNDS), _centres(x[:, dim // 2 :], codes, ROUNDS)
+    return books, probes_for(x, books, cosine, recall)
 
 
 def near_vectors(
-    vectors: DataFrame, cosine: float = COSINE, codes: int = CODES, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding"
+    vectors: DataFrame, cosine: float = COSINE, codes: int = CODES, sample: int = SAMPLE, recall: float = RECALL,
+    id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id (smallest id reachable by links), kept."""
     rows = stored(
@@ -201,30 +219,31 @@ def near_vectors(
     found = None
     for (dim,) in nodes.select(F.size("vector").alias("dim")).distinct().collect():
         part = nodes.where(F.size("vector") == dim)
-        books = _books(part, dim, codes, sample)
+        books, probes = fit(part, dim, codes, sample, cosine, recall)
         cells = stored(
             part.select("node", "copies", "vector").mapInArrow(
-                _cell_rows(books, dim, 2 - 2 * cosine + _SLACK), "cell long, own boolean, node long, copies long, vector array<double>"
+                _cell_rows(books, dim, probes),
+                "cell long, home long, reach double, node long, copies long, vector array<double>",
             ),
             "cells",
         )
         # Block numbers of a cell: members and askers by hash, as many blocks as each needs.
         sizes = cells.groupBy("cell").agg(
-            F.ceil(F.count(F.when(F.col("own"), 1)) / BLOCK).cast("int").alias("mine"), F.ceil(F.count("*") / BLOCK).cast("int").alias("asking")
+            F.ceil(F.count(F.when(F.col("cell") == F.col("home"), 1)) / BLOCK).cast("int").alias("mine"), F.ceil(F.count("*") / BLOCK).cast("int").alias("asking")
         ).where("mine > 0")
         dealt = cells.join(sizes, "cell")
         block = F.xxhash64("node")
         askers = dealt.select(
             "cell", F.pmod(block, "asking").cast("int").alias("a"), F.explode(F.sequence(F.lit(0), F.col("mine") - 1)).alias("b"),
-            F.lit(0).alias("role"), "node", "copies", "vector",
+            F.lit(0).alias("role"), "home", "reach", "node", "copies", "vector",
         )
-        members = dealt.where("own").select(
+        members = dealt.where("cell = home").select(
             "cell", F.explode(F.sequence(F.lit(0), F.col("asking") - 1)).alias("a"), F.pmod(block, "mine").cast("int").alias("b"),
-            F.lit(1).alias("role"), "node", "copies", "vector",
+            F.lit(1).alias("role"), "home", "reach", "node", "copies", "vector",
         )
         one = (
             askers.unionByName(members).repartition("cell", "a", "b").sortWithinPartitions("cell", "a", "b")
-            .mapInArrow(_verified(dim, cosine), "node long, links long, other long")
+            .mapInArrow(_verified(books, dim, cosine), "node long, links long, other long")
         )
         found = one if found is None else found.unionByName(one)
     if found is None:
