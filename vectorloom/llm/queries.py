@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vectorloom.llm.decontaminate import find_leaks
 from vectorloom.llm.ngram_join import ngram_classes
+from vectorloom.llm.piece_sampling import decode_ids, encode_texts
 from vectorloom.llm.secrets import scan_secrets
 from vectorloom.llm.substring_dedup import dedup_passages
 from vectorloom.llm.vector_dedup import near_vectors
@@ -45,7 +46,16 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_passages(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op7_substring_dedup,)}
+def op8_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Sampled ids, and a digest of what they decode to beside that of the text."""
+    coded = decode_ids(encode_texts(_table(spark, folder, "documents").select("doc_id", "text")))
+    return coded.select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op7_substring_dedup, op8_piece_sampling)}
 
 
 def _words(column: str) -> str:
