@@ -3,16 +3,18 @@
 A document is parsed against everything that starts earlier: the same document
 before the current word, and all documents of smaller id. A factor is a maximal run of
 words that one earlier place also has; factors of ``window`` words or more
-become duplicate spans. The reference is an index of 'window'-word seeds,
-dealt over tasks (blocks) by hash, and every block is asked for every seed that
-it can hold. A seed that straddles two factors is looked up by itself, so what lies on
-a factor boundary is not missed.
+become duplicate spans. The reference is an index of seeds of ``window`` words. A seed
+that straddles two factors is looked up by itself, so what lies on a factor boundary is not missed.
 
-To keep the index small, a first pass picks anchors: of the ``window - anchor + 1`` runs of
-``anchor`` words in a window the one with the smallest hash. Two equal windows have equal
-anchors, so only windows whose anchor occurs twice in the corpus are indexed at all.
+1. Anchors: of the ``window - anchor + 1`` runs of ``anchor`` words in a window, the one with the smallest hash.
+   Two equal windows have equal anchors, so only windows whose anchor occurs twice in the corpus can repeat.
+2. Reference blocks: documents are dealt by range of their smallest anchor hash, so copies and near copies
+   come into one block (a frequent value is spread over neighbouring tasks). A block parses its documents against each
+   other at once, and later seeds go on as factors, one row each.
+3. Seeds whose anchor also occurs outside the block, as the counts of step 1 tell, are looked up in all other
+   blocks through their hash. A block sends a seed once at most, however often it occurs.
 
-Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Hashes of windows have 128 bits.
+Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Hashes of windows have 96 bits.
 
 Defined cases: a null text has no words, as an empty one; a document shorter than the window
 keeps all its words; a null id counts as smaller than any other; rows that share an
@@ -27,14 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectorloom.llm.keys import id_of, keyed
-from vectorloom.llm.words import RAW, Words, rolling, signed, slices, words_of
-from vectorloom.session import stored
+from vectorloom.llm.words import RAW, Words, distinct_pairs, mix, rolling, signed, slices, words_of
 
-WINDOW, ANCHOR = 20, 8
+WINDOW, ANCHOR = 20, 6
+BLOCK_BYTES = 4 << 20
+_LOW = np.uint64((1 << 32) - 1)
 
 
 def _reach(x: np.ndarray, n: int, op) -> np.ndarray:
@@ -63,24 +66,41 @@ def _anchors(words: Words, window: int, anchor: int):
     return first[inside], low[inside], runs[around == runs], h
 
 
-def _anchor_rows(window: int, anchor: int, with_rows: bool):
+def _place(low: np.ndarray, words: Words, first: np.ndarray, piece: pa.RecordBatch) -> np.ndarray:
+    """Where a document of the slice belongs: its smallest anchor above, a hash of its key below. 0: no window."""
+    least = np.full(piece.num_rows, np.iinfo(np.uint64).max, np.uint64)
+    owner = words.owner()[first]
+    np.minimum.at(least, owner, low)
+    has = np.zeros(piece.num_rows, dtype=bool)
+    has[owner] = True
+    own = mix(piece.column("key").to_numpy().view(np.uint64) ^ mix(piece.column("tag").to_numpy().view(np.uint64)))
+    return np.where(has, (least & ~_LOW) | (own & _LOW) | np.uint64(1), np.uint64(0))
+
+
+def _rows_of(what: str, window: int, anchor: int):
+    """Per slice: 'counts' of anchors, the 'owners' of anchors, or the 'texts' of documents with a window."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch):
                 words = words_of(piece.column("text"), RAW)
                 first, low, places, _ = _anchors(words, window, anchor)
-                if with_rows:
-                    owner = words.owner()[first]
-                    new = np.ones(len(first), dtype=bool)
-                    new[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
-                    owner, low = owner[new], low[new]
-                    key = piece.column("key").to_numpy()[owner]
-                    tag = piece.column("tag").to_numpy()[owner]
-                    columns, names = [signed(low), key, tag], ["anchor", "key", "tag"]
-                else:
+                if what == "counts":
                     found, n = np.unique(places, return_counts=True)
-                    columns, names = [signed(found), n.astype(np.int64)], ["anchor", "n"]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(n)], ["anchor", "n"])
+                    continue
+                place = _place(low, words, first, piece)
+                if what == "owners":
+                    owner, found = distinct_pairs(words.owner()[first], low)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(signed(found)), pa.array(signed(place[owner]))], ["anchor", "place"]
+                    )
+                else:
+                    at = pa.array(np.flatnonzero(place))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(signed(place)).take(at)] + [piece.column(c).take(at) for c in ("key", "tag", "text")],
+                        ["place", "key", "tag", "text"],
+                    )
 
     return run
 
@@ -96,86 +116,139 @@ def _runs(tag_cols: list[np.ndarray], start: np.ndarray, source: np.ndarray) ->
     return np.flatnonzero(new)
 
 
-_SEEDS = "h1 long, h2 long, key long, tag long, start long, src_key long, src_start long, n long"
+_SEEDS = "h1 long, h2 int, key long, tag long, start long, src_key long, src_start long, n long"
+
+
+def _short(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.uint32).view(np.int32)
+
+
+def _block_seeds(texts: list, key, tag, anchors, totals, window: int, anchor: int) -> Iterator[pa.RecordBatch]:
+    """Parse the documents of a block against each other; open seeds come with their hash, factors with their source."""
+    words = words_of(pa.array(texts, pa.large_string()), RAW)
+    first, low, places, h = _anchors(words, window, anchor)
+    known, at = np.unique(anchors, return_index=True)
+    low, places = signed(low), signed(places)
+    hit = np.isin(low, known)
+    first, low = first[hit], low[hit]
+    inside, n = np.unique(places, return_counts=True)
+    owner = words.owner()[first]
+    h1 = rolling(h, first, first + window)
+    h2 = rolling(words.hashes(1), first, first + window, 1) & _LOW
+    start = first - words.bounds[:-1][owner]
+    order = np.lexsort((start, key[owner], h2, h1))
+    a, b, k, s = h1[order], h2[order], key[owner][order], start[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    lead = np.flatnonzero(new)
+    of = np.repeat(lead, np.diff(np.append(lead, len(order))))
+    keep = order[new]
+    away = totals[at[np.searchsorted(known, low[keep])]] > n[np.searchsorted(inside, low[keep])]
+    keep = keep[away]
+    none = pa.nulls(len(keep), pa.int64())
+    names = ["h1", "h2", "key", "tag", "start", "src_key", "src_start", "n"]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(signed(h1[keep])), pa.array(_short(h2[keep])), pa.array(key[owner[keep]]), pa.array(tag[owner[keep]]),
+         pa.array(start[keep]), none, none, pa.array(np.ones(len(keep), np.int64))], names,
+    )
+    # The earliest place itself, also where a repeated row gives it twice, has no source.
+    source = (k[of] != k) | (s[of] != s)
+    later, src_key, src_start = order[source], k[of][source], s[of][source]
+    if len(later):
+        back = np.lexsort((src_key, start[later], owner[later]))
+        later, src_key, src_start = later[back], src_key[back], src_start[back]
+        begin = _runs([owner[later], src_key], start[later], src_start)
+        length = np.diff(np.append(begin, len(later))).astype(np.int64)
+        at = later[begin]
+        mark = [mix((key[owner[at]] * 31 + tag[owner[at]] + start[at] + c).view(np.uint64)) for c in (1, 2)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(signed(mark[0])), pa.array(_short(mark[1])), pa.array(key[owner[at]]), pa.array(tag[owner[at]]),
+             pa.array(start[at]), pa.array(src_key[begin]), pa.array(src_start[begin]), pa.array(length)], names,
+        )
 
 
-def _seed_rows(window: int, anchor: int):
-    """Seeds of a slice: the earliest of each by itself, later ones as factors of that slice's block."""
+def _block_rows(window: int, anchor: int):
+    """Rows come sorted by place, anchors before texts; a block closes at ``BLOCK_BYTES`` of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, keys, tags, anchors, totals, size = [], [], [], [], [], 0
+        place = held = None
+
+        def close():
+            yield from _block_seeds(
+                texts, np.array(keys, np.int64), np.array(tags, np.int64), np.concatenate(anchors), np.concatenate(totals),
+                window, anchor,
+            )
+
         for batch in batches:
-            for piece in slices(batch):
-                words = words_of(piece.column("text"), RAW)
-                first, low, _, h = _anchors(words, window, anchor)
-                wanted = piece.column("anchors").flatten().to_numpy(zero_copy_only=False)
-                hit = np.isin(signed(low), np.unique(wanted))
-                first = first[hit]
-                owner = words.owner()[first]
-                h1 = rolling(h, first, first + window)
-                h2 = rolling(words.hashes(1), first, first + window, 1)
-                key = piece.column("key").to_numpy()[owner]
-                tag = piece.column("tag").to_numpy()[owner]
-                start = first - words.bounds[:-1][owner]
-                order = np.lexsort((start, key, h2, h1))
-                a, b, k, s = h1[order], h2[order], key[order], start[order]
-                new = np.ones(len(order), dtype=bool)
-                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-                lead = np.flatnonzero(new)
-                of = np.repeat(lead, np.diff(np.append(lead, len(order))))
-                # The earliest place itself, also where a repeated row gives it twice, has no source.
-                source = (k[of] != k) | (s[of] != s)
-                keep = order[new]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(h1[keep])), pa.array(signed(h2[keep])), pa.array(key[keep]), pa.array(tag[keep]),
-                     pa.array(start[keep]), pa.nulls(len(keep), pa.int64()), pa.nulls(len(keep), pa.int64()),
-                     pa.array(np.ones(len(keep), np.int64))],
-                    ["h1", "h2", "key", "tag", "start", "src_key", "src_start", "n"],
-                )
-                later = order[source]
-                if not len(later):
-                    continue
-                src_key, src_start = k[of][source], s[of][source]
-                back = np.lexsort((src_key, start[later], owner[later]))
-                later, src_key, src_start = later[back], src_key[back], src_start[back]
-                begin = _runs([owner[later], src_key], start[later], src_start)
-                length = np.diff(np.append(begin, len(later)))
-                at = later[begin]
-                nothing = pa.nulls(len(at), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [nothing, nothing, pa.array(key[at]), pa.array(tag[at]), pa.array(start[at]),
-                     pa.array(src_key[begin]), pa.array(src_start[begin]), pa.array(length.astype(np.int64))],
-                    ["h1", "h2", "key", "tag", "start", "src_key", "src_start", "n"],
-                )
+            here = batch.column("place").to_numpy()
+            key, tag, text = batch.column("key"), batch.column("tag"), batch.column("text")
+            known = batch.column("known")
+            flat = known.flatten()
+            name = flat.field("anchor").to_numpy(zero_copy_only=False)
+            total = flat.field("n").to_numpy(zero_copy_only=False)
+            cut = np.concatenate([[0], np.cumsum(known.value_lengths().fill_null(0).to_numpy())])
+            is_text = text.is_valid().to_numpy(zero_copy_only=False)
+            for i in range(batch.num_rows):
+                if not is_text[i]:
+                    place, held = here[i], (name[cut[i] : cut[i + 1]].copy(), total[cut[i] : cut[i + 1]].copy())
+                elif place == here[i]:
+                    texts.append(text[i].as_py())
+                    keys.append(key[i].as_py())
+                    tags.append(tag[i].as_py())
+                    anchors.append(held[0])
+                    totals.append(held[1])
+                    size += len(texts[-1])
+                    if size >= BLOCK_BYTES:
+                        yield from close()
+                        texts, keys, tags, anchors, totals, size = [], [], [], [], [], 0
+        if texts:
+            yield from close()
 
     return run
 
 
-def _parsed(docs: DataFrame, window: int, anchor: int) -> tuple[DataFrame, DataFrame]:
-    """Documents that hold a repeated anchor, and (key, tag, start, src_key, src_start, n): n seeds in a row
-    from word ``start`` that also begin at word ``src_start`` of the earlier ``src_key``."""
-    rows = keyed(docs)
+def _block_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the sorted rows of the blocks, the texts that have a repeated anchor."""
+    place = None
+    for batch in batches:
+        here, is_text = batch.column("place").to_numpy(), batch.column("text").is_valid().to_numpy(zero_copy_only=False)
+        keep = np.zeros(batch.num_rows, dtype=bool)
+        for i in range(batch.num_rows):
+            if not is_text[i]:
+                place = here[i]
+            keep[i] = is_text[i] and place == here[i]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).filter(pa.array(keep)) for c in ("key", "tag", "text")], ["key", "tag", "text"]
+        )
+
+
+def _found(rows: DataFrame, window: int, anchor: int) -> tuple[DataFrame, DataFrame]:
+    """Texts that can hold a repeat, and (key, tag, start, src_key, src_start, n): n seeds in a row from word ``start`` that also begin
+    at word ``src_start`` of the earlier ``src_key``."""
     twice = (
-        rows.mapInArrow(_anchor_rows(window, anchor, False), "anchor long, n long")
-        .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
+        rows.mapInArrow(_rows_of("counts", window, anchor), "anchor long, n long")
+        .groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
     )
-    held = (
-        rows.mapInArrow(_anchor_rows(window, anchor, True), "anchor long, key long, tag long")
-        .join(twice, "anchor").groupBy("key", "tag").agg(F.collect_set("anchor").alias("anchors"))
+    known = (
+        rows.mapInArrow(_rows_of("owners", window, anchor), "anchor long, place long")
+        .join(twice, "anchor").groupBy("place").agg(F.collect_set(F.struct("anchor", "n")).alias("known"))
     )
-    texts = stored(rows.join(held, ["key", "tag"]), "passages")
-    seeds = stored(texts.mapInArrow(_seed_rows(window, anchor), _SEEDS), "seeds")
-    # Every task has sent a seed once at most per slice, so a hot passage has few rows here.
-    open_seeds = seeds.where("h1 is not null").select("h1", "h2", "key", "tag", "start")
-    earliest = open_seeds.groupBy("h1", "h2").agg(
-        F.min(F.struct("key", "start")).alias("src"), F.count("*").alias("places")
-    ).where("places > 1").select("h1", "h2", "src")
-    found = (
-        open_seeds.join(earliest, ["h1", "h2"])
-        .where("key != src.key or start != src.start")
-        .select("key", "tag", "start", F.col("src.key").alias("src_key"), F.col("src.start").alias("src_start"),
-                F.lit(1).cast("long").alias("n"))
+    texts = rows.mapInArrow(_rows_of("texts", window, anchor), "place long, key long, tag long, text string")
+    blocks = (
+        texts.withColumn("known", F.lit(None).cast("array<struct<anchor: bigint, n: bigint>>"))
+        .unionByName(known, allowMissingColumns=True)
+        .repartitionByRange("place").sortWithinPartitions("place", F.col("text").isNotNull(), "key")
+    )
+    seeds = blocks.mapInArrow(_block_rows(window, anchor), _SEEDS)
+    # Every block sends a seed once at most, so a hot passage has few rows in its window.
+    earliest = F.min(F.when(F.col("src_key").isNull(), F.struct("key", "start"))).over(Window.partitionBy("h1", "h2"))
+    return blocks.mapInArrow(_block_texts, "key long, tag long, text string"), (
+        seeds.withColumn("src", earliest)
+        .where("src_key is not null or key != src.key or start != src.start")
+        .select("key", "tag", "start", F.coalesce("src_key", "src.key").alias("src_key"),
+                F.coalesce("src_start", "src.start").alias("src_start"), "n")
     )
-    return texts, found.unionByName(seeds.where("h1 is null").drop("h1", "h2"))
 
 
 def factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -183,7 +256,7 @@ def factors(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Data
 
     Factors may overlap at their ends, where a seed lies on a boundary.
     """
-    _, found = _parsed(docs, window, anchor)
+    _, found = _found(keyed(docs), window, anchor)
     # A factor goes on while the next seed has the next place of the same source.
     line = found.withColumn("end", F.col("start") + F.col("n")).withColumn("shift", F.col("src_start") - F.col("start"))
     grouped = line.groupBy("key", "tag", "src_key", "shift").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("s"))
@@ -237,15 +310,16 @@ def _kept_rows(window: int):
 def dedup_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document, and on request the kept text (``kept``,
     null where nothing was removed: the document's own words then stay)."""
-    texts, found = _parsed(docs, window, anchor)
+    rows = keyed(docs)
+    texts, found = _found(rows, window, anchor)
     spans = found.groupBy("key", "tag").agg(F.collect_set(F.struct("start", "n")).alias("spans"))
     changed = (
-        texts.select("key", "tag", "text").dropDuplicates(["key", "tag"]).join(spans, ["key", "tag"])
+        texts.join(spans, ["key", "tag"]).select("key", "tag", "text", "spans")
         .mapInArrow(_kept_rows(window), "key long, tag long, n_removed long, kept string")
-        .withColumn("kept_sha", F.sha2("kept", 256))
+        .select("key", "tag", "n_removed", F.sha2("kept", 256).alias("kept_sha"), *(["kept"] if with_text else []))
+        .dropDuplicates(["key", "tag"])
     )
-    changed = changed if with_text else changed.drop("kept")
-    whole = keyed(docs).mapInArrow(_whole_rows, "key long, tag long, n_words long, whole_sha string")
+    whole = rows.mapInArrow(_whole_rows, "key long, tag long, n_words long, whole_sha string")
     return whole.join(changed, ["key", "tag"], "left").select(
         id_of().alias("doc_id"), "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("kept_sha", "whole_sha").alias("kept_sha256"), *(["kept"] if with_text else []),
