@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.llm.decontaminate import find_leaks
+from vectorloom.llm.language_id import identify
 from vectorloom.llm.ngram_join import ngram_classes
 from vectorloom.llm.piece_sampling import decode_ids, encode_texts
 from vectorloom.llm.secrets import scan_secrets
 from vectorloom.llm.substring_dedup import dedup_passages
+from vectorloom.llm.toxicity import score_toxicity
 from vectorloom.llm.vector_dedup import near_vectors
 from vectorloom.llm.warc import read_pages, write_pages
 from vectorloom.session import new_folder
@@ -42,6 +44,11 @@ def op5_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(_table(spark, folder, "embeddings"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = score_toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_passages(_table(spark, folder, "documents"))
 
@@ -55,7 +62,11 @@ def op8_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op7_substring_dedup, op8_piece_sampling)}
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(_table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op6_toxicity, op7_substring_dedup, op8_piece_sampling, op10_language_id)}
 
 
 def _words(column: str) -> str:
