@@ -9,6 +9,7 @@ from vectorloom.llm.decontaminate import find_leaks
 from vectorloom.llm.language_id import identify
 from vectorloom.llm.ngram_join import ngram_classes
 from vectorloom.llm.piece_sampling import decode_ids, encode_texts
+from vectorloom.llm.quality import score_quality
 from vectorloom.llm.secrets import scan_secrets
 from vectorloom.llm.substring_dedup import dedup_passages
 from vectorloom.llm.toxicity import score_toxicity
@@ -62,11 +63,15 @@ def op8_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op6_toxicity, op7_substring_dedup, op8_piece_sampling, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op6_toxicity, op7_substring_dedup, op8_piece_sampling, op9_quality, op10_language_id)}
 
 
 def _words(column: str) -> str:
