@@ -1,5 +1,72 @@
-"""Corpus preparation as a row of stages (still to come)."""
+"""From documents to training ids in five stages, each one of the operators over all rows that its predecessor kept.
 
-STAGES: list = []
-PIPELINE: dict = {}
-PIPELINE_SQL: dict = {}
+1. toxicity: documents that are predicted toxic go.
+2. near_copies: of each group of near copies (five-word shingles, similarity 0.8 or more) the smallest id stays.
+3. decontamination: documents that hold a benchmark passage go.
+4. secrets: secrets are masked in the text; all documents stay.
+5. pieces: sampled SentencePiece ids, with a digest of the text that they decode to.
+
+Each result is written as Parquet in the shared folder and read back for the next stage. Null ids and texts, repeated rows and empty
+tables are handled as the operators state.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vectorloom.llm.decontaminate import drop_leaks
+from vectorloom.llm.ngram_join import drop_near_copies
+from vectorloom.llm.piece_sampling import decode_ids, encode_texts
+from vectorloom.llm.secrets import mask_secrets
+from vectorloom.llm.toxicity import drop_toxic
+from vectorloom.session import new_folder, ship_package
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_toxic(docs, ship_package(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return drop_near_copies(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_leaks(docs, ship_package(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return mask_secrets(docs)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    coded = decode_ids(encode_texts(docs))
+    return coded.select(
+        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
+STAGES = [
+    ("toxicity", toxicity), ("near_copies", near_copies), ("decontamination", decontamination), ("secrets", secrets), ("pieces", pieces),
+]
+
+#: SQL can state neither the toxicity model nor the sampling.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = new_folder(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
+
+
+PIPELINE = {"pipeline": run}
+PIPELINE_SQL: dict[str, str] = {}

@@ -19,11 +19,12 @@ def shingle_list(text):
 
 def brute(docs, items):
     out = []
+    wanted = [(i, shingle_list(other)) for i, other in items]
     for d, text in docs:
         sh = shingle_list(text)
-        for i, other in items:
-            want = shingle_list(other)
-            if not sh or not want:
+        some = set(sh)
+        for i, want in wanted:
+            if some.isdisjoint(want):
                 continue
             best = 0
             for b in range(max(1, len(sh) - len(want) + 1)):

@@ -6,7 +6,7 @@
    three or more single letters is one spaced-out word. Viterbi decoding takes the most likely path under channel and language model.
    A token without such signs has one path, itself, and is not decoded again.
 3. Score: logistic regression on the restored words of a document (runs of a letter count once), over the words whose share differs most
-   between the labels. It is fitted on a bounded sample of labelled rows outside the held-out fold.
+   between the labels, by ``MIN_Z`` standard errors at least. It is fitted on a bounded sample of labelled rows outside the held-out fold.
 
 Words are cut at ASCII signs other than letters and digits; A-Z are lowered. Language, source and id are never looked at.
 
@@ -31,7 +31,7 @@ from vectorloom.llm.keys import NULL_ID, id_of
 from vectorloom.llm.words import PLAIN, RAW, Words, distinct_pairs, lists, signed, slices, words_of
 from vectorloom.session import stored
 
-VOCABULARY, MIN_DOCS = 512, 5
+VOCABULARY, MIN_DOCS, MIN_Z = 512, 5, 3.5
 # Letters a sign can stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
         "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "*": "aeiou", "#": "aeiou", "%": "aeiou"}
@@ -229,7 +229,7 @@ def fit_words(features: DataFrame, vocabulary: int, min_docs: int) -> tuple[np.n
     p, p1, p0 = F.col("c") / n, F.col("c1") / ones, (F.col("c") - F.col("c1")) / (n - ones)
     z = F.abs(p1 - p0) / F.sqrt(p * (1 - p) * (1 / ones + 1 / (n - ones)) + 1e-12)
     support = F.when(p1 > p0, F.col("c1")).otherwise(F.col("c") - F.col("c1"))
-    best = seen.where(F.col("c") >= min_docs).select("word", support.alias("n"), z.alias("z")).orderBy(F.desc("z"), "word").limit(vocabulary)
+    best = seen.where(F.col("c") >= min_docs).select("word", support.alias("n"), z.alias("z")).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(vocabulary)
     best = sorted((r.word, r.n) for r in best.collect())
     words = np.array([b[0] for b in best], np.int64)
     # Words seen in few documents of their label, often copies of one, are held back; widespread ones are free.
