@@ -173,3 +173,25 @@ def test_rss_stream(spark, new_lake, tmp_path):
     ).awaitTermination()
     assert counts(lake)[0] == 2 and counts(lake)[1] == 1, "an item without a text is not cleaned"
     assert lake.get_state("rss") > "2024" and lake.get_state("last_fetch_time") is None
+
+
+def test_replayed_feed_batch_moves_the_checkpoint_by_its_records(spark, new_lake, tmp_path):
+    """A crash after the last append, before the end of the batch: the same batch comes again."""
+    folder = tmp_path / "feeds"
+    folder.mkdir()
+    (folder / "f1.xml").write_text(ATOM)
+    lake = new_lake()
+
+    def once():
+        load_feed(
+            lake, scan_atom(spark, str(folder), stream=True), atom_records, ENCODER, str(tmp_path / "cp"),
+            state_key="api", once=True, model_name="m",
+        ).awaitTermination()
+
+    once()
+    for commit in (tmp_path / "cp" / "commits").glob("*0*"):
+        commit.unlink()
+    lake.set_state("api", "2023-01-01T00:00:00+00:00")
+    once()
+    assert counts(lake) == (2, 2, 2)
+    assert datetime.fromisoformat(lake.get_state("api")).isoformat() == "2023-01-15T10:00:01+00:00"

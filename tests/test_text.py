@@ -93,3 +93,12 @@ def test_small_functions(spark):
     assert run(spark, text.abs_url, "1") == "https://arxiv.org/abs/1"
     assert run(spark, text.pdf_url, "1") == "https://arxiv.org/pdf/1"
     assert run(spark, lambda c: text.id_from_url(c, strip_version=True), "x/abs/2301.12345v2") == "2301.12345"
+
+
+@pytest.mark.parametrize("depth", range(1, 9))
+def test_nested_macros_to_any_depth(spark, depth):
+    raw, want = "x", "x"
+    for i in range(depth):
+        raw, want = rf"\frac{{{i}}}{{{raw}}}", f"{i}/{want}"
+    raw += r" \cite{" + r"\textbf{" * depth + "k" + "}" * depth + "}"
+    assert run(spark, text.clean_text, raw) == want + " <cit.>"

@@ -10,8 +10,6 @@ TOP_K = 10
 MATCH_THRESHOLD = 1
 POLL_SECONDS = 300
 FETCH_PAGE = 100
-FETCH_CAP = 1000
-FEED_CAP = 50
 STATE_KEY = "last_fetch_time"
 ABS_URL = "https://arxiv.org/abs/"
 PDF_URL = "https://arxiv.org/pdf/"
@@ -27,7 +25,6 @@ TIE_DECIMALS = 12
 # Largest sets that may pass through the driver or be broadcast.
 MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_KEYS = 1_000_000
-MAX_BROADCAST_FILES = 100_000
 
 
 def nested_dims(full: int) -> tuple[int, ...]:

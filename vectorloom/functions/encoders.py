@@ -12,10 +12,11 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vectorloom.config import DIMS, ENCODE_BATCH, MODEL_NAME, NORM_FLOOR
+from vectorloom.config import DIMS, ENCODE_BATCH, NORM_FLOOR
 
 
 class Encoder(Protocol):
@@ -43,39 +44,30 @@ class HashingEncoder:
         return component if int(digest[8], 16) < 8 else component + self.dim
 
     def encode(self, texts: list[str]) -> np.ndarray:
+        """Cut in Arrow; each distinct word of the batch is hashed once, and one count adds all up."""
         if len(self._slots) > self._CACHE_LIMIT:
             self._slots.clear()
-        out = np.zeros((len(texts), self.dim))
+        lowered = pc.ascii_lower(pa.array(texts, pa.large_string()))
+        split = pc.split_pattern_regex(lowered, r"[ \t-\r]+")
+        words = split.flatten().dictionary_encode()
         slots = self._slots
-        for row, text in enumerate(texts):
-            found = []
-            for word in text.encode("utf-8").lower().split():
-                slot = slots.get(word)
-                if slot is None:
-                    slot = slots[word] = self._slot(word)
-                found.append(slot)
-            counts = np.bincount(np.asarray(found, dtype=np.int64), minlength=2 * self.dim)
-            out[row] = counts[: self.dim] - counts[self.dim :]
-        return out
+        named = np.empty(len(words.dictionary), dtype=np.int64)
+        for i, word in enumerate(words.dictionary.to_pylist()):
+            word = word.encode("utf-8")
+            slot = slots.get(word)
+            if slot is None:
+                slot = slots[word] = self._slot(word) if word else -1
+            named[i] = slot
+        found = named[words.indices.to_numpy(zero_copy_only=False)]
+        cells = pc.list_parent_indices(split).to_numpy() * (2 * self.dim) + found
+        counts = np.bincount(cells[found >= 0], minlength=len(texts) * 2 * self.dim).reshape(len(texts), 2, self.dim)
+        return (counts[:, 0] - counts[:, 1]).astype(np.float64)
 
 
 def hashing_encoder(dim: int = DIMS[0]) -> Callable[[], Encoder]:
     return lambda: HashingEncoder(dim)
 
 
-def transformer_encoder(model_name: str = MODEL_NAME) -> Callable[[], Encoder]:
-    """Factory for a sentence-transformer model, where that package is installed."""
-
-    def load() -> Encoder:
-        from sentence_transformers import SentenceTransformer
-
-        model = SentenceTransformer(model_name)
-        model.dim = model.get_sentence_embedding_dimension()
-        return model
-
-    return load
-
-
 def unit_rows(matrix: np.ndarray) -> np.ndarray:
     lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.maximum(lengths, NORM_FLOOR)

@@ -115,11 +115,11 @@ _ARGUMENT_RULES = (
     (r"\\begin\{(?:array|tabular)\*?\}(?:\[[^\]]*\])?" + _ARG, " "),
     (r"\\(?:begin|end)" + _ARG, " "),
 )
-_NESTING = 3
+_BRACES = r"[^{}]"
 
 
 def _arguments(text: Column) -> Column:
-    """Macros with arguments; a text without any is looked at once per round."""
+    """Macros with arguments, innermost first, as many rounds as the text's braces are deep."""
 
     def one_round(current: Column, _: Column) -> Column:
         changed = current
@@ -127,7 +127,15 @@ def _arguments(text: Column) -> Column:
             changed = F.regexp_replace(changed, pattern, replacement)
         return F.when(F.rlike(current, F.lit(r"\\[A-Za-z]+\*?\s*[\[{]")), changed).otherwise(current)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(_NESTING)), text, one_round)
+    braces = F.split(F.regexp_replace(text, _BRACES, ""), "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(1).alias("most"))
+
+    def step(state: Column, sign: Column) -> Column:
+        now = F.greatest(state["now"] + F.when(sign == "{", 1).when(sign == "}", -1).otherwise(0), F.lit(0))
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    depth = F.aggregate(braces, start, step, lambda state: state["most"])
+    return F.aggregate(F.sequence(F.lit(1), depth), text, one_round)
 
 
 def _accents(text: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vectorloom.config import DIMS
 from vectorloom.functions.text import preview
 from vectorloom.functions.vectors import to_text
+from vectorloom.session import new_folder
 
 
 def _stack(parts: list[DataFrame]) -> DataFrame:
@@ -55,11 +56,13 @@ def missing_ids(wanted: DataFrame, present: DataFrame, key: str = "arxiv_id") ->
 
 
 def require_ids(wanted: DataFrame, present: DataFrame, key: str = "arxiv_id", order: str | None = None) -> None:
-    """Stop with a report when wanted ids are missing; at most 100 are named."""
+    """Stop when wanted ids are missing; all of them are in the report table that the error names."""
     missing = missing_ids(wanted, present, key)
-    sample = (missing.orderBy(order) if order else missing).limit(100).collect()
-    if sample:
-        raise ValueError(f"{missing.count()} id(s) missing: " + ", ".join(str(r[key]) for r in sample))
+    path = new_folder(wanted.sparkSession, "missing-ids")
+    (missing.orderBy(order) if order else missing).write.parquet(path)
+    count = wanted.sparkSession.read.schema(missing.schema).parquet(path).count()
+    if count:
+        raise ValueError(f"{count} id(s) missing, listed in {path}")
 
 
 def in_list(df: DataFrame, ids: DataFrame, key: str = "arxiv_id") -> DataFrame:

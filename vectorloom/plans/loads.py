@@ -94,15 +94,16 @@ def _pending(
     return absent_from(recent, done.where(days), ["arxiv_id"], recent.count())
 
 
+def last_run(lake: Lake) -> tuple[datetime, int] | None:
+    """Start and batch number of the last run that went through, or None."""
+    newest = F.max(F.struct(F.unix_micros("started_at").alias("us"), "batch_id")).alias("run")
+    run = lake.read("runs").where(F.col("status") == "success").agg(newest).first()["run"]
+    return None if run is None else (datetime.fromtimestamp(run["us"] / 1e6, timezone.utc), run["batch_id"])
+
+
 def last_success(lake: Lake) -> datetime | None:
-    """Start of the last run that went through, or None."""
-    row = (
-        lake.read("runs")
-        .where(F.col("status") == "success")
-        .agg(F.max(F.unix_micros("started_at")).alias("us"))
-        .first()
-    )
-    return None if row["us"] is None else datetime.fromtimestamp(row["us"] / 1e6, timezone.utc)
+    run = last_run(lake)
+    return run and run[0]
 
 
 def log_run(lake: Lake, batch_id: int, counts: Counts, started: datetime, status: str) -> None:
@@ -125,14 +126,16 @@ def run_stages(
     model_name: str = MODEL_NAME,
     batch_id: int = -1,
     small: bool = False,
+    whole: bool = False,
 ) -> Counts:
     """Bronze, silver and gold for some lines; a failure is logged and raised.
 
-    A failed run leaves what it appended. The next one starts from the last
-    success, so the anti-joins pick up the rest.
+    Only rows since the last success are compared between the layers, so a load
+    costs what is new. A failed run leaves what it appended, and the next one
+    picks up the rest. ``whole`` compares all rows of the layers.
     """
     started = datetime.now(timezone.utc)
-    since = last_success(lake) if small else None
+    since = None if whole else last_success(lake)
     counts = Counts()
     try:
         counts.bronze, bad_lines = load_bronze(lake, lines, started, small)

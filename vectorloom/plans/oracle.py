@@ -238,7 +238,7 @@ ORACLE = {
     "page_newest": """
       SELECT page, count(*) AS rows, strftime(greatest(max(ts), TIMESTAMP '2024-01-20 01:00:00'), '%Y-%m-%d %H:%M:%S') AS newest
       FROM (SELECT ts, (row_number() OVER (ORDER BY ts, event_id) - 1) // 100 AS page FROM events
-        WHERE ts >= TIMESTAMP '2024-01-20' ORDER BY ts, event_id LIMIT 1000) GROUP BY page""",
+        WHERE ts >= TIMESTAMP '2024-01-20') GROUP BY page""",
     "checkpoint_next": """
       SELECT count(*) AS rows, strftime(max(ts) + INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S') AS checkpoint FROM events""",
     "state_latest": """

@@ -597,9 +597,10 @@ def date_range_filter(spark, folder):
 
 
 def sorted_fetch(spark, folder):
-    """Oldest events since a day in pages of 100, at most 1000."""
+    """Oldest events since a day in pages of 100, at most 1000 as asked for."""
     events = table(spark, folder, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("published"), "event_type")
-    return fetch(events, since="20240110", where=F.col("event_type") != "error").select("id", "page")
+    found = fetch(events, since="20240110", where=F.col("event_type") != "error", max_total=1000)
+    return found.select("id", "page")
 
 
 def page_newest(spark, folder):

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vectorloom.config import FEED_CAP, FETCH_CAP, FETCH_PAGE
+from vectorloom.config import FETCH_PAGE
 from vectorloom.functions.fields import submitted_between
 from vectorloom.functions.text import comma_list, id_from_url, strip, strip_html
-from vectorloom.sources.lines import FILE_COLUMNS, with_position
+from vectorloom.session import stored
+from vectorloom.sources.lines import FILE_COLUMNS, ROW_BITS, with_position
 
 # Elements are matched without their namespace prefix.
 _ATOM = (
@@ -66,10 +67,10 @@ def atom_records(entries: DataFrame) -> DataFrame:
     ).where(F.col("id").isNotNull())
 
 
-def rss_records(items: DataFrame, category: str, max_papers: int | None = FEED_CAP) -> DataFrame:
-    """Feed items to records, at most ``max_papers`` of each feed file.
+def rss_records(items: DataFrame, category: str, max_papers: int | None = None) -> DataFrame:
+    """Feed items to records, all of them unless ``max_papers`` of each feed file are asked for.
 
-    The cap is the feed's own: the first usable items in document order. Each
+    Those are the first usable items in document order. Each
     task drops surplus items before the shuffle.
     """
     records = with_position(items).select(
@@ -104,18 +105,39 @@ def fetch(
     until: str | None = None,
     where: Column | None = None,
     page_size: int = FETCH_PAGE,
-    max_total: int = FETCH_CAP,
+    max_total: int | None = None,
     tie: str = "id",
 ) -> DataFrame:
-    """Records of a day range, oldest first, numbered in pages, up to a total.
+    """Records of a day range, oldest first, numbered in pages.
 
-    The total is the size of the fetch asked for; ordering with a limit keeps
-    that many rows per task and never sorts the whole input.
+    Without ``max_total`` all records: they are dealt by range of time, and the
+    sizes of the parts give each row its place, so no task sees all rows. With
+    it, ordering with a limit keeps that many rows per task.
     """
     when = F.col(published)
     found = records.where(submitted_between(when, since, until))
     if where is not None:
         found = found.where(where)
-    capped = found.orderBy(when.asc(), F.col(tie).asc()).limit(max_total)
-    place = F.row_number().over(Window.orderBy(when.asc(), F.col(tie).asc()))
+    order = [when.asc(), F.col(tie).asc()]
+    if max_total is None:
+        return _all_pages(found, order, page_size)
+    capped = found.orderBy(*order).limit(max_total)
+    place = F.row_number().over(Window.orderBy(*order))
     return capped.withColumn("page", F.floor((place - 1) / F.lit(page_size)).cast("long"))
+
+
+def _all_pages(found: DataFrame, order: list[Column], page_size: int) -> DataFrame:
+    """Pages over a global order: row number in the part plus the rows of the parts before."""
+    placed = stored(
+        found.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))),
+        "pages",
+    )
+    # One row per part.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    starts = parts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    page = F.floor((F.col("_start") + F.col("_row")) / F.lit(page_size)).cast("long")
+    return placed.join(starts, "_part").withColumn("page", page).drop("_part", "_row", "_start")

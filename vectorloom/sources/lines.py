@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vectorloom.config import MAX_BROADCAST_FILES
 from vectorloom.session import stored
 
 # monotonically_increasing_id() keeps the row number inside a task in its low 33 bits.
-_ROW_BITS = (1 << 33) - 1
+ROW_BITS = (1 << 33) - 1
 # Spark gives paths percent-encoded; the path stays so as a key, the name is shown as it
 # is. A plus sign is not an encoded space here.
 FILE_COLUMNS = (
@@ -35,17 +34,17 @@ def stream_lines(
     archive_dir: str | None = None,
     max_file_age: str = "36500d",
 ) -> DataFrame:
-    """New files of a folder as a stream, oldest first, each file name once.
+    """New files of a folder as a stream, oldest first, each path once.
 
-    Files present at the start are read first. A file moved in later may carry
-    an old time, so ``max_file_age`` is long; lower it when old arrivals cannot
-    happen, as Spark remembers every name younger than that.
+    Files present at the start are read first. Files of one name in different
+    folders are different files. A file moved in later may carry an old time, so
+    ``max_file_age`` is long; lower it when old arrivals cannot happen, as Spark
+    remembers every path younger than that.
     """
     reader = (
         spark.readStream.format("text")
         .option("pathGlobFilter", f"*{suffix}")
         .option("latestFirst", "false")
-        .option("fileNameOnly", "true")
         .option("maxFileAge", max_file_age)
     )
     if max_files:
@@ -64,48 +63,30 @@ def with_position(lines: DataFrame) -> DataFrame:
     has at least one byte, so it stays below the offset of the next block:
     unique and ordered with neither a shuffle nor a count.
     """
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))
     return lines.withColumn("source_pos", F.col("block_start") + row)
 
 
-def with_sequence(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """Add ``seq``: one number ordered by file path, then line.
+def with_sequence(lines: DataFrame) -> DataFrame:
+    """Add ``seq``: one number ordered by file path, then line, unique over all files.
 
-    ``files`` lists each path with its size; only this list, which the driver
-    holds anyway to plan the scan, is put in order in one task. Up to a counted
-    size it is broadcast, so the lines are not shuffled. The factor leaves room
-    for compressed files, whose rows may outnumber their bytes.
+    A task reads several files and counts on from one to the next, so a short
+    file can hold high positions. Each file therefore gets as many numbers as
+    its highest position asks for: one pass that parses nothing, and a running
+    sum over the files, one row each. The sums are stored, so Spark knows their
+    size and broadcasts them when they are small.
     """
-    before = Window.orderBy("source_path").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = files.select(
-        "source_path",
-        F.coalesce(F.sum(F.col("file_size") + 1).over(before), F.lit(0)).alias("bytes_before"),
-    )
-    if files.count() <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
     placed = lines if "source_pos" in lines.columns else with_position(lines)
-    joined = placed.join(offsets, "source_path")
-    return joined.withColumn("seq", F.col("bytes_before") * 1024 + F.col("source_pos")).drop("bytes_before")
-
-
-def list_files(spark: SparkSession, path: str | list[str], suffix: str | None = None) -> DataFrame:
-    """Paths and sizes without reading any content."""
-    reader = spark.read.format("binaryFile")
-    if suffix:
-        reader = reader.option("pathGlobFilter", f"*{suffix}")
-    return reader.load(path).selectExpr(
-        "_metadata.file_path AS source_path", "_metadata.file_size AS file_size"
-    )
+    before = Window.orderBy("source_path").rowsBetween(Window.unboundedPreceding, -1)
+    rooms = placed.groupBy("source_path").agg((F.max("source_pos") + 1).alias("room"))
+    starts = rooms.select("source_path", F.coalesce(F.sum("room").over(before), F.lit(0)).alias("file_start"))
+    joined = placed.join(stored(starts, "files"), "source_path")
+    return joined.withColumn("seq", F.col("file_start") + F.col("source_pos")).drop("file_start")
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], suffix: str | None = None) -> DataFrame:
     """Lines of JSON-lines files in arrival order (``seq``)."""
-    return with_sequence(scan_lines(spark, path, suffix), list_files(spark, path, suffix))
-
-
-def batch_lines(batch: DataFrame) -> DataFrame:
-    """The same for one micro-batch of ``stream_lines``."""
-    return with_sequence(batch, batch.select("source_path", "file_size").distinct())
+    return with_sequence(scan_lines(spark, path, suffix))
 
 
 def block_starts(lines: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,9 +14,9 @@ from vectorloom.config import MODEL_NAME, POLL_SECONDS, STATE_KEY
 from vectorloom.functions.encoders import Encoder
 from vectorloom.operators.checkpoint import next_checkpoint, parse_checkpoint
 from vectorloom.operators.lake import Lake
-from vectorloom.plans.loads import Counts, run_stages
+from vectorloom.plans.loads import last_run, run_stages
 from vectorloom.sources.feeds import record_lines
-from vectorloom.sources.lines import batch_lines, read_jsonl
+from vectorloom.sources.lines import read_jsonl, with_sequence
 from vectorloom.sources.notifications import existing_paths, parse_messages
 
 
@@ -42,7 +43,12 @@ def load_stream(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         here = lake.on(batch.sparkSession)
-        run_stages(here, batch_lines(batch), factory, model_name, batch_id, small=True)
+        # Kept, so that the files of the batch are read once.
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            run_stages(here, with_sequence(kept), factory, model_name, batch_id, small=True)
+        finally:
+            kept.unpersist()
 
     return _start(lines, each, checkpoint, interval, once)
 
@@ -88,19 +94,43 @@ def load_feed(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         start = datetime.now(timezone.utc)
-        records = to_records(batch)
         here = lake.on(batch.sparkSession)
-        counts = run_stages(here, batch_lines(record_lines(records)), factory, model_name, batch_id, small=True)
-        here.set_state(state_key, _advance(here, records, counts, state_key, timed, start))
+        before = last_run(here)
+        records = to_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            run_stages(here, with_sequence(record_lines(records)), factory, model_name, batch_id, small=True)
+            here.set_state(state_key, _advance(here, records, _cut(before, batch_id), state_key, timed, start))
+        finally:
+            records.unpersist()
 
     return _start(entries, each, checkpoint, interval, once)
 
 
-def _advance(lake: Lake, records: DataFrame, counts: Counts, key: str, timed: bool, start: datetime) -> str:
+def _cut(before: tuple[datetime, int] | None, batch_id: int) -> datetime | None:
+    """Time from which rows of bronze count as new for a batch.
+
+    After the last success, so what failed runs left counts. Where the last
+    success was this same batch, a crash came between its last append and the
+    end of the batch: its rows count again.
+    """
+    if before is None:
+        return None
+    started, last = before
+    return started if last == batch_id else started + timedelta(microseconds=1)
+
+
+def _advance(
+    lake: Lake, records: DataFrame, success: datetime | None, key: str, timed: bool, start: datetime
+) -> str:
+    """Next checkpoint from the records of the batch that bronze holds since ``success``."""
     now = F.lit(start).cast("timestamp")
     since = parse_checkpoint(F.lit(lake.get_state(key)).cast("string"), now) if timed else now
-    seen = records.select(F.try_to_timestamp("published").alias("published"))
-    if counts.bronze == counts.silver == counts.gold == 0:
-        seen = seen.limit(0)
+    loaded = lake.read("bronze")
+    if success is not None:
+        loaded = loaded.where(
+            (F.col("ingested_on") >= F.lit(success.date())) & (F.col("ingested_at") >= F.lit(success).cast("timestamp"))
+        )
+    new = records.join(loaded.select(F.col("arxiv_id").alias("id")), "id", "left_semi")
+    seen = new.select(F.try_to_timestamp("published").alias("published"))
     stamp = F.date_format("checkpoint", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("value")
     return next_checkpoint(seen, since, now).select(stamp).first()["value"]
