@@ -17,7 +17,7 @@ def test_query(spark, sf_dir, duck, name):
     df = queries()[name](spark, sf_dir)
     sql = oracle_sql().get(name)
     if sql is None:
-        assert name == "vector_topk_approx" and df.count() > 0
+        raise AssertionError(f"{name} has no SQL")
     else:
         assert differences(df, duck, sql) is None
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from vectorloom.config import DIMS
 from vectorloom.functions import vectors
 from vectorloom.functions.encoders import HashingEncoder, encoder_udf, hashing_encoder, unit_rows
-from vectorloom.operators.approx import build_cells, recall, top_k_cells
+from vectorloom.operators.approx import build_cells, fit_centres, recall, top_k_cells
 from vectorloom.operators.retrieval import evaluate, scores, true_ranks
 from vectorloom.operators.search import embed_queries, search, search_filter
 from vectorloom.operators.topk import top_k
@@ -141,7 +141,7 @@ def test_top_k_small_blocks(spark, data, monkeypatch):
 
     rows = pa.array([list(map(float, r)) for r in matrix], pa.list_(pa.float32()))
     monkeypatch.setattr(topk, "_BLOCK_PRODUCTS", 50)
-    best = topk._scan(iter([(pa.array(ids), rows, None)]), queries, (16,), 10)[16]
+    best = topk._scan(iter([(pa.array(ids), rows)]), queries, (16,), 10)[16]
     order = np.lexsort((best.ids, best.distance, best.query))
     got = [(int(best.query[i]), str(best.ids[i])) for i in order]
     assert got == [(q, key) for q, _, key in brute(matrix, ids, queries, 10)]
@@ -167,13 +167,15 @@ def test_cells(spark, tmp_path):
     stored = frame(spark, matrix)
     queries = as_queries(spark, centres + 0.05 * rng.normal(size=(8, 16)))
     path = str(tmp_path / "cells")
-    fitted = build_cells(stored, path, cells=8)
+    fitted = fit_centres(stored, 8)
+    build_cells(stored, path, fitted)
     exact = top_k(stored, queries, 10)
-    near = top_k_cells(spark, path, fitted, queries, 10, probes=3)
+    near = top_k_cells(spark, path, fitted, queries, 3, 10)
     assert recall(near, exact, "query_id", "arxiv_id").first().recall >= 0.9
-    assert ranked(top_k_cells(spark, path, fitted, queries, 10, probes=len(fitted))) == ranked(exact)
-    assert ranked(top_k_cells(spark, path, fitted, queries, 10, max_queries=2)) == ranked(exact)
-    one = top_k_cells(spark, path, fitted, queries.where("query_id = 0"), 10, probes=1)
+    assert ranked(top_k_cells(spark, path, fitted, queries, len(fitted), 10)) == ranked(exact)
+    # Many queries go in blocks and keep their probes.
+    assert ranked(top_k_cells(spark, path, fitted, queries, 3, 10, max_queries=2)) == ranked(near)
+    one = top_k_cells(spark, path, fitted, queries.where("query_id = 0"), 1, 10)
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [(cell" in plan
 
@@ -182,11 +184,11 @@ def test_cells_find_most_neighbours_of_unclustered_vectors(spark, sf_dir, tmp_pa
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     queries = rows.where("vec_id < 50").selectExpr("vec_id AS query_id", "embedding AS query_vector")
     path = str(tmp_path / "cells")
-    fitted = build_cells(rows, path, id_col="vec_id", vector_col="embedding")
-    assert len(fitted) == int(rows.count() ** 0.5)
+    fitted = fit_centres(rows, 12, "embedding")
+    build_cells(rows, path, fitted, "vec_id", "embedding")
     assert spark.read.parquet(path).count() == rows.count(), "every vector is stored"
     exact = top_k(rows, queries, 10, "vec_id", "embedding")
-    near = top_k_cells(spark, path, fitted, queries, 10, len(fitted) * 2 // 3, "vec_id", "embedding")
+    near = top_k_cells(spark, path, fitted, queries, 8, 10, "vec_id", "embedding")
     assert recall(near, exact, "query_id", "vec_id").first().recall > 0.8
 
 

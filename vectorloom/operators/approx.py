@@ -1,6 +1,6 @@
 """Approximate nearest neighbours: vectors stored by cluster, few clusters read.
 
-MLlib k-means splits the vectors into cells, one table partition each. A query
+Centres, such as those of MLlib k-means, split the vectors into cells, one table partition each. A query
 reads the cells whose centres are nearest to it, so the scan shrinks with the
 share of cells probed, and ranks their vectors exactly. Probing every cell
 gives the exact answer.
@@ -8,7 +8,6 @@ gives the exact answer.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,48 +17,63 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectorloom.config import MAX_BROADCAST_KEYS, MAX_BROADCAST_QUERIES, TOP_K
-from vectorloom.operators.topk import _emit, _matrix, _output, _scan, best_of, top_k
-from vectorloom.session import scan_tasks
+from vectorloom.config import MAX_BROADCAST_QUERIES, TIE_DECIMALS, TOP_K
+from vectorloom.operators.topk import _emit, _matrix, _output, _scan, best_of
+from vectorloom.session import scan_tasks, stored
+
+def _nearness(matrix: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Cosine of every row to every centre; rounded, so that ties go by the number of the centre."""
+    lengths = np.maximum(np.linalg.norm(matrix, axis=1), 1e-300)[:, None]
+    return np.round((matrix / lengths) @ (centres / np.linalg.norm(centres, axis=1, keepdims=True)).T, TIE_DECIMALS)
 
-# Vectors per cell the centres are fitted on; fitting on more hardly moves them.
-_TRAIN_PER_CELL = 256
-# The centres are sent to every task.
-_MAX_CELLS = 16_384
+
+def fit_centres(
+    vectors: DataFrame, cells: int, vector_col: str = "embedding_384", seed: int = 7, rounds: int = 20
+) -> np.ndarray:
+    """Centres of k-means by cosine, fitted on all vectors."""
+    points = _with_direction(vectors, vector_col).select(
+        array_to_vector(F.col(vector_col).cast("array<double>")).alias("features")
+    )
+    model = KMeans(k=cells, seed=seed, distanceMeasure="cosine", maxIter=rounds).fit(points)
+    return np.asarray(model.clusterCenters())
+
+
+def _with_direction(vectors: DataFrame, vector_col: str) -> DataFrame:
+    """Without vectors of length zero, which no search returns either."""
+    column = F.col(vector_col)
+    return vectors.where(column.isNotNull() & F.exists(column, lambda x: x != 0))
 
 
 def build_cells(
     vectors: DataFrame,
     path: str,
-    cells: int | None = None,
+    centres: np.ndarray,
     id_col: str = "arxiv_id",
     vector_col: str = "embedding_384",
-    seed: int = 7,
-) -> np.ndarray:
-    """Write the vectors partitioned by cell under ``path``; returns the centres.
+) -> None:
+    """Write the vectors under ``path``, each in the cell of its nearest centre.
 
-    The number of cells follows the square root of the table unless given, so
-    cells and the list of centres grow alike. Every vector is stored; only the fitting of the centres may use a share of
-    them. Rebalancing splits a cell that holds a large part of the rows.
+    The centres, from ``fit_centres`` or any other source, are sent to every
+    task: their number is the caller's choice. Rebalancing splits a cell that
+    holds a large part of the rows.
     """
-    rows = vectors.select(id_col, vector_col).where(F.col(vector_col).isNotNull())
-    total = rows.count()
-    cells = cells or min(_MAX_CELLS, max(2, math.isqrt(total)))
-    points = rows.withColumn("features", array_to_vector(F.col(vector_col).cast("array<double>")))
-    # Cosine k-means rejects vectors of length zero, which no search returns either.
-    nonzero = points.where(F.exists(F.col(vector_col), lambda x: x != 0))
-    share = min(1.0, cells * _TRAIN_PER_CELL / max(1, total))
-    train = nonzero if share == 1.0 else nonzero.sample(share, seed)
-    model = KMeans(k=cells, seed=seed, distanceMeasure="cosine", maxIter=20, predictionCol="cell").fit(train)
+    rows = _with_direction(vectors, vector_col).select(id_col, vector_col)
+    shared = vectors.sparkSession.sparkContext.broadcast(centres)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = _nearness(_matrix(batch.column(1), shared.value.shape[1]), shared.value)
+            cell = pa.array(near.argmax(axis=1).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, cell], [*batch.schema.names, "cell"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     (
-        model.transform(nonzero)
-        .select(id_col, vector_col, "cell")
+        rows.mapInArrow(placed, f"{fields}, cell INT")
         .hint("rebalance", "cell")
         .write.mode("overwrite")
         .partitionBy("cell")
         .parquet(path)
     )
-    return np.asarray(model.clusterCenters())
 
 
 def top_k_cells(
@@ -67,8 +81,8 @@ def top_k_cells(
     path: str,
     centres: np.ndarray,
     queries: DataFrame,
+    probes: int,
     k: int = TOP_K,
-    probes: int | None = None,
     id_col: str = "arxiv_id",
     vector_col: str = "embedding_384",
     query_id: str = "query_id",
@@ -77,46 +91,49 @@ def top_k_cells(
 ) -> DataFrame:
     """Nearest vectors of each query among its ``probes`` nearest cells.
 
-    By default a quarter of the cells. How many are needed for a recall depends
-    on how clustered the vectors are: measure it with ``recall``.
-
-    More queries than may be broadcast would probe nearly every cell between
-    them; they get the exact search over all cells instead.
+    How many cells a recall needs depends on how clustered the vectors are:
+    measure it with ``recall``. A cell is multiplied only with the queries that
+    probe it. More queries than ``max_queries`` go in blocks, one pass over the
+    cells that the block probes each.
     """
-    stored = spark.read.parquet(path)
+    cells = spark.read.parquet(path)
     wanted = queries.select(query_id, query_vector).where(F.col(query_vector).isNotNull())
-    head = wanted.limit(max_queries + 1).toArrow()
-    if head.num_rows == 0 or head.num_rows > max_queries:
-        return top_k(
-            stored, wanted, k, id_col, vector_col, query_id, query_vector, max_broadcast=max_queries
-        )
+    # Stored, as the frame may hold the encoder and is counted and read.
+    wanted = stored(wanted, "queries")
+    blocks = max(1, -(-wanted.count() // max_queries))
+    found = None
+    for block in range(blocks):
+        part = wanted.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == block) if blocks > 1 else wanted
+        one = _probe(cells, centres, part, queries, probes, k, id_col, vector_col, query_id)
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _probe(cells, centres, part, queries, probes, k, id_col, vector_col, query_id) -> DataFrame:
+    asked = part.toArrow()
     size = centres.shape[1]
-    matrix = _matrix(head.column(1).combine_chunks(), size)
-    lengths = np.maximum(np.linalg.norm(matrix, axis=1), 1e-300)[:, None]
-    nearness = (matrix / lengths) @ (centres / np.linalg.norm(centres, axis=1, keepdims=True)).T
-    probes = probes or max(1, len(centres) // 4)
-    allowed = np.zeros(nearness.shape, dtype=bool)
-    chosen = np.argsort(-nearness, axis=1, kind="stable")[:, :probes]
+    matrix = _matrix(asked.column(1).combine_chunks(), size)
+    allowed = np.zeros((len(matrix), len(centres)), dtype=bool)
+    chosen = np.argsort(-_nearness(matrix, centres), axis=1, kind="stable")[:, :probes]
     np.put_along_axis(allowed, chosen, True, axis=1)
     probed = [int(c) for c in np.flatnonzero(allowed.any(axis=0))]
-    schema, names = _output(stored, queries, query_id, id_col)
-    shared = spark.sparkContext.broadcast((matrix, allowed, head.column(0).combine_chunks()))
+    schema, names = _output(cells, queries, query_id, id_col)
+    shared = cells.sparkSession.sparkContext.broadcast((matrix, allowed, asked.column(0).combine_chunks()))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vectors, cells, ids = shared.value
-        id_type = None
-
-        def triples():
-            nonlocal id_type
-            for batch in batches:
-                id_type = batch.column(0).type
-                yield batch.column(0), batch.column(1), batch.column(2)
-
-        yield from _emit(_scan(triples(), vectors, (size,), k, cells), ids, id_type, names)
-
-    rows = stored.where(F.col("cell").isin(probed)).select(id_col, vector_col, "cell")
-    ranked = best_of(rows.mapInArrow(nearest, schema), query_id, id_col, k, scan_tasks(rows))
-    return F.broadcast(ranked) if head.num_rows * k <= MAX_BROADCAST_KEYS else ranked
+        vectors, probing, ids = shared.value
+        for batch in batches:
+            cell = batch.column(2).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(np.diff(cell)) + 1), len(cell)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                mine = np.flatnonzero(probing[:, cell[lo]]) if hi > lo else []
+                if len(mine):
+                    run = batch.slice(lo, hi - lo)
+                    best = _scan(iter([(run.column(0), run.column(1))]), vectors[mine], (size,), k)
+                    yield from _emit(best, ids.take(pa.array(mine)), run.column(0).type, names)
+
+    rows = cells.where(F.col("cell").isin(probed)).select(id_col, vector_col, "cell")
+    return best_of(rows.mapInArrow(nearest, schema), query_id, id_col, k, scan_tasks(rows))
 
 
 def recall(approximate: DataFrame, exact: DataFrame, query_id: str, id_col: str) -> DataFrame:

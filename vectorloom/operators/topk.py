@@ -71,22 +71,20 @@ def _matrix(vectors: pa.Array, size: int) -> np.ndarray:
 
 
 def _scan(
-    batches: Iterator[tuple[pa.Array, pa.Array, pa.Array | None]],
+    batches: Iterator[tuple[pa.Array, pa.Array]],
     matrix: np.ndarray,
     dims: Sequence[int],
     k: int,
-    allowed: np.ndarray | None = None,
 ) -> dict[int, _Best]:
     """Best k per query and size over the batches of one task."""
     count, size = matrix.shape
     best = {d: _Best(count, k) for d in dims}
     lengths = {d: np.sqrt((matrix[:, :d] ** 2).sum(axis=1)) for d in dims}
     step = max(1, _BLOCK_PRODUCTS // max(1, count))
-    for ids, vectors, cells in batches:
+    for ids, vectors in batches:
         present = pc.and_(ids.is_valid(), vectors.is_valid())
         if not pc.all(present).as_py():
             ids, vectors = ids.filter(present), vectors.filter(present)
-            cells = cells.filter(present) if cells is not None else None
         for start in range(0, len(ids), step):
             block = _matrix(vectors.slice(start, step), size)
             products = np.zeros((len(block), count))
@@ -100,9 +98,6 @@ def _scan(
                     cosine = products / (np.sqrt(squares)[:, None] * lengths[d][None, :])
                 distance = np.round(1.0 - cosine, TIE_DECIMALS)
                 distance[~np.isfinite(distance)] = np.nan
-                if allowed is not None:
-                    cell = cells.slice(start, step).to_numpy(zero_copy_only=False)
-                    distance[~allowed[:, cell].T] = np.nan
                 best[d].add(distance, ids.slice(start, step))
     return best
 
@@ -187,7 +182,7 @@ def top_k(
             nonlocal id_type
             for batch in batches:
                 id_type = batch.column(0).type
-                yield batch.column(0), batch.column(1), None
+                yield batch.column(0), batch.column(1)
 
         best = _scan(pairs(), matrix, sizes, k)
         yield from _emit(best, ids, id_type, names)
@@ -231,7 +226,7 @@ def _top_k_blocks(
             rows = block_vectors.column(vector_col).combine_chunks()
             query_rows = block_queries.column(query_vector).combine_chunks()
             size = len(query_rows[0])
-            best = _scan(iter([(ids, rows, None)]), _matrix(query_rows, size), tuple(dims or (size,)), k)
+            best = _scan(iter([(ids, rows)]), _matrix(query_rows, size), tuple(dims or (size,)), k)
             batches = list(_emit(best, block_queries.column(query_id).combine_chunks(), ids.type, names))
         if not batches:
             out_schema = pa.schema(

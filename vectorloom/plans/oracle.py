@@ -107,6 +107,29 @@ ORACLE = {
       WITH {_STORED}, {_CENTRE}, {_ranked('stored', 'centre', '10', _FULL)}
       SELECT rank, vid AS vec_id, round(1 - distance, 4) AS score FROM ranked""",
     "vector_topk_all_cells": _BY_LABEL_FULL,
+    "vector_topk_approx": f"""
+      WITH {_STORED}, {_MEANS},
+      cells AS (
+        SELECT s.k, s.v, m.k AS cell FROM stored s CROSS JOIN means m
+        QUALIFY row_number() OVER (PARTITION BY s.k ORDER BY round(list_cosine_similarity(s.v, m.v), 12) DESC, m.k) = 1),
+      probes AS (
+        SELECT q.k AS qid, q.v, m.k AS cell FROM means q CROSS JOIN means m
+        QUALIFY row_number() OVER (PARTITION BY q.k ORDER BY round(list_cosine_similarity(q.v, m.v), 12) DESC, m.k) <= 3),
+      ranked AS (
+        SELECT qid, c.k AS vid, round(1 - list_cosine_similarity(c.v, p.v), 12) AS distance,
+          row_number() OVER (PARTITION BY qid ORDER BY round(1 - list_cosine_similarity(c.v, p.v), 12), c.k) AS rank
+        FROM probes p JOIN cells c USING (cell) QUALIFY rank <= 10)
+      SELECT qid AS label, rank, vid AS vec_id, round(1 - distance, 4) AS score FROM ranked""",
+    "first_wins_many_files": """
+      WITH w AS (SELECT source, min(doc_id) AS winner FROM documents GROUP BY source)
+      SELECT way, source AS arxiv_id, winner, md5(text) AS text_md5
+      FROM w JOIN documents d USING (source) CROSS JOIN (VALUES ('batch'), ('stream')) v(way) WHERE d.doc_id = winner""",
+    "latex_clean": r"""
+      WITH f AS (SELECT doc_id, source, lang, regexp_extract(text, '^[A-Za-z]*') AS word FROM documents)
+      SELECT doc_id AS id,
+        trim(regexp_replace(source || ' ' || lang || ' ' || doc_id || '/√(' || word || ') <cit.> été 50% $' || doc_id || ' <ref> ' || word || ' α '
+        || list_aggregate(list_reverse(range(1, doc_id % 8 + 2)), 'string_agg', '/') || '/x', ' +', ' ', 'g')) AS cleaned,
+        upper(substr('\textbf{' || source, 1, 12)) AS swapped FROM f""",
     "vector_distance": f"""
       WITH {_MEANS}
       SELECT vec_id, label, round(1 - c, 6) AS distance, round(c, 4) + 0.0::DOUBLE AS score FROM (

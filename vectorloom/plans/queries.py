@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from vectorloom.config import TOP_K, nested_dims
 from vectorloom.functions import fields, text, vectors
 from vectorloom.functions.encoders import HashingEncoder, encoder_udf, hashing_encoder
 from vectorloom.operators import listing, quality, tables
-from vectorloom.operators.approx import build_cells, top_k_cells
+from vectorloom.operators.approx import build_cells, fit_centres, top_k_cells
 from vectorloom.operators.checkpoint import next_checkpoint, pages_newest
 from vectorloom.operators.export import split_parts, write_jsonl
 from vectorloom.operators.lake import Lake
@@ -21,7 +22,7 @@ from vectorloom.operators.retrieval import scores, true_ranks
 from vectorloom.operators.search import embed_queries, recent, search, search_filter
 from vectorloom.operators.topk import top_k
 from vectorloom.plans.loads import load_files
-from vectorloom.plans.stages import parse_lines
+from vectorloom.plans.stages import clean_rows, parse_lines
 from vectorloom.session import new_folder, spread, stored
 from vectorloom.sources.feeds import atom_records, fetch, rss_records, scan_atom, scan_rss
 from vectorloom.sources.lines import head_lines, read_jsonl, scan_lines, stream_lines
@@ -153,32 +154,30 @@ def vector_topk_single(spark, folder):
     return found.select("rank", "vec_id", vectors.score(F.col("distance")).alias("score"))
 
 
-def vector_topk_approx(spark, folder):
-    """Nearest vectors of each label's mean among the clusters next to it.
+def _label_centres(spark, folder) -> np.ndarray:
+    """Label means in label order: given centres, one row per label."""
+    means = _prototypes(spark, folder).where(F.col("label").isNotNull()).orderBy("label").collect()
+    return np.array([r["query_vector"] for r in means])
 
-    The given vectors have no clusters of their own, so two thirds of the cells
-    are read to find nine in ten of the true neighbours.
-    """
-    rows = table(spark, folder, "embeddings")
+
+def _cell_search(spark, folder, centres, probes):
     path = new_folder(spark, "cells")
-    centres = build_cells(rows, path, id_col="vec_id", vector_col="embedding")
+    build_cells(table(spark, folder, "embeddings"), path, centres, "vec_id", "embedding")
     found = top_k_cells(
-        spark, path, centres, _prototypes(spark, folder), probes=len(centres) * 2 // 3,
-        id_col="vec_id", vector_col="embedding", query_id="label",
+        spark, path, centres, _prototypes(spark, folder), probes, id_col="vec_id", vector_col="embedding", query_id="label"
     )
     return found.select("label", "rank", "vec_id", vectors.score(F.col("distance")).alias("score"))
 
 
+def vector_topk_approx(spark, folder):
+    """Nearest vectors of each label's mean in three cells; the cells have the label means as their centres."""
+    return _cell_search(spark, folder, _label_centres(spark, folder), 3)
+
+
 def vector_topk_all_cells(spark, folder):
-    """Cluster search that probes every cluster: the exact answer."""
-    rows = table(spark, folder, "embeddings")
-    path = new_folder(spark, "cells")
-    centres = build_cells(rows, path, cells=8, id_col="vec_id", vector_col="embedding")
-    found = top_k_cells(
-        spark, path, centres, _prototypes(spark, folder), probes=len(centres),
-        id_col="vec_id", vector_col="embedding", query_id="label",
-    )
-    return found.select("label", "rank", "vec_id", vectors.score(F.col("distance")).alias("score"))
+    """Cluster search that probes every fitted cluster: the exact answer."""
+    centres = fit_centres(table(spark, folder, "embeddings"), 8, "embedding")
+    return _cell_search(spark, folder, centres, len(centres))
 
 
 def vector_distance(spark, folder):
@@ -303,6 +302,55 @@ def bronze_ingest(spark, folder):
     )
 
 
+def first_wins_many_files(spark, folder):
+    """One-line files before larger ones, ids repeated: the winner of each id, by batch load and by stream.
+
+    A document's source is its id, the first hundred documents are files of their own.
+    """
+    path = new_folder(spark, "many")
+    rows = papers(spark, folder).withColumn("id", F.col("authors")[0])
+    single = F.concat(F.lit("a"), F.lpad(F.col("doc_id").cast("string"), 3, "0"))
+    line = F.to_json(F.struct("id", "title", "abstract", "doc_id"))
+    named = rows.select(line.alias("value"), F.when(F.col("doc_id") < 100, single).otherwise("b").alias("part"), "doc_id")
+    few = named.where("part != 'b'").repartition("part")
+    few.select("value", "part").write.partitionBy("part").text(path)
+    named.where("part = 'b'").sort("doc_id").select("value", "part").write.mode("append").partitionBy("part").text(path)
+    out = None
+    for way in ("batch", "stream"):
+        lake = _new_lake(spark)
+        if way == "batch":
+            load_files(lake, path, hashing_encoder(DIM), MODEL)
+        else:
+            files = stream_lines(spark, path, suffix=".txt")
+            load_stream(lake, files, hashing_encoder(DIM), new_folder(spark, "checkpoint"), once=True, model_name=MODEL).awaitTermination()
+        found = lake.read("bronze").select(
+            F.lit(way).alias("way"), "arxiv_id", fields.json_field(F.col("raw_data"), "doc_id", "bigint").alias("winner"),
+            F.md5(fields.json_field(F.col("raw_data"), "abstract", "string")).alias("text_md5"),
+        )
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def latex_clean(spark, folder):
+    """Macros around facts of each document, cleaned by the text rules and by another cleaner."""
+    word = F.regexp_extract("text", "^[A-Za-z]*", 0)
+    number, lang, source = F.col("doc_id").cast("string"), F.col("lang"), F.col("source")
+    nested = F.aggregate(
+        F.sequence(F.lit(1), (F.col("doc_id") % 8 + 1).cast("int")), F.lit("x"),
+        lambda a, i: F.concat(F.lit("\\frac{"), i.cast("string"), F.lit("}{"), a, F.lit("}")),
+    )
+    tex = F.concat(
+        F.lit("\\textbf{"), source, F.lit("} \\emph{\\textit{"), lang, F.lit("}} % gone\n \\frac{"), number, F.lit("}{\\sqrt{"), word,
+        F.lit("}} \\cite{a,b} \\'{e}t\\'e~50\\% \\$"), number, F.lit(" \\ref{s} \\begin{itemize}"), word, F.lit("\\end{itemize} $\\alpha$ "), nested,
+    )
+    record = F.to_json(F.struct(F.lit("t").alias("title"), tex.alias("abstract")))
+    bronze = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), number.alias("arxiv_id"), record.alias("raw_data"))
+    at = F.lit(datetime(2024, 1, 1, tzinfo=timezone.utc)).cast("timestamp")
+    ours = clean_rows(bronze, at).select("id", F.col("abstract_clean").alias("cleaned"))
+    other = clean_rows(bronze, at, lambda c: F.upper(F.substring(c, 1, 12))).select("id", F.col("abstract_clean").alias("swapped"))
+    return ours.join(other, "id")
+
+
 def reject_report(spark, folder):
     """Broken, keyless and good lines counted by reason."""
     rows = papers(spark, folder)
@@ -723,7 +771,7 @@ QUERIES = {
     for f in (
         text_search, text_search_filtered, vector_topk_multi, vector_topk_single, vector_topk_approx,
         vector_topk_all_cells, vector_distance, vector_text, matryoshka_dims, hash_encoder,
-        retrieval_metrics, recent_papers, bronze_ingest, reject_report, silver_clean, insert_if_absent,
+        retrieval_metrics, recent_papers, bronze_ingest, first_wins_many_files, latex_clean, reject_report, silver_clean, insert_if_absent,
         medallion_batch, stream_medallion, stream_replay, notified_load, atom_feed, feed_stream, rss_feed,
         unprocessed_antijoin, work_list_page, missing_ids, keys_in_list, reembed_pending, layer_counts,
         key_uniqueness, peek_layers, previews_and_links, strip_html, url_extract, json_props,
