@@ -91,8 +91,8 @@ _SHINGLES = """
 _NGRAM = f"""
 WITH RECURSIVE {_SHINGLES},
     n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
-    both AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
-    links AS (SELECT x, y FROM both JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+    shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
               WHERE c >= 0.8 * (nx.n + ny.n - c) - 1e-6),
     walk AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT walk.x, links.y FROM walk JOIN links ON links.x = walk.y)
 SELECT d.doc_id, (SELECT min(y) FROM walk WHERE walk.x = d.doc_id) AS class_id,
