@@ -135,7 +135,9 @@ ORACLE = {
       SELECT vec_id, label, round(1 - c, 6) AS distance, round(c, 4) + 0.0::DOUBLE AS score FROM (
         SELECT vec_id, label, list_cosine_similarity(embedding::DOUBLE[], v) AS c
         FROM embeddings JOIN means ON k = label)""",
-    "vector_text": "SELECT vec_id, true AS bracketed, len(embedding) AS size, true AS same FROM embeddings",
+    "vector_text": """
+      SELECT vec_id, len(embedding) AS size, round(embedding[1]::DOUBLE, 6) AS first, round(embedding[-1]::DOUBLE, 6) AS last,
+        len(embedding) - 1 AS commas, true AS same FROM embeddings""",
     "matryoshka_dims": f"""
       WITH heads AS (SELECT vec_id, dim, embedding[1:dim]::DOUBLE[] AS h FROM embeddings CROSS JOIN {_SIZES}),
       lengths AS (SELECT *, sqrt(list_sum(list_transform(h, lambda x: x * x))) AS n FROM heads),
@@ -192,9 +194,9 @@ ORACLE = {
       SELECT (SELECT count(*) FROM documents WHERE lang <> 'es') AS bronze, n AS silver, n AS gold,
         (SELECT 2 * count(*) FROM documents WHERE lang IN ('es', 'de')) AS skipped, 1 AS empty_runs FROM s""",
     "stream_medallion": f"""
-      WITH {_SILVER}
-      SELECT arxiv_id, title, length(abstract_clean) AS length, 32 AS half,
-        'hashing-bag-of-words' AS model_name FROM silver""",
+      WITH {_SILVER}, {_vectors('silver', 'arxiv_id', 'abstract_clean', 'gold')}
+      SELECT arxiv_id, title, md5(abstract_clean) AS abstract_md5, len(v) // 2 AS half, round(v[1], 4) + 0.0::DOUBLE AS first,
+        round(v[-1], 4) + 0.0::DOUBLE AS last, 'hashing-bag-of-words' AS model_name FROM silver JOIN gold ON k = arxiv_id""",
     "stream_replay": _EVERY_LAYER,
     "notified_load": f"""
       WITH {_SILVER}, s AS (SELECT count(*) AS n FROM silver), d AS (SELECT count(*) AS n FROM documents)
@@ -202,7 +204,7 @@ ORACLE = {
       UNION ALL SELECT 'silver', n, n FROM s UNION ALL SELECT 'gold', n, n FROM s""",
     "atom_feed": rf"""
       SELECT doc_id::VARCHAR AS id, regexp_replace({_TITLE}, '^\s+|\s+$', '', 'g') AS title,
-        length(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS length,
+        md5(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS abstract_md5,
         source AS authors, lang || ';' || source AS categories,
         strftime(TIMESTAMP '2020-01-01' + to_hours(doc_id), '%Y-%m-%d %H:%M') AS published FROM documents""",
     "feed_stream": f"""
@@ -213,7 +215,7 @@ ORACLE = {
         TIMESTAMP '2020-01-01' + to_hours(max(doc_id)) + INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S') FROM documents""",
     "rss_feed": r"""
       SELECT page_id::VARCHAR AS page_id, url AS title,
-        length(regexp_replace(regexp_replace(html, '^\s+|\s+$', '', 'g'), '<[^>]+>', '', 'g')) AS length,
+        md5(regexp_replace(regexp_replace(html, '^\s+|\s+$', '', 'g'), '<[^>]+>', '', 'g')) AS abstract_md5,
         'A. Author;' || regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS authors, 'cs' AS categories FROM pages""",
     "unprocessed_antijoin": """
       SELECT doc_id, lang, source FROM documents d
@@ -237,6 +239,9 @@ ORACLE = {
       WITH {_SILVER}
       SELECT arxiv_id::BIGINT AS id, arxiv_id, left(title, 60) AS title,
         left(abstract_clean, 80) || '...' AS abstract_preview FROM silver ORDER BY id LIMIT 2""",
+    "peek_bronze_rows": """
+      SELECT doc_id AS id, doc_id::VARCHAR AS arxiv_id, source AS source_file, left(text, 120) || '...' AS raw_data_preview
+      FROM documents ORDER BY doc_id LIMIT 2""",
     "previews_and_links": """
       SELECT doc_id, left(text, 120) || '...' AS preview, 'https://arxiv.org/abs/' || doc_id AS arxiv_url,
         'https://arxiv.org/pdf/' || doc_id AS pdf_url FROM documents""",

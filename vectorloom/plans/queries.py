@@ -196,8 +196,10 @@ def vector_text(spark, folder):
     written = vectors.to_text(F.col("embedding"))
     return table(spark, folder, "embeddings").select(
         "vec_id",
-        F.startswith(written, F.lit("[")).alias("bracketed"),
         F.size(vectors.from_text(written)).alias("size"),
+        F.round(F.get(vectors.from_text(written), F.lit(0)).cast("double"), 6).alias("first"),
+        F.round(F.element_at(vectors.from_text(written), -1).cast("double"), 6).alias("last"),
+        F.length(F.regexp_replace(written, "[^,]", "")).alias("commas"),
         (vectors.from_text(written) == F.col("embedding")).alias("same"),
     )
 
@@ -422,8 +424,12 @@ def stream_medallion(spark, folder):
     lake = _new_lake(spark)
     lines = stream_lines(spark, path, suffix=".json", max_files=4)
     load_stream(lake, lines, hashing_encoder(DIM), new_folder(spark, "progress"), once=True, model_name=MODEL).awaitTermination()
-    gold = lake.read("gold").select("arxiv_id", F.size(f"embedding_{SIZES[1]}").alias("half"), "model_name")
-    silver = lake.read("silver").select("arxiv_id", "title", F.length("abstract_clean").alias("length"))
+    full = F.col(f"embedding_{DIM}")
+    gold = lake.read("gold").select(
+        "arxiv_id", F.size(f"embedding_{SIZES[1]}").alias("half"), "model_name",
+        F.round(F.get(full, F.lit(0)).cast("double"), 4).alias("first"), F.round(F.element_at(full, -1).cast("double"), 4).alias("last"),
+    )
+    silver = lake.read("silver").select("arxiv_id", "title", F.md5("abstract_clean").alias("abstract_md5"))
     return silver.join(gold, "arxiv_id")
 
 
@@ -470,7 +476,7 @@ def atom_feed(spark, folder):
     return records.select(
         "id",
         "title",
-        F.length("abstract").alias("length"),
+        F.md5("abstract").alias("abstract_md5"),
         F.array_join("authors", ";").alias("authors"),
         F.array_join("categories", ";").alias("categories"),
         F.date_format(fields.iso_timestamp(F.col("published")), "yyyy-MM-dd HH:mm").alias("published"),
@@ -509,7 +515,7 @@ def rss_feed(spark, folder):
     return records.select(
         F.col("id").alias("page_id"),
         "title",
-        F.length("abstract").alias("length"),
+        F.md5("abstract").alias("abstract_md5"),
         F.array_join("authors", ";").alias("authors"),
         F.array_join("categories", ";").alias("categories"),
     )
@@ -576,6 +582,15 @@ def peek_layers(spark, folder):
     return listing.peek_silver(silver).select("id", "arxiv_id", "title", "abstract_preview")
 
 
+def peek_bronze_rows(spark, folder):
+    """First two rows of the raw layer with previews."""
+    bronze = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("arxiv_id"), F.col("source").alias("source_file"),
+        _hours("doc_id").alias("ingested_at"), F.col("text").alias("raw_data"),
+    )
+    return listing.peek_bronze(bronze).select("id", "arxiv_id", "source_file", "raw_data_preview")
+
+
 def previews_and_links(spark, folder):
     documents = table(spark, folder, "documents")
     paper = F.col("doc_id").cast("string")
@@ -774,7 +789,7 @@ QUERIES = {
         retrieval_metrics, recent_papers, bronze_ingest, first_wins_many_files, latex_clean, reject_report, silver_clean, insert_if_absent,
         medallion_batch, stream_medallion, stream_replay, notified_load, atom_feed, feed_stream, rss_feed,
         unprocessed_antijoin, work_list_page, missing_ids, keys_in_list, reembed_pending, layer_counts,
-        key_uniqueness, peek_layers, previews_and_links, strip_html, url_extract, json_props,
+        key_uniqueness, peek_layers, peek_bronze_rows, previews_and_links, strip_html, url_extract, json_props,
         category_dispatch, name_lists, tag_filter, date_range_filter, sorted_fetch, page_newest,
         checkpoint_next, state_latest, snapshot_retention, split_documents, head_sample,
         jsonl_roundtrip, quality_report, quality_profile,
