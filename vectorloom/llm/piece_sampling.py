@@ -34,8 +34,13 @@ from vectorloom.llm.words import buffers, lists, mix, rolling, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA, SEED = 1.0, 11
+#: A lattice takes some hundred times the room of its text, so texts go in smaller slices.
+SLICE_BYTES = 1 << 19
+#: Segments a worker keeps filtered from slice to slice.
+STORED = 60_000
 _MARK = 0xFF  # stands for a blank; no UTF-8 text has this byte
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+_GRID = float(1 << 30)  # shares are compared on this grid, exactly
 
 
 @dataclass
@@ -51,6 +56,7 @@ class Vocabulary:
     flat: np.ndarray
     bounds: np.ndarray
     maybe: np.ndarray
+    store: "Store | None" = None
 
 
 def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -125,7 +131,7 @@ def _edges(v: Vocabulary, data: np.ndarray, ends: np.ndarray):
 class Lattice:
     """Per node (a place of a segment), its incoming pieces with running probabilities."""
 
-    cumulative: np.ndarray
+    cumulative: np.ndarray  # number of the node plus the share of its pieces so far
     first: np.ndarray
     last: np.ndarray
     source: np.ndarray
@@ -161,7 +167,14 @@ def forward(v: Vocabulary, data: np.ndarray, bounds: np.ndarray) -> Lattice:
     order = np.argsort(target, kind="stable")
     source, target, ids, chance = source[order], target[order], ids[order], chance[order]
     nodes = np.arange(len(total))
-    return Lattice(np.cumsum(chance), np.searchsorted(target, nodes), np.searchsorted(target, nodes, "right") - 1, source, ids)
+    first, last = np.searchsorted(target, nodes), np.searchsorted(target, nodes, "right") - 1
+    # Running share within a node, one place at a time, so it does not depend on what else is in the slice.
+    rank = np.arange(len(target)) - first[target]
+    for place in range(1, int(rank.max(initial=0)) + 1):
+        at = np.flatnonzero(rank == place) if place == 1 else at[at + 1 < len(rank)] + 1
+        at = at[rank[at] == place]
+        chance[at] += chance[at - 1]
+    return Lattice(target + np.floor(chance * _GRID) / _GRID, first, last, source, ids)
 
 
 def backward(lattice: Lattice, root: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,13 +183,10 @@ def backward(lattice: Lattice, root: np.ndarray, end: np.ndarray, seeds: np.ndar
     active, at, step = np.argsort(end, kind="stable"), end.copy(), 0
     who, drawn = [], []
     counts = np.zeros(len(end), np.int64)
-    base = np.concatenate([[0.0], lattice.cumulative])
     while len(active):
         node = at[active]
-        u = (mix(seeds[active] + np.array([step], np.uint64) * _GOLD) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        low, high = lattice.first[node], lattice.last[node]
-        edge = np.searchsorted(lattice.cumulative, base[low] + u * (base[high + 1] - base[low]), "right")
-        edge = np.clip(edge, low, high)
+        u = ((mix(seeds[active] + np.array([step], np.uint64) * _GOLD) >> np.uint64(34)).astype(np.float64) + 0.5) / _GRID
+        edge = np.minimum(np.searchsorted(lattice.cumulative, node + u, "right"), lattice.last[node])
         who.append(active)
         drawn.append(lattice.ids[edge])
         counts[active] += 1
@@ -212,21 +222,75 @@ def _segments(texts: pa.Array):
     return data, start, end, owner
 
 
+@dataclass
+class Store:
+    """Segments that came more than once, filtered, and new ones that wait to join them."""
+
+    hashes: np.ndarray
+    data: np.ndarray
+    bounds: np.ndarray
+    lattice: Lattice | None
+    waiting: list
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Number of each segment, -1 if it is not here."""
+        if not len(self.hashes):
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == h, at, -1)
+
+    def take(self, v: Vocabulary, h: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> None:
+        """Note new segments; filter all anew when enough of them wait."""
+        if len(self.hashes) >= STORED:
+            return
+        self.waiting.append((h, data, bounds))
+        if sum(len(w[0]) for w in self.waiting) * 2 < len(self.hashes):
+            return
+        parts = [(self.hashes, self.data, self.bounds), *self.waiting]
+        h = np.concatenate([p[0] for p in parts])
+        data = np.concatenate([p[1] for p in parts])
+        sizes = np.concatenate([np.diff(p[2]) for p in parts])
+        start = np.cumsum(sizes) - sizes
+        self.hashes, first = np.unique(h, return_index=True)
+        self.data, self.bounds = _gather(data, start[first], sizes[first])
+        self.lattice, self.waiting = forward(v, self.data, self.bounds), []
+
+
+def _gather(data: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    return data[np.repeat(start - bounds[:-1], sizes) + np.arange(bounds[-1])], bounds
+
+
 def encode_slice(v: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, and their number per text."""
     data, start, end, owner = _segments(texts)
     if not len(start):
         return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
-    _, first, which = np.unique(_hash(data, start, end), return_index=True, return_inverse=True)
-    sizes = (end - start)[first]
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    gather = np.repeat(start[first] - bounds[:-1], sizes) + np.arange(bounds[-1])
-    lattice = forward(v, data[gather], bounds)
-    root = bounds[:-1] + np.arange(len(sizes))
+    h, first, which, times = np.unique(_hash(data, start, end), return_index=True, return_inverse=True, return_counts=True)
     number = np.arange(len(start)) - np.searchsorted(owner, owner)
     row = mix(keys.view(np.uint64) ^ mix(np.array([seed], np.uint64)))
     seeds = mix(row[owner] + number.astype(np.uint64) * _GOLD)
-    ids, counts = backward(lattice, root[which], (root + sizes)[which], seeds)
+    if v.store is None:
+        v.store = Store(np.empty(0, np.uint64), np.empty(0, np.uint8), np.zeros(1, np.int64), None, [])
+    kept = v.store.find(h)
+    new = np.flatnonzero(kept < 0)
+    own, bounds = _gather(data, start[first[new]], (end - start)[first[new]])
+    place = np.where(kept >= 0, kept, 0)
+    place[new] = np.arange(len(new))
+    counts, drawn = np.zeros(len(start), np.int64), []
+    for known, cuts in ((True, v.store.bounds), (False, bounds)):
+        mine = np.flatnonzero((kept >= 0)[which] == known)
+        if len(mine):
+            lattice = v.store.lattice if known else forward(v, own, bounds)
+            segment = place[which[mine]]
+            ids, n = backward(lattice, cuts[segment] + segment, cuts[segment + 1] + segment, seeds[mine])
+            counts[mine] = n
+            drawn.append((mine, ids, n))
+    ids, begin = np.empty(int(counts.sum()), np.int32), np.cumsum(counts) - counts
+    for mine, part, n in drawn:
+        ids[np.repeat(begin[mine] - (np.cumsum(n) - n), n) + np.arange(len(part))] = part
+    again = np.flatnonzero(times[new] > 1)
+    v.store.take(v, h[new[again]], *_gather(own, bounds[again], np.diff(bounds)[again]))
     return ids, np.bincount(owner, weights=counts, minlength=len(texts)).astype(np.int64)
 
 
@@ -234,7 +298,7 @@ def _encoded(held, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = held.value
         for batch in batches:
-            for piece in slices(batch, "__text"):
+            for piece in slices(batch, "__text", SLICE_BYTES):
                 text = piece.column("__text")
                 ids, counts = encode_slice(v, text, piece.column("__key").to_numpy(), seed)
                 found = lists(ids, counts, pa.int32())
