@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from vectorloom.llm import decontaminate
 from vectorloom.llm.decontaminate import drop_leaks, find_leaks
 
@@ -87,3 +89,32 @@ def test_drop_and_empty(spark):
     assert left.columns == docs.columns and sorted([r.doc_id for r in left.collect()], key=str) == [1, None]
     assert find_leaks(docs, spark.createDataFrame([], ITEMS)).count() == 0
     assert find_leaks(docs.limit(0), spark.createDataFrame(EDGE_ITEMS, ITEMS)).count() == 0
+
+
+def test_long_items_with_a_run_of_one_shingle(spark):
+    """A run of one word in the item or in the copy rules the shingle weights; the leak is above the threshold all the same."""
+    rng = random.Random(4)
+    items, docs = [], []
+    for i, (n, run) in enumerate([(200, 12), (400, 25), (1000, 40), (1000, 80)] * 3):
+        plain = [f"u{rng.randrange(10**6)}" for _ in range(n)]
+        with_run = plain[: n // 2] + ["zero"] * (run + 4) + plain[n // 2 + run + 4 :]
+        item, copy = (with_run, plain) if i % 2 else (plain, with_run)
+        items.append((i, " ".join(item)))
+        docs.append((i, " ".join([f"o{rng.randrange(10**6)}" for _ in range(150)] + copy + ["end"] * 90)))
+    want = brute(docs, items)
+    found = find_leaks(spark.createDataFrame([(d, t, 1) for d, t in docs], DOCS), spark.createDataFrame(items, ITEMS))
+    assert rows_of(found) == want and len(want) == len(items)
+
+
+def test_window_sums_are_those_of_each_window():
+    rng = np.random.default_rng(6)
+    values = rng.choice(np.array([7, 8, 1 << 60, 1 << 61], np.uint64), 90)
+    for n in (1, 2, 17, 90):
+        got = decontaminate._window_sums(values, n)
+        for b in range(len(values) - n + 1):
+            seen = Counter()
+            ranks = []
+            for v in values[b : b + n].tolist():
+                seen[v] += 1
+                ranks.append(seen[v])
+            assert (got[b] == decontaminate._ranked(values[b : b + n], np.array(ranks)).sum(0)).all()
