@@ -8,7 +8,8 @@ import pyarrow as pa
 import pytest
 
 from vectorloom.llm import toxicity as T
-from vectorloom.llm.toxicity import drop_toxic, language_model, restore, score_toxicity
+from vectorloom.llm.toxicity import drop_toxic, language_model, restore, restored_words, score_toxicity
+from vectorloom.llm.words import RAW, signed, words_of
 
 SCHEMA = "doc_id long, text string, y int"
 DISGUISED = ["idi0t", "id1ot", "i.d.i.o.t", "m0r0n", "$tupid", "stuuuupid", "tr@sh", "l0$er", "cl0wn", "w0rthle$s", "m-o-r-o-n"]
@@ -90,3 +91,55 @@ def test_edges(spark, tables):
 def test_keys_take_runs_once():
     a, _ = T._keys(pa.array(["Hello helo HELLO"]))
     assert len(set(a.tolist())) == 1
+
+
+CORPUS = ["i think that you are a moron and i said it to the idiot", "a stupid plan of a clown in the trash", "the rap song is crap", "what an ass",
+          "is it so that the loser went on to be worthless, as i said"] * 40
+#: Text -> words that its disguised tokens stand for.
+SPACED = {"you are a m o r o n": {"a", "moron"}, "s t u p i d i d i o t": {"stupid", "idiot"}, "m o r o n i am": {"moron", "i"}, "l o s e r": {"loser"},
+          "i m o r o n": {"i", "moron"}, "c l 0 w n, t r a s h.": {"clown", "trash"}, "s t u p i d " * 30: {"stupid"}}
+SIGNS = {"!diot": {"idiot"}, "(rap song": {"rap"}, "@$$": {"ass"}, "455": {"ass"}, "idi0t!!!": {"idiot"}, "a$$$": {"ass"}, "#stupid*": {"stupid"},
+         "i.d.i.o.t.": {"idiot"}, "<l0wn": {"clown"}, "plain, words (here": {"here"}}
+
+
+def decoded(spark, texts):
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate([*CORPUS, *texts])], SCHEMA)
+    words = sorted({w for t in CORPUS for w in t.replace(",", "").split()} | {"here"})
+    key, of = T._keys(pa.array(words, pa.large_string()))
+    name = {}
+    for k, i in zip(signed(key).tolist(), of.tolist()):
+        name.setdefault(k, words[i])
+    name[signed(T._keys(pa.array(["ass"]))[0])[0]] = "ass"
+    found = {}
+    tokens = spark.createDataFrame([(t, x) for t in texts for x in T._disguised(words_of(pa.array([t]), RAW))[1]], "text string, token string")
+    held = restored_words(docs, language_model(docs))
+    for r in tokens.selectExpr("text", "xxhash64(token) th").join(held, "th").collect():
+        found.setdefault(r.text, set()).add(name.get(r.word, "?"))
+    return found
+
+
+def test_runs_are_cut_into_words(spark):
+    """A spaced-out word beside 'a', 'i' or another one, and a run longer than a window."""
+    got = decoded(spark, list(SPACED))
+    assert {t: got[t] & w for t, w in SPACED.items()} == SPACED, got
+    assert all(got[t] == w for t, w in SPACED.items() if len(t) < 100 and "0" not in t), got
+
+
+def test_signs_at_the_ends_and_tokens_without_letters(spark):
+    got = decoded(spark, list(SIGNS))
+    assert got == SIGNS
+
+
+def test_many_texts_with_disguise_are_found(spark, tables):
+    docs, labels = tables
+    base = " ".join(["the", "and", "thing", "other"] * 20)
+    texts = [f"{base} {t} {base}" for t in ("a m o r o n", "s t u p i d i d i o t", "!diot", "+rash", "i d i o t a")]
+    extra = spark.createDataFrame(list(enumerate([*texts, base + " (and thing! 455 2024", base], 900_000)), "doc_id long, text string")
+    got = {r.doc_id: r.predicted for r in score_toxicity(docs.select("doc_id", "text").unionByName(extra), labels).where("doc_id >= 900000").collect()}
+    assert [got[i] for i in sorted(got)] == [1] * len(texts) + [0, 0]
+
+
+def test_letters_outside_ascii_are_one_symbol(spark):
+    """In counting as in decoding, and texts do not run into each other."""
+    m = language_model(spark.createDataFrame([(i, "aéb", 0) for i in range(500)], SCHEMA).coalesce(1))
+    assert np.exp(m[1, 27, 2]) > 0.9 and np.exp(m[27, 2, 0]) > 0.9

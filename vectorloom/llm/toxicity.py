@@ -1,12 +1,19 @@
 """Toxicity of texts that may be disguised: noisy-channel restoring of words, then a linear score.
 
-1. Language model: trigrams of letters, counted over all documents.
-2. Channel: a token that could be disguised spans a lattice. A sign may stand for the letters it resembles (leetspeak), or for nothing
-   (a separator between letters, a filler); a letter that repeats the one before may be a repetition; a row of
-   three or more single letters is one spaced-out word. Viterbi decoding takes the most likely path under channel and language model.
-   A token without such signs has one path, itself, and is not decoded again.
-3. Score: logistic regression on the restored words of a document (runs of a letter count once), over the words whose share differs most
-   between the labels, by ``MIN_Z`` standard errors at least. It is fitted on a bounded sample of labelled rows outside the held-out fold.
+1. Language model: counts of all undisguised words, a distributed table that grows with the corpus, backed off (Witten-Bell) to
+   trigrams of letters, both over all documents.
+2. Channel: a token that could be disguised spans a lattice; that is every token with a sign of ``LEET``, with or without
+   letters, with a filler between letters, or with a letter three times in a row. A sign may stand for the letters it resembles (leetspeak), or
+   for nothing (decoration at an end, a separator between letters, a filler); a sign or letter that repeats the one before may be a repetition.
+   The ``BEST`` best paths of each lattice under channel and trigrams are scored by the words, and the best one is taken.
+3. Three or more one-character tokens in a row are a run. Between two of them a word may end, so a run
+   is cut into the words of the best path, and each of them counts. A run is looked at in windows of ``WINDOW`` tokens that
+   overlap by ``LONGEST``, the most tokens of one spaced-out word.
+4. Every distinct token is decoded once, and the words are joined back to the documents that hold it.
+5. Score: logistic regression on the plain and restored words of a document (runs of a letter count once), over the words whose share differs
+   most between the labels, by ``MIN_Z`` standard errors at least. It is fitted on a bounded sample of labelled rows outside the held-out fold.
+
+A token of more than ``LONG`` characters is decoded by trigrams alone.
 
 Words are cut at ASCII signs other than letters and digits; A-Z are lowered. Language, source and id are never looked at.
 
@@ -19,7 +26,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +43,9 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
         "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "*": "aeiou", "#": "aeiou", "%": "aeiou"}
 #: Channel log-probabilities: a sign for one of its letters, a filler between letters, a look-alike sign that means nothing.
 SIGN, FILLER, LOST, REPEAT = math.log(0.3), math.log(0.5), math.log(1e-5), math.log(0.5)
+#: A look-alike sign at an end of a token that is decoration.
+EDGE = math.log(0.5)
+BEST, LONG, WINDOW, LONGEST = 8, 64, 64, 24
 _LETTERS = 28  # edge, a-z, any other letter
 
 
@@ -56,7 +65,10 @@ def _trigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for piece in slices(batch):
             words = words_of(piece.column("text"), RAW)
-            s = np.concatenate([[0, 0], np.where(words.data == 0, 0, _SYMBOL[words.data]), [0]])
+            # One symbol per character, as in decoding; a text ends with an edge.
+            data = np.insert(words.data, words.offsets[1:], 0)
+            data = data[(data & 0xC0) != 0x80]
+            s = np.concatenate([[0, 0], np.where(data == 0, 0, _SYMBOL[data]), [0]])
             total += np.bincount((s[:-2] * _LETTERS + s[1:-1]) * _LETTERS + s[2:], minlength=_LETTERS**3)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
@@ -116,47 +128,63 @@ def _table(signs: bytes) -> np.ndarray:
 
 _ALPHA = _table(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") | (np.arange(256) >= 128)
 _DIGIT = _table(b"0123456789")
-#: Signs that are taken off both ends of a token before it is looked at.
+#: Signs that are taken off both ends of a token before it is looked at for fillers.
 _EDGE = _table(b".,;:?!\"'()[]{}<>-_~^=/\\`&#%*")
+_SIGNS = _table("".join(LEET).encode())
+#: Look-alike signs that are often decoration at an end.
+_DECOR = "!(<*#%"
+
+
+def _bare(words: Words, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each token without the signs of ``edge`` at its ends."""
+    inner = np.flatnonzero(~edge[words.data] & (words.data != 0))
+    if not len(inner):
+        return words.start, words.start
+    first, last = np.searchsorted(inner, words.start), np.searchsorted(inner, words.end)
+    some = last > first
+    start = np.where(some, inner[np.minimum(first, len(inner) - 1)], words.start)
+    return start, np.where(some, inner[np.maximum(last - 1, 0)] + 1, words.start)
+
+
+def _single(words: Words) -> np.ndarray:
+    """Tokens of one character, or of a letter or digit and one edge sign."""
+    lead = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
+    start, end = _bare(words, _EDGE)
+    size, inner = lead[words.end] - lead[words.start], lead[end] - lead[start]
+    return (size == 1) | (size == 2) & (inner == 1) & (_ALPHA | _DIGIT)[words.data[start]]
 
 
 def _disguised(words: Words) -> tuple[np.ndarray, list[str]]:
-    """Tokens of a slice that could be disguised, lowered and without edge signs, and the text of each."""
-    data, start, end = words.data, words.start.copy(), words.end.copy()
-    if not len(start):
-        return start, []
-    # Fillers at the ends, and runs of three or more of one sign there, are decoration.
-    for _ in range(4):
-        a = np.minimum(start, end - 1)
-        move = (start < end) & _EDGE[data[a]]
-        start[move] += 1
-        a = np.maximum(end - 1, 0)
-        move = (start < end) & _EDGE[data[a]]
-        end[move] -= 1
-    triple = (end - start >= 4) & ~_ALPHA[data[np.maximum(end - 1, 0)]]
-    triple &= (data[np.maximum(end - 1, 0)] == data[np.maximum(end - 2, 0)]) & (data[np.maximum(end - 1, 0)] == data[np.maximum(end - 3, 0)])
-    end[triple] -= 3
+    """Tokens of a slice that could be disguised, lowered, and the text of each; the tokens of a run's window are joined by blanks."""
+    data = words.data
+    if not len(words.start):
+        return np.empty(0, np.int64), []
+    start, end = _bare(words, _EDGE)
     alpha = np.concatenate([[0], np.cumsum(_ALPHA[data])])
+    signs = np.concatenate([[0], np.cumsum(_SIGNS[data])])
     n_alpha = alpha[end] - alpha[start]
     same = np.zeros(len(data), np.int64)
     same[2:] = (data[2:] == data[1:-1]) & (data[2:] == data[:-2]) & _ALPHA[data[2:]]
     runs = np.concatenate([[0], np.cumsum(same)])
-    odd = (end > start) & (n_alpha > 0) & ((n_alpha < end - start) | (runs[end] - runs[np.minimum(start + 2, end)] > 0))
+    odd = (n_alpha > 0) & ((n_alpha < end - start) | (runs[end] - runs[np.minimum(start + 2, end)] > 0))
+    odd |= signs[words.end] > signs[words.start]
     owner = words.owner()
     text = data.tobytes()
-    picked = [text[a:b].decode("utf-8", "replace").lower() for a, b in zip(start[odd], end[odd])]
-    whose = owner[odd]
-    # Single letters in a row, three or more, of one text.
-    single = (end - start == 1) & ((n_alpha == 1) | _DIGIT[data[np.minimum(start, len(data) - 1)]] | (words.end - words.start == 1))
-    single &= words.end - words.start <= 2
+
+    def token(a: int) -> str:
+        return text[words.start[a] : words.end[a]].decode("utf-8", "replace").lower()
+
+    at = np.flatnonzero(odd)
+    whose, picked = owner[at].tolist(), [token(i) for i in at.tolist()]
+    single = _single(words)
     edge = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
-    more, of = [], []
     for a, b in zip(edge[::2], edge[1::2]):
         for lo, hi in _same_text(owner, a, b):
             if hi - lo >= 3:
-                more.append("".join(text[start[i] : end[i]].decode("utf-8", "replace").lower() for i in range(lo, hi)))
-                of.append(owner[lo])
-    return np.concatenate([whose, np.array(of, whose.dtype)]), picked + more
+                for begin in range(lo, max(lo + 1, hi - LONGEST), WINDOW - LONGEST):
+                    picked.append(" ".join(token(i) for i in range(begin, min(begin + WINDOW, hi))))
+                    whose.append(owner[lo])
+    return np.array(whose, np.int64), picked
 
 
 def _same_text(owner: np.ndarray, a: int, b: int):
@@ -164,6 +192,173 @@ def _same_text(owner: np.ndarray, a: int, b: int):
     return zip([a, *cut], [*cut, b])
 
 
+def _step(states: dict, options: list, model: np.ndarray, best: int) -> dict:
+    """One sign of a lattice: by last two letters the ``best`` paths, text -> (score, share of the letters in it)."""
+    new: dict = {}
+    for (a, b), paths in states.items():
+        for letter, sign, cost in options:
+            here = new.setdefault((b, letter) if letter else (a, b), {})
+            own = float(model[a, b, letter]) if letter else 0.0
+            for text, (score, letters) in paths.items():
+                now = text + sign
+                value = (score + cost + own, letters + own)
+                if now not in here or value[0] > here[now][0]:
+                    here[now] = value
+    return {k: v if len(v) <= best else dict(sorted(v.items(), key=lambda x: (-x[1][0], x[0]))[:best]) for k, v in new.items()}
+
+
+def _ended(states: dict, model: np.ndarray, best: int) -> list[tuple[str, float, float]]:
+    """The best texts with their channel and letter log-probabilities."""
+    out: dict = {}
+    for (a, b), paths in states.items():
+        own = float(model[a, b, 0])
+        for text, (score, letters) in paths.items():
+            if text and (text not in out or score + own > out[text][0]):
+                out[text] = (score + own, letters + own)
+    ranked = sorted(out.items(), key=lambda x: (-x[1][0], x[0]))[:best]
+    return [(text, score - letters, letters) for text, (score, letters) in ranked]
+
+
+def _options(c: str, before: str, lost: float | None) -> list:
+    code = int(_SYMBOL[ord(c)]) if ord(c) < 128 else 27
+    out = [(code, c, 0.0)] if code else [(int(_SYMBOL[ord(x)]), x, SIGN - math.log(len(LEET[c]))) for x in LEET.get(c, "")]
+    if not code and lost is not None:
+        out.append((0, "", lost))
+    if c == before and (code or c in LEET):
+        out.append((0, "", REPEAT))
+    return out
+
+
+def candidates(token: str, model: np.ndarray) -> list[tuple[int, int, str, float, float]]:
+    """Possible words of a token: first and last place, text, channel and letter log-probability. Places are the tokens of a run, 0 and 1 otherwise."""
+    units = token.split(" ")
+    if len(units) == 1:
+        if len(token) > LONG:
+            return [(0, 1, restore(token, model), 0.0, 0.0)]
+        inner = token.strip(_DECOR + ".,;:?\"')[]{}>-_~^=/\\`&")
+        lo = token.find(inner) if inner else len(token)
+        hi = lo + len(inner) if inner else 0
+        states, before = {(0, 0): {"": (0.0, 0.0)}}, ""
+        for i, c in enumerate(token):
+            lost = FILLER if c not in LEET else EDGE if c in _DECOR and (i < lo or i >= hi) else LOST
+            states, before = _step(states, _options(c, before, lost), model, BEST), c
+        return [(0, 1, *x) for x in _ended(states, model, BEST)]
+    out = []
+    for a in range(len(units)):
+        states, before = {(0, 0): {"": (0.0, 0.0)}}, ""
+        for b in range(a, min(a + LONGEST, len(units))):
+            for c in units[b]:
+                # A look-alike sign beside a letter may be decoration; one that is a token of its own is a letter.
+                lost = FILLER if c not in LEET else EDGE if len(units[b]) > 1 and c in _DECOR else None
+                states, before = _step(states, _options(c, before, lost), model, 1), c
+            out += [(a, b + 1, *x) for x in _ended(states, model, 1)]
+        if len(units[a]) == 1 and not units[a].isalnum() or units[a].isdigit():
+            out.append((a, a + 1, "", LOST, 0.0))  # a sign or number between words
+    return out
+
+
+def _candidate_rows(held):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                made = [(i, *c) for i, t in enumerate(part.column("token").to_pylist()) for c in candidates(t, model)]
+                if not made:
+                    continue
+                row, a, b, text, channel, letters = (list(x) for x in zip(*made))
+                key, of = _keys(pa.array(text, pa.large_string()))
+                word = np.zeros(len(made), np.int64)
+                word[of] = signed(key)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("th").take(pa.array(row)), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(word),
+                     pa.array(np.isin(np.arange(len(made)), of)), pa.array(channel, pa.float64()), pa.array(letters, pa.float64())],
+                    ["th", "a", "b", "word", "some", "channel", "letters"],
+                )
+
+    return run
+
+
+def _chosen(spans: list) -> set:
+    """Words of the best path from the first to the last place of one token."""
+    best, trail = {0: 0.0}, {}
+    for a, b, word, value in sorted(spans, key=lambda s: (s[0], s[1], -s[3], s[2] or 0)):
+        if a in best and (b not in best or best[a] + value > best[b]):
+            best[b], trail[b] = best[a] + value, (a, word)
+    at, out = max(best), set()
+    while at:
+        at, word = trail[at]
+        out.add(word)
+    return out - {None}
+
+
+def _choice_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    now, spans, out = None, [], []
+
+    def made(rows: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], ["th", "word"])
+
+    for batch in batches:
+        for th, *span in zip(*(batch.column(c).to_pylist() for c in ("th", "a", "b", "word", "value"))):
+            if th != now and spans:
+                out += [(now, w) for w in _chosen(spans)]
+                spans = []
+            now = th
+            spans.append(span)
+        yield made(out)
+        out = []
+    if spans:
+        yield made([(now, w) for w in _chosen(spans)])
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Undisguised words and how often each occurs in a slice: tokens of letters, apart from signs at the ends that resemble none."""
+    edge = _EDGE & ~_SIGNS
+    for batch in batches:
+        for piece in slices(batch):
+            words = words_of(piece.column("text"), RAW)
+            if not len(words.start):
+                continue
+            start, end = _bare(words, edge)
+            alpha = np.concatenate([[0], np.cumsum(_ALPHA[words.data])])
+            plain = (end > start) & (alpha[end] - alpha[start] == end - start)
+            text = words.data.copy()
+            outside = np.zeros(len(text) + 1, np.int64)
+            np.add.at(outside, start[plain], 1)
+            np.add.at(outside, end[plain], -1)
+            text[np.cumsum(outside)[:-1] == 0] = 0x20
+            key, n = np.unique(_keys(pa.array([text.tobytes()], pa.large_binary()).view(pa.large_string()))[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(n.astype(np.int64))], ["word", "n"])
+
+
+def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in slices(batch):
+            tokens = sorted(set(_disguised(words_of(piece.column("text"), RAW))[1]))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string())], ["token"])
+
+
+def restored_words(docs: DataFrame, model: np.ndarray) -> DataFrame:
+    """(th, word): keys of the words that each distinct disguised token of the documents stands for; th is the token's hash."""
+    spark = docs.sparkSession
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    words = stored(texts.mapInArrow(_word_rows, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    facts = words.agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).first()
+    kinds, n = float(facts.kinds or 1), float(facts.n or 0)
+    tokens = stored(texts.mapInArrow(_token_rows, "token string").distinct().withColumn("th", F.xxhash64("token")), "tokens")
+    held = spark.sparkContext.broadcast(model)
+    made = tokens.mapInArrow(
+        _candidate_rows(held), "th long, a int, b int, word long, some boolean, channel double, letters double"
+    )
+    value = F.col("channel") + F.when(
+        F.col("some"), F.log(F.coalesce("n", F.lit(0)) + F.lit(kinds) * F.exp("letters") + F.lit(1e-300)) - math.log(n + kinds)
+    ).otherwise(0.0)
+    valued = made.join(words, "word", "left").select("th", "a", "b", F.when(F.col("some"), F.col("word")).alias("word"), value.alias("value"))
+    return stored(
+        valued.repartition("th").sortWithinPartitions("th").mapInArrow(_choice_rows, "th long, word long").distinct(), "restored"
+    )
+
+
 def _keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every plain word with runs of a letter taken once, and the text of each."""
     words = words_of(texts, PLAIN)
@@ -177,29 +372,25 @@ def _keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return short.hashes(), words.owner()
 
 
-def word_keys(texts: pa.Array, decode) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, word key) pairs of plain and of restored words."""
-    values, owner = _keys(texts)
-    whose, tokens = _disguised(words_of(texts, RAW))
-    if tokens:
-        restored, of = _keys(pa.array([decode(t) for t in tokens], pa.large_string()))
-        values, owner = np.concatenate([values, restored]), np.concatenate([owner, whose[of]])
-    return distinct_pairs(owner, values)
+def _doc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct plain words and distinct disguised tokens of each text."""
+    for batch in batches:
+        for piece in slices(batch):
+            values, owner = _keys(piece.column("text"))
+            owner, values = distinct_pairs(owner, values)
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("key"), piece.column("tag"), piece.column("y"),
+                 lists(signed(values), np.bincount(owner, minlength=piece.num_rows), pa.int64()), _token_lists(piece)],
+                ["key", "tag", "y", "words", "tokens"],
+            )
 
 
-def _feature_rows(held):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
-        decode = lru_cache(maxsize=200_000)(lambda t: restore(t, model))
-        for batch in batches:
-            for piece in slices(batch):
-                owner, values = word_keys(piece.column("text"), decode)
-                counts = np.bincount(owner, minlength=piece.num_rows)
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("key"), piece.column("y"), lists(signed(values), counts, pa.int64())], ["key", "y", "words"]
-                )
-
-    return run
+def _token_lists(piece: pa.RecordBatch) -> pa.Array:
+    whose, tokens = _disguised(words_of(piece.column("text"), RAW))
+    held: list[set] = [set() for _ in range(piece.num_rows)]
+    for i, t in zip(whose.tolist(), tokens):
+        held[i].add(t)
+    return pa.array([sorted(t) for t in held], pa.list_(pa.string()))
 
 
 def fit_logistic(rows: list, columns: np.ndarray, y: np.ndarray, penalty: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -246,27 +437,32 @@ def fit_words(features: DataFrame, vocabulary: int, min_docs: int) -> tuple[np.n
     return words, w[:-1], float(w[-1])
 
 
-def _score_rows(held):
+def _hit_rows(held):
+    """The learned words among the plain words of each text, and its disguised tokens."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, words, weights, intercept = held.value
-        decode = lru_cache(maxsize=200_000)(lambda t: restore(t, model))
+        words = held.value
         for batch in batches:
             for piece in slices(batch):
-                logit = np.full(piece.num_rows, intercept)
-                if len(words):
-                    owner, values = word_keys(piece.column("text"), decode)
-                    values = signed(values)
-                    at = np.minimum(np.searchsorted(words, values), len(words) - 1)
-                    hit = words[at] == values
-                    logit += np.bincount(owner[hit], weights=weights[at[hit]], minlength=piece.num_rows)
-                score = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
+                values, owner = _keys(piece.column("text"))
+                values = signed(values)
+                hit = np.isin(values, words)
+                owner, values = distinct_pairs(owner[hit], values[hit])
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("key"), piece.column("tag"), piece.column("held_out"), pa.array(score)], ["key", "tag", "held_out", "score"]
+                    [piece.column("key"), piece.column("tag"), piece.column("held_out"),
+                     lists(values, np.bincount(owner, minlength=piece.num_rows), pa.int64()), _token_lists(piece)],
+                    ["key", "tag", "held_out", "words", "tokens"],
                 )
 
     return run
 
 
+def _with_restored(rows: DataFrame, restored: DataFrame) -> DataFrame:
+    """The restored words of each (key, tag): ``more``."""
+    parts = rows.select("key", "tag", F.explode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("th"))
+    return parts.join(restored, "th").groupBy("key", "tag").agg(F.collect_set("word").alias("more"))
+
+
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY, min_docs: int = MIN_DOCS, threshold: float = 0.5
 ) -> DataFrame:
@@ -276,16 +472,29 @@ def score_toxicity(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"),
         held_out().alias("held_out"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    model = language_model(docs)
+    restored = restored_words(docs, language_model(docs))
     chosen = stored(labelled_sample(labels, "toxic", sample), "sample")
-    held = spark.sparkContext.broadcast(model)
     # At most ``sample`` rows of two numbers are broadcast.
-    features = stored(
-        rows.join(F.broadcast(chosen), "key").select("key", "y", "text").mapInArrow(_feature_rows(held), "key long, y int, words array<long>"),
-        "features",
+    seen = stored(
+        rows.join(F.broadcast(chosen), "key").select("key", "tag", "y", "text")
+        .mapInArrow(_doc_rows, "key long, tag long, y int, words array<long>, tokens array<string>"),
+        "sampled",
+    )
+    union = F.array_union("words", F.coalesce("more", F.array().cast("array<long>"))).alias("words")
+    features = stored(seen.join(_with_restored(seen, restored), ["key", "tag"], "left").select("key", "y", union), "features")
+    words, weights, intercept = fit_words(features, vocabulary, min_docs)
+    held = spark.sparkContext.broadcast(words)
+    # The tokens that stand for one of at most ``vocabulary`` words; stored, so that Spark knows how many there are.
+    useful = stored(restored.where(F.col("word").isin([int(w) for w in words])), "useful")
+    hits = stored(rows.mapInArrow(_hit_rows(held), "key long, tag long, held_out boolean, words array<long>, tokens array<string>"), "hits")
+    more = stored(_with_restored(hits, useful), "more")
+    weight = F.create_map(*[F.lit(x) for w, v in zip(words, weights) for x in (int(w), float(v))]) if len(words) else None
+    logit = F.lit(float(intercept))
+    if len(words):
+        logit = F.aggregate("words", logit, lambda total, w: total + F.coalesce(F.element_at(weight, w), F.lit(0.0)))
+    scored = hits.join(more, ["key", "tag"], "left").select("key", "tag", "held_out", F.array_sort(union).alias("words")).withColumn(
+        "score", 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-500.0)), F.lit(500.0))))
     )
-    held = spark.sparkContext.broadcast((model, *fit_words(features, vocabulary, min_docs)))
-    scored = rows.mapInArrow(_score_rows(held), "key long, tag long, held_out boolean, score double")
     return scored.select(
         id_of().alias("doc_id"), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "key", "tag"
     )
