@@ -97,3 +97,9 @@ def test_components_of_chains_and_stars(spark):
 def test_prefix_gets_shorter_until_the_recall():
     k = prefix_length(0.8, 0.9999, ngram_join.TREES, ngram_join.DEPTH)
     assert 1 - (1 - 0.8**k) ** ngram_join.TREES >= 0.9999 > 1 - (1 - 0.8 ** (k + 1)) ** ngram_join.TREES
+
+
+def test_every_row_without_words_stays(spark):
+    rows = [(None, None), (None, None), (None, ""), (3, None), (3, ""), (4, "!!"), (4, "!!"), (5, "a b"), (5, "a b")]
+    left = drop_near_copies(spark.createDataFrame([(d, t, "en") for d, t in rows], SCHEMA)).collect()
+    assert sorted([(r.doc_id, r.text) for r in left], key=str) == sorted(rows[:-1], key=str)

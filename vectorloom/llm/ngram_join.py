@@ -38,6 +38,8 @@ SIZE, THRESHOLD, RECALL = 5, 0.8, 0.9999
 TREES, DEPTH = 24, 8
 BLOCK_SHINGLES, BLOCK_CLASSES = 1 << 20, 2048
 _STRIP = 2048
+#: A text with words has such a character.
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _PERMUTED = np.random.default_rng(7).integers(0, 1 << 32, (TREES * DEPTH, 2), dtype=np.uint32) | np.uint32(1)
 
 
@@ -271,7 +273,7 @@ def ngram_classes(docs: DataFrame, size: int = SIZE, threshold: float = THRESHOL
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
     judged = signed_rows.select("key", "tag", "d1", "d2").join(table, ["d1", "d2"])
-    wordless = rows.select("key", "tag", "text").where(~F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).select(
+    wordless = rows.select("key", "tag", "text").where(~F.col("text").rlike(_WORD)).select(
         "key", "tag", F.struct("key", "tag").alias("head"), F.struct("key", "tag").alias("rep"), F.lit(0).cast("long").alias("n_links")
     )
     return judged.select("key", "tag", "head", "rep", "n_links").unionByName(wordless).select(
@@ -284,10 +286,12 @@ def drop_near_copies(docs: DataFrame, **settings) -> DataFrame:
     """The documents of which one of each class stays, with all their columns: the smallest id, and of
     rows with that same id and text one. Every document without words stays."""
     found = ngram_classes(docs, **settings).where("is_head").select("key", "tag").distinct()
+    worded = F.coalesce(F.col("text").rlike(_WORD), F.lit(False))
     names = docs.columns
     marked = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("key"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"), worded.alias("worded"),
     )
-    return marked.join(found, ["key", "tag"]).dropDuplicates(["key", "tag"]).select("row.*")
+    kept = marked.where("worded").join(found, ["key", "tag"]).dropDuplicates(["key", "tag"])
+    return kept.select("row.*").unionByName(marked.where("not worded").select("row.*"))
