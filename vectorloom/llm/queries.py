@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectorloom.llm.decontaminate import find_leaks
+from vectorloom.llm.exact_dedup import exact_groups
 from vectorloom.llm.language_id import identify
+from vectorloom.llm.merkle import leaf, manifest
 from vectorloom.llm.ngram_join import ngram_classes
 from vectorloom.llm.piece_sampling import decode_ids, encode_texts
 from vectorloom.llm.quality import score_quality
@@ -71,7 +73,19 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op6_toxicity, op7_substring_dedup, op8_piece_sampling, op9_quality, op10_language_id)}
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row with its proof; of the rows whose id's crc32 three divides, the leaf of the lowered text is checked."""
+    docs = _table(spark, folder, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = leaf([F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), lowered])
+    return manifest(docs, altered=F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, found))
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_groups(_table(spark, folder, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op6_toxicity, op7_substring_dedup, op8_piece_sampling, op9_quality, op10_language_id, op11_merkle_manifest, op13_exact_dedup)}
 
 
 def _words(column: str) -> str:
@@ -120,4 +134,61 @@ SELECT doc_id, item_id, round(max(common / (total - common)), 9) AS similarity F
 HAVING max(common / (total - common)) >= 0.8
 """
 
-ORACLE: dict[str, str] = {"op4_decontamination": _LEAKS, "op1_ngram_jaccard": _NGRAM}
+#: crc32 of the decimal id, bit by bit.
+_CRC = (
+    "xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT), lambda c, b: "
+    "list_reduce([xor(c, b)] || range(8), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT)"
+)
+
+
+def _leaf(text: str) -> str:
+    values = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen(({v})::VARCHAR)::VARCHAR || ':' || ({v})::VARCHAR, '-')" for v in values) + ")"
+
+
+_TAMPERED = f"CASE WHEN {_CRC} % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
+
+#: Levels of every tree by recursion; each node with the digests left and right of it in its run; then every leaf upwards.
+_MERKLE = f"""
+WITH RECURSIVE leaves AS (
+        SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf("text")} AS leaf, {_leaf(_TAMPERED)} AS found FROM documents),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+    up AS (SELECT g, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY g) AS n FROM placed
+           UNION ALL
+           SELECT g, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 7) // 8)
+           FROM up WHERE n > 1 GROUP BY g, level, pos // 8),
+    subroots AS (SELECT g, digest AS subroot FROM up WHERE n = 1),
+    tops AS (SELECT 0 AS level, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, subroot AS digest, count(*) OVER () AS n, g FROM subroots),
+    above AS (SELECT level, pos, digest, n FROM tops
+              UNION ALL
+              SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 7) // 8)
+              FROM above WHERE n > 1 GROUP BY level, pos // 8),
+    nodes AS (SELECT g, level, pos, digest, n FROM up UNION ALL SELECT NULL, level, pos, digest, n FROM above),
+    sided AS (SELECT *, coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+                     coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS behind
+              FROM nodes WHERE n > 1 WINDOW run AS (PARTITION BY g, level, pos // 8 ORDER BY pos)),
+    inner_walk AS (SELECT placed.doc_id, placed.g, placed.leaf, 0 AS level, pos, found AS now, '' AS siblings FROM placed
+              UNION ALL
+              SELECT w.doc_id, w.g, w.leaf, w.level + 1, w.pos // 8, sha256(s.before || w.now || s.behind), w.siblings || s.before || s.behind
+              FROM inner_walk w JOIN sided s ON s.g = w.g AND s.level = w.level AND s.pos = w.pos),
+    inside AS (SELECT doc_id, g, leaf, arg_max(now, level) AS now, arg_max(siblings, level) AS siblings
+               FROM inner_walk GROUP BY doc_id, g, leaf),
+    outer_walk AS (SELECT i.doc_id, i.g, i.leaf, 0 AS level, t.pos, i.now, i.siblings FROM inside i JOIN tops t USING (g)
+              UNION ALL
+              SELECT w.doc_id, w.g, w.leaf, w.level + 1, w.pos // 8, sha256(s.before || w.now || s.behind), w.siblings || s.before || s.behind
+              FROM outer_walk w JOIN sided s ON s.g IS NULL AND s.level = w.level AND s.pos = w.pos),
+    done AS (SELECT doc_id, g, leaf, arg_max(now, level) AS now, arg_max(siblings, level) AS siblings FROM outer_walk GROUP BY doc_id, g, leaf)
+SELECT d.doc_id, d.leaf, s.subroot, r.digest AS root, sha256(d.siblings) AS proof_sha256, d.now AS folded_root, d.now = r.digest AS verified
+FROM done d JOIN subroots s USING (g), (SELECT digest FROM above WHERE n = 1) r
+"""
+
+_EXACT = """
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+    b AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS r, count(*) OVER (PARTITION BY norm) AS group_size,
+                 first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id FROM d)
+SELECT doc_id, keep_id, group_size, r = 1 AS kept, sha256(norm) AS text_sha256 FROM b
+"""
+
+ORACLE: dict[str, str] = {
+    "op4_decontamination": _LEAKS, "op1_ngram_jaccard": _NGRAM, "op11_merkle_manifest": _MERKLE, "op13_exact_dedup": _EXACT,
+}
