@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from vectorloom.llm.exact_dedup import exact_groups
 from vectorloom.llm.language_id import identify
 from vectorloom.llm.merkle import leaf, manifest
 from vectorloom.llm.ngram_join import ngram_classes
+from vectorloom.llm.periodic_runs import find_runs, strongest
 from vectorloom.llm.piece_sampling import decode_ids, encode_texts
 from vectorloom.llm.quality import score_quality
 from vectorloom.llm.secrets import scan_secrets
@@ -81,11 +85,32 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return manifest(docs, altered=F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, found))
 
 
+def _planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Of every tenth id the words from some place on are repeated: the numbers of the words to read instead."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p, i = 1 + (n - a) // (3 + g % 8), np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_runs(_table(spark, folder, "documents"), rewrite=_planted).withColumn("best", strongest())
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(_table(spark, folder, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op6_toxicity, op7_substring_dedup, op8_piece_sampling, op9_quality, op10_language_id, op11_merkle_manifest, op13_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_warc, op3_secret_scan, op4_decontamination, op5_vector_dedup, op6_toxicity, op7_substring_dedup, op8_piece_sampling, op9_quality, op10_language_id, op11_merkle_manifest, op12_periodic_runs, op13_exact_dedup)}
 
 
 def _words(column: str) -> str:
