@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from vectorloom.llm import toxicity as T
-from vectorloom.llm.toxicity import drop_toxic, language_model, restore, restored_words, score_toxicity
+from vectorloom.llm.toxicity import drop_toxic, language_model, restored_words, run_candidates, score_toxicity, token_facts, word_candidates
 from vectorloom.llm.words import RAW, signed, words_of
 
 SCHEMA = "doc_id long, text string, y int"
@@ -32,31 +32,116 @@ def test_language_model_counts_every_text(spark):
     assert m.shape == (28, 28, 28) and np.allclose(np.exp(m).sum(2), 1)
 
 
-def test_restored(model):
-    plain = {"idiot", "moron", "stupid", "trash", "loser", "clown", "worthless"}
-    assert all(restore(t, model) in plain for t in DISGUISED)
-    assert restore("plain", model) == "plain" and restore("", model) == ""
-
-
-def test_viterbi_finds_the_best_path(model):
-    """Against every path of short tokens."""
-    for token in ("1d0", "a$3", "b.b", "ss1", "0*"):
-        paths, before = [], ""
-        for c in token:
-            code = ord(c) - 96 if c.isalpha() else 0
-            own = [(c, 0.0)] + ([("", T.REPEAT)] if c == before else []) if code else \
-                [(x, T.SIGN - np.log(len(T.LEET[c]))) for x in T.LEET.get(c, "")] + [("", T.LOST if c in T.LEET else T.FILLER)]
-            paths.append(own)
-            before = c
+def key_of(text):
+    return int(T._keys(pa.array([text]))[0][0])
 
-        def value(path):
-            s, a, b = sum(x[1] for x in path), 0, 0
-            for x in "".join(x[0] for x in path):
-                s, a, b = s + model[a, b, ord(x) - 96], b, ord(x) - 96
-            return s + model[a, b, 0]
 
-        best = max(itertools.product(*paths), key=value)
-        assert restore(token, model) == "".join(x[0] for x in best)
+def brute(chars, model, best, longest=10**9):
+    """Hash -> (channel, letters) of the best texts over all paths; ``chars``: (sign, log-probability of silence) in order."""
+    ways = []
+    for i, (c, silent) in enumerate(chars):
+        letter = c.isalpha()
+        own = [(c, 0.0)] if letter else [(x, T.SIGN - np.log(len(T.LEET[c]))) for x in T.LEET.get(c, "")]
+        if silent is not None:
+            own.append(("", silent))
+        if i and chars[i - 1][0] == c and (letter or c in T.LEET):
+            own.append(("", T.REPEAT))
+        ways.append(own)
+    found = {}
+    symbol = lambda x: ord(x) - 96 if x < "\x80" else 27
+    for path in itertools.product(*ways):
+        text = "".join(x[0] for x in path)
+        short = "".join(x for i, x in enumerate(text) if i == 0 or text[i - 1] != x or x >= "\x80")
+        if not text or len(short.encode()) > longest:
+            continue
+        letters, a, b = 0.0, 0, 0
+        for x in text:
+            letters, a, b = letters + model[a, b, symbol(x)], b, symbol(x)
+        letters += model[a, b, 0]
+        score = letters + sum(x[1] for x in path)
+        if short not in found or score > found[short][0]:
+            found[short] = (score, letters)
+    ranked = sorted(found.items(), key=lambda x: -x[1][0])[:best]
+    return {key_of(t): (s - m, m) for t, (s, m) in ranked}
+
+
+def close(got, want):
+    assert got.keys() == want.keys() and all(np.allclose(got[k], want[k]) for k in want), (got, want)
+
+
+def test_words_are_the_best_of_all_paths(model):
+    tokens = ["idi0t", "1d0", "a$3", "b.b", "ss1", "0*x", "$$$a", "é1é", "!!", "(ab", "aab!", "x", "i.d.i.o.t", "lll", "*a*", "77"]
+    which, word, said, letters = word_candidates(tokens, model)
+    for i, t in enumerate(tokens):
+        inner = t.strip(T._DECOR + ".,;:?\"')[]{}>-_~^=/\\`&")
+        lo = t.find(inner) if inner else len(t)
+        hi = lo + len(inner) if inner else 0
+        silence = [None if c.isalpha() else T.FILLER if c not in T.LEET else T.EDGE if c in T._DECOR and not lo <= k < hi else T.LOST for k, c in enumerate(t)]
+        at = np.flatnonzero(which == i)
+        close({int(word[k]): (said[k], letters[k]) for k in at}, brute(list(zip(t, silence)), model, T.BEST))
+    plain = {"idiot", "moron", "stupid", "trash", "loser", "clown", "worthless"}
+    which, word, said, letters = word_candidates(DISGUISED, model)
+    first = [int(word[np.flatnonzero(which == i)][np.argmax((said + letters)[which == i])]) for i in range(len(DISGUISED))]
+    assert set(first) <= {key_of(w) for w in plain}
+    assert len(word_candidates([], model)[0]) == 0
+
+
+def test_stretches_of_runs(model):
+    runs = ["a m 0 r", "s, t u", "1 ! i", "a . b -", "é x x"]
+    got = {}
+    for lot in run_candidates(runs, model, 3):
+        for r, a, b, word, said, letters in zip(*lot):
+            got.setdefault((int(r), int(a), int(b)), {})[int(word)] = (said, letters)
+    for i, r in enumerate(runs):
+        units = r.split(" ")
+        for a in range(len(units)):
+            for b in range(a + 1, len(units) + 1):
+                chars = [(c, None if c.isalpha() else T.FILLER if c not in T.LEET else T.EDGE if len(u) > 1 and c in T._DECOR else None) for u in units[a:b] for c in u]
+                close(got.get((i, a, b), {}), brute(chars, model, T.BEST_IN_RUN, 3))
+
+
+def test_long_tokens_are_decoded_whole(model):
+    tokens = ["st" + "u" * 5000 + "pid", "-".join("worthless" * 300), "1" * 3000]
+    which, word, _, _ = word_candidates(tokens, model)
+    assert key_of("stupid") in word[which == 0].tolist() and key_of("worthles" * 300) in word[which == 1].tolist() and (which == 2).any()
+
+
+def test_best_path_of_a_token():
+    """Against every way through random stretches."""
+    rng = np.random.default_rng(2)
+    rows, want = [], set()
+    for th in range(40):
+        n = int(rng.integers(1, 7))
+        spans = [(a, b, int(rng.integers(1, 1 << 40)) if rng.random() < 0.9 else None, float(rng.normal())) for a in range(n) for b in range(a + 1, n + 1)
+                 for _ in range(2) if b == a + 1 or rng.random() < 0.6]
+        ways = {0: [(0.0, ())]}
+        for b in range(1, n + 1):
+            ways[b] = [(v + x, w + (t,)) for a, e, t, x in spans if e == b for v, w in ways[a]]
+        want |= {(th, w) for w in max(ways[n])[1] if w is not None} if all(t is not None for _, w in ways[n] for t in w) else \
+            {(th, w) for w in max(ways[n], key=lambda x: x[0])[1] if w is not None}
+        rows += sorted([(th, *s) for s in spans], key=lambda r: r[:3])
+    columns = [pa.array(list(c), k) for c, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.float64()))]
+    batch = pa.RecordBatch.from_arrays(columns, ["th", "a", "b", "word", "value"])
+    got = [x for out in T._choice_rows(iter([batch.slice(0, 7), batch.slice(7)])) for x in zip(*(c.to_pylist() for c in out.columns))]
+    assert set(got) == want
+
+
+def test_discovery_rule():
+    z = np.array([6.0, 5.0, 4.5, 3.4, 3.3])
+    assert T.discovered(z, 10, 0.01) == 3.3 and T.discovered(z, 1000, 0.01) == 4.5 and T.discovered(z[-1:], 10**6, 0.01) == np.inf
+    assert abs(T._tail(0.05) - 1.959964) < 1e-5
+
+
+def test_fit_is_that_of_dense_newton_steps():
+    rng = np.random.default_rng(6)
+    x = (rng.random((400, 12)) < 0.2).astype(float)
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x @ rng.normal(size=12) * 2 - 1)))).astype(float)
+    penalty, w, full = rng.random(12) + 0.1, np.zeros(13), np.column_stack([x, np.ones(400)])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-(full @ w)))
+        pull = np.append(penalty, 1e-6)
+        w += np.linalg.solve((full.T * (p * (1 - p))) @ full + np.diag(pull), full.T @ (y - p) - pull * w)
+    assert np.allclose(T.fit_logistic(*np.nonzero(x), y, penalty), w, atol=1e-6)
 
 
 def test_held_out_accuracy_and_disguise(spark, tables, model):
@@ -93,17 +178,18 @@ def test_keys_take_runs_once():
     assert len(set(a.tolist())) == 1
 
 
-CORPUS = ["i think that you are a moron and i said it to the idiot", "a stupid plan of a clown in the trash", "the rap song is crap", "what an ass",
+LONG_WORD = "donaudampfschifahrtsgeselschaftskapitaen"
+CORPUS = [f"the {LONG_WORD} is it", "i think that you are a moron and i said it to the idiot", "a stupid plan of a clown in the trash", "the rap song is crap", "what an ass",
           "is it so that the loser went on to be worthless, as i said"] * 40
 #: Text -> words that its disguised tokens stand for.
 SPACED = {"you are a m o r o n": {"a", "moron"}, "s t u p i d i d i o t": {"stupid", "idiot"}, "m o r o n i am": {"moron", "i"}, "l o s e r": {"loser"},
-          "i m o r o n": {"i", "moron"}, "c l 0 w n, t r a s h.": {"clown", "trash"}, "s t u p i d " * 30: {"stupid"}}
+          " ".join(LONG_WORD): {LONG_WORD}, "so " + " - ".join(LONG_WORD) + " it": {LONG_WORD}, "i m o r o n": {"i", "moron"}, "c l 0 w n, t r a s h.": {"clown", "trash"}, "s t u p i d " * 30: {"stupid"}}
 SIGNS = {"!diot": {"idiot"}, "(rap song": {"rap"}, "@$$": {"ass"}, "455": {"ass"}, "idi0t!!!": {"idiot"}, "a$$$": {"ass"}, "#stupid*": {"stupid"},
          "i.d.i.o.t.": {"idiot"}, "<l0wn": {"clown"}, "plain, words (here": {"here"}}
 
 
 def decoded(spark, texts):
-    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate([*CORPUS, *texts])], SCHEMA)
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate([*CORPUS, *texts])], SCHEMA).repartition(4)
     words = sorted({w for t in CORPUS for w in t.replace(",", "").split()} | {"here"})
     key, of = T._keys(pa.array(words, pa.large_string()))
     name = {}
@@ -111,9 +197,10 @@ def decoded(spark, texts):
         name.setdefault(k, words[i])
     name[signed(T._keys(pa.array(["ass"]))[0])[0]] = "ass"
     found = {}
-    tokens = spark.createDataFrame([(t, x) for t in texts for x in T._disguised(words_of(pa.array([t]), RAW))[1]], "text string, token string")
-    held = restored_words(docs, language_model(docs))
-    for r in tokens.selectExpr("text", "xxhash64(token) th").join(held, "th").collect():
+    tokens = spark.createDataFrame([(t, T._hash(x)) for t in texts for x in T._disguised(words_of(pa.array([t]), RAW))[1]], "text string, th long")
+    rows = docs.selectExpr("doc_id key", "cast(y as long) tag", "text")
+    held = restored_words(docs, token_facts(rows)[1], language_model(docs))
+    for r in tokens.join(held, "th").collect():
         found.setdefault(r.text, set()).add(name.get(r.word, "?"))
     return found
 

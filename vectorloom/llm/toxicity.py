@@ -5,27 +5,29 @@
 2. Channel: a token that could be disguised spans a lattice; that is every token with a sign of ``LEET``, with or without
    letters, with a filler between letters, or with a letter three times in a row. A sign may stand for the letters it resembles (leetspeak), or
    for nothing (decoration at an end, a separator between letters, a filler); a sign or letter that repeats the one before may be a repetition.
-   The ``BEST`` best paths of each lattice under channel and trigrams are scored by the words, and the best one is taken.
-3. Three or more one-character tokens in a row are a run. Between two of them a word may end, so a run
-   is cut into the words of the best path, and each of them counts. A run is looked at in windows of ``WINDOW`` tokens that
-   overlap by ``LONGEST``, the most tokens of one spaced-out word.
+   List Viterbi (``lattice``) gives the ``BEST`` best words of each lattice under channel and trigrams, of a token of any length; they are scored by the words,
+   and the best one is taken.
+3. Three or more one-character tokens in a row are a run. Between two of them a word may end, so a run of any length is cut into
+   the words of its best path, and each of them counts. Every stretch of a run is a possible word as long as any word of the corpus
+   that ``min_docs`` documents can hold, with as many signs between its letters as it has letters.
 4. Every distinct token is decoded once, and the words are joined back to the documents that hold it.
-5. Score: logistic regression on the plain and restored words of a document (runs of a letter count once), over the words whose share differs
-   most between the labels, by ``MIN_Z`` standard errors at least. It is fitted on a bounded sample of labelled rows outside the held-out fold.
-
-A token of more than ``LONG`` characters is decoded by trigrams alone.
+5. Score: logistic regression on the plain and restored words of a document (runs of a letter count once), over all words whose share differs
+   between the labels at a false discovery rate of ``FALSE``. It is fitted on a bounded sample of labelled rows outside the held-out fold; the
+   words and their weights are bounded by that sample.
 
 Words are cut at ASCII signs other than letters and digits; A-Z are lowered. Language, source and id are never looked at.
 
 Defined cases: a null or empty text has no words and scores the intercept; without any labelled row, or with one class only, all
 scores are that class's share (0 without any); repeated rows score alike; of several labels of an id the largest
-counts; further columns are not read; an empty table gives an empty result.
+counts; of equally good words or paths the one of smallest hash is taken; a very long text is one slice, a very long token or run takes time in proportion to
+its length; further columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +36,11 @@ from pyspark.sql import functions as F
 
 from vectorloom.llm.folds import SAMPLE, held_out, labelled_sample
 from vectorloom.llm.keys import NULL_ID, id_of
+from vectorloom.llm.lattice import LETTERS, channel, decode
 from vectorloom.llm.words import PLAIN, RAW, Words, distinct_pairs, lists, signed, slices, words_of
 from vectorloom.session import stored
 
-VOCABULARY, MIN_DOCS, MIN_Z = 512, 5, 3.5
+MIN_DOCS, FALSE = 5, 0.01
 # Letters a sign can stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
         "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "*": "aeiou", "#": "aeiou", "%": "aeiou"}
@@ -45,8 +48,10 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 SIGN, FILLER, LOST, REPEAT = math.log(0.3), math.log(0.5), math.log(1e-5), math.log(0.5)
 #: A look-alike sign at an end of a token that is decoration.
 EDGE = math.log(0.5)
-BEST, LONG, WINDOW, LONGEST = 8, 64, 64, 24
-_LETTERS = 28  # edge, a-z, any other letter
+#: Best words of a token, and of a stretch of a run.
+BEST, BEST_IN_RUN = 8, 2
+#: Texts go in slices of this many bytes, tokens in lots of this many, dealt over tasks by their number.
+SLICE_BYTES, LOT, TOKENS_PER_TASK = 1 << 19, 4096, 20_000
 
 
 def _symbols() -> np.ndarray:
@@ -61,15 +66,15 @@ _SYMBOL = _symbols()
 
 
 def _trigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(_LETTERS**3, np.int64)
+    total = np.zeros(LETTERS**3, np.int64)
     for batch in batches:
-        for piece in slices(batch):
+        for piece in slices(batch, most=SLICE_BYTES):
             words = words_of(piece.column("text"), RAW)
             # One symbol per character, as in decoding; a text ends with an edge.
             data = np.insert(words.data, words.offsets[1:], 0)
             data = data[(data & 0xC0) != 0x80]
             s = np.concatenate([[0, 0], np.where(data == 0, 0, _SYMBOL[data]), [0]])
-            total += np.bincount((s[:-2] * _LETTERS + s[1:-1]) * _LETTERS + s[2:], minlength=_LETTERS**3)
+            total += np.bincount((s[:-2] * LETTERS + s[1:-1]) * LETTERS + s[2:], minlength=LETTERS**3)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
 
@@ -77,49 +82,16 @@ def _trigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def language_model(docs: DataFrame) -> np.ndarray:
     """log P(letter | two before) from all texts; 28 x 28 x 28, smoothed with pairs and single letters."""
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_trigram_rows, "gram long, n long")
-    counts = np.zeros(_LETTERS**3)
+    counts = np.zeros(LETTERS**3)
     for r in rows.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # 21,952 rows at most
         counts[r.gram] = r.n
-    c3 = counts.reshape((_LETTERS,) * 3)
+    c3 = counts.reshape((LETTERS,) * 3)
     c2, c1 = c3.sum(0), c3.sum((0, 1))
     p1 = (c1 + 1) / (c1 + 1).sum()
     p2 = (c2 + 5 * p1) / (c2.sum(1, keepdims=True) + 5)
     return np.log((c3 + 5 * p2) / (c3.sum(2, keepdims=True) + 5))
 
 
-def restore(token: str, model: np.ndarray) -> str:
-    """Viterbi path through the lattice of a lower-case token; states are the last two letters."""
-    states = {(0, 0): (0.0, None)}
-    trail = []
-    before = ""
-    for c in token:
-        code = int(_SYMBOL[ord(c)]) if ord(c) < 128 else 27
-        options = []
-        if code:
-            options.append((code, c, 0.0))
-            if c == before:
-                options.append((0, "", REPEAT))
-        else:
-            options += [(int(_SYMBOL[ord(x)]), x, SIGN - math.log(len(LEET[c]))) for x in LEET.get(c, "")]
-            options.append((0, "", LOST if c in LEET else FILLER))
-        new = {}
-        for (a, b), (score, _) in states.items():
-            for letter, sign, cost in options:
-                state = (b, letter) if letter else (a, b)
-                value = score + cost + (model[a, b, letter] if letter else 0.0)
-                if state not in new or value > new[state][0]:
-                    new[state] = (value, ((a, b), sign))
-        trail.append({k: v[1] for k, v in new.items()})
-        states = new
-        before = c
-    state = max(states, key=lambda k: states[k][0] + model[k[0], k[1], 0])
-    out = []
-    for step in reversed(trail):
-        state, sign = step[state]
-        out.append(sign)
-    return "".join(reversed(out))
-
-
 def _table(signs: bytes) -> np.ndarray:
     table = np.zeros(256, dtype=bool)
     table[list(signs)] = True
@@ -155,7 +127,7 @@ def _single(words: Words) -> np.ndarray:
 
 
 def _disguised(words: Words) -> tuple[np.ndarray, list[str]]:
-    """Tokens of a slice that could be disguised, lowered, and the text of each; the tokens of a run's window are joined by blanks."""
+    """Tokens of a slice that could be disguised, lowered, and the text of each; the tokens of a run are joined by blanks."""
     data = words.data
     if not len(words.start):
         return np.empty(0, np.int64), []
@@ -172,119 +144,122 @@ def _disguised(words: Words) -> tuple[np.ndarray, list[str]]:
     text = data.tobytes()
 
     def token(a: int) -> str:
-        return text[words.start[a] : words.end[a]].decode("utf-8", "replace").lower()
+        return text[words.start[a] : words.end[a]].lower().decode("utf-8", "replace")
 
     at = np.flatnonzero(odd)
     whose, picked = owner[at].tolist(), [token(i) for i in at.tolist()]
     single = _single(words)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], single.astype(np.int8), [0]])))
-    for a, b in zip(edge[::2], edge[1::2]):
-        for lo, hi in _same_text(owner, a, b):
-            if hi - lo >= 3:
-                for begin in range(lo, max(lo + 1, hi - LONGEST), WINDOW - LONGEST):
-                    picked.append(" ".join(token(i) for i in range(begin, min(begin + WINDOW, hi))))
-                    whose.append(owner[lo])
+    cut = np.ones(len(single), dtype=bool)
+    cut[1:] = (single[1:] != single[:-1]) | (owner[1:] != owner[:-1])
+    begin = np.flatnonzero(cut)
+    ends = np.append(begin[1:], len(single))
+    long = single[begin] & (ends - begin >= 3)
+    for lo, hi in zip(begin[long].tolist(), ends[long].tolist()):
+        picked.append(" ".join(token(i) for i in range(lo, hi)))
+        whose.append(owner[lo])
     return np.array(whose, np.int64), picked
 
 
-def _same_text(owner: np.ndarray, a: int, b: int):
-    cut = np.flatnonzero(np.diff(owner[a:b])) + 1 + a
-    return zip([a, *cut], [*cut, b])
-
-
-def _step(states: dict, options: list, model: np.ndarray, best: int) -> dict:
-    """One sign of a lattice: by last two letters the ``best`` paths, text -> (score, share of the letters in it)."""
-    new: dict = {}
-    for (a, b), paths in states.items():
-        for letter, sign, cost in options:
-            here = new.setdefault((b, letter) if letter else (a, b), {})
-            own = float(model[a, b, letter]) if letter else 0.0
-            for text, (score, letters) in paths.items():
-                now = text + sign
-                value = (score + cost + own, letters + own)
-                if now not in here or value[0] > here[now][0]:
-                    here[now] = value
-    return {k: v if len(v) <= best else dict(sorted(v.items(), key=lambda x: (-x[1][0], x[0]))[:best]) for k, v in new.items()}
-
-
-def _ended(states: dict, model: np.ndarray, best: int) -> list[tuple[str, float, float]]:
-    """The best texts with their channel and letter log-probabilities."""
-    out: dict = {}
-    for (a, b), paths in states.items():
-        own = float(model[a, b, 0])
-        for text, (score, letters) in paths.items():
-            if text and (text not in out or score + own > out[text][0]):
-                out[text] = (score + own, letters + own)
-    ranked = sorted(out.items(), key=lambda x: (-x[1][0], x[0]))[:best]
-    return [(text, score - letters, letters) for text, (score, letters) in ranked]
-
-
-def _options(c: str, before: str, lost: float | None) -> list:
-    code = int(_SYMBOL[ord(c)]) if ord(c) < 128 else 27
-    out = [(code, c, 0.0)] if code else [(int(_SYMBOL[ord(x)]), x, SIGN - math.log(len(LEET[c]))) for x in LEET.get(c, "")]
-    if not code and lost is not None:
-        out.append((0, "", lost))
-    if c == before and (code or c in LEET):
-        out.append((0, "", REPEAT))
-    return out
-
-
-def candidates(token: str, model: np.ndarray) -> list[tuple[int, int, str, float, float]]:
-    """Possible words of a token: first and last place, text, channel and letter log-probability. Places are the tokens of a run, 0 and 1 otherwise."""
-    units = token.split(" ")
-    if len(units) == 1:
-        if len(token) > LONG:
-            return [(0, 1, restore(token, model), 0.0, 0.0)]
-        inner = token.strip(_DECOR + ".,;:?\"')[]{}>-_~^=/\\`&")
-        lo = token.find(inner) if inner else len(token)
-        hi = lo + len(inner) if inner else 0
-        states, before = {(0, 0): {"": (0.0, 0.0)}}, ""
-        for i, c in enumerate(token):
-            lost = FILLER if c not in LEET else EDGE if c in _DECOR and (i < lo or i >= hi) else LOST
-            states, before = _step(states, _options(c, before, lost), model, BEST), c
-        return [(0, 1, *x) for x in _ended(states, model, BEST)]
-    out = []
-    for a in range(len(units)):
-        states, before = {(0, 0): {"": (0.0, 0.0)}}, ""
-        for b in range(a, min(a + LONGEST, len(units))):
-            for c in units[b]:
-                # A look-alike sign beside a letter may be decoration; one that is a token of its own is a letter.
-                lost = FILLER if c not in LEET else EDGE if len(units[b]) > 1 and c in _DECOR else None
-                states, before = _step(states, _options(c, before, lost), model, 1), c
-            out += [(a, b + 1, *x) for x in _ended(states, model, 1)]
-        if len(units[a]) == 1 and not units[a].isalnum() or units[a].isdigit():
-            out.append((a, a + 1, "", LOST, 0.0))  # a sign or number between words
-    return out
-
-
-def _candidate_rows(held):
+_CHANNEL = channel(LEET, SIGN)
+_LOOKS, _DECORATES, _LETTER = (np.zeros(129, dtype=bool) for _ in range(3))
+_LOOKS[[ord(c) for c in LEET]] = True
+_DECORATES[[ord(c) for c in _DECOR]] = True
+_LETTER[[*b"abcdefghijklmnopqrstuvwxyz", 128]] = True
+
+
+def _flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of all signs one after the other, where each text begins, and for each sign its class and whether it repeats the one before."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    begin = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    low = np.minimum(codes, 128)
+    again = np.zeros(len(codes), dtype=bool)
+    again[1:] = (codes[1:] == codes[:-1]) & (_LETTER | _LOOKS)[low[1:]]
+    return codes, begin, low, again
+
+
+def word_candidates(tokens: list[str], model: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Possible words of single tokens: token, hash, channel and letter log-probability."""
+    codes, begin, low, again = _flat(tokens)
+    size = np.diff(begin)
+    inner = [t.strip(_DECOR + ".,;:?\"')[]{}>-_~^=/\\`&") for t in tokens]
+    lo = np.array([t.find(i) if i else len(t) for t, i in zip(tokens, inner)], np.int64)
+    hi = np.array([a + len(i) if i else 0 for a, i in zip(lo.tolist(), inner)], np.int64)
+    owner = np.repeat(np.arange(len(tokens)), size)
+    place = np.arange(len(codes)) - begin[owner]
+    outside = (place < lo[owner]) | (place >= hi[owner])
+    silent = np.select([_LETTER[low], ~_LOOKS[low], _DECORATES[low] & outside], [-np.inf, FILLER, EDGE], LOST)
+    ends = np.zeros(len(codes), dtype=bool)
+    ends[begin[1:][size > 0] - 1] = True
+    which, _, word, said, letters = decode(codes, silent, again, REPEAT, begin[:-1], size, ends, model, _CHANNEL, BEST)
+    return which, word, said, letters
+
+
+def run_candidates(runs: list[str], model: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Possible words of stretches of runs, some at a time: run, first and last unit, hash, channel and letter log-probability."""
+    units = [r.split(" ") for r in runs]
+    counts = np.array([len(u) for u in units], np.int64)
+    codes, begin, low, again = _flat([c for u in units for c in u])
+    size = np.diff(begin)
+    several = np.repeat(size > 1, size)
+    # A look-alike sign beside a letter may be decoration; one that is a token of its own is a letter.
+    silent = np.select([_LETTER[low], ~_LOOKS[low], _DECORATES[low] & several], [-np.inf, FILLER, EDGE], -np.inf)
+    ends = np.zeros(len(codes), dtype=bool)
+    ends[begin[1:] - 1] = True
+    first = np.concatenate([[0], np.cumsum(counts)])
+    whose = np.repeat(np.arange(len(runs)), counts)
+    last = np.minimum(first[whose + 1], np.arange(len(size)) + 2 * longest)
+    for lo in range(0, len(size), LOT):
+        start = begin[lo : min(lo + LOT, len(size))]
+        span, signs, word, said, letters = decode(
+            codes, silent, again, REPEAT, start, begin[last[lo : lo + LOT]] - start, ends, model, _CHANNEL, BEST_IN_RUN, longest
+        )
+        stop = np.searchsorted(begin, start[span] + signs)
+        run = whose[lo + span]
+        yield run, lo + span - first[run], stop - first[run], word, said, letters
+
+
+def _skips(run: str) -> list[int]:
+    """Units of a run that may be a sign or number between words."""
+    return [i for i, u in enumerate(run.split(" ")) if len(u) == 1 and not u.isalnum() or u.isdigit()]
+
+
+def _candidate_rows(held, longest: int):
+    names = ["th", "a", "b", "word", "some", "channel", "letters"]
+
+    def made(th, row, a, b, word, said, letters):
+        return pa.RecordBatch.from_arrays(
+            [th.take(pa.array(row)), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(signed(word)), pa.array(np.ones(len(row), dtype=bool)),
+             pa.array(said), pa.array(letters)], names,
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                made = [(i, *c) for i, t in enumerate(part.column("token").to_pylist()) for c in candidates(t, model)]
-                if not made:
-                    continue
-                row, a, b, text, channel, letters = (list(x) for x in zip(*made))
-                key, of = _keys(pa.array(text, pa.large_string()))
-                word = np.zeros(len(made), np.int64)
-                word[of] = signed(key)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("th").take(pa.array(row)), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(word),
-                     pa.array(np.isin(np.arange(len(made)), of)), pa.array(channel, pa.float64()), pa.array(letters, pa.float64())],
-                    ["th", "a", "b", "word", "some", "channel", "letters"],
-                )
+            for piece in slices(batch, "token", LOT * 16):
+                tokens, th = piece.column("token").to_pylist(), piece.column("th")
+                is_run = np.array([" " in t for t in tokens], dtype=bool)
+                single, several = np.flatnonzero(~is_run), np.flatnonzero(is_run)
+                for lo in range(0, len(single), LOT):
+                    at = single[lo : lo + LOT]
+                    which, word, said, letters = word_candidates([tokens[i] for i in at], model)
+                    yield made(th, at[which], np.zeros(len(which), np.int32), np.ones(len(which), np.int32), word, said, letters)
+                if len(several):
+                    chosen = [tokens[i] for i in several]
+                    for which, a, b, word, said, letters in run_candidates(chosen, model, longest):
+                        yield made(th, several[which], a, b, word, said, letters)
+                    skips = [(i, k) for i, r in zip(several, chosen) for k in _skips(r)]
+                    n, (row, k) = len(skips), zip(*skips) if skips else ((), ())
+                    k = np.array(k, np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [th.take(pa.array(row, pa.int64())), pa.array(k), pa.array(k + 1), th.take(pa.array(row, pa.int64())), pa.array(np.zeros(n, dtype=bool)),
+                         pa.array(np.full(n, LOST)), pa.array(np.zeros(n))], names,
+                    )
 
     return run
 
 
-def _chosen(spans: list) -> set:
-    """Words of the best path from the first to the last place of one token."""
-    best, trail = {0: 0.0}, {}
-    for a, b, word, value in sorted(spans, key=lambda s: (s[0], s[1], -s[3], s[2] or 0)):
-        if a in best and (b not in best or best[a] + value > best[b]):
-            best[b], trail[b] = best[a] + value, (a, word)
+def _path_words(best: dict, trail: dict) -> set:
+    """Words of the best path that leads furthest."""
     at, out = max(best), set()
     while at:
         at, word = trail[at]
@@ -293,29 +268,33 @@ def _chosen(spans: list) -> set:
 
 
 def _choice_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    now, spans, out = None, [], []
+    """Words of the best path through the stretches of each token, which come sorted by (th, a, b)."""
+    now, best, trail, out = None, {}, {}, []
 
     def made(rows: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], ["th", "word"])
 
     for batch in batches:
-        for th, *span in zip(*(batch.column(c).to_pylist() for c in ("th", "a", "b", "word", "value"))):
-            if th != now and spans:
-                out += [(now, w) for w in _chosen(spans)]
-                spans = []
-            now = th
-            spans.append(span)
+        for th, a, b, word, value in zip(*(batch.column(c).to_pylist() for c in ("th", "a", "b", "word", "value"))):
+            if th != now:
+                if now is not None:
+                    out += [(now, w) for w in _path_words(best, trail)]
+                now, best, trail = th, {0: 0.0}, {}
+            if a in best:
+                total = best[a] + value
+                if b not in best or (total, -(word or 0)) > (best[b], -(trail[b][1] or 0)):
+                    best[b], trail[b] = total, (a, word)
         yield made(out)
         out = []
-    if spans:
-        yield made([(now, w) for w in _chosen(spans)])
+    if now is not None:
+        yield made([(now, w) for w in _path_words(best, trail)])
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Undisguised words and how often each occurs in a slice: tokens of letters, apart from signs at the ends that resemble none."""
     edge = _EDGE & ~_SIGNS
     for batch in batches:
-        for piece in slices(batch):
+        for piece in slices(batch, most=SLICE_BYTES):
             words = words_of(piece.column("text"), RAW)
             if not len(words.start):
                 continue
@@ -327,144 +306,214 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(outside, start[plain], 1)
             np.add.at(outside, end[plain], -1)
             text[np.cumsum(outside)[:-1] == 0] = 0x20
-            key, n = np.unique(_keys(pa.array([text.tobytes()], pa.large_binary()).view(pa.large_string()))[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(n.astype(np.int64))], ["word", "n"])
+            text = np.insert(text, words.offsets[1:], 0x20)  # a text does not run into the next
+            short = _short(pa.array([text.tobytes()], pa.large_binary()).view(pa.large_string()))
+            key, first, n = np.unique(short.hashes(), return_index=True, return_counts=True)
+            size = (short.end - short.start)[first]
+            yield pa.RecordBatch.from_arrays([pa.array(signed(key)), pa.array(n.astype(np.int64)), pa.array(size.astype(np.int32))], ["word", "n", "size"])
+
+
+def _hash(token: str) -> int:
+    return int.from_bytes(blake2b(token.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fact_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each text, with the hashes of its disguised tokens, and one for each distinct token of a slice."""
+    names = ["key", "tag", "tokens", "th", "token"]
     for batch in batches:
-        for piece in slices(batch):
-            tokens = sorted(set(_disguised(words_of(piece.column("text"), RAW))[1]))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string())], ["token"])
+        for piece in slices(batch, most=SLICE_BYTES):
+            whose, tokens = _disguised(words_of(piece.column("text"), RAW))
+            kinds = {t: _hash(t) for t in set(tokens)}
+            owner, th = distinct_pairs(whose, np.array([kinds[t] for t in tokens], np.int64).view(np.uint64))
+            n, m = piece.num_rows, len(kinds)
+            yield pa.RecordBatch.from_arrays(
+                [*[piece.column(c) for c in names[:2]], lists(signed(th), np.bincount(owner, minlength=n), pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())], names
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64())), pa.array(kinds.values(), pa.int64()),
+                 pa.array(kinds.keys(), pa.string())], names
+            )
+
+
+def token_facts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, tag, tokens) of every text, and (th, token) of every distinct token, from one pass over the texts."""
+    facts = stored(
+        rows.select("key", "tag", "text").mapInArrow(_fact_rows, "key long, tag long, tokens array<long>, th long, token string"), "facts"
+    )
+    tokens = facts.where("th is not null").groupBy("th").agg(F.first("token").alias("token"))
+    return facts.where("th is null").select("key", "tag", "tokens"), stored(tokens, "tokens")
 
 
-def restored_words(docs: DataFrame, model: np.ndarray) -> DataFrame:
-    """(th, word): keys of the words that each distinct disguised token of the documents stands for; th is the token's hash."""
+def restored_words(docs: DataFrame, tokens: DataFrame, model: np.ndarray, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(th, word): keys of the words that each of the ``tokens`` (th, token) stands for."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    words = stored(texts.mapInArrow(_word_rows, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    facts = words.agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).first()
+    words = stored(
+        texts.mapInArrow(_word_rows, "word long, n long, size int").groupBy("word").agg(F.sum("n").alias("n"), F.first("size").alias("size")), "words"
+    )
+    facts = words.agg(F.count("*").alias("kinds"), F.sum("n").alias("n"), F.max(F.when(F.col("n") >= min_docs, F.col("size"))).alias("longest")).first()
     kinds, n = float(facts.kinds or 1), float(facts.n or 0)
-    tokens = stored(texts.mapInArrow(_token_rows, "token string").distinct().withColumn("th", F.xxhash64("token")), "tokens")
     held = spark.sparkContext.broadcast(model)
-    made = tokens.mapInArrow(
-        _candidate_rows(held), "th long, a int, b int, word long, some boolean, channel double, letters double"
+    # Tokens are small and dear, so they are dealt by their number.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-tokens.count() // TOKENS_PER_TASK))
+    made = tokens.repartition(tasks).mapInArrow(
+        _candidate_rows(held, facts.longest or 1), "th long, a int, b int, word long, some boolean, channel double, letters double"
     )
     value = F.col("channel") + F.when(
         F.col("some"), F.log(F.coalesce("n", F.lit(0)) + F.lit(kinds) * F.exp("letters") + F.lit(1e-300)) - math.log(n + kinds)
     ).otherwise(0.0)
     valued = made.join(words, "word", "left").select("th", "a", "b", F.when(F.col("some"), F.col("word")).alias("word"), value.alias("value"))
     return stored(
-        valued.repartition("th").sortWithinPartitions("th").mapInArrow(_choice_rows, "th long, word long").distinct(), "restored"
+        valued.repartition("th").sortWithinPartitions("th", "a", "b").mapInArrow(_choice_rows, "th long, word long").distinct(), "restored"
     )
 
 
-def _keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every plain word with runs of a letter taken once, and the text of each."""
+def _short(texts: pa.Array) -> Words:
+    """Plain words with runs of a letter taken once."""
     words = words_of(texts, PLAIN)
     if not len(words.start):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return words
     keep = np.ones(len(words.data), dtype=bool)
     keep[1:] = (words.data[1:] != words.data[:-1]) | (words.data[1:] >= 128)
     keep[words.start] = True
     new = np.concatenate([[0], np.cumsum(keep)])
-    short = Words(words.data[keep], words.offsets, new[words.start], new[words.end], words.bounds)
-    return short.hashes(), words.owner()
+    return Words(words.data[keep], words.offsets, new[words.start], new[words.end], words.bounds)
+
+
+def _keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every plain word with runs of a letter taken once, and the text of each."""
+    short = _short(texts)
+    return short.hashes(), short.owner()
 
 
 def _doc_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct plain words and distinct disguised tokens of each text."""
+    """Distinct plain words of each text."""
     for batch in batches:
-        for piece in slices(batch):
+        for piece in slices(batch, most=SLICE_BYTES):
             values, owner = _keys(piece.column("text"))
             owner, values = distinct_pairs(owner, values)
             yield pa.RecordBatch.from_arrays(
-                [piece.column("key"), piece.column("tag"), piece.column("y"),
-                 lists(signed(values), np.bincount(owner, minlength=piece.num_rows), pa.int64()), _token_lists(piece)],
-                ["key", "tag", "y", "words", "tokens"],
+                [piece.column("key"), piece.column("tag"), piece.column("y"), lists(signed(values), np.bincount(owner, minlength=piece.num_rows), pa.int64())],
+                ["key", "tag", "y", "words"],
             )
 
 
-def _token_lists(piece: pa.RecordBatch) -> pa.Array:
-    whose, tokens = _disguised(words_of(piece.column("text"), RAW))
-    held: list[set] = [set() for _ in range(piece.num_rows)]
-    for i, t in zip(whose.tolist(), tokens):
-        held[i].add(t)
-    return pa.array([sorted(t) for t in held], pa.list_(pa.string()))
+def fit_logistic(rows: np.ndarray, columns: np.ndarray, y: np.ndarray, penalty: np.ndarray, rounds: int = 30) -> np.ndarray:
+    """Weights and, last, the intercept by Newton steps on presence features (row, column), each solved by conjugate gradients; the
+    intercept is not penalised."""
+    n, m = len(y), len(penalty)
+    pull = np.append(penalty, 1e-6)
 
+    def forward(w: np.ndarray) -> np.ndarray:
+        return np.bincount(rows, weights=w[columns], minlength=n) + w[-1]
 
-def fit_logistic(rows: list, columns: np.ndarray, y: np.ndarray, penalty: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """Weights and, last, the intercept by Newton steps on presence features (row, column); the intercept is not penalised."""
-    x = np.zeros((len(y), len(penalty) + 1))
-    x[rows, columns] = 1
-    x[:, -1] = 1
-    w = np.zeros(x.shape[1])
-    pull = np.append(penalty, 1e-6)
+    def back(r: np.ndarray) -> np.ndarray:
+        return np.append(np.bincount(columns, weights=r[rows], minlength=m), r.sum())
+
+    w = np.zeros(m + 1)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + np.diag(pull), x.T @ (y - p) - pull * w)
+        p = 1 / (1 + np.exp(-np.clip(forward(w), -30, 30)))
+        curve = np.maximum(p * (1 - p), 1e-9)
+        rest = back(y - p) - pull * w
+        scale = 1 / (back(curve) + pull)  # the diagonal, as features are 0 or 1
+        step, way = np.zeros(m + 1), scale * rest
+        left = rest @ way
+        for _ in range(200):
+            if left < 1e-18:
+                break
+            bent = back(curve * forward(way)) + pull * way
+            far = left / (way @ bent)
+            step += far * way
+            rest = rest - far * bent
+            new = rest @ (scale * rest)
+            way, left = scale * rest + new / left * way, new
         w += step
         if np.abs(step).max() < 1e-8:
             break
     return w
 
 
-def fit_words(features: DataFrame, vocabulary: int, min_docs: int) -> tuple[np.ndarray, np.ndarray, float]:
+def discovered(z: np.ndarray, tests: int, rate: float) -> float:
+    """Smallest |z| that Benjamini and Hochberg's rule accepts among ``tests`` two-sided tests, of which the largest are given; infinite if none is."""
+    z = np.sort(z)[::-1]
+    p = np.array([math.erfc(v / math.sqrt(2)) for v in z])
+    good = np.flatnonzero(p <= rate * (np.arange(len(z)) + 1) / max(tests, 1))
+    return float(z[good[-1]]) if len(good) else math.inf
+
+
+def fit_words(features: DataFrame, min_docs: int, rate: float) -> tuple[np.ndarray, np.ndarray, float]:
     """Word keys, their weights and the intercept, from stored sample features (key, y, words)."""
     totals = features.agg(F.count("*").alias("n"), F.sum("y").alias("ones")).first()
     n, ones = totals.n, totals.ones or 0
+    share = ones / n if n else 0.0
+    nothing = np.empty(0, np.int64), np.empty(0), math.log(max(share, 1e-9) / max(1 - share, 1e-9))
     if not ones or ones == n:
-        share = ones / n if n else 0.0
-        return np.empty(0, np.int64), np.empty(0), math.log(max(share, 1e-9) / max(1 - share, 1e-9))
+        return nothing
     seen = features.select("y", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("c"), F.sum("y").alias("c1"))
     p, p1, p0 = F.col("c") / n, F.col("c1") / ones, (F.col("c") - F.col("c1")) / (n - ones)
     z = F.abs(p1 - p0) / F.sqrt(p * (1 - p) * (1 / ones + 1 / (n - ones)) + 1e-12)
     support = F.when(p1 > p0, F.col("c1")).otherwise(F.col("c") - F.col("c1"))
-    best = seen.where(F.col("c") >= min_docs).select("word", support.alias("n"), z.alias("z")).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(vocabulary)
-    best = sorted((r.word, r.n) for r in best.collect())
+    tested = stored(seen.where(F.col("c") >= min_docs).select("word", support.alias("support"), z.alias("z")), "tested")
+    # What the rule accepts is at or above this; words of a bounded sample.
+    likely = tested.where(F.col("z") >= _tail(rate)).collect()
+    least = discovered(np.array([r.z for r in likely]), tested.count(), rate)
+    best = sorted((r.word, r.support) for r in likely if r.z >= least)
+    if not best:
+        return nothing
     words = np.array([b[0] for b in best], np.int64)
     # Words seen in few documents of their label, often copies of one, are held back; widespread ones are free.
     penalty = np.clip((10 / np.array([max(b[1], 1) for b in best], np.float64)) ** 2, 1e-3, 10)
-    # At most ``sample`` rows of at most ``vocabulary`` words.
-    rows = features.select("y", F.array_intersect("words", F.array(*[F.lit(int(w)) for w in words])).alias("w")).collect() if len(words) else []
-    if not rows:
-        share = ones / n
-        return np.empty(0, np.int64), np.empty(0), math.log(share / (1 - share))
-    sizes = [len(r.w) for r in rows]
-    columns = np.searchsorted(words, np.array([w for r in rows for w in r.w], np.int64))
-    y = np.array([r.y for r in rows], np.float64)
-    w = fit_logistic(np.repeat(np.arange(len(rows)), sizes), columns, y, penalty)
+    # At most ``sample`` rows with some of these words.
+    chosen = features.sparkSession.createDataFrame([(int(w),) for w in words], "word long")
+    hits = features.select("key", "tag", "y", F.explode("words").alias("word")).join(F.broadcast(chosen), "word").groupBy("key", "tag", "y").agg(
+        F.collect_list("word").alias("w")
+    )
+    rows = features.select("key", "tag", "y").join(hits.select("key", "tag", "w"), ["key", "tag"], "left").select("y", "w").toArrow()
+    held = rows.column("w").combine_chunks()
+    sizes = held.value_lengths().fill_null(0).to_numpy()
+    columns = np.searchsorted(words, held.flatten().to_numpy(zero_copy_only=False))
+    w = fit_logistic(np.repeat(np.arange(len(sizes)), sizes), columns, rows.column("y").to_numpy().astype(np.float64), penalty)
     return words, w[:-1], float(w[-1])
 
 
+def _tail(rate: float) -> float:
+    """The |z| whose two-sided probability is ``rate``."""
+    low, high = 0.0, 40.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if math.erfc(mid / math.sqrt(2)) > rate else (low, mid)
+    return low
+
+
 def _hit_rows(held):
-    """The learned words among the plain words of each text, and its disguised tokens."""
+    """The learned words among the plain words of each text, and the sum of their weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = held.value
+        words, weights = held.value
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, most=SLICE_BYTES):
                 values, owner = _keys(piece.column("text"))
                 values = signed(values)
                 hit = np.isin(values, words)
                 owner, values = distinct_pairs(owner[hit], values[hit])
+                total = np.bincount(owner, weights=weights[np.searchsorted(words, values)] if len(words) else None, minlength=piece.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("key"), piece.column("tag"), piece.column("held_out"),
-                     lists(values, np.bincount(owner, minlength=piece.num_rows), pa.int64()), _token_lists(piece)],
-                    ["key", "tag", "held_out", "words", "tokens"],
+                     lists(values, np.bincount(owner, minlength=piece.num_rows), pa.int64()), pa.array(total.astype(np.float64))],
+                    ["key", "tag", "held_out", "words", "total"],
                 )
 
     return run
 
 
-def _with_restored(rows: DataFrame, restored: DataFrame) -> DataFrame:
-    """The restored words of each (key, tag): ``more``."""
-    parts = rows.select("key", "tag", F.explode(F.transform("tokens", lambda t: F.xxhash64(t))).alias("th"))
-    return parts.join(restored, "th").groupBy("key", "tag").agg(F.collect_set("word").alias("more"))
+def _with_restored(rows: DataFrame, restored: DataFrame, *more: str) -> DataFrame:
+    """The restored words of each (key, tag): ``more``, as structs of word and further columns."""
+    parts = rows.select("key", "tag", F.explode("tokens").alias("th"))
+    return parts.join(restored, "th").groupBy("key", "tag").agg(F.collect_set(F.struct("word", *more)).alias("more"))
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, vocabulary: int = VOCABULARY, min_docs: int = MIN_DOCS, threshold: float = 0.5
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int = MIN_DOCS, rate: float = FALSE, threshold: float = 0.5
 ) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted, and internal key and tag."""
     spark = docs.sparkSession
@@ -472,27 +521,25 @@ def score_toxicity(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"),
         held_out().alias("held_out"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    restored = restored_words(docs, language_model(docs))
-    chosen = stored(labelled_sample(labels, "toxic", sample), "sample")
-    # At most ``sample`` rows of two numbers are broadcast.
-    seen = stored(
-        rows.join(F.broadcast(chosen), "key").select("key", "tag", "y", "text")
-        .mapInArrow(_doc_rows, "key long, tag long, y int, words array<long>, tokens array<string>"),
-        "sampled",
+    facts, tokens = token_facts(rows)
+    restored = restored_words(docs, tokens, language_model(docs), min_docs)
+    chosen = F.broadcast(stored(labelled_sample(labels, "toxic", sample), "sample"))  # at most ``sample`` rows of two numbers
+    seen = rows.join(chosen, "key").select("key", "tag", "y", "text").mapInArrow(_doc_rows, "key long, tag long, y int, words array<long>")
+    found = _with_restored(facts.join(chosen, "key"), restored)
+    union = F.array_union("words", F.coalesce("more.word", F.array().cast("array<long>"))).alias("words")
+    features = stored(seen.dropDuplicates(["key", "tag"]).join(found, ["key", "tag"], "left").select("key", "tag", "y", union), "features")
+    words, weights, intercept = fit_words(features, min_docs, rate)
+    held = spark.sparkContext.broadcast((words, weights))
+    hits = stored(rows.mapInArrow(_hit_rows(held), "key long, tag long, held_out boolean, words array<long>, total double"), "hits")
+    # The tokens that stand for a learned word; stored, so that Spark knows how many there are.
+    learned = spark.createDataFrame([(int(w), float(v)) for w, v in zip(words, weights)], "word long, weight double")
+    useful = stored(restored.join(F.broadcast(learned), "word"), "useful")
+    more = stored(_with_restored(facts, useful, "weight"), "more")
+    logit = F.aggregate(
+        F.filter(F.array_sort(F.coalesce("more", F.expr("cast(array() as array<struct<word: bigint, weight: double>>)"))), lambda m: ~F.array_contains("words", m["word"])),
+        F.col("total") + F.lit(float(intercept)), lambda total, m: total + m["weight"],
     )
-    union = F.array_union("words", F.coalesce("more", F.array().cast("array<long>"))).alias("words")
-    features = stored(seen.join(_with_restored(seen, restored), ["key", "tag"], "left").select("key", "y", union), "features")
-    words, weights, intercept = fit_words(features, vocabulary, min_docs)
-    held = spark.sparkContext.broadcast(words)
-    # The tokens that stand for one of at most ``vocabulary`` words; stored, so that Spark knows how many there are.
-    useful = stored(restored.where(F.col("word").isin([int(w) for w in words])), "useful")
-    hits = stored(rows.mapInArrow(_hit_rows(held), "key long, tag long, held_out boolean, words array<long>, tokens array<string>"), "hits")
-    more = stored(_with_restored(hits, useful), "more")
-    weight = F.create_map(*[F.lit(x) for w, v in zip(words, weights) for x in (int(w), float(v))]) if len(words) else None
-    logit = F.lit(float(intercept))
-    if len(words):
-        logit = F.aggregate("words", logit, lambda total, w: total + F.coalesce(F.element_at(weight, w), F.lit(0.0)))
-    scored = hits.join(more, ["key", "tag"], "left").select("key", "tag", "held_out", F.array_sort(union).alias("words")).withColumn(
+    scored = hits.join(more, ["key", "tag"], "left").withColumn(
         "score", 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-500.0)), F.lit(500.0))))
     )
     return scored.select(
