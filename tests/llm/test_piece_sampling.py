@@ -7,9 +7,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from vectorloom.llm import piece_sampling as P
-from vectorloom.llm.piece_sampling import decode_ids, encode_slice, encode_texts, load_vocabulary
+from vectorloom.llm.piece_sampling import decode_ids, encode_slice, encode_texts, load_vocabulary, round_trip
 
 SCHEMA = "doc_id long, text string, ids int"
 TEXTS = [None, "", " ", "  ", "Hello  world", " leading and trailing ", "▁ literal ▁▁mark", "line\n\nfeeds\n", "tab\tand \x00 zero",
@@ -33,6 +34,29 @@ def test_round_trip(spark):
     assert plain and all(model.decode(list(r.ids)) == r.text for r in plain)
 
 
+def test_one_pass_gives_the_same(spark, monkeypatch):
+    rows = [(None if i == 4 else i, t, 0) for i, t in enumerate(TEXTS * 3)]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id", "text", "ids", "1 as decoded", "'x' as `a.b`").repartition(2)
+    want = decode_ids(encode_texts(docs)).collect()
+    got = round_trip(docs)
+    assert got.columns == ["doc_id", "a.b", "ids", "decoded", "lossless"]
+    got = got.collect()
+    assert Counter((r.doc_id, r.ids and tuple(r.ids), r.decoded) for r in got) == Counter((r.doc_id, r.ids and tuple(r.ids), r.decoded) for r in want)
+    assert all(r.lossless and r["a.b"] == "x" for r in got) and len(got) == len(rows)
+    assert round_trip(docs.select("doc_id", "text").limit(0)).count() == 0 and round_trip(docs.select("text", F.col("doc_id").alias("k")), key_col="k").count() == len(rows)
+
+
+def test_store_of_a_worker_is_bounded(vocabulary, monkeypatch):
+    """The same pieces with a small store, a large one and none."""
+    texts = pa.array([" ".join(f"word{i % 700} and more{i % 90}" for i in range(k, k + 400)) for k in range(0, 4000, 100)])
+    results = []
+    for size in (0, 1 << 10, 1 << 20):
+        monkeypatch.setattr(P, "STORED", size)
+        vocabulary.store = None
+        results.append([encode_slice(vocabulary, texts.slice(k, 10), np.arange(k, k + 10), 5)[0].tolist() for k in range(0, 40, 10)])
+    assert results[0] == results[1] == results[2] and len(vocabulary.store.data) > 1 << 10
+
+
 def test_same_row_same_pieces(spark):
     docs = spark.createDataFrame([(i % 5, "some words that can be cut in many ways", 0) for i in range(40)], SCHEMA)
     a = {(r.doc_id, tuple(r.ids)) for r in encode_texts(docs.repartition(7)).collect()}

@@ -14,8 +14,11 @@ Weights are the model's scores where they are log-probabilities; a merge-ordered
 
 The vocabulary (a file of fixed size, its path a parameter) is read once by the driver and sent to the tasks.
 
-Defined cases: a null text has null ids, an empty one no ids; a null key is a key of its own; repeated rows get the same ids;
-other columns stay as they are in ``encode_texts``; an empty table gives an empty result.
+``round_trip`` encodes and decodes in one pass, so a text goes to a Python worker once. What a worker holds beside the slice at hand is bounded in bytes.
+
+Defined cases: a null text has null ids, an empty one no ids; a null key is a key of its own; repeated rows get the same ids; of pieces
+equally likely each has its equal share; a very long text is one slice, whose lattice takes some hundred bytes for each of its own; other columns stay as they are, except
+that a column of the name of a result is replaced by it; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import sentencepiece
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +39,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THETA, SEED = 1.0, 11
 #: A lattice takes some hundred times the room of its text, so texts go in smaller slices.
 SLICE_BYTES = 1 << 19
-#: Segments a worker keeps filtered from slice to slice.
-STORED = 60_000
+#: Bytes of segments a worker keeps filtered from slice to slice.
+STORED = 1 << 18
 _MARK = 0xFF  # stands for a blank; no UTF-8 text has this byte
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _GRID = float(1 << 30)  # shares are compared on this grid, exactly
@@ -64,6 +67,8 @@ def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def load_vocabulary(path: str = MODEL, theta: float = THETA) -> Vocabulary:
+    import sentencepiece  # by the driver alone; the tasks need the pieces only
+
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     n = model.get_piece_size()
     normal = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
@@ -174,7 +179,8 @@ def forward(v: Vocabulary, data: np.ndarray, bounds: np.ndarray) -> Lattice:
         at = np.flatnonzero(rank == place) if place == 1 else at[at + 1 < len(rank)] + 1
         at = at[rank[at] == place]
         chance[at] += chance[at - 1]
-    return Lattice(target + np.floor(chance * _GRID) / _GRID, first, last, source, ids)
+    small = (x.astype(np.int32) for x in (first, last, source, ids))
+    return Lattice(target + np.floor(chance * _GRID) / _GRID, *small)
 
 
 def backward(lattice: Lattice, root: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -241,7 +247,7 @@ class Store:
 
     def take(self, v: Vocabulary, h: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> None:
         """Note new segments; filter all anew when enough of them wait."""
-        if len(self.hashes) >= STORED:
+        if len(self.data) >= STORED:
             return
         self.waiting.append((h, data, bounds))
         if sum(len(w[0]) for w in self.waiting) * 2 < len(self.hashes):
@@ -294,54 +300,76 @@ def encode_slice(v: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int) ->
     return ids, np.bincount(owner, weights=counts, minlength=len(texts)).astype(np.int64)
 
 
+def _ids_of(v: Vocabulary, key: pa.Array, text: pa.Array, seed: int) -> pa.Array:
+    ids, counts = encode_slice(v, text, key.to_numpy(), seed)
+    found = lists(ids, counts, pa.int32())
+    return pc.if_else(text.is_valid(), found, pa.scalar(None, found.type)) if text.null_count else found
+
+
 def _encoded(held, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = held.value
         for batch in batches:
             for piece in slices(batch, "__text", SLICE_BYTES):
-                text = piece.column("__text")
-                ids, counts = encode_slice(v, text, piece.column("__key").to_numpy(), seed)
-                found = lists(ids, counts, pa.int32())
-                if text.null_count:
-                    found = pa.compute.if_else(text.is_valid(), found, pa.scalar(None, found.type))
+                found = _ids_of(v, piece.column("__key"), piece.column("__text"), seed)
                 yield pa.RecordBatch.from_arrays([piece.column("__row"), found], ["__row", "ids"])
 
     return run
 
 
+def _struct(docs: DataFrame, *without: str):
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without] or [F.lit(None).cast("int").alias("__none")]).alias("__row")
+
+
+def _keyed(docs: DataFrame, key_col: str, text_col: str, *without: str) -> DataFrame:
+    return docs.select(
+        _struct(docs, *without), F.coalesce(F.col(key_col).cast("long"), F.lit(NULL_ID)).alias("__key"), F.col(text_col).alias("__text")
+    )
+
+
 def encode_texts(
     docs: DataFrame, path: str = MODEL, theta: float = THETA, seed: int = SEED, key_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """All columns of the input, and ``ids``: a sampled segmentation of the text, fixed by seed and key."""
     held = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path, theta))
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "ids"]).alias("__row"),
-        F.coalesce(F.col(key_col).cast("long"), F.lit(NULL_ID)).alias("__key"), F.col(text_col).alias("__text"),
-    )
+    rows = _keyed(docs, key_col, text_col, "ids")
     schema = f"__row {rows.schema['__row'].dataType.simpleString()}, ids array<int>"
     return rows.mapInArrow(_encoded(held, seed), schema).select("__row.*", "ids")
 
 
-def _decoded(held):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = held.value
-        size = np.diff(v.bounds)
-        # Marks become blanks; a byte piece keeps its byte.
+@dataclass
+class _Spelling:
+    """What each id stands for: marks are blanks, a byte piece is its byte."""
+
+    flat: np.ndarray
+    begin: np.ndarray
+    size: np.ndarray
+
+    @staticmethod
+    def of(v: Vocabulary) -> "_Spelling":
         flat = np.where(v.flat == _MARK, 0x20, v.flat).astype(np.uint8)
         flat[v.bounds[v.byte_ids]] = np.arange(256)
+        return _Spelling(flat, v.bounds, np.diff(v.bounds))
+
+    def decode(self, column: pa.Array) -> pa.Array:
+        """Texts of lists of ids."""
+        ids = column.flatten().to_numpy(zero_copy_only=False)
+        n = column.value_lengths().fill_null(0).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(self.size[ids])]).astype(np.int64)
+        out = self.flat[np.repeat(self.begin[ids] - ends[:-1], self.size[ids]) + np.arange(ends[-1])] if len(ids) else np.empty(0, np.uint8)
+        stop = ends[np.cumsum(n)]
+        start = np.concatenate([[0], stop[:-1]]) + (n > 0)  # without the prefix
+        raw = out.tobytes()
+        return pa.array([None if bad else raw[a:b].decode() for a, b, bad in zip(start, stop, column.is_null().to_pylist())], pa.string())
+
+
+def _decoded(held):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelling = _Spelling.of(held.value)
         for whole in batches:
             for lo in range(0, whole.num_rows, 512):
                 batch = whole.slice(lo, 512)
-                column = batch.column("ids")
-                ids = column.flatten().to_numpy(zero_copy_only=False)
-                n = column.value_lengths().fill_null(0).to_numpy()
-                out = flat[np.repeat(v.bounds[ids] - np.concatenate([[0], np.cumsum(size[ids])[:-1]]), size[ids]) + np.arange(size[ids].sum())] \
-                    if len(ids) else np.empty(0, np.uint8)
-                ends = np.concatenate([[0], np.cumsum(size[ids])])[np.cumsum(n)]
-                starts = np.concatenate([[0], ends[:-1]]) + (n > 0)  # without the prefix
-                raw = out.tobytes()
-                texts = [None if bad else raw[a:b].decode() for a, b, bad in zip(starts, ends, column.is_null().to_pylist())]
-                yield pa.RecordBatch.from_arrays([batch.column("__row"), pa.array(texts, pa.string())], ["__row", "decoded"])
+                yield pa.RecordBatch.from_arrays([batch.column("__row"), spelling.decode(batch.column("ids"))], ["__row", "decoded"])
 
     return run
 
@@ -349,6 +377,34 @@ def _decoded(held):
 def decode_ids(frame: DataFrame, path: str = MODEL) -> DataFrame:
     """All columns of the input, and ``decoded``: the text that ``ids`` stand for."""
     held = frame.sparkSession.sparkContext.broadcast(load_vocabulary(path))
-    rows = frame.select(F.struct(*[F.col(f"`{c}`") for c in frame.columns if c != "decoded"]).alias("__row"), "ids")
+    rows = frame.select(_struct(frame, "decoded"), "ids")
     schema = f"__row {rows.schema['__row'].dataType.simpleString()}, decoded string"
     return rows.mapInArrow(_decoded(held), schema).select("__row.*", "decoded")
+
+
+def _round(held, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = held.value
+        spelling = _Spelling.of(v)
+        for batch in batches:
+            for piece in slices(batch, "__text", SLICE_BYTES):
+                text = piece.column("__text")
+                ids = _ids_of(v, piece.column("__key"), text, seed)
+                decoded = spelling.decode(ids)
+                same = pc.fill_null(pc.equal(text, decoded), False)
+                same = pc.or_(same, pc.and_(text.is_null(), decoded.is_null()))
+                yield pa.RecordBatch.from_arrays([piece.column("__row"), ids, decoded, same], ["__row", "ids", "decoded", "lossless"])
+
+    return run
+
+
+def round_trip(
+    docs: DataFrame, path: str = MODEL, theta: float = THETA, seed: int = SEED, key_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """All columns of the input but the text; its ids as ``encode_texts`` gives them, what they decode to, and whether that is the text."""
+    held = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path, theta))
+    made = ("ids", "decoded", "lossless")
+    rows = _keyed(docs, key_col, text_col, text_col, *made)
+    kept = [c for c in docs.columns if c not in (text_col, *made)]
+    schema = f"__row {rows.schema['__row'].dataType.simpleString()}, ids array<int>, decoded string, lossless boolean"
+    return rows.mapInArrow(_round(held, seed), schema).select(*[F.col(f"__row.`{c}`") for c in kept], *made)

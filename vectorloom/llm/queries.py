@@ -14,7 +14,7 @@ from vectorloom.llm.language_id import identify
 from vectorloom.llm.merkle import leaf, manifest
 from vectorloom.llm.ngram_join import ngram_classes
 from vectorloom.llm.periodic_runs import find_runs, strongest
-from vectorloom.llm.piece_sampling import decode_ids, encode_texts
+from vectorloom.llm.piece_sampling import round_trip
 from vectorloom.llm.quality import score_quality
 from vectorloom.llm.secrets import scan_secrets
 from vectorloom.llm.substring_dedup import dedup_passages
@@ -62,11 +62,8 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
     """Sampled ids, and a digest of what they decode to beside that of the text."""
-    coded = decode_ids(encode_texts(_table(spark, folder, "documents").select("doc_id", "text")))
-    return coded.select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
-    )
+    coded = round_trip(_table(spark, folder, "documents").select("doc_id", "text"))
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2("decoded", 256).alias("decoded_sha256"), "lossless")
 
 
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
