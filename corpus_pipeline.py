@@ -6,8 +6,11 @@
 4. secrets: secrets are masked in the text; all documents stay.
 5. pieces: sampled SentencePiece ids, with a digest of the text that they decode to.
 
-Each result is written as Parquet in the shared folder and read back for the next stage. Null ids and texts, repeated rows and empty
-tables are handled as the operators state.
+Each result is written as Parquet in the shared folder and read back for the next stage.
+
+Defined cases: null ids and texts are rows like any other; a null, empty or wordless text is never toxic by its words, a near copy, or a leak; of rows
+that share id and text one stays in near_copies and all stay elsewhere; ties go to the smallest id; a very long text is one slice of its task;
+columns beyond those of documents pass all stages but the last, whatever their names; empty tables give an empty result, and without labels nothing is toxic.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 
 from vectorloom.llm.decontaminate import drop_leaks
 from vectorloom.llm.ngram_join import drop_near_copies
-from vectorloom.llm.piece_sampling import decode_ids, encode_texts
+from vectorloom.llm.piece_sampling import round_trip
 from vectorloom.llm.secrets import mask_secrets
 from vectorloom.llm.toxicity import drop_toxic
 from vectorloom.session import new_folder, ship_package
@@ -43,10 +46,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    coded = decode_ids(encode_texts(docs))
+    coded = round_trip(docs.select("doc_id", "lang", "source", "text"))
     return coded.select(
-        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2("decoded", 256).alias("decoded_sha256"), "lossless",
     )
 
 
