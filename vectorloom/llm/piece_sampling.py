@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from vectorloom.llm.keys import NULL_ID
 from vectorloom.llm.words import buffers, lists, mix, rolling, slices
@@ -321,6 +322,11 @@ def _struct(docs: DataFrame, *without: str):
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without] or [F.lit(None).cast("int").alias("__none")]).alias("__row")
 
 
+def _schema(rows: DataFrame, more: str) -> StructType:
+    """The carried columns, whatever their names, and further ones."""
+    return StructType([StructField("__row", rows.schema["__row"].dataType), *StructType.fromDDL(more)])
+
+
 def _keyed(docs: DataFrame, key_col: str, text_col: str, *without: str) -> DataFrame:
     return docs.select(
         _struct(docs, *without), F.coalesce(F.col(key_col).cast("long"), F.lit(NULL_ID)).alias("__key"), F.col(text_col).alias("__text")
@@ -333,7 +339,7 @@ def encode_texts(
     """All columns of the input, and ``ids``: a sampled segmentation of the text, fixed by seed and key."""
     held = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path, theta))
     rows = _keyed(docs, key_col, text_col, "ids")
-    schema = f"__row {rows.schema['__row'].dataType.simpleString()}, ids array<int>"
+    schema = _schema(rows, "ids array<int>")
     return rows.mapInArrow(_encoded(held, seed), schema).select("__row.*", "ids")
 
 
@@ -378,7 +384,7 @@ def decode_ids(frame: DataFrame, path: str = MODEL) -> DataFrame:
     """All columns of the input, and ``decoded``: the text that ``ids`` stand for."""
     held = frame.sparkSession.sparkContext.broadcast(load_vocabulary(path))
     rows = frame.select(_struct(frame, "decoded"), "ids")
-    schema = f"__row {rows.schema['__row'].dataType.simpleString()}, decoded string"
+    schema = _schema(rows, "decoded string")
     return rows.mapInArrow(_decoded(held), schema).select("__row.*", "decoded")
 
 
@@ -406,5 +412,5 @@ def round_trip(
     made = ("ids", "decoded", "lossless")
     rows = _keyed(docs, key_col, text_col, text_col, *made)
     kept = [c for c in docs.columns if c not in (text_col, *made)]
-    schema = f"__row {rows.schema['__row'].dataType.simpleString()}, ids array<int>, decoded string, lossless boolean"
+    schema = _schema(rows, "ids array<int>, decoded string, lossless boolean")
     return rows.mapInArrow(_round(held, seed), schema).select(*[F.col(f"__row.`{c}`") for c in kept], *made)
