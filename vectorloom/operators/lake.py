@@ -155,10 +155,17 @@ class Lake:
         )
         self.append("state", row)
 
+    @staticmethod
+    def _start():
+        return F.date_format(F.current_timestamp() - F.expr("INTERVAL 24 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+
     def seed_state(self, key: str = STATE_KEY) -> int:
         """Start 24 hours back where no checkpoint is stored."""
-        start = F.date_format(
-            F.current_timestamp() - F.expr("INTERVAL 24 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+        return self.append("state", absent_from(seed_row(self.spark, key, self._start()), self.read("state"), ["key"]))
+
+    def seed_states(self, keys: DataFrame) -> int:
+        """The same for a column ``key`` of many sources."""
+        rows = keys.select("key").distinct().select(
+            "key", self._start().alias("value"), F.lit(0).cast("long").alias("version"), F.current_timestamp().alias("updated_at")
         )
-        row = seed_row(self.spark, key, start)
-        return self.append("state", absent_from(row, self.read("state"), ["key"]))
+        return self.append("state", absent_from(rows, self.read("state"), ["key"]))

@@ -124,6 +124,39 @@ ORACLE = {
       WITH w AS (SELECT source, min(doc_id) AS winner FROM documents GROUP BY source)
       SELECT way, source AS arxiv_id, winner, md5(text) AS text_md5
       FROM w JOIN documents d USING (source) CROSS JOIN (VALUES ('batch'), ('stream')) v(way) WHERE d.doc_id = winner""",
+    "stream_first_wins_state": """
+      WITH w AS (SELECT source || '-' || (doc_id % 5) AS arxiv_id, doc_id, text,
+          row_number() OVER (PARTITION BY source, doc_id % 5 ORDER BY CASE WHEN doc_id % 3 = 0 AND doc_id % 5 <> 4 THEN 0 ELSE 1 END, doc_id) AS r
+        FROM documents)
+      SELECT arxiv_id, doc_id AS winner, md5(text) AS text_md5 FROM w WHERE r = 1""",
+    "full_then_incremental": """
+      WITH l AS (
+        SELECT 'before' AS state, CASE WHEN doc_id % 4 <> 3 THEN 'full 1' WHEN doc_id % 8 <> 7 THEN 'more 1' ELSE 'more 2' END AS load FROM documents
+        UNION ALL SELECT 'after', CASE WHEN lang <> 'fr' THEN 'full 2' ELSE 'more 3' END FROM documents)
+      SELECT state, load, count(*) AS rows FROM l GROUP BY ALL""",
+    "resumed_after_failure": f"""
+      WITH {_SILVER}, s AS (SELECT count(*) AS n FROM silver), d AS (SELECT count(*) AS n FROM documents)
+      SELECT 'failed' AS status, 1 AS runs, d.n AS bronze, 0 AS gold, s.n AS silver FROM s, d
+      UNION ALL SELECT 'success', 1, 0, s.n, s.n FROM s""",
+    "archived_files": """
+      SELECT lang || CASE WHEN doc_id % 2 = 0 THEN '.jsonl' ELSE '_1.jsonl' END AS file, count(*) AS rows FROM documents GROUP BY 1
+      UNION ALL SELECT 'loaded from ' || lang || '.jsonl', count(*) FROM documents GROUP BY 1""",
+    "seeded_states": """
+      WITH s AS (SELECT source AS key, max(doc_id) FILTER (WHERE lang = 'fr') AS last FROM documents GROUP BY 1)
+      SELECT key, CASE WHEN last IS NULL THEN true END AS day_back, strftime(TIMESTAMP '2020-01-01' + to_hours(last), '%Y-%m-%d %H:%M:%S') AS value,
+        0 AS added_twice FROM s""",
+    "test_set_scores": f"""
+      WITH {_SILVER}, {_vectors('silver', 'arxiv_id', 'abstract_clean', 'gold')},
+      cases AS (SELECT arxiv_id, left(abstract_clean, 80) AS query FROM silver WHERE arxiv_id::BIGINT % 100 = 0),
+      {_vectors('cases', 'arxiv_id', 'query', 'asked')}, {_ranked('gold', 'asked', '10', _SIZES)},
+      placed AS (
+        SELECT t.arxiv_id, d.dim, coalesce(r.rank, 11) AS rank FROM cases t CROSS JOIN {_SIZES} d
+        LEFT JOIN ranked r ON r.qid = t.arxiv_id AND r.dim = d.dim AND r.vid = t.arxiv_id)
+      SELECT dim, count(*) AS queries, round(avg((rank <= 1)::INT), 6) AS accuracy,
+        round(avg(rank), 6) AS avg_rank, round(avg(1.0 / rank), 6) AS mrr FROM placed GROUP BY dim""",
+    "vector_topk_pruned": f"""
+      WITH {_STORED}, {_ranked('stored', 'stored', '10', _FULL)}
+      SELECT qid AS query_id, rank, vid AS vec_id, round(1 - distance, 4) AS score FROM ranked""",
     "latex_clean": r"""
       WITH f AS (SELECT doc_id, source, lang, regexp_extract(text, '^[A-Za-z]*') AS word FROM documents)
       SELECT doc_id AS id,

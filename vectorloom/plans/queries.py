@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 import numpy as np
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
@@ -18,15 +19,20 @@ from vectorloom.operators.approx import build_cells, fit_centres, top_k_cells
 from vectorloom.operators.checkpoint import next_checkpoint, pages_newest
 from vectorloom.operators.export import split_parts, write_jsonl
 from vectorloom.operators.lake import Lake
+from vectorloom.operators.pruned import top_k_pruned
 from vectorloom.operators.retrieval import scores, true_ranks
 from vectorloom.operators.search import embed_queries, recent, search, search_filter
+from vectorloom.operators.snapshots import Snapshots
 from vectorloom.operators.topk import top_k
 from vectorloom.plans.loads import load_files
 from vectorloom.plans.stages import clean_rows, parse_lines
-from vectorloom.session import new_folder, spread, stored
+from vectorloom.session import folder_names, new_folder, spread, stored
+from vectorloom.sources.archive import move_file
 from vectorloom.sources.feeds import atom_records, fetch, rss_records, scan_atom, scan_rss
 from vectorloom.sources.lines import head_lines, read_jsonl, scan_lines, stream_lines
 from vectorloom.sources.notifications import arrival_messages
+from vectorloom.sources.testset import read_test_set
+from vectorloom.streaming.first_seen import state_session, write_first_seen
 from vectorloom.streaming.medallion import load_feed, load_notified, load_stream
 
 # Size of the vectors in the given ``embeddings`` table, and of those made here.
@@ -154,6 +160,14 @@ def vector_topk_single(spark, folder):
     return found.select("rank", "vec_id", vectors.score(F.col("distance")).alias("score"))
 
 
+def vector_topk_pruned(spark, folder):
+    """The ten nearest vectors of every vector, by cells that the bounds leave."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    asked = rows.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    found, _ = top_k_pruned(rows, asked, id_col="vec_id", vector_col="embedding")
+    return found.select("query_id", "rank", "vec_id", vectors.score(F.col("distance")).alias("score"))
+
+
 def _label_centres(spark, folder) -> np.ndarray:
     """Label means in label order: given centres, one row per label."""
     means = _prototypes(spark, folder).where(F.col("label").isNotNull()).orderBy("label").collect()
@@ -267,6 +281,27 @@ def retrieval_metrics(spark, folder):
     )
 
 
+def test_set_scores(spark, folder):
+    """Scores against a loaded test set: the head of every hundredth text has to find its paper."""
+    silver = stored(_silver(spark, folder), "silver")
+    chosen = silver.where(F.col("arxiv_id").cast("long") % 100 == 0)
+    case = F.struct("arxiv_id", F.substring("abstract_clean", 1, 200).alias("abstract"), F.substring("abstract_clean", 1, 80).alias("query"))
+    path = new_folder(spark, "tests")
+    # A file is one array; a thousand cases at most.
+    files = chosen.groupBy((F.col("arxiv_id").cast("long") / 100_000).cast("long").alias("part")).agg(F.to_json(F.collect_list(case)).alias("value"))
+    files.write.partitionBy("part").text(path)
+    cases = stored(read_test_set(spark, path).select("arxiv_id", "query"), "cases")
+    gold = stored(_gold(silver), "gold")
+    listing.require_ids(cases, gold, "arxiv_id")
+    asked = embed_queries(cases.select(F.col("arxiv_id").alias("query_id"), "query"), hashing_encoder(DIM), dims=SIZES)
+    ranked = stored(top_k(gold, asked, vector_col=f"embedding_{DIM}", dims=SIZES), "ranked")
+    truth = cases.select(F.col("arxiv_id").alias("query_id"), F.col("arxiv_id").alias("true_id"))
+    found = scores(true_ranks(truth, ranked, SIZES), TOP_K)
+    return found.select(
+        "dim", "queries", F.round("accuracy", 6).alias("accuracy"), F.round("avg_rank", 6).alias("avg_rank"), F.round("mrr", 6).alias("mrr"),
+    )
+
+
 def recent_papers(spark, folder):
     """The 25 papers embedded last, with attributes and links."""
     silver = stored(_silver(spark, folder), "silver")
@@ -374,6 +409,43 @@ def silver_clean(spark, folder):
     )
 
 
+def stream_first_wins_state(spark, folder):
+    """The winner of each id over files with repeats, by state kept per id; the second run goes on from the checkpoint of the first."""
+    session = state_session(spark)
+    rows = papers(session, folder).withColumn("id", F.concat(F.col("authors")[0], F.lit("-"), F.col("doc_id") % 5))
+    line = F.to_json(F.struct("id", "title", "abstract", "doc_id"))
+    inbox, out, progress = (new_folder(session, n) for n in ("seen_in", "seen_out", "seen_progress"))
+    waves = ((F.col("doc_id") % 3 == 0) & (F.col("doc_id") % 5 != 4), (F.col("doc_id") % 3 != 0) | (F.col("doc_id") % 5 == 4))
+    for number, wave in enumerate(waves):
+        rows.where(wave).sort("doc_id").select(line.alias("value")).write.mode("append").text(f"{inbox}/{number}")
+        write_first_seen(stream_lines(session, f"{inbox}/*", suffix=".txt"), out, progress).awaitTermination()
+    found = spark.read.parquet(out)
+    record = F.col("raw_data")
+    return found.select(
+        "arxiv_id", fields.json_field(record, "doc_id", "bigint").alias("winner"), F.md5(fields.json_field(record, "abstract", "string")).alias("text_md5")
+    )
+
+
+def full_then_incremental(spark, folder):
+    """A full load, two incremental ones, a full one and an incremental one: rows by load before and after the second full load, and the snapshots left."""
+    documents = table(spark, folder, "documents").select("doc_id", "lang")
+    snapshots = Snapshots(spark, new_folder(spark, "snapshots"))
+
+    def rows(load: str, keep=None):
+        return (documents if keep is None else documents.where(keep)).withColumn("load", F.lit(load))
+
+    snapshots.full(rows("full 1", F.col("doc_id") % 4 != 3))
+    snapshots.add(rows("more 1", F.col("doc_id") % 8 != 7), ["doc_id"], "lang")
+    before = snapshots.add(rows("more 2"), ["doc_id"], "lang")
+    snapshots.full(rows("full 2", F.col("lang") != "fr"))
+    after = snapshots.add(rows("more 3"), ["doc_id"], "lang")
+    counts = None
+    for state, version in (("before", before), ("after", after)):
+        one = snapshots.read(version).groupBy("load").agg(F.count(F.lit(1)).alias("rows")).withColumn("state", F.lit(state))
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.select("state", "load", "rows")
+
+
 def insert_if_absent(spark, folder):
     """First document of each text that is not in the label table yet."""
     # The digest stands for the text, which then is not shuffled.
@@ -443,6 +515,61 @@ def stream_replay(spark, folder):
     return _run_log(lake)
 
 
+class _Unready:
+    """An encoder that is not there yet."""
+
+    dim = DIM
+
+    def encode(self, texts):
+        raise RuntimeError("the model is not loaded")
+
+
+def resumed_after_failure(spark, folder):
+    """A stream whose first run fails in the last layer, goes on from its checkpoint, then finds nothing new."""
+    path = _record_files(spark, folder)
+    lake, progress = _new_lake(spark), new_folder(spark, "progress")
+    for encoder in (_Unready, hashing_encoder(DIM), hashing_encoder(DIM)):
+        query = load_stream(lake, stream_lines(spark, path, suffix=".json"), encoder, progress, once=True, model_name=MODEL)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if encoder is not _Unready:
+                raise
+    runs = lake.read("runs").groupBy("status").agg(F.count(F.lit(1)).alias("runs"), F.sum("bronze").alias("bronze"), F.sum("gold").alias("gold"))
+    return runs.crossJoin(F.broadcast(listing.layer_counts(silver=lake.read("silver")).select(F.col("count").alias("silver"))))
+
+
+def archived_files(spark, folder):
+    """Files moved into the watched folder and put away after loading; names that come again get a number."""
+    staged, inbox, away, progress = (new_folder(spark, n) for n in ("staged", "inbox", "archive", "progress"))
+    rows = papers(spark, folder).withColumn("half", F.col("doc_id") % 2).withColumn("lang", F.col("categories")[0])
+    line = F.to_json(F.struct("id", "title", "abstract", "authors", "categories", "published"))
+    rows.select(line.alias("value"), "half", "lang").repartition("half", "lang").write.partitionBy("half", "lang").text(staged)
+    lake = _new_lake(spark)
+    for half in (0, 1):
+        for name in sorted(n for n in folder_names(spark, f"{staged}/half={half}") if n.startswith("lang=")):
+            for part in (n for n in folder_names(spark, f"{staged}/half={half}/{name}") if n.startswith("part-")):
+                move_file(spark, f"{staged}/half={half}/{name}/{part}", f"{inbox}/{half}/{name[5:]}.jsonl")
+        lines = stream_lines(spark, f"{inbox}/*", max_files=3)
+        load_stream(lake, lines, hashing_encoder(DIM), progress, once=True, model_name=MODEL, archive=away).awaitTermination()
+    put_away = scan_lines(spark, away).groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    loaded = lake.read("bronze").groupBy(F.concat(F.lit("loaded from "), "source_file").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    return put_away.unionByName(loaded)
+
+
+def seeded_states(spark, folder):
+    """Checkpoints of all sources: those without one start 24 hours back, the others keep theirs; seeding twice adds nothing."""
+    documents = table(spark, folder, "documents").where("source is not null")
+    lake = _new_lake(spark)
+    known = documents.where("lang = 'fr'").groupBy(F.col("source").alias("key")).agg(F.max(_hours("doc_id")).alias("at"))
+    lake.append("state", known.select("key", F.col("at").cast("string").alias("value"), F.lit(1).cast("long").alias("version"), F.current_timestamp().alias("updated_at")))
+    added = [lake.seed_states(documents.select(F.col("source").alias("key"))) for _ in range(2)]
+    day_back = F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(fields.iso_timestamp(F.col("value"))) - 86_400) < 7200
+    return lake.state().select(
+        "key", F.when(F.col("version") == 0, day_back).alias("day_back"), F.when(F.col("version") == 1, F.col("value")).alias("value"), F.lit(added[1]).alias("added_twice")
+    )
+
+
 def notified_load(spark, folder):
     """Arrival messages of the files drive the load."""
     path = _record_files(spark, folder)
@@ -784,10 +911,10 @@ def quality_profile(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        text_search, text_search_filtered, vector_topk_multi, vector_topk_single, vector_topk_approx,
+        text_search, text_search_filtered, vector_topk_multi, vector_topk_single, vector_topk_approx, vector_topk_pruned,
         vector_topk_all_cells, vector_distance, vector_text, matryoshka_dims, hash_encoder,
-        retrieval_metrics, recent_papers, bronze_ingest, first_wins_many_files, latex_clean, reject_report, silver_clean, insert_if_absent,
-        medallion_batch, stream_medallion, stream_replay, notified_load, atom_feed, feed_stream, rss_feed,
+        retrieval_metrics, test_set_scores, recent_papers, bronze_ingest, first_wins_many_files, stream_first_wins_state, full_then_incremental, latex_clean, reject_report, silver_clean, insert_if_absent,
+        medallion_batch, stream_medallion, stream_replay, resumed_after_failure, archived_files, seeded_states, notified_load, atom_feed, feed_stream, rss_feed,
         unprocessed_antijoin, work_list_page, missing_ids, keys_in_list, reembed_pending, layer_counts,
         key_uniqueness, peek_layers, peek_bronze_rows, previews_and_links, strip_html, url_extract, json_props,
         category_dispatch, name_lists, tag_filter, date_range_filter, sorted_fetch, page_newest,

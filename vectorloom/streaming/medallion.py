@@ -15,6 +15,7 @@ from vectorloom.functions.encoders import Encoder
 from vectorloom.operators.checkpoint import next_checkpoint, parse_checkpoint
 from vectorloom.operators.lake import Lake
 from vectorloom.plans.loads import last_run, run_stages
+from vectorloom.sources.archive import archive_files, plain_path
 from vectorloom.sources.feeds import record_lines
 from vectorloom.sources.lines import read_jsonl, with_sequence
 from vectorloom.sources.notifications import existing_paths, parse_messages
@@ -34,11 +35,14 @@ def load_stream(
     interval: int = POLL_SECONDS,
     once: bool = False,
     model_name: str = MODEL_NAME,
+    archive: str | None = None,
 ) -> StreamingQuery:
     """Load a stream of lines; ``once`` takes what is there and stops.
 
     Spark's checkpoint holds the progress. A batch that fails is not committed
-    and comes again; the key anti-joins make that harmless.
+    and comes again; the key anti-joins make that harmless. With ``archive`` the
+    files of a loaded batch are moved there, by the driver: give the stream a
+    ``max_files`` then.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -47,6 +51,9 @@ def load_stream(
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             run_stages(here, with_sequence(kept), factory, model_name, batch_id, small=True)
+            if archive:
+                done = kept.select(plain_path("source_path").alias("path")).distinct().orderBy("path")
+                archive_files(here.spark, [r["path"] for r in done.toLocalIterator()], archive)
         finally:
             kept.unpersist()
 
