@@ -14,9 +14,10 @@ LOWEST = -(1 << 63)
 
 def brute(rows, cosine=0.95):
     def unit(v):
-        if not v or len(v) < 2 or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+        if not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
             return None
-        x = np.array(v, np.float32).astype(np.float64)
+        x = np.array(v, np.float64)
+        x /= np.abs(x).max()
         return x / np.sqrt((x * x).sum())
 
     x = [unit(v) for _, v in rows]
@@ -58,30 +59,65 @@ def docs_of(spark, rows):
 @pytest.mark.parametrize("block", [2048, 16])
 def test_whole_recall_gives_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(vector_dedup, "BLOCK", block)
-    monkeypatch.setattr(vector_dedup, "probes_for", lambda *a: 40)
+    monkeypatch.setattr(vector_dedup, "probes_for", lambda *a: 64)
     rows = made(1)
     assert rows_of(near_vectors(docs_of(spark, rows), codes=8)) == brute(rows)
 
 
-def test_recall_on_the_test_table(spark):
-    """Links found against brute force on real rows: at least the wanted share, and none that is not one."""
-    table = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").where("vec_id < 3000").select("vec_id", "embedding")
-    rows = [(r.vec_id, list(r.embedding)) for r in table.collect()] + made(2, 800, 64)
-    rows = [(i, v) for i, (_, v) in enumerate(rows)]
-    x = np.array([v for _, v in rows], np.float32).astype(np.float64)
-    x /= np.sqrt((x * x).sum(1))[:, None]
-    want = (x @ x.T >= 0.95).sum(1) - 1
-    got = {r.vec_id: r.n_links for r in near_vectors(docs_of(spark, rows)).collect()}
-    found = np.array([got[i] for i in range(len(rows))])
-    assert (found <= want).all() and found.sum() >= 0.98 * want.sum() > 0
+def spread(seed, n, dim, inner=None, decay=None):
+    """Vectors near a few low-dimensional sheets, or with a falling spectrum, a part of them close to another one."""
+    rng = np.random.default_rng(seed)
+    if inner:
+        x = rng.normal(size=(n, inner)) @ rng.normal(size=(inner, dim))
+    else:
+        x = rng.normal(size=(n, dim)) * np.arange(1, dim + 1) ** -decay
+    return x.astype(np.float32)
+
+
+def recall_of(spark, x):
+    x64 = x.astype(np.float64) / np.sqrt((x.astype(np.float64) ** 2).sum(1))[:, None]
+    want = (x64 @ x64.T >= 0.95).sum(1) - 1
+    docs = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], SCHEMA).repartition(4)
+    got = {r.vec_id: r.n_links for r in near_vectors(docs).collect()}
+    found = np.array([got[i] for i in range(len(x))])
+    assert (found <= want).all() and want.sum() > 50
+    return found.sum() / want.sum()
+
+
+def test_recall_on_the_given_table(spark):
+    """The given rows, which have few links, and shaken copies of half of them: at least the wanted share, and none that is not one."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").collect()
+    x = np.array([r.embedding for r in rows], np.float32)
+    rng = np.random.default_rng(8)
+    noise = rng.normal(size=(len(x) // 2, x.shape[1])) * np.sqrt((x[: len(x) // 2] ** 2).sum(1) / x.shape[1])[:, None]
+    shaken = x[: len(x) // 2] + noise * rng.uniform(0.05, 0.32, len(x) // 2)[:, None]
+    assert recall_of(spark, np.vstack([x, shaken]).astype(np.float32)) >= 0.99
+
+
+@pytest.mark.parametrize("settings", [{"inner": 6}, {"inner": 8}, {"inner": 10}, {"decay": 1.0}])
+def test_recall_on_vectors_of_few_directions(spark, settings):
+    assert recall_of(spark, spread(3, 4000, 64, **settings)) >= 0.99
+
+
+def test_work_for_a_vector_does_not_grow(spark):
+    """Cells visited times members of a cell, from some thousand vectors to ten times as many."""
+    seen = []
+    for n in (4000, 40_000):
+        x = spread(4, n, 32, inner=12)
+        nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x.astype(float))], "node long, vector array<double>").repartition(4)
+        books, probes = vector_dedup.fit(nodes, 32, None, vector_dedup.SAMPLE, 0.95, 0.995)
+        seen.append(probes * n / (len(books[0]) * len(books[1])))
+    assert seen[1] < 4 * seen[0]
 
 
 def test_edges(spark):
     nan = float("nan")
     rows = [(None, None), (1, []), (2, [0.0, 0.0]), (3, [1.0, nan]), (4, [1.0, None]), (5, [1.0, 0.0]), (5, [1.0, 0.0]), (6, [2.0, 0.0]),
-            (None, [1.0, 0.01]), (8, [-1.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [1.0, 0.1, 0.0]), (11, [float("inf"), 1.0]), (12, [5.0])]
-    assert rows_of(near_vectors(docs_of(spark, rows))) == brute(rows)
-    assert near_vectors(docs_of(spark, rows).limit(0)).count() == 0
+            (None, [1.0, 0.01]), (8, [-1.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [1.0, 0.1, 0.0]), (11, [float("inf"), 1.0]), (12, [5.0]), (13, [7.0]), (14, [-1e-320]),
+            (15, [1e200, 1e200, 0.0, 1.0]), (16, [1e-200, 1e-200, 0.0, 0.0]), (17, [1e200, 0.0, 0.0, 0.0])]
+    docs = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA.replace("float", "double")).repartition(3)
+    assert rows_of(near_vectors(docs)) == brute(rows)
+    assert near_vectors(docs_of(spark, made(1)).limit(0)).count() == 0
 
 
 def test_traversal_order_and_end():

@@ -211,6 +211,41 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(co
 SELECT doc_id, keep_id, group_size, r = 1 AS kept, sha256(norm) AS text_sha256 FROM b
 """
 
+#: All pairs, then components by walking the links.
+_VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+    links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+              WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+    walk AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT walk.x, links.y FROM walk JOIN links ON links.x = walk.y),
+    least AS (SELECT x, min(y) AS component_id FROM walk GROUP BY x), n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, component_id = vec_id AS kept
+FROM v JOIN least ON least.x = vec_id LEFT JOIN n ON n.x = vec_id
+"""
+
+#: Every window of 20 words by its text; those that also start earlier cover the words that go.
+_PASSAGES = """
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+    win AS (SELECT doc_id, i, list_aggregate(w[i:i + 19], 'string_agg', ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+    late AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+    gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 20)))) AS g FROM late GROUP BY doc_id),
+    kept AS (SELECT doc_id, w, coalesce(len(g), 0) AS n_removed,
+             CASE WHEN g IS NULL THEN w ELSE list_transform(list_sort(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(g, k))), lambda k: w[k]) END AS k
+             FROM d LEFT JOIN gone USING (doc_id))
+SELECT doc_id, len(w) AS n_words, n_removed, sha256(coalesce(list_aggregate(k, 'string_agg', ' '), '')) AS kept_sha256 FROM kept
+"""
+
+#: A SHA-1 in base32: five hex digits are four characters.
+_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+    b AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last,
+          list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            ((('0x' || substr(h, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) % 32 + 1)::INT, 1)), 'string_agg', '') AS digest FROM p)
+SELECT page_id, strlen(html) AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to FROM b
+"""
+
 ORACLE: dict[str, str] = {
+    "op2_warc": _WARC, "op5_vector_dedup": _VECTORS, "op7_substring_dedup": _PASSAGES,
     "op4_decontamination": _LEAKS, "op1_ngram_jaccard": _NGRAM, "op11_merkle_manifest": _MERKLE, "op13_exact_dedup": _EXACT,
 }

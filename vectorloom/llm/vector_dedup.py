@@ -1,11 +1,11 @@
 """Near-duplicate vectors by an inverted multi-index.
 
-1. A vector of length one is cut into two halves, each with its own codebook of ``CODES`` centres. The books are fitted by Lloyd rounds on a sample of at
-   most ``SAMPLE`` vectors (smallest hashes), whose bound does not grow; every vector is then indexed. A cell of the product grid is
-   a pair of centres, one of each half.
+1. A vector of length one is cut into two halves, each with its own codebook of about ``sqrt(rows / MEMBERS)`` centres, so that a cell of the product grid, a
+   pair of centres, holds as many vectors whatever their number. The books are fitted by Lloyd rounds on a sample of at
+   most ``SAMPLE`` vectors (smallest hashes), whose bound does not grow and which bounds the centres by a sixteenth of it; every vector is then indexed.
 2. The multi-sequence traversal visits the cells of the grid in rising order of the summed squared distances of the two centres.
-   How many cells reach the target recall is measured: for ``PROBES_FROM`` sampled vectors a partner at exactly the threshold is drawn,
-   the hardest case there is, and the smallest number is taken at which the wanted share of partners is met from either side.
+   How many cells reach the target recall is measured: ``PROBES_FROM`` sampled vectors are compared with all vectors, and the smallest number is taken at
+   which the wanted share of their true partners is met from either side; no smaller than what as many partners drawn at exactly the threshold need.
    (Visiting until no further cell can hold a partner would make the recall 1, but on vectors without clusters that is more than
    half of all cells, so the work would grow with the square of the rows.)
 3. Each vector is a member of its own cell and asks in the cells it visits; a pair is found if either visits the other's cell, and
@@ -15,14 +15,16 @@
 
 Equal vectors are one node with a multiplicity, so a third of all rows being one vector costs one row.
 
-Defined cases: vectors that are null, of length zero, empty, or with null or non-finite components link with nothing; so do vectors of
-different sizes with each other (each size is searched by itself); rows that share an id are vectors of their own, and equal ones are linked; a
+Defined cases: vectors that are null, of length zero, empty, or with null or non-finite components link with nothing; components may have any
+other size, as vectors are scaled before they are multiplied, and a single one is a vector too; vectors of
+different sizes link with nothing of each other (each size is searched by itself); rows that share an id are vectors of their own, and equal ones are linked; a
 null id counts as smaller than any other; further columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +36,10 @@ from vectorloom.llm.components import components
 from vectorloom.llm.keys import NULL_ID, id_of
 from vectorloom.session import stored
 
-COSINE, CODES, SAMPLE, ROUNDS, BLOCK = 0.95, 64, 20_000, 8, 2048
-RECALL, PROBES_FROM = 0.995, 2000
+COSINE, MEMBERS, SAMPLE, ROUNDS, BLOCK = 0.95, 12, 20_000, 8, 2048
+RECALL, PROBES_FROM = 0.995, 1000
+#: Of the true partners that a sampled vector has in one batch of rows, so many are measured.
+_MEASURED = 8
 
 
 def _centres(points: np.ndarray, codes: int, rounds: int) -> np.ndarray:
@@ -76,25 +80,66 @@ def visited(first: np.ndarray, second: np.ndarray, count: int) -> tuple[list[tup
     return out, np.inf
 
 
-def probes_for(sample: np.ndarray, books, cosine: float, recall: float) -> int:
-    """Cells to visit so that the wanted share of partners at the threshold is met from one side or the other."""
-    rng = np.random.default_rng(5)
-    x = sample[:PROBES_FROM]
-    away = rng.normal(size=x.shape)
-    away -= (away * x).sum(1)[:, None] * x
-    away /= np.maximum(np.sqrt((away**2).sum(1)), 1e-300)[:, None]
-    y, half = cosine * x + np.sqrt(1 - cosine**2) * away, x.shape[1] // 2
+def _rank(first: np.ndarray, second: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """How many cells each row visits before and with the one of cost ``own``, given its costs to the centres of both halves."""
+    second = np.sort(second, axis=1)
+    rest = own[:, None] - first
+    return np.array([np.searchsorted(s, r + 1e-12, "right").sum() for s, r in zip(second, rest)], np.int64)
+
+
+def _ranks(x: np.ndarray, y: np.ndarray, books) -> np.ndarray:
+    """For pairs x[i], y[i]: cells to visit until one of the two visits the cell of the other."""
+    half, rows = x.shape[1] // 2, np.arange(len(x))
     costs = [(_squares(v[:, :half], books[0]), _squares(v[:, half:], books[1])) for v in (x, y)]
-    ranks = []
+    found = []
     for here, there in (costs, costs[::-1]):
-        i, j, rows = there[0].argmin(1), there[1].argmin(1), np.arange(len(x))
-        own = here[0][rows, i] + here[1][rows, j]
-        ranks.append(((here[0][:, :, None] + here[1][:, None, :]) <= own[:, None, None]).sum((1, 2)))
-    return int(np.ceil(np.quantile(np.minimum(*ranks), recall))) + 1
+        i, j = there[0].argmin(1), there[1].argmin(1)
+        found.append(_rank(*here, here[0][rows, i] + here[1][rows, j]))
+    return np.minimum(*found)
+
+
+def drawn_ranks(x: np.ndarray, books, cosine: float) -> np.ndarray:
+    """The same for partners drawn at exactly the threshold in directions of no preference."""
+    away = np.random.default_rng(5).normal(size=x.shape)
+    away -= (away * x).sum(1)[:, None] * x
+    length = np.sqrt((away**2).sum(1))[:, None]
+    away = np.where(length > 1e-9, away / np.maximum(length, 1e-300), 0)
+    return _ranks(x, cosine * x + np.sqrt(1 - cosine**2) * away, books)
+
+
+def _real_rows(held, dim: int, cosine: float):
+    """Ranks of true partners of the sampled vectors among the vectors of a task, and how often each was seen."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, node, books = held.value
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 4096):
+                batch = whole.slice(lo, 4096)
+                y, own = _matrix(batch.column("vector"), dim), batch.column("node").to_numpy()
+                near = (x @ y.T >= cosine) & (node[:, None] != own[None, :])
+                # A partner is measured as often as any other of its sampled vector, so a large group does not outweigh the rest.
+                near &= np.cumsum(near, axis=1) <= _MEASURED
+                i, j = np.nonzero(near)
+                rank, n = np.unique(_ranks(x[i], y[j], books), return_counts=True) if len(i) else (np.empty(0, np.int64),) * 2
+                yield pa.RecordBatch.from_arrays([pa.array(rank.astype(np.int64)), pa.array(n.astype(np.int64))], ["rank", "n"])
+
+    return run
+
+
+def probes_for(nodes: DataFrame, dim: int, x: np.ndarray, node: np.ndarray, books, cosine: float, recall: float) -> int:
+    """Cells to visit so that the wanted share of partners is met from one side or the other, of true partners and of drawn ones."""
+    x, node = x[:PROBES_FROM], node[:PROBES_FROM]
+    held = nodes.sparkSession.sparkContext.broadcast((x, node, books))
+    seen = nodes.select("node", "vector").mapInArrow(_real_rows(held, dim, cosine), "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).toArrow()
+    most = [drawn_ranks(x, books, cosine)] if dim > 1 else []  # a single component has no other direction
+    if seen.num_rows:
+        most.append(np.repeat(seen.column("rank").to_numpy(), seen.column("n").to_numpy()))
+    return max([int(np.quantile(r, recall, method="higher")) for r in most if len(r)], default=1) + 1
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # so that no square overflows or vanishes
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
@@ -186,16 +231,17 @@ def _verified(books, dim: int, cosine: float):
     return run
 
 
-def fit(nodes: DataFrame, dim: int, codes: int, sample: int, cosine: float, recall: float):
+def fit(nodes: DataFrame, dim: int, codes: int | None, sample: int, cosine: float, recall: float):
     """Codebooks of both halves and the number of cells to visit."""
-    rows = nodes.orderBy(F.xxhash64("node"), "node").select("vector").limit(sample).toArrow()
+    rows = nodes.orderBy(F.xxhash64("node"), "node").select("node", "vector").limit(sample).toArrow()
     x = _matrix(rows.column("vector").combine_chunks(), dim)
+    codes = codes or max(1, min(math.ceil(math.sqrt(nodes.count() / MEMBERS)), sample // 16))
     books = _centres(x[:, : dim // 2], codes, ROUNDS), _centres(x[:, dim // 2 :], codes, ROUNDS)
-    return books, probes_for(x, books, cosine, recall)
+    return books, probes_for(nodes, dim, x, rows.column("node").to_numpy(), books, cosine, recall)
 
 
 def near_vectors(
-    vectors: DataFrame, cosine: float = COSINE, codes: int = CODES, sample: int = SAMPLE, recall: float = RECALL,
+    vectors: DataFrame, cosine: float = COSINE, codes: int | None = None, sample: int = SAMPLE, recall: float = RECALL,
     id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id (smallest id reachable by links), kept."""
@@ -204,8 +250,7 @@ def near_vectors(
             F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("key"), F.col(vector_col).cast("array<double>").alias("vector")
         ).withColumn(
             "good",
-            F.expr("vector is not null and size(vector) > 1 and forall(vector, v -> v is not null and not isnan(v) and abs(v) < 1e150)"
-                   " and exists(vector, v -> abs(v) > 1e-150)"),
+            F.expr("vector is not null and forall(vector, v -> v is not null and not isnan(v) and abs(v) < double('infinity')) and exists(vector, v -> v != 0)"),
         ).withColumn("good", F.coalesce("good", F.lit(False)))
         .withColumn("d1", F.when(F.col("good"), F.xxhash64("vector"))).withColumn("d2", F.when(F.col("good"), F.xxhash64(F.lit(7), "vector"))),
         "vectors",
