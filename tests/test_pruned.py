@@ -46,6 +46,7 @@ def clustered(seed, n, dim=16, centres=20):
 def test_many_queries_from_the_table(spark, sf_dir, monkeypatch, block):
     """6,000 queries made of the vectors of the given table, against all pairs."""
     monkeypatch.setattr(pruned, "BLOCK", block)
+    monkeypatch.setattr(pruned, "ASKING", 4 * block)
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     rng = np.random.default_rng(1)
     asked = [(q, (np.array(rows[q % len(rows)][1]) + rng.normal(size=64) * 0.02 * (q % 7)).astype(np.float32).tolist()) for q in range(6000 if block > 50 else 300)]

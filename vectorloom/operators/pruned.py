@@ -4,8 +4,9 @@ Vectors of length one lie in cells, each with a centre and a radius. By the tria
 the centre less the radius. Queries visit cells in order of that bound: first as many as hold k vectors, then a few more, then
 all whose bound does not exceed the k-th distance found by then. What is left out cannot hold an answer, so the result is exact.
 
-A query is sent only to the cells it visits. Members and queries of a cell are cut into blocks, and a pair of blocks is one unit of work, so a
-cell with a third of all vectors is spread. Of equal vectors only the k smallest ids can be among the answers, and equal queries are
+Neighbouring cells are bundled up to ``BLOCK`` vectors, and a query is sent once to each bundle with a cell that it visits, with the numbers of those
+cells: only they are multiplied with it, and only what is no farther than its k-th distance goes on. A cell with a third of all vectors is cut into blocks, and so are
+the queries of a bundle, so no task gets an unbounded part. Of equal vectors only the k smallest ids can be among the answers, and equal queries are
 asked once, so copies cost nothing.
 """
 
@@ -25,8 +26,8 @@ from vectorloom.session import stored
 
 #: Centres are fitted on a sample of bounded size, which no result depends on.
 SAMPLE, MAX_CELLS, ROUNDS = 20_000, 4096, 6
-#: Most members and queries of one unit.
-BLOCK = 4096
+#: Most members, and most queries, of one unit.
+BLOCK, ASKING = 4096, 16_384
 #: Cells a query visits beyond those that hold k vectors, before the last round.
 SECOND = 8
 _SLACK = 1e-9
@@ -76,32 +77,50 @@ def _placed(centres):
     return run
 
 
-def _visits(shared, k: int, stage: int):
-    """Cells of one stage for each query; what earlier stages visited follows from the order of the bounds."""
+def _visited(vectors: np.ndarray, kth: np.ndarray | None, index, k: int, stage: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell) of one stage; what earlier stages visited follows from the order of the bounds."""
+    centres, radii, sizes, _ = index
+    away = np.sqrt(_squares(_unit(vectors), centres))
+    bound = np.maximum(away - radii[None, :], 0)
+    order = np.lexsort((away, bound), axis=1)  # equal bounds, such as zero, by the distance to the centre
+    first = (np.cumsum(sizes[order], axis=1) < k).sum(axis=1) + 1
+    rank = np.arange(len(centres))[None, :]
+    if stage == 0:
+        take = rank < first[:, None]
+    else:
+        # A cosine distance is half the squared distance of the unit vectors.
+        reach = np.take_along_axis(bound, order, 1) ** 2 / 2 <= kth[:, None] + _SLACK
+        second = (first + SECOND)[:, None]
+        take = reach & ((rank >= first[:, None]) & (rank < second) if stage == 1 else rank >= second)
+    row, at = np.nonzero(take)
+    return row, order[row, at]
+
+
+def _visits(shared, k: int, stage: int, counted: bool):
+    """A row for each query and bundle with the cells that it visits there; or only how many there are for each bundle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, radii, sizes = shared.value
+        index = shared.value
+        bundle_of = index[3]
         for whole in batches:
             for lo in range(0, whole.num_rows, 1024):
                 batch = whole.slice(lo, 1024)
-                away = np.sqrt(_squares(_unit(_matrix(batch.column("vector"), centres.shape[1])), centres))
-                bound = np.maximum(away - radii[None, :], 0)
-                order = np.lexsort((away, bound), axis=1)  # equal bounds, such as zero, by the distance to the centre
-                held = np.cumsum(sizes[order], axis=1)
-                first = (held < k).sum(axis=1) + 1
-                rank = np.arange(centres.shape[0])[None, :]
-                if stage == 0:
-                    take = rank < first[:, None]
-                else:
-                    kth = batch.column("kth").to_numpy()  # a cosine distance is half the squared distance of the unit vectors
-                    reach = np.take_along_axis(bound, order, 1) ** 2 / 2 <= kth[:, None] + _SLACK
-                    begin = first if stage == 1 else first + SECOND
-                    take = reach & (rank >= begin[:, None]) & (rank < (first + SECOND)[:, None] if stage == 1 else True)
-                row, at = np.nonzero(take)
-                where = pa.array(row)
+                vectors, kth = _matrix(batch.column("vector"), index[0].shape[1]), batch.column("kth").to_numpy()
+                row, cell = _visited(vectors, kth, index, k, stage)
+                order = np.lexsort((cell, bundle_of[cell], row))
+                row, cell = row[order], cell[order]
+                bundle = bundle_of[cell]
+                head = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (bundle[1:] != bundle[:-1]))) if len(row) else row
+                if counted:
+                    n = np.bincount(bundle[head], minlength=1)
+                    cells = np.bincount(bundle, minlength=len(n))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n), dtype=np.int32)), pa.array(n), pa.array(cells)], ["bundle", "n", "cells"])
+                    continue
+                where = pa.array(row[head])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(row)), pa.int32()), pa.array(cell.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(order[row, at].astype(np.int32)), batch.column("query").take(where), batch.column("vector").take(where)],
-                    ["cell", "query", "vector"],
+                    [pa.array(bundle[head].astype(np.int32)), batch.column("query").take(where), batch.column("kth").take(where),
+                     batch.column("vector").take(where), lists], ["bundle", "query", "kth", "vector", "cells"],
                 )
 
     return run
@@ -111,23 +130,44 @@ def _nearest(k: int, schema: pa.Schema):
     def run(members: pa.Table, asking: pa.Table) -> pa.Table:
         if not (members.num_rows and asking.num_rows):
             return schema.empty_table()
-        q, v = asking.column("vector").combine_chunks(), members.column("vector").combine_chunks()
-        ids, queries = members.column("id").combine_chunks(), asking.column("query").combine_chunks()
-        left, right = _unit(_matrix(q, len(q[0]))), _unit(_matrix(v, len(v[0])))
-        parts = []
-        for lo in range(0, len(left), 512):
-            best = _Best(len(left[lo : lo + 512]), k)
-            for at in range(0, len(right), 1024):
-                distance = np.round(1.0 - right[at : at + 1024] @ left[lo : lo + 512].T, TIE_DECIMALS)
-                best.add(distance, ids.slice(at, 1024))
-            parts.append(pa.Table.from_arrays(
-                [queries.slice(lo, 512).take(pa.array(best.query)), pa.array(best.ids.tolist(), ids.type), pa.array(best.distance)], schema=schema
-            ))
-        return pa.concat_tables(parts)
+        members = members.sort_by("cell")
+        v, ids, cell = (members.column(c).combine_chunks() for c in ("vector", "id", "cell"))
+        q, queries, cells = (asking.column(c).combine_chunks() for c in ("vector", "query", "cells"))
+        left, right, cell = _unit(_matrix(q, len(q[0]))), _unit(_matrix(v, len(v[0]))), cell.to_numpy()
+        row, asked = np.repeat(np.arange(len(cells)), cells.value_lengths().to_numpy()), cells.flatten().to_numpy()
+        order = np.argsort(asked, kind="stable")
+        row, asked = row[order], asked[order]
+        best = _Best(len(left), k)
+        best.bound = asking.column("kth").combine_chunks().to_numpy(zero_copy_only=False).copy()
+        for c in np.unique(asked):
+            rows = row[np.searchsorted(asked, c) : np.searchsorted(asked, c, "right")]
+            lo, hi = np.searchsorted(cell, c), np.searchsorted(cell, c, "right")
+            for a in range(0, len(rows), 512):
+                some = rows[a : a + 512]
+                for at in range(lo, hi, 1024):
+                    to = min(at + 1024, hi)
+                    best.add(np.round(1.0 - right[at:to] @ left[some].T, TIE_DECIMALS), ids.slice(at, to - at), some)
+        if best.ids is None:
+            return schema.empty_table()
+        return pa.Table.from_arrays([queries.take(pa.array(best.query)), pa.array(best.ids.tolist(), ids.type), pa.array(best.distance)], schema=schema)
 
     return run
 
 
+def _bundled(centres: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Bundle of each cell: a walk from a centre to the nearest one left, cut whenever ``BLOCK`` vectors are reached."""
+    left, at, bundle, held = np.ones(len(centres), dtype=bool), 0, 0, 0
+    out = np.zeros(len(centres), np.int64)
+    for _ in range(len(centres)):
+        left[at] = False
+        if held and held + sizes[at] > BLOCK:
+            bundle, held = bundle + 1, 0
+        out[at], held = bundle, held + sizes[at]
+        away = np.where(left, ((centres - centres[at]) ** 2).sum(1), np.inf)
+        at = int(away.argmin())
+    return out
+
+
 def _ranked(found: DataFrame, k: int) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("query").orderBy("distance", "id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k)
@@ -160,38 +200,49 @@ def top_k_pruned(
     members = stored(kept.mapInArrow(_placed(centres), f"cell INT, away DOUBLE, {fields}"), "members")
     facts = members.groupBy("cell").agg(F.max("away").alias("radius"), F.count("*").alias("n")).collect()  # a row for each cell
     used = sorted(facts, key=lambda r: r.cell)
-    shared = spark.sparkContext.broadcast(
-        (centres.value[[r.cell for r in used]], np.array([r.radius for r in used]) + _SLACK, np.array([r.n for r in used], np.int64))
+    middle, sizes = centres.value[[r.cell for r in used]], np.array([r.n for r in used], np.int64)
+    bundle = _bundled(middle, sizes)
+    shared = spark.sparkContext.broadcast((middle, np.array([r.radius for r in used]) + _SLACK, sizes, bundle))
+    held = np.bincount(bundle, weights=sizes)
+    numbered = spark.createDataFrame(
+        [(r.cell, i, int(bundle[i]), math.ceil(held[bundle[i]] / BLOCK)) for i, r in enumerate(used)], "was INT, cell INT, bundle INT, blocks INT"
     )
-    numbered = spark.createDataFrame([(r.cell, i, -(-r.n // BLOCK)) for i, r in enumerate(used)], "was INT, cell INT, blocks INT")
     dealt = stored(
-        members.withColumnRenamed("cell", "was").join(F.broadcast(numbered), "was").select("cell", "blocks", "id", "vector", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("a")),
+        members.withColumnRenamed("cell", "was").join(F.broadcast(numbered), "was")
+        .select("bundle", "blocks", "cell", "id", "vector", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("a")),
         "dealt",
     )
+    blocks = numbered.select("bundle", "blocks").distinct()
     id_arrow = kept.limit(1).select("id").toArrow().schema.field("id").type
     query_arrow = asked.limit(1).select("query").toArrow().schema.field("query").type
     out = pa.schema([("query", query_arrow), ("id", id_arrow), ("distance", pa.float64())])
-    query_type = asked.schema["query"].dataType.simpleString()
-    best, visited, state = None, 0, asked
+    query_type, vector_type = (asked.schema[c].dataType.simpleString() for c in ("query", "vector"))
+    best, visited, state = None, 0, asked.withColumn("kth", F.lit(float("inf")))
     for stage in range(3):
-        visits = stored(
-            state.mapInArrow(_visits(shared, k, stage), f"cell INT, query {query_type}, vector {asked.schema['vector'].dataType.simpleString()}"), "visits"
+        # Counted first and sent then, so that nothing of it is written.
+        counts = stored(
+            state.mapInArrow(_visits(shared, k, stage, True), "bundle INT, n BIGINT, cells BIGINT").groupBy("bundle").agg(F.sum("n").alias("n"), F.sum("cells").alias("cells"))
+            .where("n > 0").join(F.broadcast(blocks), "bundle").withColumn("asking", F.ceil(F.col("n") / ASKING).cast("int")), "counts",
+        )
+        visited += counts.agg(F.sum("cells")).first()[0] or 0
+        sent = F.broadcast(counts.select("bundle", "blocks", "asking"))  # a row for each bundle
+        asking = state.mapInArrow(
+            _visits(shared, k, stage, False), f"bundle INT, query {query_type}, kth DOUBLE, vector {vector_type}, cells ARRAY<INT>"
+        ).join(sent, "bundle").select(
+            "bundle", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("a"), F.pmod(F.xxhash64("query"), "asking").cast("int").alias("b"),
+            "query", "kth", "vector", "cells",
         )
-        visited += visits.count()
-        sizes = visits.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("asking")).join(F.broadcast(numbered.select("cell", "blocks")), "cell")
-        b = F.pmod(F.xxhash64("query"), "asking").cast("int").alias("b")
-        asking = visits.join(F.broadcast(sizes), "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("a"), b, "query", "vector")
-        having = dealt.join(F.broadcast(sizes.select("cell", "asking")), "cell").select(
-            "cell", "a", F.explode(F.sequence(F.lit(0), F.col("asking") - 1)).alias("b"), "id", "vector"
+        having = dealt.join(sent.drop("blocks"), "bundle").select(
+            "bundle", "a", F.explode(F.sequence(F.lit(0), F.col("asking") - 1)).alias("b"), "cell", "id", "vector"
         )
-        found = having.groupBy("cell", "a", "b").cogroup(asking.groupBy("cell", "a", "b")).applyInArrow(
+        found = having.groupBy("bundle", "a", "b").cogroup(asking.groupBy("bundle", "a", "b")).applyInArrow(
             _nearest(k, out), f"query {query_type}, id {id_type}, distance DOUBLE"
         )
         best = stored(_ranked(found if best is None else found.unionByName(best), k).drop("rank"), "best")
         if stage < 2:
             # Fewer than k vectors in all: every cell has been visited already.
             kth = best.groupBy("query").agg(F.max("distance").alias("kth"))
-            state = stored(asked.join(kth, "query"), "state")
+            state = stored(asked.join(kth, "query").select("query", "vector", "kth"), "state")
     pairs = asked.count() * len(used)
     report = spark.createDataFrame([(pairs, visited, 1 - visited / pairs)], "pairs BIGINT, visited BIGINT, skipped DOUBLE")
     result = given.select(query_id, "query").join(_ranked(best, k), "query").select(query_id, F.col("id").alias(id_col), "distance", "rank")

@@ -39,9 +39,9 @@ class _Best:
         self.distance = np.zeros(0)
         self.ids: np.ndarray | None = None
 
-    def add(self, distance: np.ndarray, ids: pa.Array) -> None:
-        """Take in a block of distances, rows by queries; NaN never counts."""
-        hit = distance <= self.bound
+    def add(self, distance: np.ndarray, ids: pa.Array, columns: np.ndarray | None = None) -> None:
+        """Take in a block of distances, rows by queries (all, or those of ``columns``); NaN never counts."""
+        hit = distance <= (self.bound if columns is None else self.bound[columns])
         if hit.sum() > 2 * self.k * hit.shape[1] and len(distance) > self.k:
             filled = np.where(hit, distance, np.inf)
             kth = np.partition(filled, self.k - 1, axis=0)[self.k - 1]
@@ -49,10 +49,12 @@ class _Best:
         row, query = np.nonzero(hit)
         if not len(row):
             return
+        found = distance[row, query]
+        query = query if columns is None else columns[query]
         new_ids = np.asarray(ids.take(pa.array(row)).to_pylist())
         all_ids = new_ids if self.ids is None else np.concatenate([self.ids, new_ids])
         queries = np.concatenate([self.query, query])
-        distances = np.concatenate([self.distance, distance[row, query]])
+        distances = np.concatenate([self.distance, found])
         order = np.lexsort((all_ids, distances, queries))
         queries, distances, all_ids = queries[order], distances[order], all_ids[order]
         first = np.searchsorted(queries, queries, side="left")

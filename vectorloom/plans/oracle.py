@@ -131,9 +131,9 @@ ORACLE = {
       SELECT arxiv_id, doc_id AS winner, md5(text) AS text_md5 FROM w WHERE r = 1""",
     "full_then_incremental": """
       WITH l AS (
-        SELECT 'before' AS state, CASE WHEN doc_id % 4 <> 3 THEN 'full 1' WHEN doc_id % 8 <> 7 THEN 'more 1' ELSE 'more 2' END AS load FROM documents
-        UNION ALL SELECT 'after', CASE WHEN lang <> 'fr' THEN 'full 2' ELSE 'more 3' END FROM documents)
-      SELECT state, load, count(*) AS rows FROM l GROUP BY ALL""",
+        SELECT 'before' AS state, doc_id, CASE WHEN doc_id % 4 <> 3 THEN 'full 1' WHEN doc_id % 8 <> 7 THEN 'more 1' ELSE 'more 2' END AS load FROM documents
+        UNION ALL SELECT 'after', doc_id, CASE WHEN lang <> 'fr' THEN 'full 2' ELSE 'more 3' END FROM documents)
+      SELECT state, doc_id, load FROM l""",
     "resumed_after_failure": f"""
       WITH {_SILVER}, s AS (SELECT count(*) AS n FROM silver), d AS (SELECT count(*) AS n FROM documents)
       SELECT 'failed' AS status, 1 AS runs, d.n AS bronze, 0 AS gold, s.n AS silver FROM s, d
@@ -142,9 +142,8 @@ ORACLE = {
       SELECT lang || CASE WHEN doc_id % 2 = 0 THEN '.jsonl' ELSE '_1.jsonl' END AS file, count(*) AS rows FROM documents GROUP BY 1
       UNION ALL SELECT 'loaded from ' || lang || '.jsonl', count(*) FROM documents GROUP BY 1""",
     "seeded_states": """
-      WITH s AS (SELECT source AS key, max(doc_id) FILTER (WHERE lang = 'fr') AS last FROM documents GROUP BY 1)
-      SELECT key, CASE WHEN last IS NULL THEN true END AS day_back, strftime(TIMESTAMP '2020-01-01' + to_hours(last), '%Y-%m-%d %H:%M:%S') AS value,
-        0 AS added_twice FROM s""",
+      SELECT source || '/' || doc_id AS key, CASE WHEN lang <> 'fr' THEN true END AS day_back,
+        CASE WHEN lang = 'fr' THEN strftime(TIMESTAMP '2020-01-01' + to_hours(doc_id), '%Y-%m-%d %H:%M:%S') END AS value, 0 AS added_twice FROM documents""",
     "test_set_scores": f"""
       WITH {_SILVER}, {_vectors('silver', 'arxiv_id', 'abstract_clean', 'gold')},
       cases AS (SELECT arxiv_id, left(abstract_clean, 80) AS query FROM silver WHERE arxiv_id::BIGINT % 100 = 0),

@@ -427,7 +427,7 @@ def stream_first_wins_state(spark, folder):
 
 
 def full_then_incremental(spark, folder):
-    """A full load, two incremental ones, a full one and an incremental one: rows by load before and after the second full load, and the snapshots left."""
+    """A full load, two incremental ones, a full one and an incremental one: the load of each row before and after the second full load."""
     documents = table(spark, folder, "documents").select("doc_id", "lang")
     snapshots = Snapshots(spark, new_folder(spark, "snapshots"))
 
@@ -439,11 +439,8 @@ def full_then_incremental(spark, folder):
     before = snapshots.add(rows("more 2"), ["doc_id"], "lang")
     snapshots.full(rows("full 2", F.col("lang") != "fr"))
     after = snapshots.add(rows("more 3"), ["doc_id"], "lang")
-    counts = None
-    for state, version in (("before", before), ("after", after)):
-        one = snapshots.read(version).groupBy("load").agg(F.count(F.lit(1)).alias("rows")).withColumn("state", F.lit(state))
-        counts = one if counts is None else counts.unionByName(one)
-    return counts.select("state", "load", "rows")
+    states = [snapshots.read(version).select(F.lit(name).alias("state"), "doc_id", "load") for name, version in (("before", before), ("after", after))]
+    return states[0].unionByName(states[1])
 
 
 def insert_if_absent(spark, folder):
@@ -558,12 +555,14 @@ def archived_files(spark, folder):
 
 
 def seeded_states(spark, folder):
-    """Checkpoints of all sources: those without one start 24 hours back, the others keep theirs; seeding twice adds nothing."""
-    documents = table(spark, folder, "documents").where("source is not null")
+    """A checkpoint for each document as a source: those without one start 24 hours back, the others keep theirs; seeding twice adds nothing."""
+    documents = table(spark, folder, "documents").select(F.concat_ws("/", "source", "doc_id").alias("key"), "lang", _hours("doc_id").alias("at"))
     lake = _new_lake(spark)
-    known = documents.where("lang = 'fr'").groupBy(F.col("source").alias("key")).agg(F.max(_hours("doc_id")).alias("at"))
-    lake.append("state", known.select("key", F.col("at").cast("string").alias("value"), F.lit(1).cast("long").alias("version"), F.current_timestamp().alias("updated_at")))
-    added = [lake.seed_states(documents.select(F.col("source").alias("key"))) for _ in range(2)]
+    known = documents.where("lang = 'fr'").select(
+        "key", F.col("at").cast("string").alias("value"), F.lit(1).cast("long").alias("version"), F.current_timestamp().alias("updated_at")
+    )
+    lake.append("state", known)
+    added = [lake.seed_states(documents) for _ in range(2)]
     day_back = F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(fields.iso_timestamp(F.col("value"))) - 86_400) < 7200
     return lake.state().select(
         "key", F.when(F.col("version") == 0, day_back).alias("day_back"), F.when(F.col("version") == 1, F.col("value")).alias("value"), F.lit(added[1]).alias("added_twice")
