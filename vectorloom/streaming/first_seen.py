@@ -1,7 +1,7 @@
 """First record wins on a stream, by state kept for each paper id.
 
-A load by micro-batches looks each new id up in the whole table. Here the ids seen are rows of a state store (RocksDB, one shard for each
-shuffle partition, with changelogs in the checkpoint), so a batch costs what it brings and reads no table.
+A load by micro-batches looks each new id up in the whole table. Here the ids seen are rows of a state store (RocksDB, in shards, kept
+in the checkpoint), so a batch costs what it brings and reads no table.
 """
 
 from __future__ import annotations
@@ -21,10 +21,15 @@ ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 _ROW = "arxiv_id STRING, raw_data STRING, source_file STRING, source_path STRING, source_pos BIGINT"
 
 
-def state_session(spark: SparkSession) -> SparkSession:
-    """A session of the same application whose streams keep their state in RocksDB."""
+def state_session(spark: SparkSession, shards: int | None = None) -> SparkSession:
+    """A session of the same application whose streams keep their state in RocksDB.
+
+    A stream keeps the number of shards it starts with, and each is a store with some MB of files of its own, so it is
+    chosen here, by default one for each core, and does not follow the shuffle settings.
+    """
     session = spark.newSession()
     session.conf.set(STORE, ROCKS_DB)
+    session.conf.set("spark.sql.shuffle.partitions", str(shards or spark.sparkContext.defaultParallelism))
     return session
 
 
