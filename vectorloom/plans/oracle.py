@@ -120,6 +120,37 @@ ORACLE = {
           row_number() OVER (PARTITION BY qid ORDER BY round(1 - list_cosine_similarity(c.v, p.v), 12), c.k) AS rank
         FROM probes p JOIN cells c USING (cell) QUALIFY rank <= 10)
       SELECT qid AS label, rank, vid AS vec_id, round(1 - distance, 4) AS score FROM ranked""",
+    "vector_topk_pq": f"""
+      WITH {_STORED}, {_MEANS},
+      unit AS (SELECT k, v, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM stored),
+      centres AS (SELECT k AS cell, v, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS c FROM means),
+      placed AS (
+        SELECT s.k, s.u, m.cell, m.c FROM unit s CROSS JOIN centres m
+        QUALIFY row_number() OVER (PARTITION BY s.k ORDER BY round(list_cosine_similarity(s.v, m.v), 12) DESC, m.cell) = 1),
+      left_over AS (SELECT k, cell, list_transform(list_zip(u, c), lambda z: z[1] - z[2]) AS r FROM placed),
+      parts AS (SELECT k, cell, p, r[8 * p + 1 : 8 * p + 8] AS r FROM left_over CROSS JOIN (SELECT unnest(range(8)) AS p)),
+      words AS (SELECT p, r AS w, row_number() OVER (PARTITION BY p ORDER BY k) AS code FROM parts QUALIFY code <= 16),
+      codes AS (
+        SELECT a.k, a.cell, a.p, w.w FROM parts a JOIN words w USING (p)
+        QUALIFY row_number() OVER (PARTITION BY a.k, a.p ORDER BY round(list_distance(a.r, w.w) ** 2, 12), w.code) = 1),
+      probes AS (
+        SELECT q.cell AS qid, q.v, m.cell, list_transform(list_zip(q.c, m.c), lambda z: z[1] - z[2]) AS r FROM centres q CROSS JOIN centres m
+        QUALIFY row_number() OVER (PARTITION BY q.cell ORDER BY round(list_cosine_similarity(q.v, m.v), 12) DESC, m.cell) <= 3),
+      near AS (
+        SELECT qid, c.k, round(sum(list_distance(b.r[8 * p + 1 : 8 * p + 8], c.w) ** 2), 12) AS d
+        FROM probes b JOIN codes c USING (cell) GROUP BY qid, c.k),
+      short AS (SELECT qid, k FROM near QUALIFY row_number() OVER (PARTITION BY qid ORDER BY d, k) <= 50),
+      ranked AS (
+        SELECT t.qid, t.k AS vid, round(1 - list_cosine_similarity(s.v, m.v), 12) AS distance,
+          row_number() OVER (PARTITION BY t.qid ORDER BY round(1 - list_cosine_similarity(s.v, m.v), 12), t.k) AS rank
+        FROM short t JOIN stored s ON s.k = t.k JOIN means m ON m.k = t.qid QUALIFY rank <= 10)
+      SELECT qid AS label, rank, vid AS vec_id, round(1 - distance, 4) AS score FROM ranked""",
+    "vector_recall": """
+      SELECT count(*) FILTER (WHERE vec_id % 100 = 0) AS queries,
+        count(*) FILTER (WHERE vec_id % 100 = 0) * least(10, count(*)) AS answers, true AS enough FROM embeddings""",
+    "notified_stream": """
+      SELECT 'loaded' AS state, doc_id::VARCHAR AS name, md5(text) AS text_md5 FROM documents
+      UNION ALL SELECT DISTINCT 'file not found', source || '-' || wave || '.jsonl', NULL FROM documents CROSS JOIN (SELECT unnest(range(3)) AS wave)""",
     "first_wins_many_files": """
       WITH w AS (SELECT source, min(doc_id) AS winner FROM documents GROUP BY source)
       SELECT way, source AS arxiv_id, winner, md5(text) AS text_md5

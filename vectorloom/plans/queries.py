@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime, timezone
 
 import numpy as np
@@ -15,11 +16,12 @@ from vectorloom.config import TOP_K, nested_dims
 from vectorloom.functions import fields, text, vectors
 from vectorloom.functions.encoders import HashingEncoder, encoder_udf, hashing_encoder
 from vectorloom.operators import listing, quality, tables
-from vectorloom.operators.approx import build_cells, fit_centres, top_k_cells
+from vectorloom.operators.approx import build_cells, fit_centres, recall, top_k_cells
 from vectorloom.operators.checkpoint import next_checkpoint, pages_newest
 from vectorloom.operators.export import split_parts, write_jsonl
 from vectorloom.operators.lake import Lake
 from vectorloom.operators.pruned import top_k_pruned
+from vectorloom.operators.quantised import Codebooks, build_quantised, fit_codebooks, residuals, top_k_quantised
 from vectorloom.operators.retrieval import scores, true_ranks
 from vectorloom.operators.search import embed_queries, recent, search, search_filter
 from vectorloom.operators.snapshots import Snapshots
@@ -30,6 +32,7 @@ from vectorloom.session import folder_names, new_folder, spread, stored
 from vectorloom.sources.archive import move_file
 from vectorloom.sources.feeds import atom_records, fetch, rss_records, scan_atom, scan_rss
 from vectorloom.sources.lines import head_lines, read_jsonl, scan_lines, stream_lines
+from vectorloom.sources.message_log import message_log
 from vectorloom.sources.notifications import arrival_messages
 from vectorloom.sources.testset import read_test_set
 from vectorloom.streaming.first_seen import state_session, write_first_seen
@@ -194,6 +197,33 @@ def vector_topk_all_cells(spark, folder):
     return _cell_search(spark, folder, centres, len(centres))
 
 
+def vector_topk_pq(spark, folder):
+    """Nearest vectors of each label's mean by codes of given code words: what is left of the sixteen first vectors, cut into eight parts."""
+    rows = table(spark, folder, "embeddings")
+    centres = _label_centres(spark, folder)
+    first = np.array([r.embedding for r in rows.select("vec_id", "embedding").orderBy("vec_id").limit(16).collect()], np.float64)
+    words = residuals(first, centres)[1].reshape(len(first), 8, DIM // 8).transpose(1, 0, 2)
+    books, path = Codebooks(centres, words), new_folder(spark, "codes")
+    build_quantised(rows, path, books, "vec_id", "embedding")
+    found = top_k_quantised(
+        spark, path, books, _prototypes(spark, folder), 3, 50, id_col="vec_id", vector_col="embedding", query_id="label"
+    )
+    return found.select("label", "rank", "vec_id", vectors.score(F.col("distance")).alias("score"))
+
+
+def vector_recall(spark, folder):
+    """Whether the search by codes finds 0.9 of the exact answers, for every hundredth vector against all."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    cells = max(4, math.isqrt(rows.count()) // 4)
+    books, path = fit_codebooks(rows, cells, 16, 256, "embedding"), new_folder(spark, "codes")
+    build_quantised(rows, path, books, "vec_id", "embedding")
+    asked = rows.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    exact = stored(top_k(rows, asked, id_col="vec_id", vector_col="embedding"), "exact")
+    found = top_k_quantised(spark, path, books, asked, -(-cells // 2), 200, id_col="vec_id", vector_col="embedding")
+    answers = exact.agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("answers"))
+    return answers.crossJoin(F.broadcast(recall(found, exact, "query_id", "vec_id").select((F.col("recall") >= 0.9).alias("enough"))))
+
+
 def vector_distance(spark, folder):
     """Cosine distance and score of each vector to its label's mean."""
     # Written first: Spark then knows how small it is and joins it without a shuffle.
@@ -580,6 +610,26 @@ def notified_load(spark, folder):
     return listing.key_counts("arxiv_id", **{n: lake.read(n) for n in ("bronze", "silver", "gold")})
 
 
+def notified_stream(spark, folder):
+    """A log of messages that grows between three runs of one load; some name a file again, some a file that is not there."""
+    rows = papers(spark, folder)
+    line = F.to_json(F.struct("id", "title", "abstract", "authors", "categories", "published"))
+    inbox, log, progress = (new_folder(spark, n) for n in ("notified", "log", "progress"))
+    lake = _new_lake(spark)
+    for wave in range(3):
+        rows.where(F.col("doc_id") % 3 == wave).select(line.alias("value")).write.text(f"{inbox}/{wave}")
+        # Files of the runs before are named again.
+        there = arrival_messages(scan_lines(spark, [f"{inbox}/{n}" for n in range(wave + 1)]))
+        gone = rows.select(F.format_string("%s-%d.jsonl", F.col("authors")[0], F.lit(wave)).alias("filename")).distinct()
+        missing = gone.select(F.to_json(F.struct(F.concat(F.lit(f"{inbox}/gone/"), "filename").alias("filepath"), "filename")).alias("value"))
+        there.unionByName(missing).write.text(f"{log}/{wave:08d}")
+        load_notified(lake, message_log(spark, log), hashing_encoder(DIM), progress, once=True, model_name=MODEL).awaitTermination()
+    loaded = lake.read("bronze").select(
+        F.lit("loaded").alias("state"), F.col("arxiv_id").alias("name"), F.md5(fields.json_field(F.col("raw_data"), "abstract", "string")).alias("text_md5")
+    )
+    return loaded.unionByName(lake.read("rejects").select(F.col("reason").alias("state"), F.col("source_file").alias("name"), F.lit(None).cast("string").alias("text_md5")))
+
+
 def _atom_files(spark: SparkSession, folder: str) -> str:
     """Documents as Atom feed files."""
     path = new_folder(spark, "atom")
@@ -910,10 +960,10 @@ def quality_profile(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        text_search, text_search_filtered, vector_topk_multi, vector_topk_single, vector_topk_approx, vector_topk_pruned,
+        text_search, text_search_filtered, vector_topk_multi, vector_topk_single, vector_topk_approx, vector_topk_pruned, vector_topk_pq, vector_recall,
         vector_topk_all_cells, vector_distance, vector_text, matryoshka_dims, hash_encoder,
         retrieval_metrics, test_set_scores, recent_papers, bronze_ingest, first_wins_many_files, stream_first_wins_state, full_then_incremental, latex_clean, reject_report, silver_clean, insert_if_absent,
-        medallion_batch, stream_medallion, stream_replay, resumed_after_failure, archived_files, seeded_states, notified_load, atom_feed, feed_stream, rss_feed,
+        medallion_batch, stream_medallion, stream_replay, resumed_after_failure, archived_files, seeded_states, notified_load, notified_stream, atom_feed, feed_stream, rss_feed,
         unprocessed_antijoin, work_list_page, missing_ids, keys_in_list, reembed_pending, layer_counts,
         key_uniqueness, peek_layers, peek_bronze_rows, previews_and_links, strip_html, url_extract, json_props,
         category_dispatch, name_lists, tag_filter, date_range_filter, sorted_fetch, page_newest,

@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectorloom.session import path_exists
-
-log = logging.getLogger(__name__)
 _MESSAGE = "filepath STRING, filename STRING"
 
 
@@ -41,18 +36,3 @@ def arrival_messages(lines: DataFrame) -> DataFrame:
     path = F.url_decode(F.replace("source_path", F.lit("+"), F.lit("%2B")))
     body = F.to_json(F.struct(path.alias("filepath"), F.col("source_file").alias("filename")))
     return lines.select(body.alias("value")).distinct()
-
-
-def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Paths that are there; a missing file is logged and left out.
-
-    The paths of one micro-batch pass through the driver, which needs them to
-    plan the scan; the file contents do not.
-    """
-    found = []
-    for path in paths:
-        if path_exists(spark, path):
-            found.append(path)
-        else:
-            log.error("file not found: %s", path)
-    return found

@@ -14,11 +14,12 @@ from vectorloom.config import MODEL_NAME, POLL_SECONDS, STATE_KEY
 from vectorloom.functions.encoders import Encoder
 from vectorloom.operators.checkpoint import next_checkpoint, parse_checkpoint
 from vectorloom.operators.lake import Lake
+from vectorloom.operators.tables import absent_from
 from vectorloom.plans.loads import last_run, run_stages
 from vectorloom.sources.archive import archive_files, plain_path
 from vectorloom.sources.feeds import record_lines
-from vectorloom.sources.lines import read_jsonl, with_sequence
-from vectorloom.sources.notifications import existing_paths, parse_messages
+from vectorloom.sources.lines import with_sequence
+from vectorloom.sources.message_log import file_pieces, piece_lines
 
 
 def _start(stream: DataFrame, each, checkpoint: str, interval: int, once: bool) -> StreamingQuery:
@@ -69,14 +70,24 @@ def load_notified(
     once: bool = False,
     model_name: str = MODEL_NAME,
 ) -> StreamingQuery:
-    """Load the files named by a stream of arrival messages; missing ones are skipped."""
+    """Load the files named by a stream of arrival messages, of ``message_log`` or any other source.
+
+    Tasks look the files up and read them, so no path reaches the driver. A path without a file becomes a row of the
+    rejects (stage ``files``), once; the load goes on.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        named = parse_messages(batch).select("filepath").distinct().orderBy("filepath")
         here = lake.on(batch.sparkSession)
-        paths = existing_paths(here.spark, [r["filepath"] for r in named.toLocalIterator()])
-        if paths:
-            run_stages(here, read_jsonl(here.spark, paths), factory, model_name, batch_id, small=True)
+        pieces = file_pieces(batch)
+        there = pieces.where(F.col("file_size").isNotNull())
+        if not there.isEmpty():
+            run_stages(here, with_sequence(piece_lines(there)), factory, model_name, batch_id, small=True)
+        gone = pieces.where(F.col("file_size").isNull()).select(
+            F.lit("files").alias("stage"), F.lit(None).cast("string").alias("arxiv_id"), "source_file",
+            F.lit(None).cast("long").alias("source_pos"), F.col("source_path").alias("raw_data"),
+            F.lit("file not found").alias("reason"), F.current_timestamp().alias("rejected_at"),
+        )
+        here.append("rejects", absent_from(gone, here.read("rejects").where("stage = 'files'"), ["raw_data"]))
 
     return _start(messages, each, checkpoint, interval, once)
 
