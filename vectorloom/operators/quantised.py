@@ -99,7 +99,7 @@ def _lloyd(points: np.ndarray, codes: int) -> np.ndarray:
 def fit_codebooks(
     vectors: DataFrame, cells: int, parts: int, codes: int = 256, vector_col: str = "embedding_384", sample: int = SAMPLE
 ) -> Codebooks:
-    """Centres by k-means over all vectors; code words by Lloyd's method, a task for each part, over a bounded sample drawn by hash.
+    """Centres by k-means over all vectors; code words by Lloyd's method, parts dealt over tasks, over a bounded sample drawn by hash.
 
     A part with fewer different values than ``codes`` repeats its last word.
     """
@@ -124,7 +124,8 @@ def fit_codebooks(
             "part": pa.array([number] * len(words), pa.int32()), "code": pa.array(range(len(words)), pa.int32()), "word": pa.array(words.tolist())
         })
 
-    found = drawn.mapInArrow(cut, "part INT, x ARRAY<DOUBLE>").groupBy("part").applyInArrow(fitted, "part INT, code INT, word ARRAY<DOUBLE>")
+    # Dealt in a given number of tasks, which adaptive execution does not merge into one.
+    found = drawn.mapInArrow(cut, "part INT, x ARRAY<DOUBLE>").repartition(parts, "part").groupBy("part").applyInArrow(fitted, "part INT, code INT, word ARRAY<DOUBLE>")
     words = np.zeros((parts, codes, parts_width))
     for row in sorted(found.collect(), key=lambda r: (r.part, r.code)):  # at most 256 words for each part
         words[row.part, row.code :] = row.word
