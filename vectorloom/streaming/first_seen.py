@@ -18,16 +18,19 @@ from vectorloom.plans.stages import parse_lines
 
 STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+UNLOAD = "spark.sql.streaming.stateStore.unloadOnCommit"
 _ROW = "arxiv_id STRING, raw_data STRING, source_file STRING, source_path STRING, source_pos BIGINT"
 
 
-def state_session(spark: SparkSession, shards: int | None = None) -> SparkSession:
+def state_session(spark: SparkSession, shards: int | None = None, keep_open: bool = False) -> SparkSession:
     """A session of the same application whose streams keep their state in RocksDB.
 
     A stream keeps the number of shards it starts with, and each is a store with some MB of files of its own, so it is
-    chosen here, by default one for each core, and does not follow the shuffle settings.
+    chosen here, by default one for each core, and does not follow the shuffle settings. A store is closed when its task has written the batch to the
+    checkpoint, so local disks hold the stores of running tasks only; ``keep_open`` leaves them there, for batches that follow each other at once.
     """
     session = spark.newSession()
+    session.conf.set(UNLOAD, str(not keep_open).lower())
     session.conf.set(STORE, ROCKS_DB)
     session.conf.set("spark.sql.shuffle.partitions", str(shards or spark.sparkContext.defaultParallelism))
     return session
