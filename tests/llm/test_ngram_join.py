@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from vectorloom.llm import ngram_join
@@ -99,6 +101,70 @@ def test_prefix_gets_shorter_until_the_recall():
     assert 1 - (1 - 0.8**k) ** ngram_join.TREES >= 0.9999 > 1 - (1 - 0.8 ** (k + 1)) ** ngram_join.TREES
 
 
+def changed(words, places, mark):
+    return [f"{mark}{i}" if i in places else w for i, w in enumerate(words)]
+
+
+def close_copies():
+    """Groups of copies with one changed last word: similarity 195 / 197."""
+    rows = []
+    for g in range(8):
+        words = [f"g{g}w{i}" for i in range(200)]
+        rows += [(g * 10 + c, " ".join(changed(words, {199}, f"c{c}x"))) for c in range(6)]
+    return rows
+
+
+def distant_copy():
+    """Similarity of 196 shingles to those with five changed words far apart: 171 / 221 is none, with four 176 / 216 is one."""
+    words = [f"far{i}" for i in range(200)]
+    return [(1000, " ".join(words)), (1001, " ".join(changed(words, {20, 60, 100, 140}, "y")))]
+
+
+def depth_of(spark, rows):
+    docs = spark.createDataFrame([(d, t, "en") for d, t in rows], SCHEMA)
+    keyed_rows = ngram_join.keyed(docs)
+    return ngram_join.forest_links(keyed_rows, ngram_join._classed(keyed_rows, 5)[1])[1]
+
+
+def test_depth_follows_the_links_of_the_data(spark):
+    assert depth_of(spark, close_copies()) == ngram_join.DEPTH
+    assert depth_of(spark, close_copies() + distant_copy()) < ngram_join.DEPTH
+
+
+def template_rows():
+    """A frame that all share and own parts: pairs near 0.5 in the same trie nodes, with true copies of some."""
+    frame = [f"frame{i}" for i in range(120)]
+    rows = []
+    for d in range(60):
+        own = [f"d{d}o{i}" for i in range(60)]
+        rows.append((d, " ".join(frame + own)))
+        if d % 3 == 0:
+            rows.append((d + 500, " ".join(frame + changed(own, {30}, "z"))))
+    return rows
+
+
+@pytest.mark.parametrize("turns", [1, 3])
+def test_templates_in_common_nodes(spark, monkeypatch, turns):
+    monkeypatch.setattr(ngram_join, "TURNS", turns)
+    rows = template_rows()
+    docs = spark.createDataFrame([(d, t, "en") for d, t in rows], SCHEMA)
+    assert rows_of(ngram_classes(docs)) == brute(rows)
+
+
+def test_estimates_from_sketches():
+    rng = np.random.default_rng(3)
+    left = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    for share in (0.5, 0.8, 0.95):
+        common = int(round(2 * 4000 * share / (1 + share)))
+        right = np.concatenate([left[:common], rng.integers(0, 1 << 63, 4000 - common, dtype=np.uint64)])
+        minima = ngram_join._signatures(np.concatenate([left, right]), np.array([0, 4000]))
+        sketch = ngram_join._sketches(minima)
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([1]), pa.array([2]), sketch.slice(0, 1), sketch.slice(1, 1)], ["node", "low", "sketch", "low_sketch"]
+        )
+        assert abs(next(ngram_join._estimates([batch])).column("similarity")[0].as_py() - share) < 0.13
+
+
 def test_every_row_without_words_stays(spark):
     rows = [(None, None), (None, None), (None, ""), (3, None), (3, ""), (4, "!!"), (4, "!!"), (5, "a b"), (5, "a b")]
     left = drop_near_copies(spark.createDataFrame([(d, t, "en") for d, t in rows], SCHEMA)).collect()
