@@ -54,6 +54,13 @@ def latest_by_key(log: DataFrame, key: str, value: str, *order: str) -> DataFram
     )
 
 
+def newest_by_key(log: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
+    """Whole newest row of each key; merged rows may be merged again with later ones."""
+    rest = [c for c in log.columns if c not in keys]
+    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    return log.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*log.columns)
+
+
 def seed_row(spark, key: str, value: Column) -> DataFrame:
     """A state row to insert when the key is absent."""
     return spark.range(1).select(

@@ -335,6 +335,15 @@ ORACLE = {
     "state_latest": """
       SELECT user_id, props, event_id FROM events
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    # Twelve writes, merged when six folders would be read: after 6 and after 11 writes, so a base and one write are left.
+    "state_compacted": """
+      SELECT user_id, props, event_id, 2 AS folders_read FROM events
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "key_sketches": """
+      SELECT date_trunc('week', ts)::DATE::VARCHAR AS week, count(user_id) AS total, count(DISTINCT user_id) AS distinct_keys,
+        true AS within_error,
+        (SELECT count(DISTINCT ts::DATE) FROM events WHERE ts::DATE > (SELECT max(ts::DATE) - 7 FROM events)) AS days_renewed
+      FROM events GROUP BY 1""",
     "snapshot_retention": """
       SELECT date_trunc('week', ts)::DATE::VARCHAR AS snapshot, count(*) AS rows FROM events
       GROUP BY 1 ORDER BY 1 DESC LIMIT 4""",

@@ -18,12 +18,14 @@ from vectorloom.functions.encoders import HashingEncoder, encoder_udf, hashing_e
 from vectorloom.operators import listing, quality, tables
 from vectorloom.operators.approx import build_cells, fit_centres, recall, top_k_cells
 from vectorloom.operators.checkpoint import next_checkpoint, pages_newest
+from vectorloom.operators.compacted import KeyedState
 from vectorloom.operators.export import split_parts, write_jsonl
 from vectorloom.operators.lake import Lake
 from vectorloom.operators.pruned import top_k_pruned
 from vectorloom.operators.quantised import Codebooks, build_quantised, fit_codebooks, residuals, top_k_quantised
 from vectorloom.operators.retrieval import scores, true_ranks
 from vectorloom.operators.search import embed_queries, recent, search, search_filter
+from vectorloom.operators.sketches import KeySketches, relative_error
 from vectorloom.operators.snapshots import Snapshots
 from vectorloom.operators.topk import top_k
 from vectorloom.plans.loads import load_files
@@ -872,6 +874,35 @@ def state_latest(spark, folder):
     return latest.select("user_id", "props", "event_id")
 
 
+def state_compacted(spark, folder):
+    """Last value written per key, from a log of twelve writes (by hour of the day, so older values come late) that is merged after every five."""
+    events = table(spark, folder, "events")
+    state = KeyedState(spark, new_folder(spark, "state"), every=5)
+    for part in range(12):
+        rows = events.where(F.floor(F.hour("ts") / 2) == part)
+        state.append(rows.select(F.col("user_id").cast("string").alias("key"), F.col("props").alias("value"), F.col("ts").alias("updated_at"), F.col("event_id").alias("version")))
+    return state.read().select(
+        F.col("key").cast("long").alias("user_id"), F.col("value").alias("props"), F.col("version").alias("event_id"),
+        F.lit(len(state.sources())).alias("folders_read"),
+    )
+
+
+def key_sketches(spark, folder):
+    """Users per week from daily sketches: a load of all but the last seven days, then one of everything that sketches the new days only."""
+    events = table(spark, folder, "events").select("user_id", F.to_date("ts").alias("day"))
+    last = events.agg(F.max("day").alias("last")).first()["last"]
+    kept = KeySketches(spark, new_folder(spark, "sketches"))
+    kept.refresh(events.where(F.col("day") <= F.date_sub(F.lit(last), 7)), "user_id", "day")
+    renewed = kept.refresh(events, "user_id", "day")
+    week = F.date_trunc("week", "day").cast("date").cast("string").alias("week")
+    exact = events.groupBy(week).agg(F.count_distinct("user_id").alias("exact"))
+    error = F.abs(F.col("distinct_keys") - F.col("exact"))
+    return kept.counts(week).join(exact, "week").select(
+        "week", "total", F.col("exact").alias("distinct_keys"), (error <= F.col("exact") * 4 * relative_error()).alias("within_error"),
+        F.lit(renewed).alias("days_renewed"),
+    )
+
+
 def snapshot_retention(spark, folder):
     """Rows of the current weekly snapshot and the three before it."""
     weekly = table(spark, folder, "events").select(F.to_date(F.date_trunc("week", "ts")).alias("snapshot"), "value")
@@ -973,7 +1004,7 @@ QUERIES = {
         unprocessed_antijoin, work_list_page, missing_ids, keys_in_list, reembed_pending, layer_counts,
         key_uniqueness, peek_layers, peek_bronze_rows, previews_and_links, strip_html, url_extract, json_props,
         category_dispatch, name_lists, tag_filter, date_range_filter, sorted_fetch, page_newest,
-        checkpoint_next, state_latest, snapshot_retention, split_documents, head_sample,
+        checkpoint_next, state_latest, state_compacted, key_sketches, snapshot_retention, split_documents, head_sample,
         jsonl_roundtrip, quality_report, quality_profile,
     )
 }
