@@ -104,3 +104,13 @@ def test_load_goes_on_after_restarts(spark, tmp_path):
 
 def test_source_is_registered_by_name():
     assert MessageLog.name() == "message_log"
+
+
+def test_files_are_read_by_many_tasks(spark, tmp_path):
+    """Rows that name pieces are few bytes, the files behind them are not: they must not end up in one task."""
+    for n in range(6):
+        (tmp_path / f"{n}.jsonl").write_text(f"{n}\n")
+    lines = piece_lines(file_pieces(messages_of(spark, *[tmp_path / f"{n}.jsonl" for n in range(6)])))
+    found = lines.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r.value for r in found) == [str(n) for n in range(6)]
+    assert len({r.task for r in found}) == spark.sparkContext.defaultParallelism

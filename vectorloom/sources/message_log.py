@@ -196,5 +196,11 @@ def file_pieces(messages: DataFrame) -> DataFrame:
 
 
 def piece_lines(pieces: DataFrame) -> DataFrame:
-    """Lines of pieces, which tasks read in any order. Lines end with a line feed; ``source_pos`` is the byte a line starts at."""
-    return pieces.repartition(F.col("source_path"), F.col("start")).mapInArrow(_read, _LINES)
+    """Lines of pieces, which tasks read in any order. Lines end with a line feed; ``source_pos`` is the byte a line starts at.
+
+    The rows that name pieces are short: dealt by a key, all of them would be put together into one task. Their number and bytes are
+    known, so they are dealt in turn to as many tasks as they ask for.
+    """
+    count, size = pieces.agg(F.count("*"), F.sum(F.least("end", "file_size") - F.col("start"))).first()
+    cores = pieces.sparkSession.sparkContext.defaultParallelism
+    return pieces.repartition(max(1, min(count, max(cores, -(-(size or 0) // PIECE))))).mapInArrow(_read, _LINES)

@@ -81,7 +81,12 @@ def load_notified(
         pieces = file_pieces(batch)
         there = pieces.where(F.col("file_size").isNotNull())
         if not there.isEmpty():
-            run_stages(here, with_sequence(piece_lines(there)), factory, model_name, batch_id, small=True)
+            # Kept, so that the files are read once.
+            kept = piece_lines(there).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                run_stages(here, with_sequence(kept), factory, model_name, batch_id, small=True)
+            finally:
+                kept.unpersist()
         gone = pieces.where(F.col("file_size").isNull()).select(
             F.lit("files").alias("stage"), F.lit(None).cast("string").alias("arxiv_id"), "source_file",
             F.lit(None).cast("long").alias("source_pos"), F.col("source_path").alias("raw_data"),
