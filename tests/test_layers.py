@@ -304,3 +304,35 @@ def test_field_functions(spark):
     )
     got = [r.c for r in raw.select(fields.tags(fields.parse_record(F.col("x"))["categories"]).alias("c")).collect()]
     assert got == [["a", "b"], ["a", "b c"], [], [], []]
+
+
+@pytest.mark.parametrize("limit", [0, 1, 1_000_000])
+def test_marked_rows_meet_short_lists_of_keys(spark, monkeypatch, limit):
+    """Each way of meeting the keys gives what the plain comparison gives, with repeated and absent keys."""
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (3, "e"), (4, "f")], "k int, v string")
+    existing = spark.createDataFrame([(2,), (2,), (4,), (9,), (None,)], "k int")
+    want = sorted(r.v for r in tables.absent_from(df, existing, ["k"]).collect())
+    monkeypatch.setattr(tables, "MAX_BROADCAST_KEYS", limit)
+    assert sorted(r.v for r in tables.absent_rows(df, existing, ["k"]).collect()) == want == ["a", "b", "d", "e"]
+
+
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+@pytest.mark.parametrize("small", [False, True])
+def test_a_load_shuffles_no_texts(spark, lake, tmp_path, monkeypatch, small, limit):
+    """Keys and places decide which lines are new; lines and texts go from the scan to the table."""
+    plans, append = {}, Lake.append
+
+    def watched(self, layer, df):
+        plans.setdefault(layer, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return append(self, layer, df)
+
+    monkeypatch.setattr(Lake, "append", watched)
+    monkeypatch.setattr(tables, "MAX_BROADCAST_KEYS", limit)
+    path = write(tmp_path / "a.jsonl", [*PAPERS, {**PAPERS[0], "title": "later"}])
+    first = loads.run_stages(lake, read_jsonl(spark, path), ENCODER, "m", small=small)
+    for layer in ("silver", "gold") if limit == 0 else ("bronze", "silver", "gold"):
+        assert "Exchange hashpartitioning" not in plans[layer][0], layer
+    again = loads.run_stages(lake, read_jsonl(spark, path), ENCODER, "m", small=small, whole=True)
+    assert first.bronze == lake.read("bronze").count() == lake.read("bronze").select("arxiv_id").distinct().count()
+    assert lake.read("bronze").where("raw_data LIKE '%later%'").count() == 0
+    assert (again.bronze, again.silver, again.gold) == (0, 0, 0) and first.gold == lake.read("gold").count() > 0

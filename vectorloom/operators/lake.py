@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from vectorloom import schemas
 from vectorloom.config import DIMS, STATE_KEY
-from vectorloom.operators.tables import absent_from, first_wins, latest_by_key, seed_row
-from vectorloom.session import delete_folder, path_exists
+from vectorloom.operators.tables import absent_from, first_wins, latest_by_key, marked_rows, seed_row
+from vectorloom.session import delete_folder, path_exists, stored
 
 
 class Lake:
@@ -104,14 +104,19 @@ class Lake:
         return int(seen.get["rows"])
 
     def insert_if_absent(
-        self, layer: str, df: DataFrame, *order: str, keys: Sequence[str] | None = None, small: bool = False
+        self, layer: str, df: DataFrame, *order: str, keys: Sequence[str] | None = None, small: bool = False, place: str | None = None
     ) -> int:
         """First row per key wins, known keys are left alone; returns rows added.
 
         ``small`` is for micro-batches: the batch is kept while its keys are
-        counted, and a short key list is broadcast against the table.
+        counted, and a short key list is broadcast against the table. ``place``
+        names a column that tells every row from all others, also when ``df`` is
+        computed again: the winners are then found from keys, order and place
+        alone, and the rows go to the table without a shuffle.
         """
         keys = list(keys or self.KEYS[layer])
+        if place:
+            return self.append(layer, self._winners(layer, df, order, keys, place))
         fresh = first_wins(df, keys, *order) if order else df
         if not small:
             return self.append(layer, absent_from(fresh, self.read(layer), keys))
@@ -121,6 +126,13 @@ class Lake:
         finally:
             fresh.unpersist()
 
+    def _winners(self, layer: str, df: DataFrame, order: Sequence[str], keys: list[str], place: str) -> DataFrame:
+        places = stored(df.select(*dict.fromkeys([*keys, *order, place])), "places")
+        first = first_wins(places, keys, *order) if order else places
+        new = absent_from(first, self.read(layer), keys, places.count()).select(place, F.lit(True).alias("_new"))
+        marks = places.select(place).join(new, place, "left").select(place, F.coalesce("_new", F.lit(False)).alias("_new"))
+        return marked_rows(df, stored(marks, "marks"), [place])
+
     def last_bronze_id(self) -> int:
         """Highest surrogate id in use.
 

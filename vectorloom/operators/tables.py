@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectorloom.config import MAX_BROADCAST_KEYS
-from vectorloom.session import delete_folder, folder_names
+from vectorloom.session import delete_folder, folder_names, stored
 
 
 def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
@@ -38,14 +39,41 @@ def absent_from(
 
     With ``key_count`` known and small (a micro-batch), the table is first cut
     to the keys of the batch by a broadcast, so the table is only scanned, never
-    shuffled. Otherwise both sides meet by a shuffle on the key.
+    shuffled; what is left is no more than the batch and is broadcast too, so the
+    rows stay where they are. Otherwise both sides meet by a shuffle on the key.
     """
     present = existing.select(*keys)
     if key_count is not None and key_count <= MAX_BROADCAST_KEYS:
-        present = present.join(F.broadcast(df.select(*keys)), list(keys), "left_semi")
+        present = F.broadcast(present.join(F.broadcast(df.select(*keys)), list(keys), "left_semi").distinct())
     return df.join(present, list(keys), "left_anti")
 
 
+def marked_rows(df: DataFrame, marks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key ``marks`` marks as ``_new``.
+
+    ``marks`` is a stored, narrow table with a row for each key of ``df``. Its
+    shorter list, of the new keys or of the others, is broadcast, so ``df`` is
+    not shuffled; only if both are long do the rows meet the keys by a shuffle.
+    """
+    fresh, known = marks.agg(F.count_if("_new"), F.count_if(~F.col("_new"))).first()
+    if not known:
+        return df
+    if known <= MAX_BROADCAST_KEYS:
+        return df.join(F.broadcast(marks.where(~F.col("_new")).select(*keys)), list(keys), "left_anti")
+    kept = marks.where("_new").select(*[F.col(k).alias(f"_{k}") for k in keys])
+    if fresh <= MAX_BROADCAST_KEYS:
+        kept = F.broadcast(kept)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return df.join(kept, reduce(Column.__and__, same), "left_semi")
+
+
+def absent_rows(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same as ``absent_from`` for wide rows in any number: keys alone are shuffled, compared and stored."""
+    there = existing.select(*keys).distinct().withColumn("_there", F.lit(True))
+    given = df.select(*keys).distinct().join(there, list(keys), "left")
+    return marked_rows(df, stored(given.select(*keys, F.col("_there").isNull().alias("_new")), "keys"), keys)
+
+
 def latest_by_key(log: DataFrame, key: str, value: str, *order: str) -> DataFrame:
     """Last written value of each key of an append-only log."""
     newest = F.struct(*order)

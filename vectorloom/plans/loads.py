@@ -10,10 +10,10 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from vectorloom.config import MODEL_NAME
+from vectorloom.config import MAX_BROADCAST_KEYS, MODEL_NAME
 from vectorloom.functions.encoders import Encoder
 from vectorloom.operators.lake import Lake
-from vectorloom.operators.tables import absent_from
+from vectorloom.operators.tables import absent_from, absent_rows
 from vectorloom.plans.stages import bronze_rows, clean_rows, gold_rows, parse_lines
 from vectorloom.sources.lines import read_jsonl
 
@@ -46,7 +46,7 @@ def load_bronze(lake: Lake, lines: DataFrame, now: datetime, small: bool = False
     seen = Observation()
     accepted = _skipped(parse_lines(lines), seen)
     rows = bronze_rows(accepted, lake.last_bronze_id(), _at(now))
-    added = lake.insert_if_absent("bronze", rows, "seq", small=small)
+    added = lake.insert_if_absent("bronze", rows, "seq", small=small, place="seq")
     return added, int(seen.get["rows"])
 
 
@@ -86,12 +86,15 @@ def _pending(
     day partitions: a micro-batch does not touch older data.
     """
     if since is None:
-        return absent_from(rows, done, ["arxiv_id"])
+        return absent_rows(rows, done, ["arxiv_id"])
     recent = rows.where(
         (F.col(f"{verb}_on") >= F.lit(since.date())) & (F.col(f"{verb}_at") >= _at(since))
     )
     days = F.col(f"{done_verb}_on") >= F.lit(since.date() - timedelta(days=1))
-    return absent_from(recent, done.where(days), ["arxiv_id"], recent.count())
+    count = recent.count()
+    if count > MAX_BROADCAST_KEYS:
+        return absent_rows(recent, done.where(days), ["arxiv_id"])
+    return absent_from(recent, done.where(days), ["arxiv_id"], count)
 
 
 def last_run(lake: Lake) -> tuple[datetime, int] | None:
