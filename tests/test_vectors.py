@@ -239,3 +239,42 @@ def test_evaluate(spark, data):
     assert rows[16].accuracy == 1.0 and rows[16].mrr == 1.0 and rows[4].queries == len(queries)
     ranked_rows = top_k(frame(spark, matrix), as_queries(spark, queries), 3, dims=(16,))
     assert true_ranks(truth, ranked_rows, (16, 8)).where("dim = 8 and rank is null").count() == len(queries)
+
+
+def test_long_texts_are_encoded_in_small_parts(spark):
+    """A part is full by its bytes, not by the number of its texts alone."""
+
+    class Strict:
+        dim = 4
+
+        def encode(self, texts):
+            if len(texts) > 1 and sum(len(t) for t in texts) > 1 << 20:
+                raise ValueError("too much text at once")
+            return np.array([[len(t), 1, 0, 0] for t in texts], dtype=float)
+
+    sizes = [0, 10, 300_000, 600_000, 2_000_000, 5, 900_000, 200_000, 7]
+    texts = spark.createDataFrame([(i, "x" * n if n else None) for i, n in enumerate(sizes)], "i int, t string").coalesce(1)
+    found = texts.select("i", encoder_udf(Strict, (4, 2))(F.col("t")).alias("v")).collect()
+    want = unit_rows(np.array([[n, 1.0, 0, 0] for n in sizes]))
+    assert len(found) == len(sizes)
+    for r in found:
+        assert np.allclose(r.v["embedding_4"], want[r.i], atol=1e-6)
+
+
+def test_ties_of_many_copies_are_taken_in_parts(monkeypatch):
+    """Copies tie at the bound; blocks of them are halved before their ids are sorted, with the same result."""
+    import pyarrow as pa
+
+    from vectorloom.operators import topk
+
+    rng = np.random.default_rng(3)
+    distance = np.round(rng.integers(0, 3, size=(400, 5)) / 4, 2)
+    ids = pa.array([f"d{n}" for n in rng.permutation(400)])
+    found = []
+    for limit in (10**9, 50):
+        monkeypatch.setattr(topk, "_BLOCK_HITS", limit)
+        best = topk._Best(5, 7)
+        for at in range(0, 400, 130):
+            best.add(distance[at : at + 130].copy(), ids.slice(at, 130))
+        found.append((best.query.tolist(), best.distance.tolist(), best.ids.tolist()))
+    assert found[0] == found[1] and len(found[0][0]) == 35

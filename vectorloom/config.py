@@ -6,6 +6,8 @@ from __future__ import annotations
 DIMS = (384, 192, 96, 48)
 MODEL_NAME = "mixedbread-ai/mxbai-embed-xsmall-v1"
 ENCODE_BATCH = 256
+# Bytes of text after which a batch is full before it has that many texts.
+ENCODE_BYTES = 1 << 20
 TOP_K = 10
 MATCH_THRESHOLD = 1
 POLL_SECONDS = 300

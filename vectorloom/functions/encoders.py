@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vectorloom.config import DIMS, ENCODE_BATCH, NORM_FLOOR
+from vectorloom.config import DIMS, ENCODE_BATCH, ENCODE_BYTES, NORM_FLOOR
 
 
 class Encoder(Protocol):
@@ -32,7 +32,7 @@ class HashingEncoder:
     """
 
     name = "hashing-bag-of-words"
-    _CACHE_LIMIT = 1_000_000
+    _CACHE_LIMIT = 100_000
 
     def __init__(self, dim: int = DIMS[0]):
         self.dim = dim
@@ -79,6 +79,17 @@ def _list_array(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(matrix.astype(np.float32).ravel()))
 
 
+def _parts(texts: pa.Array) -> Iterator[list[str]]:
+    """Texts in runs of at most ``ENCODE_BATCH`` and, from the second on, ``ENCODE_BYTES``; an absent one is empty."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        limit = ENCODE_BYTES + (ends[start - 1] if start else 0)
+        stop = max(start + 1, min(start + ENCODE_BATCH, int(np.searchsorted(ends, limit, "right"))))
+        yield ["" if t is None else t for t in texts.slice(start, stop - start).to_pylist()]
+        start = stop
+
+
 def encoder_udf(factory: Callable[[], Encoder], dims: Sequence[int] = DIMS) -> Callable[[Column], Column]:
     """Column function from text to ``struct<embedding_384, embedding_192, ..>``.
 
@@ -93,11 +104,7 @@ def encoder_udf(factory: Callable[[], Encoder], dims: Sequence[int] = DIMS) -> C
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = factory()
         for texts in batches:
-            words = ["" if t is None else t for t in texts.to_pylist()]
-            parts = [
-                np.asarray(encoder.encode(words[i : i + ENCODE_BATCH]), dtype=np.float64)
-                for i in range(0, len(words), ENCODE_BATCH)
-            ]
+            parts = [np.asarray(encoder.encode(part), dtype=np.float64) for part in _parts(texts)]
             vectors = unit_rows(np.concatenate(parts) if parts else np.zeros((0, full)))
             if vectors.shape[1] != full:
                 raise ValueError(f"encoder gives {vectors.shape[1]} components, expected {full}")

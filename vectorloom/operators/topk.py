@@ -23,6 +23,8 @@ from vectorloom.session import scan_tasks
 
 # Query-times-vector products held at once in a task.
 _BLOCK_PRODUCTS = 2_000_000
+# Hits of a block that are sorted at once.
+_BLOCK_HITS = 250_000
 # Rows of one query that the last ranking takes without merging groups first.
 _MERGE_ROWS = 200_000
 # Vectors per group where the queries are too many to broadcast.
@@ -46,6 +48,12 @@ class _Best:
             filled = np.where(hit, distance, np.inf)
             kth = np.partition(filled, self.k - 1, axis=0)[self.k - 1]
             hit &= distance <= kth
+        if hit.sum() > _BLOCK_HITS and len(distance) > 1:
+            # Copies tie at the bound, and all of them count until the ids decide.
+            half = len(distance) // 2
+            self.add(distance[:half], ids.slice(0, half), columns)
+            self.add(distance[half:], ids.slice(half), columns)
+            return
         row, query = np.nonzero(hit)
         if not len(row):
             return
@@ -96,9 +104,11 @@ def _scan(
                 products += block[:, done:d] @ matrix[:, done:d].T
                 squares += (block[:, done:d] ** 2).sum(axis=1)
                 done = d
+                # One array holds what becomes the distance.
+                distance = np.sqrt(squares)[:, None] * lengths[d][None, :]
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    cosine = products / (np.sqrt(squares)[:, None] * lengths[d][None, :])
-                distance = np.round(1.0 - cosine, TIE_DECIMALS)
+                    np.divide(products, distance, out=distance)
+                np.round(np.subtract(1.0, distance, out=distance), TIE_DECIMALS, out=distance)
                 distance[~np.isfinite(distance)] = np.nan
                 best[d].add(distance, ids.slice(start, step))
     return best
