@@ -75,3 +75,31 @@ def test_copies_ties_and_rows_without_direction(spark):
     same(answers(few), brute(rows[:3], asked, 7))
     for v, q in ((rows[:0], asked), (rows, asked[:0])):
         assert top_k_pruned(frame(v, SCHEMA), frame(q, "q long, w array<float>"), 7, "id", "v", "q", "w")[0].count() == 0
+
+
+def test_pairs_of_vectors_and_cells_are_held_in_parts(monkeypatch):
+    """The work space of a task does not rise with the number of cells."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(pruned, "PAIRS", 1 << 12)
+    held, squares = [], pruned._squares
+
+    def watched(x, centres):
+        held.append(len(x) * len(centres))
+        return squares(x, centres)
+
+    monkeypatch.setattr(pruned, "_squares", watched)
+    rng = np.random.default_rng(5)
+    x, centres = rng.normal(size=(3000, 8)), rng.normal(size=(512, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(x.tolist()), pa.array([0.5] * 3000)], ["id", "vector", "kth"])
+    placed = pa.Table.from_batches(pruned._placed(SimpleNamespace(value=centres))(iter([batch])))
+    assert placed.column("id").to_pylist() == list(range(3000))
+    unit = x / np.sqrt((x * x).sum(1))[:, None]
+    assert placed.column("cell").to_pylist() == squares(unit, centres).argmin(1).tolist()
+    index = (centres, np.full(512, 0.1), np.full(512, 5), np.arange(512) // 4)
+    asked = batch.rename_columns(["query", "vector", "kth"])
+    visits = list(pruned._visits(SimpleNamespace(value=index), 10, 0, False)(iter([asked])))
+    assert len({q for b in visits for q in b.column("query").to_pylist()}) == 3000
+    assert max(held) <= 1 << 12

@@ -28,6 +28,8 @@ from vectorloom.session import stored
 SAMPLE, MAX_CELLS, ROUNDS = 20_000, 4096, 6
 #: Most members, and most queries, of one unit.
 BLOCK, ASKING = 4096, 16_384
+#: Pairs of a vector and a cell that a task holds at once.
+PAIRS = 1 << 19
 #: Cells a query visits beyond those that hold k vectors, before the last round.
 SECOND = 8
 _SLACK = 1e-9
@@ -66,7 +68,9 @@ def _directed(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def _placed(centres):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        step = max(1, PAIRS // len(centres.value))
+        for whole, lo in ((b, lo) for b in batches for lo in range(0, b.num_rows, step)):
+            batch = whole.slice(lo, step)
             squares = _squares(_unit(_matrix(batch.column("vector"), centres.value.shape[1])), centres.value)
             cell = squares.argmin(axis=1)
             away = np.sqrt(squares[np.arange(len(cell)), cell])
@@ -102,9 +106,10 @@ def _visits(shared, k: int, stage: int, counted: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         bundle_of = index[3]
+        step = min(1024, max(1, PAIRS // len(index[0])))
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1024):
-                batch = whole.slice(lo, 1024)
+            for lo in range(0, whole.num_rows, step):
+                batch = whole.slice(lo, step)
                 vectors, kth = _matrix(batch.column("vector"), index[0].shape[1]), batch.column("kth").to_numpy()
                 row, cell = _visited(vectors, kth, index, k, stage)
                 order = np.lexsort((cell, bundle_of[cell], row))
