@@ -1,4 +1,5 @@
 import json
+import os
 import uuid
 from datetime import datetime, timedelta, timezone
 
@@ -336,3 +337,22 @@ def test_a_load_shuffles_no_texts(spark, lake, tmp_path, monkeypatch, small, lim
     assert first.bronze == lake.read("bronze").count() == lake.read("bronze").select("arxiv_id").distinct().count()
     assert lake.read("bronze").where("raw_data LIKE '%later%'").count() == 0
     assert (again.bronze, again.silver, again.gold) == (0, 0, 0) and first.gold == lake.read("gold").count() > 0
+
+
+def test_new_rows_of_a_day_are_cleaned_and_encoded_by_many_tasks(spark, lake, tmp_path):
+    """The files of an earlier load of that day must not make the new ones share a task."""
+
+    def load(name, size):
+        folder = tmp_path / name
+        folder.mkdir()
+        for i in range(4):
+            write(folder / f"{i}.jsonl", [{"id": f"{name}{i}-{j}", "title": "t", "abstract": os.urandom(size // 40).hex()} for j in range(20)])
+        before = [set(lake.read(layer).inputFiles()) for layer in ("silver", "gold")]
+        loads.load_files(lake, str(folder), ENCODER, "m")
+        new = [lake.read(layer).select("arxiv_id", F.col("_metadata.file_path").alias("file")).where(F.startswith("arxiv_id", F.lit(name))) for layer in ("silver", "gold")]
+        assert [rows.count() for rows in new] == [80, 80]
+        return [len({r.file for r in rows.collect()} - files) for rows, files in zip(new, before)]
+
+    load("a", 5_000_000)
+    # Silver is as large as bronze, so gold meets long files too.
+    assert load("b", 6_000_000) == [4, 4]

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +72,24 @@ def test_short_and_full_way_agree(spark):
         assert row.a == row.b
 
 
+def test_ways_around_the_rules(spark):
+    """Texts that are told to need no rule, and their neighbours that need one, against the rules themselves."""
+    marks = ["", "-", "--", "---", "`", "``", "'", "''", "''" "'", "!", "!`", "?`", "`?", "a'b", "l'eau - x", "$", "{", "}", "~", "&", "%x\ny", "100 %"]
+    spaces = ["", " ", "  ", "\n", "\n\n", " \n", "\n ", "\t", "\n\t", "\r\n", " ", " \n", "　", "—", "​"]
+    samples = [f"{s}a{m}{s}b{s}" for m in marks for s in spaces]
+    singles = {"$": "", "{": "", "}": "", "~": " ", "&": " "}
+    signs = {"---": "—", "--": "–", "``": "“", "''": "”", "!`": "¡", "?`": "¿"}
+    df = spark.createDataFrame([(s,) for s in [*samples, None]], "x string")
+    for row in df.select("x", text.clean_text(F.col("x")).alias("y")).collect():
+        if row.x is None:
+            assert row.y is None
+            continue
+        want = re.sub(r"%[^\n]*", "", row.x)
+        for source, target in {**singles, **signs}.items():
+            want = want.replace(source, target)
+        assert row.y == (" ".join(want.split()) or None)
+
+
 @pytest.mark.parametrize(
     "url, expected",
     [

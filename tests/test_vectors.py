@@ -1,3 +1,6 @@
+import hashlib
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +100,21 @@ def test_encoder_result_does_not_depend_on_batches():
     assert (whole == parts).all()
 
 
+def test_words_are_placed_by_their_digest():
+    """Against the definition, word by word: letters of any script, every ASCII whitespace, more words than the cache holds."""
+    encoder = HashingEncoder(32)
+    encoder._CACHE_LIMIT = 3
+    batches = [["Alpha beta\x0bgamma\x0cALPHA", "", " \t\n\r ", "été Été 漢字 beta"], ["beta new words here", "  beta\r\nnew  "], []]
+    for texts in batches:
+        want = np.zeros((len(texts), 32))
+        for row, text in enumerate(texts):
+            lowered = "".join(c.lower() if c.isascii() else c for c in text)
+            for word in re.findall(r"[^ \t-\r]+", lowered):
+                digest = hashlib.md5(word.encode()).hexdigest()
+                want[row, int(digest[:8], 16) % 32] += 1 if int(digest[8], 16) < 8 else -1
+        assert np.array_equal(encoder.encode(texts), want)
+
+
 def test_wrong_encoder_size(spark):
     texts = spark.createDataFrame([("a",)], "t string")
     with pytest.raises(Exception, match="expected 32"):

@@ -8,6 +8,8 @@ MODEL_NAME = "mixedbread-ai/mxbai-embed-xsmall-v1"
 ENCODE_BATCH = 256
 # Bytes of text after which a batch is full before it has that many texts.
 ENCODE_BYTES = 1 << 20
+# Bytes of a layer's files that one task of a load reads: compressed, and costly to clean or encode.
+LAYER_SPLIT = 8 << 20
 TOP_K = 10
 MATCH_THRESHOLD = 1
 POLL_SECONDS = 300

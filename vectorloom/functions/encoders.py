@@ -38,26 +38,25 @@ class HashingEncoder:
         self.dim = dim
         self._slots: dict[bytes, int] = {}
 
-    def _slot(self, word: bytes) -> int:
-        digest = hashlib.md5(word).hexdigest()
-        component = int(digest[:8], 16) % self.dim
-        return component if int(digest[8], 16) < 8 else component + self.dim
+    def _place(self, words: list[bytes]) -> list[int]:
+        """Slots of words: the first four bytes of a digest name the component, the top bit of the fifth its sign; no word, no slot."""
+        digests = np.frombuffer(b"".join([hashlib.md5(w).digest() for w in words]), dtype=np.uint8).reshape(-1, 16)
+        component = digests[:, :4].copy().view(">u4")[:, 0].astype(np.int64) % self.dim
+        slots = np.where(digests[:, 4] < 128, component, component + self.dim).tolist()
+        return [slot if word else -1 for word, slot in zip(words, slots)]
 
     def encode(self, texts: list[str]) -> np.ndarray:
         """Cut in Arrow; each distinct word of the batch is hashed once, and one count adds all up."""
         if len(self._slots) > self._CACHE_LIMIT:
             self._slots.clear()
         lowered = pc.ascii_lower(pa.array(texts, pa.large_string()))
-        split = pc.split_pattern_regex(lowered, r"[ \t-\r]+")
+        split = pc.ascii_split_whitespace(lowered)
         words = split.flatten().dictionary_encode()
         slots = self._slots
-        named = np.empty(len(words.dictionary), dtype=np.int64)
-        for i, word in enumerate(words.dictionary.to_pylist()):
-            word = word.encode("utf-8")
-            slot = slots.get(word)
-            if slot is None:
-                slot = slots[word] = self._slot(word) if word else -1
-            named[i] = slot
+        distinct = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        fresh = [word for word in distinct if word not in slots]
+        slots.update(zip(fresh, self._place(fresh)))
+        named = np.fromiter(map(slots.__getitem__, distinct), dtype=np.int64, count=len(distinct))
         found = named[words.indices.to_numpy(zero_copy_only=False)]
         cells = pc.list_parent_indices(split).to_numpy() * (2 * self.dim) + found
         counts = np.bincount(cells[found >= 0], minlength=len(texts) * 2 * self.dim).reshape(len(texts), 2, self.dim)

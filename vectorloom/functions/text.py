@@ -15,6 +15,11 @@ SPACE = (
     r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0"
     r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]"
 )
+# The same without the plain space and the line feed, which hardly a text is free of.
+_RARE_SPACE = (
+    r"[\t\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0"
+    r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]]"
+)
 # The same characters one by one.
 _SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
@@ -31,9 +36,16 @@ def null_if_blank(text: Column) -> Column:
 def collapse_space(text: Column) -> Column:
     """Every run of Unicode whitespace becomes one space; none at the ends.
 
-    A single plain space is not matched, so ordinary text is hardly touched.
+    A single plain space is not matched, so ordinary text is hardly touched; a
+    text whose lines end in nothing but line feeds is not searched for runs.
     """
-    return F.trim(F.regexp_replace(text, f"{SPACE}(?:{SPACE}+|(?<! ))", " "))
+
+    def runs(line: Column) -> Column:
+        short = F.regexp_replace(line, f"{SPACE}(?:{SPACE}+|(?<! ))", " ")
+        return F.when(F.contains(line, F.lit("  ")) | F.rlike(line, F.lit(_RARE_SPACE)), short).otherwise(line)
+
+    # The one-element list binds the text, so it is computed only once.
+    return F.trim(F.get(F.transform(F.array(F.replace(text, F.lit("\n"), F.lit(" "))), runs), F.lit(0)))
 
 
 def clean_text(text: Column) -> Column:

@@ -15,6 +15,7 @@ from vectorloom.functions.encoders import Encoder
 from vectorloom.operators.lake import Lake
 from vectorloom.operators.tables import absent_from, absent_rows
 from vectorloom.plans.stages import bronze_rows, clean_rows, gold_rows, parse_lines
+from vectorloom.session import short_splits
 from vectorloom.sources.lines import read_jsonl
 
 
@@ -59,7 +60,8 @@ def load_silver(lake: Lake, now: datetime, since: datetime | None = None) -> tup
     seen = Observation()
     pending = _pending(lake.read("bronze"), "ingested", lake.read("silver"), "processed", since)
     rows = _skipped(clean_rows(pending, _at(now)), seen).drop("reason")
-    added = lake.append("silver", rows)
+    with short_splits(lake.spark):
+        added = lake.append("silver", rows)
     return added, int(seen.get["rows"])
 
 
@@ -73,7 +75,8 @@ def load_gold(
     """Silver rows that have no vector of this model yet."""
     done = lake.read("gold").where(F.col("model_name") == model_name)
     pending = _pending(lake.read("silver"), "processed", done, "embedded", since)
-    return lake.append("gold", gold_rows(pending, factory, _at(now), lake.dims, model_name))
+    with short_splits(lake.spark):
+        return lake.append("gold", gold_rows(pending, factory, _at(now), lake.dims, model_name))
 
 
 def _pending(

@@ -5,11 +5,15 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vectorloom.config import LAYER_SPLIT
+
 
 def build_session(app: str = "vectorloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; arguments come on top."""
@@ -90,6 +94,23 @@ def scan_tasks(df: DataFrame) -> int:
     return max(1, size // (int(split) if split.isdigit() else 128 << 20))
 
 
+@contextmanager
+def short_splits(spark: SparkSession, size: int = LAYER_SPLIT) -> Iterator[None]:
+    """Scans that start meanwhile put at most ``size`` bytes of files into a task, or less if the session says so.
+
+    A scan that keeps only the newest files of a day is dealt by all of them: with long splits the new
+    ones, alike in size, share a few tasks and the other cores wait.
+    """
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    given = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before))
+    spark.conf.set(name, str(min(size, given)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
