@@ -94,3 +94,65 @@ def test_shares_follow_the_weights(vocabulary):
 
 def test_empty(spark):
     assert decode_ids(encode_texts(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def _plain(v, text: str, key: int, seed: int) -> list[int]:
+    """The same draw for one text, sign by sign and without arrays."""
+    table = {bytes(v.flat[v.bounds[i] : v.bounds[i + 1]]): (int(i), float(w)) for i, w in zip(v.ids[: len(v.hashes)], v.weights)}
+    data, start, end, _ = P._segments(pa.array([text]))
+    row = P.mix(np.array([key]).view(np.uint64) ^ P.mix(np.array([seed], np.uint64)))
+    ids = []
+    for number, (a, b) in enumerate(zip(start, end)):
+        s = bytes(data[a:b])
+        signs = [i for i in range(len(s)) if s[i] == P._MARK or s[i] & 0xC0 != 0x80]
+        into = [[] for _ in range(len(s) + 1)]
+        for i, j in zip(signs, [*signs[1:], len(s)]):
+            for stop in range(i + 1, min(len(s), i + v.longest) + 1):
+                if s[i:stop] in table:
+                    into[stop].append((i, *table[s[i:stop]]))
+            if s[i:j] not in table:
+                for k in range(i, j):
+                    into[k + 1].append((k, int(v.byte_ids[0x20 if s[k] == P._MARK else s[k]]), float(v.weights[-1])))
+        total = [0.0] + [-math.inf] * len(s)
+        for stop in range(1, len(s) + 1):
+            into[stop].sort(key=lambda e: -e[0])
+            values = [total[e[0]] + e[2] for e in into[stop]]
+            if values:
+                total[stop] = max(values) + math.log(sum(math.exp(x - max(values)) for x in values))
+        mine, at, state = [], len(s), P.mix(row + np.array([number], np.uint64) * P._GOLD)
+        while at:
+            u, below = (int(P.mix(state)[0] >> np.uint64(34)) + 0.5) / 2**30, 0.0
+            for source, piece, weight in into[at]:
+                below += math.exp(total[source] + weight - total[at])
+                if below > u:
+                    break
+            mine.append(piece)
+            at, state = source, state + P._GOLD
+        ids += mine[::-1]
+    return ids
+
+
+def test_draws_equal_a_plain_form(vocabulary):
+    texts = [t for t in TEXTS if t and len(t) < 100] + ["Lattices fall apart, Straße and заметка 数据 too", "\u0800" * 9, "ab\n \n  c▁d"]
+    for key, text in enumerate(texts):
+        ids, _ = encode_slice(vocabulary, pa.array([text]), np.array([key]), 11)
+        assert ids.tolist() == _plain(vocabulary, text, key, 11), text
+
+
+def test_pieces_that_share_a_slot_are_found(vocabulary, monkeypatch):
+    texts = pa.array([t for t in TEXTS if t])
+    keys = np.arange(len(texts))
+    want = encode_slice(vocabulary, texts, keys, 11)[0].tolist()
+    monkeypatch.setattr(P, "_SLOT", np.uint64(58))  # 64 slots for all pieces
+    assert encode_slice(load_vocabulary(), texts, keys, 11)[0].tolist() == want
+
+
+def test_bytes_are_not_hashed_anew_for_each_length(monkeypatch):
+    """The bytes of a slice were hashed again for each length that a piece can have."""
+    v, hashed = load_vocabulary(), []
+    texts = pa.array([" ".join(f"word{i}{k}qzx" for i in range(400)) for k in range(20)])
+    rolling = P.rolling
+    monkeypatch.setattr(P, "rolling", lambda values, *a, **b: hashed.append(len(values)) or rolling(values, *a, **b))
+    encode_slice(v, texts, np.arange(len(texts)), 11)
+    size = sum(len(t) + 1 for t in texts.to_pylist())
+    assert 0 < sum(hashed) <= 2 * size

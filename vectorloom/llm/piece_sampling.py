@@ -6,7 +6,7 @@ independent and each distinct one of a slice is filtered once.
 
 Forward filtering gives each place of a segment the log of the summed weight of all ways to reach it. Backward sampling starts at the end
 and draws the piece that ends there in proportion to (weight up to its start) x (weight of the piece); so a segmentation comes with
-exactly its share of the total weight. The random numbers are a hash of seed, row key, number of the segment and step: the same row gives the
+exactly its share of the total weight. Pieces are looked up by hashes that grow byte by byte, only as far as some piece begins so. The random numbers are a hash of seed, row key, number of the segment and step: the same row gives the
 same pieces wherever and however often it is computed.
 
 Weights are the model's scores where they are log-probabilities; a merge-ordered model has ranks instead, whose weight is 1 / (rank + 10), raised to
@@ -43,23 +43,33 @@ SLICE_BYTES = 1 << 19
 #: Bytes of segments a worker keeps filtered from slice to slice.
 STORED = 1 << 18
 _MARK = 0xFF  # stands for a blank; no UTF-8 text has this byte
+_END = 0xFE  # closes a segment; no UTF-8 text and no piece has this byte
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-_GRID = float(1 << 30)  # shares are compared on this grid, exactly
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+_GRID = 1 << 30  # shares are compared on this grid, exactly
+_SLOT = np.uint64(46)  # of a hash the bits above this one are its slot
+_PIECE, _MORE = 1, 2  # what is in a slot: a piece, a beginning of a longer one
+_BYTES = np.arange(256)
+_WIDTH = np.select([_BYTES == _MARK, _BYTES < 0x80, _BYTES < 0xE0, _BYTES < 0xF0], [1, 1, 2, 3], 4)
+_LEAD = ((_BYTES & 0xC0) != 0x80) & (_BYTES != _END)
 
 
 @dataclass
 class Vocabulary:
-    """Pieces as bytes: sorted hashes with ids, log weights and longest length; byte ids; all bytes for decoding."""
+    """Pieces by their sorted hashes, log weights, longest length; ids of these and then of the bytes; all bytes for decoding.
+
+    ``kinds`` says what is in a slot, ``heads`` gives the first hash in it.
+    """
 
     hashes: np.ndarray
     ids: np.ndarray
     weights: np.ndarray
     longest: int
     byte_ids: np.ndarray
-    byte_weight: float
     flat: np.ndarray
     bounds: np.ndarray
-    maybe: np.ndarray
+    kinds: np.ndarray
+    heads: np.ndarray
     store: "Store | None" = None
 
 
@@ -67,6 +77,16 @@ def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return rolling(data.astype(np.uint64) + np.uint64(1), start, end)
 
 
+def _further(h: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """Hashes of ranges that have grown by a byte."""
+    h = (h + byte + np.uint64(1)) * _BASE
+    return h ^ (h >> np.uint64(31))
+
+
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h >> _SLOT).view(np.int64)
+
+
 def load_vocabulary(path: str = MODEL, theta: float = THETA) -> Vocabulary:
     import sentencepiece  # by the driver alone; the tasks need the pieces only
 
@@ -90,121 +110,148 @@ def load_vocabulary(path: str = MODEL, theta: float = THETA) -> Vocabulary:
     sizes = np.array([len(b) for b in made])
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     flat = np.frombuffer(b"".join(made), np.uint8)
-    hashes = _hash(flat, bounds[normal], bounds[1:][normal])
+    kinds, heads = np.zeros(1 << 18, np.uint8), np.zeros(1 << 18, np.int32)
+    begin, size = bounds[:-1][normal], sizes[normal]
+    hashes = np.zeros(len(normal), np.uint64)
+    for k in range(int(size.max())):
+        live = np.flatnonzero(size > k)
+        hashes[live] = _further(hashes[live], flat[begin[live] + k])
+        kinds[_slot(hashes[size > k + 1])] |= _MORE
+    kinds[_slot(hashes)] |= _PIECE
     order = np.argsort(hashes)
-    maybe = np.zeros(1 << 20, dtype=bool)
-    maybe[(hashes >> np.uint64(44)).astype(np.int64)] = True
-    return Vocabulary(
-        hashes[order], np.array(normal)[order], theta * logs[order], int(sizes.max()), byte_ids, theta * (logs.min() - 1.0), flat, bounds, maybe
-    )
+    hashes = hashes[order]
+    heads[_slot(hashes[::-1])] = np.arange(len(hashes))[::-1]  # the first of a slot is written last
+    ids = np.concatenate([np.array(normal)[order], byte_ids]).astype(np.int32)
+    weights = np.concatenate([theta * logs[order], np.full(256, theta * (logs.min() - 1.0))])
+    return Vocabulary(hashes, ids, weights, int(size.max()), byte_ids, flat, bounds, kinds, heads)
+
+
+def _edges(v: Vocabulary, text: np.ndarray):
+    """All pieces in the segments: start, end, number, and how many shorter ones have that end; also how many have each end.
 
+    ``text`` has _END behind each segment and no less than a longest piece of it at the end.
+    """
+    met = np.zeros(len(text) + 1, np.int64)
+    found = []
 
-def _edges(v: Vocabulary, data: np.ndarray, ends: np.ndarray):
-    """All pieces in the segments: start, end, id, log weight. ends[i]: end of the segment that place i lies in."""
-    starts, stops, ids, weights = [], [], [], []
-    place = np.arange(len(data))
-    lead = (data & 0xC0) != 0x80
-    lead |= data == _MARK
-    width = np.select([data == _MARK, data < 0x80, data < 0xE0, data < 0xF0], [1, 1, 2, 3], 4)
-    single = np.zeros(len(data), dtype=bool)
-    live = place[lead]
+    def note(start, stop, piece):
+        found.append((start, stop, piece, met[stop]))
+        met[stop] += 1  # these ends are all different
+
+    lead = _LEAD[text]
+    live = np.flatnonzero(lead)
+    spelled = lead.copy()  # signs without a piece of their own
+    h = np.zeros(len(live), np.uint64)
     for n in range(1, v.longest + 1):
-        live = live[live + n <= ends[live]]
         if not len(live):
             break
-        h = _hash(data, live, live + n)
-        hit = v.maybe[(h >> np.uint64(44)).astype(np.int64)]
-        at = np.minimum(np.searchsorted(v.hashes, h[hit]), len(v.hashes) - 1)
-        good = v.hashes[at] == h[hit]
-        begin = live[hit][good]
-        starts.append(begin)
-        stops.append(begin + n)
-        ids.append(v.ids[at[good]])
-        weights.append(v.weights[at[good]])
-        single[begin[width[begin] == n]] = True
+        h = _further(h, text[live + (n - 1)])
+        slot = _slot(h)
+        kind = v.kinds[slot]
+        hit = np.flatnonzero(kind & _PIECE)
+        own = h[hit]
+        at = v.heads[slot[hit]].astype(np.int64)
+        good = v.hashes[at] == own
+        rest = np.flatnonzero(~good)  # other ranges, and pieces that are not the first of their slot
+        at[rest] = np.minimum(np.searchsorted(v.hashes, own[rest]), len(v.hashes) - 1)
+        good[rest] = v.hashes[at[rest]] == own[rest]
+        begin, at = live[hit[good]], at[good]
+        note(begin, begin + n, at)
+        if n <= 4:
+            spelled[begin[_WIDTH[text[begin]] == n]] = False
+        more = np.flatnonzero(kind & _MORE)
+        live, h = live[more], h[more]
     # Signs without a piece of their own are written byte by byte.
-    sign = np.maximum.accumulate(np.where(lead, place, 0)) if len(place) else place
-    spelled = place[~single[sign]]
-    starts.append(spelled)
-    stops.append(spelled + 1)
-    value = np.where(data[spelled] == _MARK, 0x20, data[spelled])
-    ids.append(v.byte_ids[value])
-    weights.append(np.full(len(spelled), v.byte_weight))
-    return tuple(np.concatenate(x) for x in (starts, stops, ids, weights))
+    if spelled.any():
+        place = np.arange(len(text))
+        at = np.flatnonzero(spelled[np.maximum.accumulate(np.where(lead, place, 0))] & (text != _END))
+        note(at, at + 1, len(v.hashes) + np.where(text[at] == _MARK, 0x20, text[at]).astype(np.int64))
+    if not found:
+        return *[np.empty(0, np.int64)] * 4, met
+    return *(np.concatenate(x) for x in zip(*found)), met
 
 
 @dataclass
 class Lattice:
-    """Per node (a place of a segment), its incoming pieces with running probabilities."""
+    """Per node (a place of a segment), its incoming pieces with running probabilities. The nodes go by their distance from the segment's start.
+
+    Those of node i are first[i]:first[i+1], from short to long; ``ends`` has the last node of each segment, the first ones are the nodes below ``roots``.
+    """
 
-    cumulative: np.ndarray  # number of the node plus the share of its pieces so far
+    upto: np.ndarray  # share of the node's pieces so far, on the grid
     first: np.ndarray
-    last: np.ndarray
     source: np.ndarray
     ids: np.ndarray
+    ends: np.ndarray
+    roots: int
 
 
 def forward(v: Vocabulary, data: np.ndarray, bounds: np.ndarray) -> Lattice:
     """Filter all segments at once, by distance from the segment's start; segment i is data[bounds[i]:bounds[i+1]]."""
     sizes = np.diff(bounds)
-    segment = np.repeat(np.arange(len(sizes)), sizes)
-    start, stop, ids, weight = _edges(v, data, bounds[1:][segment])
-    own = segment[start]
-    source, target = start + own, stop + own  # a segment of n bytes has n + 1 nodes
-    distance = stop - bounds[:-1][own]
-    order = np.lexsort((target, distance))
-    source, target, ids, weight, distance = source[order], target[order], ids[order], weight[order], distance[order]
-    total = np.full(len(data) + len(sizes), -np.inf)
-    total[bounds[:-1] + np.arange(len(sizes))] = 0.0
-    chance = np.empty(len(source))
-    cuts = np.searchsorted(distance, np.arange(1, (distance[-1] if len(distance) else 0) + 2))
-    for lo, hi in zip(cuts[:-1], cuts[1:]):
+    nodes = len(data) + len(sizes)  # a segment of n bytes has n + 1 nodes
+    begin = bounds[:-1] + np.arange(len(sizes))
+    text = np.full(nodes + v.longest, _END, np.uint8)
+    inside = np.ones(nodes, dtype=bool)
+    inside[begin + sizes] = False
+    text[:nodes][inside] = data
+    start, stop, piece, rank, met = _edges(v, text)
+    # Nodes of one distance are next to each other, those of longer segments first.
+    order = np.argsort(-sizes, kind="stable")
+    far = int(sizes.max(initial=0))
+    base = np.concatenate([[0], np.cumsum(np.searchsorted(-sizes[order], -np.arange(far + 1), "right"))])
+    line = np.empty(len(sizes), np.int64)
+    line[order] = np.arange(len(sizes))
+    node = base[np.arange(nodes) - np.repeat(begin, sizes + 1)] + np.repeat(line, sizes + 1)
+    count = np.empty(nodes, np.int64)
+    count[node] = met[:nodes]
+    first = np.concatenate([[0], np.cumsum(count)])
+    at = first[node[stop]] + rank
+    source, which = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    source[at], which[at] = node[start], piece
+    weight = v.weights[which]
+    total = np.full(nodes, -np.inf)
+    total[: len(sizes)] = 0.0
+    chance = np.empty(len(at))
+    for a, b in zip(base[1:-1], base[2:]):
+        lo, hi = first[a], first[b]
         if lo == hi:
             continue
-        t = target[lo:hi]
+        met = a + np.flatnonzero(count[a:b])  # a place inside a sign may have none
+        head, n = first[met] - lo, count[met]
         value = total[source[lo:hi]] + weight[lo:hi]
-        head = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
-        n = np.diff(np.append(head, len(t)))
         top = np.maximum.reduceat(value, head)
         share = np.exp(value - np.repeat(top, n))
         norm = np.add.reduceat(share, head)
-        total[t[head]] = top + np.log(norm)
+        total[met] = top + np.log(norm)
         chance[lo:hi] = share / np.repeat(norm, n)
-    order = np.argsort(target, kind="stable")
-    source, target, ids, chance = source[order], target[order], ids[order], chance[order]
-    nodes = np.arange(len(total))
-    first, last = np.searchsorted(target, nodes), np.searchsorted(target, nodes, "right") - 1
     # Running share within a node, one place at a time, so it does not depend on what else is in the slice.
-    rank = np.arange(len(target)) - first[target]
-    for place in range(1, int(rank.max(initial=0)) + 1):
-        at = np.flatnonzero(rank == place) if place == 1 else at[at + 1 < len(rank)] + 1
-        at = at[rank[at] == place]
+    many, place = np.flatnonzero(count > 1), 1
+    while len(many):
+        at = first[many] + place
         chance[at] += chance[at - 1]
-    small = (x.astype(np.int32) for x in (first, last, source, ids))
-    return Lattice(target + np.floor(chance * _GRID) / _GRID, *small)
-
-
-def backward(lattice: Lattice, root: np.ndarray, end: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Draw a segmentation for each occurrence from node ``end`` down to ``root``: ids in order, and their number."""
-    # Occurrences of one segment go together, so that look-ups in the lattice are near each other.
-    active, at, step = np.argsort(end, kind="stable"), end.copy(), 0
-    who, drawn = [], []
-    counts = np.zeros(len(end), np.int64)
-    while len(active):
-        node = at[active]
-        u = ((mix(seeds[active] + np.array([step], np.uint64) * _GOLD) >> np.uint64(34)).astype(np.float64) + 0.5) / _GRID
-        edge = np.minimum(np.searchsorted(lattice.cumulative, node + u, "right"), lattice.last[node])
-        who.append(active)
-        drawn.append(lattice.ids[edge])
-        counts[active] += 1
-        at[active] = lattice.source[edge]
-        active = active[at[active] != root[active]]
-        step += 1
-    ids = np.empty(int(counts.sum()), np.int32)
-    place = np.cumsum(counts)
-    for n, (w, d) in enumerate(zip(who, drawn)):
-        ids[place[w] - 1 - n] = d
-    return ids, counts
+        place += 1
+        many = many[count[many] > place]
+    upto = np.floor(chance * _GRID).astype(np.int32)
+    upto[first[1:][count > 0] - 1] = _GRID
+    return Lattice(upto, first, source, v.ids[which], base[sizes] + line, len(sizes))
+
+
+def backward(lattice: Lattice, segment: np.ndarray, seeds: np.ndarray, who: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Draw a segmentation for each occurrence of a segment, from its end to its start: in each step whose piece it is, and its id."""
+    node, drawn = lattice.ends[segment], []
+    while len(who):
+        u = (mix(seeds) >> np.uint64(34)).astype(np.int32)
+        edge = lattice.first[node]
+        past = np.flatnonzero(lattice.upto[edge] <= u)
+        while len(past):  # the last piece of a node has the whole grid below it
+            edge[past] += 1
+            past = past[lattice.upto[edge[past]] <= u[past]]
+        drawn.append((who, lattice.ids[edge]))
+        node = lattice.source[edge]
+        on = np.flatnonzero(node >= lattice.roots)
+        node, seeds, who = node[on], seeds[on] + _GOLD, who[on]
+    return drawn
 
 
 def _segments(texts: pa.Array):
@@ -285,17 +332,18 @@ def encode_slice(v: Vocabulary, texts: pa.Array, keys: np.ndarray, seed: int) ->
     place = np.where(kept >= 0, kept, 0)
     place[new] = np.arange(len(new))
     counts, drawn = np.zeros(len(start), np.int64), []
-    for known, cuts in ((True, v.store.bounds), (False, bounds)):
+    for known in (True, False):
         mine = np.flatnonzero((kept >= 0)[which] == known)
         if len(mine):
             lattice = v.store.lattice if known else forward(v, own, bounds)
-            segment = place[which[mine]]
-            ids, n = backward(lattice, cuts[segment] + segment, cuts[segment + 1] + segment, seeds[mine])
-            counts[mine] = n
-            drawn.append((mine, ids, n))
-    ids, begin = np.empty(int(counts.sum()), np.int32), np.cumsum(counts) - counts
-    for mine, part, n in drawn:
-        ids[np.repeat(begin[mine] - (np.cumsum(n) - n), n) + np.arange(len(part))] = part
+            steps = backward(lattice, place[which[mine]], seeds[mine], mine)
+            for who, _ in steps:
+                counts[who] += 1
+            drawn += steps
+    ids, last = np.empty(int(counts.sum()), np.int32), np.cumsum(counts)
+    for who, part in drawn:
+        last[who] -= 1
+        ids[last[who]] = part
     again = np.flatnonzero(times[new] > 1)
     v.store.take(v, h[new[again]], *_gather(own, bounds[again], np.diff(bounds)[again]))
     return ids, np.bincount(owner, weights=counts, minlength=len(texts)).astype(np.int64)
@@ -361,8 +409,9 @@ class _Spelling:
         """Texts of lists of ids."""
         ids = column.flatten().to_numpy(zero_copy_only=False)
         n = column.value_lengths().fill_null(0).to_numpy()
-        ends = np.concatenate([[0], np.cumsum(self.size[ids])]).astype(np.int64)
-        out = self.flat[np.repeat(self.begin[ids] - ends[:-1], self.size[ids]) + np.arange(ends[-1])] if len(ids) else np.empty(0, np.uint8)
+        size = self.size[ids]
+        ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        out = self.flat[np.repeat(self.begin[ids] - ends[:-1], size) + np.arange(ends[-1])] if len(ids) else np.empty(0, np.uint8)
         stop = ends[np.cumsum(n)]
         start = np.concatenate([[0], stop[:-1]]) + (n > 0)  # without the prefix
         raw = out.tobytes()
