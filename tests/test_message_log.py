@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from vectorloom.functions.encoders import hashing_encoder
 from vectorloom.operators.lake import Lake
 from vectorloom.sources import message_log as source
-from vectorloom.sources.message_log import MessageLog, _LogReader, file_pieces, message_log, piece_lines
+from vectorloom.session import PLAIN_READS, small_buffers
+from vectorloom.sources.message_log import MessageLog, _LogReader, file_pieces, message_log, piece_lines, piece_rooms
+from vectorloom.streaming import medallion
 from vectorloom.streaming.medallion import load_notified
 
 
@@ -114,3 +116,80 @@ def test_files_are_read_by_many_tasks(spark, tmp_path):
     found = lines.withColumn("task", F.spark_partition_id()).collect()
     assert sorted(r.value for r in found) == [str(n) for n in range(6)]
     assert len({r.task for r in found}) == spark.sparkContext.defaultParallelism
+
+
+def cut(pieces, size):
+    """Pieces of unpacked files cut into smaller ones."""
+    starts = F.when(F.col("end") < 1 << 40, F.sequence("start", F.col("end") - 1, F.lit(size).cast("long"))).otherwise(F.array("start"))
+    rows = pieces.select("source_path", "source_file", "file_size", F.explode_outer(starts).alias("start"), F.col("end").alias("last"))
+    end = F.when(F.col("last") < 1 << 40, F.least("last", F.col("start") + size)).otherwise(F.col("last"))
+    return rows.select("source_path", "source_file", "file_size", "start", end.alias("end"))
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_rooms_are_found_at_the_ends_of_pieces(spark, tmp_path, size):
+    for n, text in enumerate(["a\n\nbb \u00fc\nend", "a\nb\n", "\n", "x", "\n\n\n", "no line feed", ""]):
+        (tmp_path / f"{n}.jsonl").write_text(text)
+    with gzip.open(tmp_path / "z.jsonl.gz", "wt") as file:
+        file.write("p\nlast\n")
+    names = [*(f"{n}.jsonl" for n in range(7)), "z.jsonl.gz"]
+    pieces = cut(file_pieces(messages_of(spark, *[tmp_path / n for n in names])), size)
+    lines = piece_lines(pieces).groupBy("source_path").agg((F.max("source_pos") + 1).alias("room"))
+    rooms = {tuple(r) for r in piece_rooms(pieces).collect()}
+    assert len(rooms) == 7 and rooms == {tuple(r) for r in lines.collect()}
+
+
+def test_a_long_last_line_starts_where_it_starts(spark, tmp_path):
+    (tmp_path / "long.jsonl").write_text("a\n" + "x" * 200_000)
+    (tmp_path / "one.jsonl").write_text("x" * 200_000 + "\n")
+    rooms = piece_rooms(file_pieces(messages_of(spark, tmp_path / "long.jsonl", tmp_path / "one.jsonl"))).orderBy("source_path").collect()
+    assert [r["room"] for r in rooms] == [3, 1]
+
+
+def test_a_load_keeps_no_lines_and_reads_again_what_is_new(spark, tmp_path, monkeypatch):
+    """Lines kept in executors filled their memory; pieces whose ids are all known are read once only."""
+    kept, again, frame = [], [], type(spark.range(0))
+    find = medallion.pieces_at
+
+    def pieces_at(pieces, parts):
+        again.append(sorted((r["source_file"], r["start"]) for r in find(pieces, parts).collect()))
+        return find(pieces, parts)
+
+    monkeypatch.setattr(frame, "persist", lambda self, *level: kept.append(self) or self)
+    monkeypatch.setattr(medallion, "pieces_at", pieces_at)
+    name = uuid.uuid4().hex[:8]
+    lake = Lake(spark, str(tmp_path / name), f"l{name}_", (16, 8, 4, 2)).create()
+    log = tmp_path / "log"
+    log.mkdir()
+
+    def record(key):
+        return json.dumps({"id": key, "title": "T", "abstract": f"words of {key}"}) + "\n"
+
+    files = {"a": record("1") + "junk\n\n" + record("2"), "b": record("2") + record("3"), "c": record("1") + record("3")}
+    for n, text in files.items():
+        (tmp_path / f"{n}.jsonl").write_text(text)
+    half = len(record("1"))  # pieces of a line's length
+    monkeypatch.setattr(medallion, "file_pieces", lambda messages: cut(file_pieces(messages), half))
+    found = []
+    for n, named in enumerate(("a", "ab", "abc")):
+        (log / str(n)).write_text("".join(message(tmp_path / f"{x}.jsonl") for x in named))
+        load_notified(lake, message_log(spark, str(log)), hashing_encoder(16), str(tmp_path / "cp"), once=True, model_name="m").awaitTermination()
+        found.append({r["arxiv_id"]: (r["source_file"], r["id"]) for r in lake.read("bronze").collect()})
+    assert not kept
+    assert again == [[("a.jsonl", 0), ("a.jsonl", half)], [("b.jsonl", half)], []]
+    first = {"1": ("a.jsonl", 1), "2": ("a.jsonl", half + 7)}
+    # Ids go on after the highest in use, by file and place.
+    assert found == [first, *[first | {"3": ("b.jsonl", half + 7 + (half + 6 + 1) + half + 1)}] * 2]
+    runs = lake.read("runs").orderBy("started_at").select("bronze", "silver", "gold", "skipped", "status").collect()
+    assert [tuple(r) for r in runs] == [(2, 2, 2, 1, "success"), (1, 1, 1, 1, "success"), (0, 0, 0, 1, "success")]
+
+
+def test_buffers_are_small_for_a_while_only(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    with small_buffers(spark):
+        inside = {k: spark.conf.get(k) for k in (name, *PLAIN_READS)}
+        with small_buffers(spark):
+            pass
+        assert inside == {k: spark.conf.get(k) for k in inside} == {name: str(4 << 20), **PLAIN_READS}
+    assert spark.conf.get(name) == before and all(spark.conf.get(k, None) is None for k in PLAIN_READS)

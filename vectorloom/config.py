@@ -10,6 +10,8 @@ ENCODE_BATCH = 256
 ENCODE_BYTES = 1 << 20
 # Bytes of a layer's files that one task of a load reads: compressed, and costly to clean or encode.
 LAYER_SPLIT = 8 << 20
+# Bytes of a batch that a load sends to Python workers.
+ARROW_BYTES = 4 << 20
 TOP_K = 10
 MATCH_THRESHOLD = 1
 POLL_SECONDS = 300

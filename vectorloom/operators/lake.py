@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -88,10 +88,10 @@ class Lake:
         """The same tables seen from another session, such as that of a micro-batch."""
         return Lake(spark, self.root, self.prefix, self.dims, self.buckets)
 
-    def read(self, layer: str) -> DataFrame:
+    def read(self, layer: str, **options: str) -> DataFrame:
         """Current rows; a session keeps its file list until told that others wrote."""
         self.spark.catalog.refreshTable(self.name(layer))
-        return self.spark.table(self.name(layer))
+        return self.spark.read.options(**options).table(self.name(layer))
 
     def append(self, layer: str, df: DataFrame) -> int:
         """Append rows and return how many; the count comes with the write itself."""
@@ -104,7 +104,8 @@ class Lake:
         return int(seen.get["rows"])
 
     def insert_if_absent(
-        self, layer: str, df: DataFrame, *order: str, keys: Sequence[str] | None = None, small: bool = False, place: str | None = None
+        self, layer: str, df: DataFrame, *order: str, keys: Sequence[str] | None = None, small: bool = False, place: str | None = None,
+        parts: Sequence[str] = (), again: Callable[[DataFrame], DataFrame] | None = None,
     ) -> int:
         """First row per key wins, known keys are left alone; returns rows added.
 
@@ -112,11 +113,13 @@ class Lake:
         counted, and a short key list is broadcast against the table. ``place``
         names a column that tells every row from all others, also when ``df`` is
         computed again: the winners are then found from keys, order and place
-        alone, and the rows go to the table without a shuffle.
+        alone, and the rows go to the table without a shuffle. With ``again``
+        they come from it instead of ``df``: it gets the distinct ``parts``,
+        columns of ``df``, of the winners and gives all rows of those parts.
         """
         keys = list(keys or self.KEYS[layer])
         if place:
-            return self.append(layer, self._winners(layer, df, order, keys, place))
+            return self.append(layer, self._winners(layer, df, order, keys, place, parts, again))
         fresh = first_wins(df, keys, *order) if order else df
         if not small:
             return self.append(layer, absent_from(fresh, self.read(layer), keys))
@@ -126,12 +129,19 @@ class Lake:
         finally:
             fresh.unpersist()
 
-    def _winners(self, layer: str, df: DataFrame, order: Sequence[str], keys: list[str], place: str) -> DataFrame:
-        places = stored(df.select(*dict.fromkeys([*keys, *order, place])), "places")
+    def _winners(
+        self, layer: str, df: DataFrame, order: Sequence[str], keys: list[str], place: str,
+        parts: Sequence[str], again: Callable[[DataFrame], DataFrame] | None,
+    ) -> DataFrame:
+        places = stored(df.select(*dict.fromkeys([*keys, *order, place, *parts])), "places")
         first = first_wins(places, keys, *order) if order else places
         new = absent_from(first, self.read(layer), keys, places.count()).select(place, F.lit(True).alias("_new"))
-        marks = places.select(place).join(new, place, "left").select(place, F.coalesce("_new", F.lit(False)).alias("_new"))
-        return marked_rows(df, stored(marks, "marks"), [place])
+        marks = places.select(place, *parts).join(new, place, "left").select(place, *parts, F.coalesce("_new", F.lit(False)).alias("_new"))
+        marks = stored(marks, "marks")
+        if again:
+            found = stored(marks.where("_new").select(*parts).distinct(), "parts")
+            df, marks = again(found), marks.join(found, list(parts), "left_semi")
+        return marked_rows(df, marks, [place])
 
     def last_bronze_id(self) -> int:
         """Highest surrogate id in use.

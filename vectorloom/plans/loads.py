@@ -42,12 +42,27 @@ def _skipped(rows: DataFrame, seen: Observation) -> DataFrame:
     )
 
 
-def load_bronze(lake: Lake, lines: DataFrame, now: datetime, small: bool = False) -> tuple[int, int]:
-    """Raw lines to bronze; returns rows inserted and rows skipped."""
-    seen = Observation()
+#: What names a part of the lines that can be read by itself.
+PARTS = ("source_path", "block_start")
+
+
+def load_bronze(
+    lake: Lake, lines: DataFrame, now: datetime, small: bool = False, again: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[int, int]:
+    """Raw lines to bronze; returns rows inserted and rows skipped.
+
+    Lines are parsed once for their ids and once more for the rows that go in. ``again`` gives all lines of
+    some ``PARTS``: the second time only parts with new rows are read.
+    """
+    seen, base = Observation(), lake.last_bronze_id()
     accepted = _skipped(parse_lines(lines), seen)
-    rows = bronze_rows(accepted, lake.last_bronze_id(), _at(now))
-    added = lake.insert_if_absent("bronze", rows, "seq", small=small, place="seq")
+
+    def rows_of(parts: DataFrame) -> DataFrame:
+        return bronze_rows(parse_lines(again(parts)).where(F.col("reason").isNull()), base, _at(now))
+
+    more = {"parts": PARTS, "again": rows_of} if again else {}
+    rows = bronze_rows(accepted, base, _at(now), more.get("parts", ()))
+    added = lake.insert_if_absent("bronze", rows, "seq", small=small, place="seq", **more)
     return added, int(seen.get["rows"])
 
 
@@ -122,7 +137,8 @@ def log_run(lake: Lake, batch_id: int, counts: Counts, started: datetime, status
         "status": status,
     }
     schema = lake.read("runs").schema
-    lake.append("runs", lake.spark.createDataFrame([tuple(row[f.name] for f in schema)], schema))
+    # As literals: rows of Python objects would start further Python workers, which then stay with the executors.
+    lake.append("runs", lake.spark.range(1).select(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in schema]))
 
 
 def run_stages(
@@ -133,18 +149,20 @@ def run_stages(
     batch_id: int = -1,
     small: bool = False,
     whole: bool = False,
+    again: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Counts:
     """Bronze, silver and gold for some lines; a failure is logged and raised.
 
     Only rows since the last success are compared between the layers, so a load
     costs what is new. A failed run leaves what it appended, and the next one
-    picks up the rest. ``whole`` compares all rows of the layers.
+    picks up the rest. ``whole`` compares all rows of the layers. ``again`` gives
+    the lines of parts of the input a second time (``load_bronze``).
     """
     started = datetime.now(timezone.utc)
     since = None if whole else last_success(lake)
     counts = Counts()
     try:
-        counts.bronze, bad_lines = load_bronze(lake, lines, started, small)
+        counts.bronze, bad_lines = load_bronze(lake, lines, started, small, again)
         counts.silver, bad_texts = load_silver(lake, started, since)
         counts.gold = load_gold(lake, factory, started, since, model_name)
         counts.skipped = bad_lines + bad_texts

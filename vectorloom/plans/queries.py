@@ -30,7 +30,7 @@ from vectorloom.operators.snapshots import Snapshots
 from vectorloom.operators.topk import top_k
 from vectorloom.plans.loads import load_files
 from vectorloom.plans.stages import clean_rows, parse_lines
-from vectorloom.session import folder_names, new_folder, spread, stored
+from vectorloom.session import PLAIN_READS, folder_names, new_folder, small_buffers, spread, stored
 from vectorloom.sources.archive import move_file
 from vectorloom.sources.feeds import atom_records, fetch, rss_records, scan_atom, scan_rss
 from vectorloom.sources.lines import head_lines, read_jsonl, scan_lines, stream_lines
@@ -624,15 +624,16 @@ def notified_stream(spark, folder):
     line = F.to_json(F.struct("id", "title", "abstract", "authors", "categories", "published"))
     inbox, log, progress = (new_folder(spark, n) for n in ("notified", "log", "progress"))
     lake = _new_lake(spark)
-    for wave in range(3):
-        rows.where(F.col("doc_id") % 3 == wave).select(line.alias("value")).write.text(f"{inbox}/{wave}")
-        # Files of the runs before are named again.
-        there = arrival_messages(scan_lines(spark, [f"{inbox}/{n}" for n in range(wave + 1)]))
-        gone = rows.select(F.format_string("%s-%d.jsonl", F.col("authors")[0], F.lit(wave)).alias("filename")).distinct()
-        missing = gone.select(F.to_json(F.struct(F.concat(F.lit(f"{inbox}/gone/"), "filename").alias("filepath"), "filename")).alias("value"))
-        there.unionByName(missing).write.text(f"{log}/{wave:08d}")
-        load_notified(lake, message_log(spark, log), hashing_encoder(DIM), progress, once=True, model_name=MODEL).awaitTermination()
-    loaded = lake.read("bronze").select(
+    with small_buffers(spark):
+        for wave in range(3):
+            rows.where(F.col("doc_id") % 3 == wave).select(line.alias("value")).write.text(f"{inbox}/{wave}")
+            # Files of the runs before are named again.
+            there = arrival_messages(scan_lines(spark, [f"{inbox}/{n}" for n in range(wave + 1)]))
+            gone = rows.select(F.format_string("%s-%d.jsonl", F.col("authors")[0], F.lit(wave)).alias("filename")).distinct()
+            missing = gone.select(F.to_json(F.struct(F.concat(F.lit(f"{inbox}/gone/"), "filename").alias("filepath"), "filename")).alias("value"))
+            there.unionByName(missing).write.text(f"{log}/{wave:08d}")
+            load_notified(lake, message_log(spark, log), hashing_encoder(DIM), progress, once=True, model_name=MODEL).awaitTermination()
+    loaded = lake.read("bronze", **PLAIN_READS).select(
         F.lit("loaded").alias("state"), F.col("arxiv_id").alias("name"), F.md5(fields.json_field(F.col("raw_data"), "abstract", "string")).alias("text_md5")
     )
     return loaded.unionByName(lake.read("rejects").select(F.col("reason").alias("state"), F.col("source_file").alias("name"), F.lit(None).cast("string").alias("text_md5")))

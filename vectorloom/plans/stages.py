@@ -31,8 +31,8 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def bronze_rows(accepted: DataFrame, base_id: int, at: Column) -> DataFrame:
-    """Accepted lines in table shape; ids rise with file and line."""
+def bronze_rows(accepted: DataFrame, base_id: int, at: Column, parts: Sequence[str] = ()) -> DataFrame:
+    """Accepted lines in table shape, and the columns ``parts``; ids rise with file and line."""
     return accepted.select(
         (F.col("seq") + F.lit(base_id + 1)).alias("id"),
         "arxiv_id",
@@ -41,6 +41,7 @@ def bronze_rows(accepted: DataFrame, base_id: int, at: Column) -> DataFrame:
         at.alias("ingested_at"),
         F.to_date(at).alias("ingested_on"),
         "seq",
+        *parts,
     )
 
 

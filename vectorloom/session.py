@@ -12,7 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vectorloom.config import LAYER_SPLIT
+from vectorloom.config import ARROW_BYTES, LAYER_SPLIT
 
 
 def build_session(app: str = "vectorloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -111,6 +111,30 @@ def short_splits(spark: SparkSession, size: int = LAYER_SPLIT) -> Iterator[None]
         spark.conf.set(name, before)
 
 
+#: Parquet files are read without vectored reads. Those go through threads that never end, each with a buffer outside
+#: the heap as long as the longest column chunk it has read.
+PLAIN_READS = {"parquet.hadoop.vectored.io.enabled": "false"}
+
+
+@contextmanager
+def small_buffers(spark: SparkSession) -> Iterator[None]:
+    """Executors keep no large buffers outside the heap for what starts meanwhile.
+
+    Reads are plain ones, and batches for Python are cut at ``ARROW_BYTES``, as both sides hold several of them.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = {name: spark.conf.get(name), **{plain: spark.conf.get(plain, None) for plain in PLAIN_READS}}
+    given = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[name]))
+    settings = {name: str(min(ARROW_BYTES, given) if given > 0 else ARROW_BYTES), **PLAIN_READS}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 

@@ -77,11 +77,20 @@ def with_sequence(lines: DataFrame) -> DataFrame:
     size and broadcasts them when they are small.
     """
     placed = lines if "source_pos" in lines.columns else with_position(lines)
-    before = Window.orderBy("source_path").rowsBetween(Window.unboundedPreceding, -1)
     rooms = placed.groupBy("source_path").agg((F.max("source_pos") + 1).alias("room"))
+    return in_sequence(placed, file_starts(rooms))
+
+
+def file_starts(rooms: DataFrame) -> DataFrame:
+    """Where the numbers of each file start, from the numbers each asks for."""
+    before = Window.orderBy("source_path").rowsBetween(Window.unboundedPreceding, -1)
     starts = rooms.select("source_path", F.coalesce(F.sum("room").over(before), F.lit(0)).alias("file_start"))
-    joined = placed.join(stored(starts, "files"), "source_path")
-    return joined.withColumn("seq", F.col("file_start") + F.col("source_pos")).drop("file_start")
+    return stored(starts, "files")
+
+
+def in_sequence(placed: DataFrame, starts: DataFrame) -> DataFrame:
+    """Add ``seq`` to lines that have a place, some or all lines of the files."""
+    return placed.join(starts, "source_path").withColumn("seq", F.col("file_start") + F.col("source_pos")).drop("file_start")
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], suffix: str | None = None) -> DataFrame:

@@ -22,6 +22,8 @@ from vectorloom.sources.notifications import parse_messages
 
 #: Bytes of the log that one task reads, and bytes of a named file that are one piece of work.
 RANGE, PIECE = 4 << 20, 32 << 20
+#: Bytes of lines that a task sends on at once; it and the JVM hold a few such batches.
+_BATCH = 1 << 20
 _PACKED = (".gz", ".bz2", ".zst", ".lz4")
 _LINES = "value STRING, source_path STRING, source_file STRING, file_size BIGINT, block_start BIGINT, source_pos BIGINT"
 
@@ -177,13 +179,48 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     values.append(line.decode("utf-8", "replace").rstrip("\r\n"))
                     places.append(at)
                     held += len(line)
-                    if held > 4 << 20 or len(values) >= 10_000:
+                    if held > _BATCH or len(values) >= 10_000:
                         yield batch(values, places, piece)
                         values, places, held = [], [], 0
                 if values:
                     yield batch(values, places, piece)
 
 
+def _last_start(file, start: int, end: int) -> int | None:
+    """Place of the last line whose first byte is in the range; the range is read from its end."""
+    at = end - 1
+    while at >= start:
+        lo = max(0, start - 1, at - (1 << 16))
+        file.seek(lo)
+        cut = file.read(at - lo).rfind(b"\n")
+        if cut >= 0:
+            return lo + cut + 1
+        if lo <= start - 1 or not lo:
+            break
+        at = lo
+    return None if start else 0
+
+
+def _last_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Place of the last line of each piece; a packed file is read through."""
+    for given in batches:
+        paths, places = [], []
+        for piece in given.to_pylist():
+            files, place = file_place(piece["source_path"])
+            if piece["source_file"].endswith(_PACKED):
+                last = None
+                with files.open_input_stream(place, compression="detect") as file:
+                    for last, _ in lines_between(file, piece["start"], piece["end"]):
+                        pass
+            else:
+                with files.open_input_file(place) as file:
+                    last = _last_start(file, piece["start"], piece["end"])
+            if last is not None:
+                paths.append(piece["source_path"])
+                places.append(last)
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(places, pa.int64())], ["source_path", "source_pos"])
+
+
 def file_pieces(messages: DataFrame) -> DataFrame:
     """The files that some messages name, in pieces for reading; ``file_size`` is null where there is no such file.
 
@@ -195,12 +232,27 @@ def file_pieces(messages: DataFrame) -> DataFrame:
     )
 
 
-def piece_lines(pieces: DataFrame) -> DataFrame:
-    """Lines of pieces, which tasks read in any order. Lines end with a line feed; ``source_pos`` is the byte a line starts at.
+def _dealt(pieces: DataFrame) -> DataFrame:
+    """Pieces in turn to as many tasks as their number and bytes, which are known, ask for.
 
-    The rows that name pieces are short: dealt by a key, all of them would be put together into one task. Their number and bytes are
-    known, so they are dealt in turn to as many tasks as they ask for.
+    The rows that name pieces are short: dealt by a key, all of them would be put together into one task.
     """
     count, size = pieces.agg(F.count("*"), F.sum(F.least("end", "file_size") - F.col("start"))).first()
     cores = pieces.sparkSession.sparkContext.defaultParallelism
-    return pieces.repartition(max(1, min(count, max(cores, -(-(size or 0) // PIECE))))).mapInArrow(_read, _LINES)
+    return pieces.repartition(max(1, min(count, max(cores, -(-(size or 0) // PIECE)))))
+
+
+def piece_lines(pieces: DataFrame) -> DataFrame:
+    """Lines of pieces, which tasks read in any order. Lines end with a line feed; ``source_pos`` is the byte a line starts at."""
+    return _dealt(pieces).mapInArrow(_read, _LINES)
+
+
+def piece_rooms(pieces: DataFrame) -> DataFrame:
+    """Places that each file asks for, as ``with_sequence`` counts them: found at the ends of its pieces, no line is sent anywhere."""
+    last = _dealt(pieces).mapInArrow(_last_starts, "source_path STRING, source_pos BIGINT")
+    return last.groupBy("source_path").agg((F.max("source_pos") + 1).alias("room"))
+
+
+def pieces_at(pieces: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pieces that some rows name by ``source_path`` and ``block_start``."""
+    return pieces.join(parts.withColumnRenamed("block_start", "start"), ["source_path", "start"], "left_semi")

@@ -16,10 +16,11 @@ from vectorloom.operators.checkpoint import next_checkpoint, parse_checkpoint
 from vectorloom.operators.lake import Lake
 from vectorloom.operators.tables import absent_from
 from vectorloom.plans.loads import last_run, run_stages
+from vectorloom.session import small_buffers
 from vectorloom.sources.archive import archive_files, plain_path
 from vectorloom.sources.feeds import record_lines
-from vectorloom.sources.lines import with_sequence
-from vectorloom.sources.message_log import file_pieces, piece_lines
+from vectorloom.sources.lines import file_starts, in_sequence, with_sequence
+from vectorloom.sources.message_log import file_pieces, piece_lines, piece_rooms, pieces_at
 
 
 def _start(stream: DataFrame, each, checkpoint: str, interval: int, once: bool) -> StreamingQuery:
@@ -73,20 +74,27 @@ def load_notified(
     """Load the files named by a stream of arrival messages, of ``message_log`` or any other source.
 
     Tasks look the files up and read them, so no path reaches the driver. A path without a file becomes a row of the
-    rejects (stage ``files``), once; the load goes on.
+    rejects (stage ``files``), once; the load goes on. Lines are kept nowhere on the way: all are read for their ids, and
+    the pieces that hold new ids once more for the table.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        with small_buffers(batch.sparkSession):
+            load(batch, batch_id)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
         here = lake.on(batch.sparkSession)
         pieces = file_pieces(batch)
         there = pieces.where(F.col("file_size").isNotNull())
         if not there.isEmpty():
-            # Kept, so that the files are read once.
-            kept = piece_lines(there).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                run_stages(here, with_sequence(kept), factory, model_name, batch_id, small=True)
-            finally:
-                kept.unpersist()
+            starts = file_starts(piece_rooms(there))
+
+            def lines_of(some: DataFrame) -> DataFrame:
+                return in_sequence(piece_lines(some), starts)
+
+            run_stages(
+                here, lines_of(there), factory, model_name, batch_id, small=True, again=lambda parts: lines_of(pieces_at(there, parts))
+            )
         gone = pieces.where(F.col("file_size").isNull()).select(
             F.lit("files").alias("stage"), F.lit(None).cast("string").alias("arxiv_id"), "source_file",
             F.lit(None).cast("long").alias("source_pos"), F.col("source_path").alias("raw_data"),
